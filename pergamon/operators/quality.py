@@ -106,16 +106,17 @@ EMBEDDING_RESPONSE_KEYS = [
 
 def check_response_json(responses, required, column="response", non_empty=()):
     """The responses that lack a required key or have an empty value where there must be one."""
-    absent = [
-        F.when(F.get_json_object(column, key).isNull(), F.lit(key)) for key in required
-    ]
+    def value(key):
+        return F.try_variant_get("_parsed", key, "string")
+
+    absent = [F.when(value(key).isNull(), F.lit(key)) for key in required]
     empty = [
-        F.when(F.get_json_object(column, key) == "", F.concat(F.lit(key), F.lit(" is empty")))
-        for key in non_empty
+        F.when(value(key) == "", F.concat(F.lit(key), F.lit(" is empty"))) for key in non_empty
     ]
     others = [c for c in responses.columns if c != column]
     return (
-        responses.select(*others, F.array_compact(F.array(*absent, *empty)).alias("_violations"))
+        responses.select(*others, F.try_parse_json(column).alias("_parsed"))
+        .select(*others, F.array_compact(F.array(*absent, *empty)).alias("_violations"))
         .where(F.size("_violations") > 0)
         .select(
             *others, F.size("_violations").alias("n_violations"),

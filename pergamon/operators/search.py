@@ -23,12 +23,11 @@ _HITS = "query_id long, id long, score double"
 
 
 def _matrix(column):
-    """Rows of a list column as float64, and which of them are present."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if len(column) == 0:
-        return np.zeros((0, 0))
+    """Rows of a list column as float64."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
 def _unit(matrix):
@@ -36,20 +35,6 @@ def _unit(matrix):
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _selections(column):
-    """Per query the set of selected documents, or None for no filter."""
-    return [set(s) if s else None for s in column.to_pylist()]
-
-
-def _allowed(names, chosen):
-    """Boolean matrix: may row i be a hit of query j?"""
-    distinct, code = np.unique(np.asarray(names, dtype=object).astype(str), return_inverse=True)
-    table = np.array(
-        [[c is None or n in c for c in chosen] for n in distinct], dtype=bool
-    ).reshape(len(distinct), len(chosen))
-    return table[code]
-
-
 class _Best:
     """The k best hits per query seen so far; equal scores go to the smaller id.
 
@@ -64,22 +49,19 @@ class _Best:
         self.floor = np.full(len(query_ids), -np.inf)
 
     def add(self, query, ids, score):
-        rank = np.round(score, 9)
-        keep = rank >= self.floor[query]
+        keep = np.round(score, 9) >= self.floor[query]
+        if not keep.any():
+            return
         self.query = np.concatenate([self.query, query[keep]])
         self.id = np.concatenate([self.id, ids[keep]])
         self.score = np.concatenate([self.score, score[keep]])
-        self._trim()
-
-    def _trim(self):
-        rank = np.round(self.score, 9)
-        order = np.lexsort((self.id, -rank, self.query))
+        order = np.lexsort((self.id, -np.round(self.score, 9), self.query))
         query = self.query[order]
-        starts = np.r_[0, np.flatnonzero(np.diff(query)) + 1] if len(query) else np.zeros(0, int)
+        starts = np.r_[0, np.flatnonzero(np.diff(query)) + 1]
         place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
-        order = order[place < self.k]
+        order, place = order[place < self.k], place[place < self.k]
         self.query, self.id, self.score = self.query[order], self.id[order], self.score[order]
-        last = np.flatnonzero(place[place < self.k] == self.k - 1)
+        last = place == self.k - 1
         self.floor[self.query[last]] = np.round(self.score[last], 9)
 
     def table(self):
@@ -90,66 +72,100 @@ class _Best:
         })
 
 
-def _score(best, ids, vectors, queries, names=None, chosen=None, sides=None, query_sides=None):
-    """Add the hits of a batch of index rows, a slice of rows at a time."""
-    step = max(1, _CELLS // max(1, len(queries)))
-    for i in range(0, len(ids), step):
-        rows = slice(i, i + step)
-        candidate = None
-        if sides is not None:
-            candidate = np.zeros((len(ids[rows]), len(queries)), bool)
+class _Asked:
+    """Queries as a task needs them: unit vectors, buckets, and who selects which file."""
+
+    def __init__(self, table, filtered, planes):
+        self.ids = table["query_id"].to_numpy()
+        self.vectors = _unit(_matrix(table["query_vector"]))
+        self.planes = planes
+        self.sides = None if planes is None else signatures(self.vectors, planes)
+        self.filtered = filtered
+        self.by_file, self.unfiltered = {}, []
+        if filtered:
+            for i, chosen in enumerate(table["selected_documents"].to_pylist()):
+                for name in set(chosen or []):
+                    self.by_file.setdefault(name, []).append(i)
+                if not chosen:
+                    self.unfiltered.append(i)
+
+    def candidates(self, vectors, names):
+        """Which row may be a hit of which query; None if every one may."""
+        if not self.filtered and self.planes is None:
+            return None
+        shape = (len(vectors), len(self.ids))
+        found = np.zeros(shape, bool) if self.planes is not None else np.ones(shape, bool)
+        if self.planes is not None:
+            sides = signatures(vectors, self.planes)
             for t in range(sides.shape[1]):
-                for bucket in np.intersect1d(sides[rows, t], query_sides[:, t]):
-                    candidate[np.ix_(sides[rows, t] == bucket, query_sides[:, t] == bucket)] = True
-        if names is not None:
-            allowed = _allowed(names[rows], chosen)
-            candidate = allowed if candidate is None else candidate & allowed
-        if candidate is None:
-            scores = _unit(vectors[rows]) @ queries.T
-        else:
-            used = candidate.any(axis=1)
-            asked = candidate.any(axis=0)
-            scores = np.full(candidate.shape, -np.inf)
-            if used.any():
-                scores[np.ix_(used, asked)] = _unit(vectors[rows][used]) @ queries[asked].T
-                scores[~candidate] = -np.inf
-        floor = best.floor
-        if len(scores) > best.k:
-            kth = len(scores) - best.k
-            floor = np.maximum(floor, np.round(np.partition(scores, kth, axis=0)[kth], 9))
-        row, query = np.nonzero(
-            (np.round(scores, 9) >= floor) & np.isfinite(scores)
-        )
-        best.add(query, ids[rows][row], scores[row, query])
-
-
-def _present(table, vector):
-    return table.filter(pa.compute.is_valid(table[vector]))
+                order = np.argsort(sides[:, t], kind="stable")
+                ordered = sides[order, t]
+                low = np.searchsorted(ordered, self.sides[:, t], "left")
+                size = np.searchsorted(ordered, self.sides[:, t], "right") - low
+                query = np.repeat(np.arange(len(size)), size)
+                within = np.arange(len(query)) - np.repeat(np.cumsum(size) - size, size)
+                found[order[np.repeat(low, size) + within], query] = True
+        if self.filtered:
+            allowed = np.zeros(shape, bool)
+            allowed[:, self.unfiltered] = True
+            for i, name in enumerate(names):
+                chosen = self.by_file.get(name)
+                if chosen:
+                    allowed[i, chosen] = True
+            found &= allowed
+        return found
+
+    def score(self, best, ids, column, names=None):
+        """Add the hits of a batch of index rows, a slice of rows at a time."""
+        step = max(1, _CELLS // max(len(self.ids), self.vectors.shape[1], 1))
+        for i in range(0, len(ids), step):
+            vectors = _unit(_matrix(column.slice(i, step)))
+            candidates = self.candidates(vectors, names and names[i:i + step])
+            if candidates is None or candidates.mean() > 0.2:
+                scores = vectors @ self.vectors.T
+                if candidates is not None:
+                    scores[~candidates] = -np.inf
+                floor = best.floor
+                if len(scores) > best.k:
+                    kth = len(scores) - best.k
+                    floor = np.maximum(
+                        floor, np.round(np.partition(scores, kth, axis=0)[kth], 9)
+                    )
+                row, query = np.nonzero(np.isfinite(scores) & (np.round(scores, 9) >= floor))
+                best.add(query, ids[i + row], scores[row, query])
+            else:
+                rows, queries = np.nonzero(candidates)
+                pairs = max(1, _CELLS // vectors.shape[1])
+                for j in range(0, len(rows), pairs):
+                    row, query = rows[j:j + pairs], queries[j:j + pairs]
+                    score = np.einsum("ij,ij->i", vectors[row], self.vectors[query])
+                    best.add(query, ids[i + row], score)
 
 
 def _broadcast_hits(index, queries, k, filtered, planes):
-    query_ids = queries["query_id"].to_numpy()
-    matrix = _unit(_matrix(queries["query_vector"]))
-    chosen = _selections(queries["selected_documents"]) if filtered else None
-    query_sides = None if planes is None else signatures(matrix, planes)
-    shared = index.sparkSession.sparkContext.broadcast((query_ids, matrix, chosen, query_sides))
+    asked = _Asked(queries, filtered, planes)
+    shared = index.sparkSession.sparkContext.broadcast(asked)
 
     def hits(batches):
-        query_ids, matrix, chosen, query_sides = shared.value
-        best = _Best(query_ids, k)
+        asked = shared.value
+        best = _Best(asked.ids, k)
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            vectors = _matrix(batch.column("chunk_embedding"))
-            _score(
-                best, batch.column("id").to_numpy(), vectors, matrix,
-                batch.column("file_name").to_pylist() if filtered else None, chosen,
-                None if planes is None else signatures(vectors, planes), query_sides,
-            )
+            if batch.num_rows:
+                asked.score(
+                    best, batch.column("id").to_numpy(), batch.column("chunk_embedding"),
+                    batch.column("file_name").to_pylist() if filtered else None,
+                )
         yield from best.table().to_batches()
 
     columns = ["id", "chunk_embedding", *(["file_name"] if filtered else [])]
-    return index.select(*columns).where("chunk_embedding IS NOT NULL").mapInArrow(hits, _HITS)
+    rows = index.select(*columns).where("chunk_embedding IS NOT NULL")
+    if filtered and not asked.unfiltered:
+        # Every query selects documents: other rows need not reach Python at all.
+        names = index.sparkSession.createDataFrame(
+            [(n,) for n in asked.by_file], "file_name string"
+        )
+        rows = rows.join(F.broadcast(names), "file_name", "left_semi").select(*columns)
+    return rows.mapInArrow(hits, _HITS)
 
 
 def _bucketed(rows, vector, key, planes):
@@ -157,12 +173,13 @@ def _bucketed(rows, vector, key, planes):
     if planes is None:
         return rows.select(*rows.columns, F.lit(0).alias("_table"), F.lit(0).alias("_bucket"))
     tables = planes.shape[0]
+    shared = rows.sparkSession.sparkContext.broadcast(planes)
     columns = [c for c in rows.columns if c != vector]
 
     def sides(batches):
         for batch in batches:
             if batch.num_rows:
-                found = signatures(_matrix(batch.column(vector)), planes)
+                found = signatures(_matrix(batch.column(vector)), shared.value)
                 ends = np.arange(len(found) + 1, dtype=np.int32) * tables
                 lists = pa.ListArray.from_arrays(ends, pa.array(found.ravel(), pa.int32()))
                 yield pa.RecordBatch.from_arrays(
@@ -221,13 +238,13 @@ def _block_hits(index, queries, k, filtered, planes, block_rows, block_queries):
     group = [*bucket, "_id_block", "_query_id_block"]
 
     def hits(left, right):
-        queries = _unit(_matrix(right["query_vector"])) if right.num_rows else np.zeros((0, 0))
-        best = _Best(right["query_id"].to_numpy(), k)
+        asked = _Asked(right, filtered, None)
+        best = _Best(asked.ids, k)
         if left.num_rows and right.num_rows:
-            _score(
-                best, left["id"].to_numpy(), _matrix(left["chunk_embedding"]), queries,
+            left = left.combine_chunks()
+            asked.score(
+                best, left["id"].to_numpy(), left["chunk_embedding"],
                 left["file_name"].to_pylist() if filtered else None,
-                _selections(right["selected_documents"]) if filtered else None,
             )
         return best.table()
 

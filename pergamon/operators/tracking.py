@@ -19,9 +19,16 @@ def processed_file_names(track):
 
 
 def paths_except(left, right):
-    """EXCEPT DISTINCT. Both sides are made distinct first, so copies fold before the shuffle."""
-    a, b = left.distinct(), right.select(F.col("path").alias("_path")).distinct()
-    return a.join(b, a["path"].eqNullSafe(b["_path"]), "left_anti")
+    """EXCEPT DISTINCT in one aggregate: one shuffle, copies fold before it, NULL equals NULL.
+
+    A set difference by join needs both sides distinct and shuffled again for the join.
+    """
+    both = left.select("path", F.lit(True).alias("_left")).unionByName(
+        right.select("path", F.lit(False).alias("_left"))
+    )
+    return both.groupBy("path").agg(F.bool_and("_left").alias("_left")).where("_left").select(
+        "path"
+    )
 
 
 def new_files(volume, track):

@@ -12,18 +12,23 @@ from pergamon.operators.tracking import (
 )
 from pergamon.session import shared_folder
 from pergamon.sources import tables as S
+from pergamon.sources.files import extract_text
 
 
-def as_documents(extracted, document_type):
-    """Extracted files (path, extracted_text, error) as documents of a type, a name or a Column."""
-    if isinstance(document_type, str):
-        document_type = F.lit(document_type)
-    return extracted.select(
+def file_keys(document_type):
+    """Key columns of files given by path; the type is a name or a Column."""
+    kind = F.lit(document_type) if isinstance(document_type, str) else document_type
+    return (
         base_name("path").alias("file_name"), dir_name("path").alias("folder_name"),
-        document_type.alias("document_type"), "extracted_text", "error",
+        kind.alias("document_type"),
     )
 
 
+def as_documents(extracted, document_type):
+    """Extracted files (path, extracted_text, error) as documents."""
+    return extracted.select(*file_keys(document_type), "extracted_text", "error")
+
+
 def build_index(spark, tables, embed=None, dimension=64):
     """Fill the index from the whole chunk table. Running it again gives the same index."""
     chunks = S.scan_table(spark, tables.chunks)
@@ -48,16 +53,33 @@ def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension
     return True
 
 
-def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=64):
+def not_done(spark, tables, rows):
+    """The files among `rows` that are not READY or UPDATED.
+
+    Only the track rows of these files are read, and then only those that are done matter, so a
+    small batch stays small beside a large track table.
+    """
+    known = S.rows_of_files(spark, tables.track, rows.select("folder_name", "file_name"))
+    done = known.where(F.col("status").isin(V.READY, V.UPDATED))
+    return key_filter(rows, done, FILE_KEY, keep=False)
+
+
+def update_files(spark, tables, files, document_type, parsers=None, **options):
+    """`update_index` from files (path, content); files that are done are not opened."""
+    named = files.select("path", "content", *file_keys(document_type))
+    extracted = extract_text(not_done(spark, tables, named), parsers)
+    return update_index(spark, tables, extracted, checked=True, **options)
+
+
+def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=64,
+                 checked=False):
     """Take in new documents; the number of files taken in.
 
     Files that are READY or UPDATED are skipped. A file left at UPDATING by a run that stopped is
     done again. The state turns to UPDATED only after the index is written, and every write
     replaces the rows of its files, so a repeated batch changes nothing.
     """
-    track = S.scan_table(spark, tables.track)
-    done = track.where(F.col("status").isin(V.READY, V.UPDATED))
-    todo = key_filter(documents.where("error IS NULL"), done, FILE_KEY, keep=False)
+    todo = (documents if checked else not_done(spark, tables, documents)).where("error IS NULL")
     last = S.scan_table(spark, tables.text).agg(F.max("id")).first()[0] or 0
     # The numbered rows are checkpointed, so the files are read and parsed once.
     batch = S.assign_ids(
@@ -66,12 +88,13 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
     size = batch.count()
     if size == 0:
         return 0
-    S.write_append(spark, insert_if_absent(track, batch, V.UPDATING), tables.track)
+    known = S.rows_of_files(spark, tables.track, batch.select("folder_name", "file_name"))
+    S.write_append(spark, insert_if_absent(known, batch, V.UPDATING), tables.track)
     S.replace_rows(spark, tables.text, batch)
     chunks = with_chunk_ids(chunk(batch.where("extracted_text IS NOT NULL"))).checkpoint()
     S.replace_rows(spark, tables.chunks, chunks)
     S.replace_rows(spark, tables.index, embed_text(chunks, embed=embed, dimension=dimension))
-    pending = key_filter(S.scan_table(spark, tables.track), batch, FILE_KEY)
+    pending = S.rows_of_files(spark, tables.track, batch.select("folder_name", "file_name"))
     S.replace_rows(spark, tables.track, update_status_tuple(pending, batch))
     return size
 
@@ -103,27 +126,16 @@ def flat_copies_to_drop(gone, remaining, target):
 
 def purge_summary(track, texts, chunks, volume):
     """What a purge by path removes from each table and what it leaves."""
-    gone = deleted_files(track, volume).select(
-        dir_name("path").alias("folder_name"), base_name("path").alias("file_name"),
-        F.lit(True).alias("_gone"),
-    )
-
-    def effect(name, rows):
-        per_file = rows.groupBy("folder_name", "file_name").agg(F.count("*").alias("_rows"))
-        removed = F.coalesce(F.sum(F.when(F.col("_gone"), F.col("_rows"))), F.lit(0))
-        return (
-            per_file.join(gone, ["folder_name", "file_name"], "left")
-            .agg(removed.alias("n_removed"), (F.sum("_rows") - removed).alias("n_left"))
-            .select(F.lit(name).alias("table_name"), "n_removed", "n_left")
-        )
+    def per_file(rows, *tables):
+        named = F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_name")
+        counted = rows.groupBy(join_path().alias("path")).agg(F.count("*").alias("_rows"))
+        return counted.select("path", "_rows", named)
 
-    return (
-        effect("chunks", chunks)
-        .unionByName(effect("index", chunks))
-        .unionByName(effect("text", texts))
-        .unionByName(effect("track", track))
+    counts = per_file(chunks, "chunks", "index").unionByName(per_file(texts, "text")).unionByName(
+        per_file(track, "track")
+    )
+    gone = deleted_files(track, volume).withColumn("_gone", F.lit(True))
+    removed = F.coalesce(F.sum(F.when(F.col("_gone"), F.col("_rows"))), F.lit(0))
+    return counts.join(gone, "path", "left").groupBy("table_name").agg(
+        removed.alias("n_removed"), (F.sum("_rows") - removed).alias("n_left")
     )
-
-
-def known_paths(track):
-    return track.select(join_path().alias("path"))

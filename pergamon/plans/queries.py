@@ -50,7 +50,8 @@ def list_files(spark, sf_dir):
 def read_text_files(spark, sf_dir):
     """The documents written as one text file each, then read back."""
     folder = scratch_path(spark, "documents")
-    W.table(spark, sf_dir, "documents").select("lang", "doc_id", "text").write.partitionBy(
+    documents = W.table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
+    W.spread(documents, "doc_id").write.partitionBy(
         "lang", "doc_id"
     ).text(folder)
     read = files_source.read_text_files(spark, folder)

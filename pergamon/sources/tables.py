@@ -31,7 +31,7 @@ def table_names(functional_name, database=None):
     )
 
 
-def create_tables(spark, tables, buckets=64, location=None):
+def create_tables(spark, tables, buckets=256, location=None):
     """CREATE TABLE IF NOT EXISTS for the four tables."""
     for role, schema in SCHEMAS.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
@@ -64,14 +64,22 @@ def _shaped(spark, rows, table):
     ])
 
 
-def scan_table(spark, table):
-    """The rows without the bucket column."""
-    return spark.table(table).drop(BUCKET)
+def scan_table(spark, table, buckets=None):
+    """The rows without the bucket column, of all buckets or of some."""
+    rows = spark.table(table)
+    if buckets is not None:
+        rows = rows.where(F.col(BUCKET).isin(buckets))
+    return rows.drop(BUCKET)
 
 
 def write_append(spark, rows, table):
-    """Append by column name. Rows of one bucket go to one writer, so no small files pile up."""
-    _shaped(spark, rows, table).repartition(BUCKET).write.insertInto(table)
+    """Append by column name."""
+    _balanced(_shaped(spark, rows, table)).write.insertInto(table)
+
+
+def _balanced(rows):
+    """Rows of a bucket together, so no small files pile up; a large bucket has many writers."""
+    return rows.hint("rebalance", F.col(BUCKET))
 
 
 def write_overwrite_if_empty(spark, rows, table):
@@ -81,7 +89,7 @@ def write_overwrite_if_empty(spark, rows, table):
     if not spark.catalog.tableExists(table):
         rows.write.mode("overwrite").saveAsTable(table)
     else:
-        _shaped(spark, rows, table).repartition(BUCKET).write.insertInto(table, overwrite=True)
+        _balanced(_shaped(spark, rows, table)).write.insertInto(table, overwrite=True)
     return True
 
 
@@ -92,7 +100,7 @@ def _rewrite(spark, table, touched, rows):
         before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            rows.repartition(BUCKET).write.insertInto(table, overwrite=True)
+            _balanced(rows).write.insertInto(table, overwrite=True)
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     for bucket in touched:
@@ -118,6 +126,14 @@ def replace_rows(spark, table, rows, key=("folder_name", "file_name")):
     _rewrite(spark, table, touched, kept.unionByName(rows))
 
 
+def rows_of_files(spark, table, files):
+    """The rows of the given files; only their buckets are read."""
+    touched = _touched(spark, files, table)
+    return key_filter(
+        scan_table(spark, table, touched), files, ["folder_name", "file_name"]
+    )
+
+
 def delete_rows(spark, table, files):
     """Delete all rows of the given files (folder_name, file_name)."""
     touched = _touched(spark, files, table)

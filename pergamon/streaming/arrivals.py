@@ -2,8 +2,7 @@
 
 from pergamon.operators.skew import key_filter
 from pergamon.operators.tracking import processed_paths
-from pergamon.plans.lifecycle import as_documents, update_index
-from pergamon.sources.files import extract_text
+from pergamon.plans.lifecycle import update_files
 
 TRIGGER_SECONDS = 61  # fixed value: the least time between two updates
 
@@ -24,8 +23,7 @@ def stream_index_update(files, tables, checkpoint, document_type="tmp", parsers=
     """
 
     def handle(batch, _):
-        documents = as_documents(extract_text(batch, parsers), document_type)
-        update_index(batch.sparkSession, tables, documents, **options)
+        update_files(batch.sparkSession, tables, batch, document_type, parsers, **options)
 
     return _start(files, handle, checkpoint, once)
 
