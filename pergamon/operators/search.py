@@ -117,7 +117,9 @@ class _Asked:
 
     def score(self, best, ids, column, names=None):
         """Add the hits of a batch of index rows, a slice of rows at a time."""
-        step = max(1, _CELLS // max(len(self.ids), self.vectors.shape[1], 1))
+        if not len(self.ids):
+            return
+        step = max(1, _CELLS // max(len(self.ids), self.vectors.shape[1]))
         for i in range(0, len(ids), step):
             vectors = _unit(_matrix(column.slice(i, step)))
             candidates = self.candidates(vectors, names and names[i:i + step])

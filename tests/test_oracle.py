@@ -1,0 +1,31 @@
+import pytest
+from oracle_compare import compare, connect
+
+import __spark_entry__ as entry
+
+SF_DIR = "/root/testdata/sf0.001"
+SQL = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return connect(SF_DIR)
+
+
+@pytest.mark.parametrize("key", sorted(SQL))
+def test_same_rows_as_sql(spark, connection, key):
+    assert compare(spark, connection, SF_DIR, entry.queries()[key], SQL[key]) is None
+
+
+@pytest.mark.parametrize("key", sorted(set(entry.queries()) - set(SQL)))
+def test_has_rows(spark, key):
+    assert entry.queries()[key](spark, SF_DIR).count() > 0
+
+
+def test_every_sql_has_its_query():
+    assert set(SQL) <= set(entry.queries())
+
+
+def test_entry_answers_all_conversations(spark, connection):
+    expected = connection.execute("SELECT count(DISTINCT conv_id) FROM conversations").fetchone()
+    assert entry.entry(spark).count() == expected[0]
