@@ -88,14 +88,19 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
     size = batch.count()
     if size == 0:
         return 0
-    known = S.rows_of_files(spark, tables.track, batch.select("folder_name", "file_name"))
+    files = batch.select("folder_name", "file_name")
+    buckets = S.touched_buckets(spark, files, tables.track)
+    known = S.rows_of_files(spark, tables.track, files, buckets)
     S.write_append(spark, insert_if_absent(known, batch, V.UPDATING), tables.track)
-    S.replace_rows(spark, tables.text, batch)
+    S.replace_rows(spark, tables.text, batch, buckets=buckets)
     chunks = with_chunk_ids(chunk(batch.where("extracted_text IS NOT NULL"))).checkpoint()
-    S.replace_rows(spark, tables.chunks, chunks)
-    S.replace_rows(spark, tables.index, embed_text(chunks, embed=embed, dimension=dimension))
-    pending = S.rows_of_files(spark, tables.track, batch.select("folder_name", "file_name"))
-    S.replace_rows(spark, tables.track, update_status_tuple(pending, batch))
+    # By the files of the batch, as one that was done before may have no chunks any more.
+    S.replace_rows(spark, tables.chunks, chunks, files, buckets)
+    S.replace_rows(
+        spark, tables.index, embed_text(chunks, embed=embed, dimension=dimension), files, buckets
+    )
+    pending = S.rows_of_files(spark, tables.track, files, buckets)
+    S.replace_rows(spark, tables.track, update_status_tuple(pending, batch), buckets=buckets)
     return size
 
 

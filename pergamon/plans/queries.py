@@ -30,9 +30,10 @@ def big(column, name=None):
 
 def _tables(spark):
     """Fresh document tables below the shared folder."""
-    location = scratch_path(spark, "tables")
-    tables = S.table_names("run" + location[-32:])
-    S.create_tables(spark, tables, buckets=8, location=location)
+    folder = scratch_path(spark, "tables")
+    name = "run_" + folder[-32:]
+    tables = S.table_names("docs", S.create_database(spark, name, folder))
+    S.create_tables(spark, tables, buckets=8)
     return tables
 
 

@@ -33,7 +33,10 @@ def stream_binary_files(spark, folder, files_per_batch=1000):
 
 
 def list_files(spark, folder):
-    """Every file below a folder. The content column is pruned, so no file is opened."""
+    """Every file below a folder. The content column is pruned, so no file is opened.
+
+    As with all Spark file sources, hidden and empty files are passed over.
+    """
     return binary_files(spark, folder).select("path", "modificationTime", "length")
 
 

@@ -31,15 +31,24 @@ def table_names(functional_name, database=None):
     )
 
 
-def create_tables(spark, tables, buckets=256, location=None):
-    """CREATE TABLE IF NOT EXISTS for the four tables."""
+def create_database(spark, name, folder):
+    """A database whose tables live below `folder`."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
+    return name
+
+
+def create_tables(spark, tables, buckets=256):
+    """CREATE TABLE IF NOT EXISTS for the four tables.
+
+    They are managed tables: to drop an emptied bucket must also delete its files, or a later
+    append to the bucket would bring the rows back.
+    """
     for role, schema in SCHEMAS.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         name = getattr(tables, role)
-        place = f"LOCATION '{location}/{name}'" if location else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BUCKET} INT) USING parquet "
-            f"PARTITIONED BY ({BUCKET}) {place} TBLPROPERTIES ('path_buckets' = '{buckets}')"
+            f"PARTITIONED BY ({BUCKET}) TBLPROPERTIES ('path_buckets' = '{buckets}')"
         )
 
 
@@ -64,12 +73,16 @@ def _shaped(spark, rows, table):
     ])
 
 
+def _current(spark, table, buckets=None):
+    """The rows as they are now: another session, such as a stream's, may have rewritten files."""
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table)
+    return rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))
+
+
 def scan_table(spark, table, buckets=None):
     """The rows without the bucket column, of all buckets or of some."""
-    rows = spark.table(table)
-    if buckets is not None:
-        rows = rows.where(F.col(BUCKET).isin(buckets))
-    return rows.drop(BUCKET)
+    return _current(spark, table, buckets).drop(BUCKET)
 
 
 def write_append(spark, rows, table):
@@ -84,51 +97,58 @@ def _balanced(rows):
 
 def write_overwrite_if_empty(spark, rows, table):
     """Write only if the table is missing or empty; whether it was written."""
-    if spark.catalog.tableExists(table) and not spark.table(table).isEmpty():
+    exists = spark.catalog.tableExists(table)
+    if exists and not _current(spark, table).isEmpty():
         return False
-    if not spark.catalog.tableExists(table):
+    if not exists:
         rows.write.mode("overwrite").saveAsTable(table)
     else:
         _balanced(_shaped(spark, rows, table)).write.insertInto(table, overwrite=True)
     return True
 
 
-def _rewrite(spark, table, touched, rows):
-    """Replace the touched buckets by `rows`; a bucket without rows is dropped."""
-    filled = {r[0] for r in rows.select(BUCKET).distinct().collect()}
-    if filled:
+def _rewrite(spark, table, rows, touched=()):
+    """Replace the buckets that `rows` has, and drop those of `touched` that it has not.
+
+    A dynamic overwrite leaves a bucket alone that no row is left for.
+    """
+    filled = {r[0] for r in rows.select(BUCKET).distinct().collect()} if touched else None
+    if filled is None or filled:
         before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
             _balanced(rows).write.insertInto(table, overwrite=True)
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    for bucket in touched:
-        if bucket not in filled:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {bucket})")
-    spark.catalog.refreshTable(table)
+    for bucket in set(touched) - (filled or set()):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {bucket})")
 
 
-def _touched(spark, keys, table):
-    """Buckets of the keys: at most as many values as the table has buckets."""
-    found = _with_bucket(keys, _buckets(spark, table)).select(BUCKET).distinct().collect()
+def touched_buckets(spark, files, table):
+    """Buckets of the files (folder_name, file_name): at most as many as the table has."""
+    found = _with_bucket(files, _buckets(spark, table)).select(BUCKET).distinct().collect()
     return [r[0] for r in found]
 
 
-def replace_rows(spark, table, rows, key=("folder_name", "file_name")):
-    """Put `rows` in place of all rows of the same files."""
+def replace_rows(spark, table, rows, files=None, buckets=None):
+    """Put `rows` in place of all rows of the same files, or of `files`, which may be more.
+
+    `buckets` are those of the files, if they are known.
+    """
     rows = _shaped(spark, rows, table)
-    touched = _touched(spark, rows, table)
+    wanted = rows if files is None else files
+    touched = touched_buckets(spark, wanted, table) if buckets is None else buckets
     if not touched:
         return
-    current = spark.table(table).where(F.col(BUCKET).isin(touched))
-    kept = key_filter(current, rows, list(key), keep=False)
-    _rewrite(spark, table, touched, kept.unionByName(rows))
+    kept = key_filter(
+        _current(spark, table, touched), wanted, ["folder_name", "file_name"], keep=False
+    )
+    _rewrite(spark, table, kept.unionByName(rows), () if files is None else touched)
 
 
-def rows_of_files(spark, table, files):
+def rows_of_files(spark, table, files, buckets=None):
     """The rows of the given files; only their buckets are read."""
-    touched = _touched(spark, files, table)
+    touched = touched_buckets(spark, files, table) if buckets is None else buckets
     return key_filter(
         scan_table(spark, table, touched), files, ["folder_name", "file_name"]
     )
@@ -136,14 +156,13 @@ def rows_of_files(spark, table, files):
 
 def delete_rows(spark, table, files):
     """Delete all rows of the given files (folder_name, file_name)."""
-    touched = _touched(spark, files, table)
+    touched = touched_buckets(spark, files, table)
     if not touched:
         return
-    current = spark.table(table).where(F.col(BUCKET).isin(touched))
-    _rewrite(
-        spark, table, touched,
-        key_filter(current, files, ["folder_name", "file_name"], keep=False),
+    left = key_filter(
+        _current(spark, table, touched), files, ["folder_name", "file_name"], keep=False
     )
+    _rewrite(spark, table, left, touched)
 
 
 def describe_schema(rows):

@@ -1,0 +1,134 @@
+import pytest
+from pyspark.sql import functions as F
+
+from pergamon import fixed_values as V
+from pergamon.functions.vectors import hashed_embedding
+from pergamon.operators import chat
+from pergamon.operators.indexing import embed_text, model_embedding
+from pergamon.plans import answer
+from pergamon.sources import views as W
+
+SF_DIR = "/root/testdata/sf0.01"
+CHUNKS = ("id long, text_chunk string, file_name string, folder_name string, "
+          "chunk_location_in_doc int, total_chunks_in_doc int, document_type string")
+
+
+@pytest.fixture(scope="module")
+def index(spark):
+    rows = [
+        (1, "red apples grow on trees", "fruit.txt"), (2, "green pears grow on trees", "fruit.txt"),
+        (3, "boats sail on the sea", "sea.txt"), (4, "red boats\nare fast", "boats.txt"),
+    ]
+    return embed_text(spark.createDataFrame(
+        [(i, t, f, "d", 0, 1, "tmp") for i, t, f in rows], CHUNKS
+    ))
+
+
+def asked(spark, *rows):
+    return spark.createDataFrame(
+        rows, "query_id long, question string, needs_rewrite boolean, "
+              "selected_documents array<string>"
+    )
+
+
+def test_answers_with_sources(spark, index):
+    questions = asked(
+        spark, (1, "where do red apples grow", False, None), (2, "red boats", False, ["boats.txt"]),
+        (3, "anything", False, ["missing.txt"]),
+    )
+    rows = {r["query_id"]: r for r in answer.rag_batch(index, questions).collect()}
+    assert rows[1]["answer"] == "red apples grow on trees"
+    assert rows[1]["sources"][0] == "fruit.txt" and len(rows[1]["sources"]) == 3
+    assert rows[1]["n_retrieved"] == 4
+    assert rows[2]["context"] == "Passage: red boats\nare fast\n"
+    assert rows[2]["response"] == (
+        "<p>red boats<br>are fast</p><p>Documents utilitzats:</p><ul><li>boats.txt</li></ul>"
+    )
+    assert rows[3]["context"] == "no context found." and rows[3]["sources"] == []
+    assert rows[3]["answer"] == V.NO_CONTEXT_ANSWER
+
+
+def test_models_of_the_user(spark, index):
+    questions = asked(spark, (1, "them", True, None), (2, "boats", False, None))
+    rows = answer.rag_batch(
+        index, questions.drop("selected_documents"), k=1,
+        rewrite=lambda q: F.concat(F.lit("green pears and "), q),
+        answer=lambda question, context, passage: F.upper(context),
+    ).collect()
+    found = {r["query_id"]: r["answer"] for r in rows}
+    assert found[1] == "PASSAGE: GREEN PEARS GROW ON TREES\n"
+    assert "BOATS" in found[2]
+
+
+def test_embedding_model_of_the_user(spark):
+    def make_predict():
+        import numpy as np
+
+        return lambda texts: np.array([[len(t), 1.0] for t in texts], dtype=np.float32)
+
+    rows = spark.createDataFrame([(1, "ab"), (2, "abcd")], "id long, text_chunk string")
+    found = embed_text(rows, embed=model_embedding(make_predict)).orderBy("id").collect()
+    assert [r["chunk_embedding"] for r in found] == [[2.0, 1.0], [4.0, 1.0]]
+
+
+@pytest.mark.parametrize("dimension", [1, 64, 3072])
+def test_hashed_embedding(spark, dimension):
+    texts = ["one two two", "", "§§§ ...", None, "one two two", "ärger 123"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    found = [
+        r["v"] for r in rows.coalesce(1).select("id", hashed_embedding("t", dimension).alias("v"))
+        .orderBy("id").collect()
+    ]
+    assert {len(v) for v in found} == {dimension}
+    assert found[0] == found[4] and not any(found[1]) and not any(found[2]) and not any(found[3])
+    assert abs(sum(x * x for x in found[0]) - 1) < 1e-6
+
+
+def test_conversations(spark):
+    turns = [
+        (1, 0, "system", "be brief"), (1, 1, "user", "first"), (2, 0, "user", "a"),
+        (2, 1, "assistant", "<p>b</p>"), (2, 2, "tool", "c"), (3, 0, "system", "only"),
+    ]
+    rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    found = chat.conversation_questions(rows).collect()
+    assert {tuple(r) for r in found} == {(1, "first", False), (2, "c", True), (3, "only", False)}
+    history = chat.format_history(rows)
+    assert sorted(tuple(r) for r in history.collect()) == [
+        (1, 1, "human", "first"), (2, 0, "human", "a"), (2, 1, "ai", "b")
+    ]
+    contexts = spark.createDataFrame([(2, "CTX")], "conv_id long, context string")
+    prompt = chat.answer_prompt(contexts, history.where("conv_id = 2")).orderBy("position")
+    messages = [tuple(r)[2:] for r in prompt.collect()]
+    assert messages[1:] == [("human", "a"), ("ai", "b")]
+    assert messages[0][0] == "system" and " CONTEXT: \n CTX \n" in messages[0][1]
+
+
+def test_sources_keep_first_seen_order(spark):
+    hits = spark.createDataFrame(
+        [(1, r, f, f"t{r}") for r, f in [(3, "a"), (1, "b"), (2, "a"), (5, "c"), (4, "b")]],
+        "query_id long, rank int, file_name string, text_chunk string",
+    )
+    queries = spark.createDataFrame([(1,), (2,)], "query_id long")
+    sources = {r[0]: r[1] for r in chat.dedupe_sources(queries, hits).collect()}
+    assert sources == {1: ["b", "a", "c"], 2: []}
+    contexts = {r[0]: r[1] for r in chat.build_context(queries, hits).collect()}
+    assert contexts[1] == "".join(f"Passage: t{i}\n" for i in range(1, 6))
+    assert contexts[2] == "no context found."
+
+
+def test_question_finds_the_document_it_was_taken_from(spark):
+    """Benchmark texts that occur in a document word for word are found among its chunks."""
+    documents = W.table(spark, SF_DIR, "documents").select("doc_id", "text")
+    questions = W.table(spark, SF_DIR, "benchmark").toPandas()
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    origin = {
+        int(q.item_id): {d for d, t in texts.items() if q.text in t}
+        for q in questions.itertuples()
+    }
+    origin = {q: d for q, d in origin.items() if d}
+    index = W.index(spark, SF_DIR).where("document_type = 'tmp' OR folder_name NOT LIKE '%/pages'")
+    hits = answer.retrieve(
+        index, W.table(spark, SF_DIR, "benchmark").selectExpr("item_id query_id", "text search_text")
+    ).select("query_id", F.shiftright("id", 23).alias("doc_id")).collect()
+    found = {h["query_id"] for h in hits if h["doc_id"] in origin.get(h["query_id"], ())}
+    assert len(origin) >= 15 and len(found) / len(origin) > 0.5

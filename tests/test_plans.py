@@ -1,0 +1,111 @@
+"""Plans: what must be pushed down, what must not be shuffled, what must not reach Python."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from pergamon.operators import chat, search, tracking
+from pergamon.operators.chunking import chunk_window
+from pergamon.operators.indexing import embed_text
+from pergamon.sources import views as W
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(frame):
+    kinds = r"Exchange (hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)"
+    return len(re.findall(kinds, plan_of(frame)))
+
+
+PYTHON = {
+    "chunk_recursive", "chunk_recursive_contract", "embed_text", "extract_text",
+    "extract_docx_text", "vector_topk", "vector_topk_filtered", "vector_topk_ann",
+    "check_result_shape", "build_context", "dedupe_sources", "answer_prompt", "rag_batch",
+}
+WRITING = {
+    "read_text_files", "create_tables", "write_overwrite_if_empty", "write_append", "build_index",
+    "evaluate_batch", "stream_index_update", "stream_new_files", "purge_tables", "assign_ids",
+    "upsert_batches",
+}
+
+
+@pytest.mark.parametrize("key", sorted(set(entry.queries()) - PYTHON - WRITING))
+def test_relational_queries_stay_in_the_jvm(spark, key):
+    plan = plan_of(entry.queries()[key](spark, SF_DIR))
+    assert "Python" not in plan and "Arrow" not in plan
+    assert "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("key", sorted(PYTHON))
+def test_python_is_reached_by_arrow_batches_only(spark, key):
+    plan = plan_of(entry.queries()[key](spark, SF_DIR))
+    assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
+
+
+def test_chunks_and_embeddings_need_no_shuffle(spark):
+    assert shuffles(embed_text(chunk_window(W.texts(spark, SF_DIR)))) == 0
+
+
+def test_chunk_text_is_cut_once(spark):
+    plan = plan_of(W.chunks(spark, SF_DIR).where("id >= 0"))
+    for line in plan.splitlines():
+        assert line.count("regexp_extract_all") <= 1
+
+
+def test_set_difference_is_one_shuffle(spark):
+    assert shuffles(
+        tracking.new_files(W.volume(spark, SF_DIR), W.track(spark, SF_DIR).select("*"))
+    ) == 1
+
+
+def test_top_k_is_cut_before_its_shuffle(spark):
+    plan = plan_of(search.vector_topk(W.vectors(spark, SF_DIR), W.vector_queries(spark, SF_DIR)))
+    assert plan.count("WindowGroupLimit") == 2
+    assert "mapInArrow" in plan or "MapInArrow" in plan
+    assert plan.count("Exchange") == 1
+
+
+def test_index_scan_reads_vectors_only(spark):
+    plan = plan_of(search.vector_topk(W.vectors(spark, SF_DIR), W.vector_queries(spark, SF_DIR)))
+    assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in plan
+
+
+def test_status_filter_reaches_the_scan(spark, tmp_path):
+    W.track(spark, SF_DIR).write.parquet(str(tmp_path / "track"))
+    plan = plan_of(tracking.processed_paths(spark.read.parquet(str(tmp_path / "track"))))
+    assert re.search(r"PushedFilters: \[.*In\(status", plan)
+    assert "document_type" not in plan.split("ReadSchema")[1]
+
+
+def test_small_key_set_leaves_the_large_side_in_place(spark):
+    chunks = W.chunks(spark, SF_DIR)
+    found = tracking.chunks_for_files(chunks, W.volume(spark, SF_DIR))
+    assert "BroadcastHashJoin" in plan_of(found) and shuffles(found) == 0
+
+
+def test_only_rows_in_progress_are_joined(spark):
+    flipped = tracking.update_status_tuple(W.track(spark, SF_DIR), W.arrivals(spark, SF_DIR))
+    assert shuffles(flipped) == 0
+
+
+def test_question_and_rewrite_come_from_one_grouping(spark):
+    asked = chat.conversation_questions(W.table(spark, SF_DIR, "conversations"))
+    assert shuffles(asked) == 1
+
+
+def test_history_is_not_grouped(spark):
+    assert shuffles(chat.format_history(W.table(spark, SF_DIR, "conversations"))) == 0
+
+
+def test_result_does_not_depend_on_partitions(spark):
+    questions = W.vector_queries(spark, SF_DIR)
+    few = search.vector_topk(W.vectors(spark, SF_DIR).coalesce(1), questions)
+    many = search.vector_topk(W.vectors(spark, SF_DIR).repartition(13), questions)
+    columns = ["query_id", "id", "rank", F.round("score", 9)]
+    assert few.select(*columns).exceptAll(many.select(*columns)).count() == 0
