@@ -45,7 +45,7 @@ def system_prompt(context):
 
 def tokens(text):
     """Runs of letters and digits."""
-    return F.filter(F.split(_col(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.regexp_extract_all(_col(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
 def last_content(messages):

@@ -13,15 +13,18 @@ from pergamon.functions.text import tokens
 _CELLS = 4_000_000  # float64 cells a Python worker holds at a time
 
 
-def token_buckets(text, dimension):
-    """One bucket number per token: the first 32 bits of its MD5, modulo the dimension."""
-    return F.transform(
-        tokens(text),
-        lambda t: F.pmod(
-            F.conv(F.substring(F.md5(t.cast("binary")), 1, 8), 16, 10).cast("long"),
-            F.lit(dimension),
-        ).cast("int"),
+def _buckets(words, dimension):
+    """Bucket of each word: the first 32 bits of its MD5, modulo the dimension.
+
+    Each different word of the batch is hashed once.
+    """
+    encoded = words.dictionary_encode()
+    of_word = np.array(
+        [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dimension
+         for w in encoded.dictionary.to_pylist()],
+        dtype=np.int64,
     )
+    return of_word[encoded.indices.to_numpy()]
 
 
 def _count_vectors(offsets, flat, dimension):
@@ -34,21 +37,18 @@ def _count_vectors(offsets, flat, dimension):
     return np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0).astype(np.float32)
 
 
-def _bucket_vectors(buckets, dimension):
-    if len(buckets) == 0:
+def _word_vectors(words, dimension):
+    """Vectors of an Arrow batch of word lists, a limited number of cells at a time."""
+    if len(words) == 0:
         return pa.array([], pa.list_(pa.float32()))
-    offsets = np.asarray(buckets.offsets)
-    flat = np.asarray(buckets.values.slice(offsets[0], offsets[-1] - offsets[0]))
+    offsets = np.asarray(words.offsets)
+    flat = _buckets(words.values.slice(offsets[0], offsets[-1] - offsets[0]), dimension)
     offsets = offsets - offsets[0]
     step = max(1, _CELLS // dimension)
-    parts = [
-        _count_vectors(
-            offsets[i:i + step + 1] - offsets[i],
-            flat[offsets[i]:offsets[min(i + step, len(offsets) - 1)]],
-            dimension,
-        )
-        for i in range(0, len(offsets) - 1, step)
-    ]
+    parts = []
+    for i in range(0, len(offsets) - 1, step):
+        ends = offsets[i:i + step + 1]
+        parts.append(_count_vectors(ends - ends[0], flat[ends[0]:ends[-1]], dimension))
     values = np.concatenate(parts)
     ends = np.arange(len(values) + 1, dtype=np.int32) * dimension
     return pa.ListArray.from_arrays(ends, pa.array(values.ravel()))
@@ -57,16 +57,15 @@ def _bucket_vectors(buckets, dimension):
 def hashed_embedding(text, dimension=64):
     """Deterministic stand-in for a served model: hashed word counts of unit length.
 
-    Tokens and buckets are Spark expressions; only the counting of an Arrow batch, which no
-    built-in does without a shuffle, is numpy. Empty text gives the zero vector.
+    Spark cuts the text into words; hashing and counting an Arrow batch, which no built-in does
+    without a shuffle, is numpy. Empty text gives the zero vector.
     """
 
     @arrow_udf(T.ArrayType(T.FloatType()))
-    def vectors(buckets: pa.Array) -> pa.Array:
-        return _bucket_vectors(buckets, dimension)
+    def vectors(words: pa.Array) -> pa.Array:
+        return _word_vectors(words, dimension)
 
-    buckets = F.coalesce(token_buckets(text, dimension), F.array().cast("array<int>"))
-    return vectors(buckets)
+    return vectors(F.coalesce(tokens(text), F.array().cast("array<string>")))
 
 
 def hyperplanes(tables, bits, dimension):

@@ -145,11 +145,11 @@ class _Asked:
 
 
 def _broadcast_hits(index, queries, k, filtered, planes):
-    asked = _Asked(queries, filtered, planes)
-    shared = index.sparkSession.sparkContext.broadcast(asked)
+    # Plain data only: executors need not have this package.
+    shared = index.sparkSession.sparkContext.broadcast((queries, planes))
 
     def hits(batches):
-        asked = shared.value
+        asked = _Asked(shared.value[0], filtered, shared.value[1])
         best = _Best(asked.ids, k)
         for batch in batches:
             if batch.num_rows:
@@ -161,10 +161,11 @@ def _broadcast_hits(index, queries, k, filtered, planes):
 
     columns = ["id", "chunk_embedding", *(["file_name"] if filtered else [])]
     rows = index.select(*columns).where("chunk_embedding IS NOT NULL")
-    if filtered and not asked.unfiltered:
+    chosen = queries["selected_documents"].to_pylist() if filtered else []
+    if filtered and all(chosen):
         # Every query selects documents: other rows need not reach Python at all.
         names = index.sparkSession.createDataFrame(
-            [(n,) for n in asked.by_file], "file_name string"
+            [(n,) for n in set().union(*chosen)], "file_name string"
         )
         rows = rows.join(F.broadcast(names), "file_name", "left_semi").select(*columns)
     return rows.mapInArrow(hits, _HITS)

@@ -52,7 +52,7 @@ def read_text_files(spark, sf_dir):
     """The documents written as one text file each, then read back."""
     folder = scratch_path(spark, "documents")
     documents = W.table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
-    W.spread(documents, "doc_id").write.partitionBy(
+    W.spread(documents, documents, "doc_id").write.partitionBy(
         "lang", "doc_id"
     ).text(folder)
     read = files_source.read_text_files(spark, folder)
@@ -64,7 +64,8 @@ def read_text_files(spark, sf_dir):
 
 
 def _contents(spark, sf_dir):
-    return W.file_contents(W.spread(W.files(spark, sf_dir), "doc_id"))
+    documents = W.table(spark, sf_dir, "documents")
+    return W.file_contents(W.as_files(W.spread(documents, documents, "doc_id")))
 
 
 @query
@@ -427,7 +428,7 @@ def chunk_window(spark, sf_dir):
 
 
 def _recursive(spark, sf_dir):
-    return chunking.chunk_recursive(W.spread(W.texts(spark, sf_dir), "id"))
+    return chunking.chunk_recursive(W.spread_texts(spark, sf_dir))
 
 
 @query

@@ -128,14 +128,18 @@ def vector_queries(spark, sf_dir):
     )
 
 
-def spread(rows, key):
-    """Use all cores for a table of few parquet row groups; a table of many is left as it is."""
+def spread(rows, source, key):
+    """Use all cores for rows of a source with few partitions; those of a large one stay put."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= 2 * cores:
+    if source.rdd.getNumPartitions() >= 2 * cores:
         return rows
     return rows.repartition(cores, key)
 
 
+def spread_texts(spark, sf_dir):
+    return spread(texts(spark, sf_dir), table(spark, sf_dir, "documents"), "id")
+
+
 def paths(spark, sf_dir):
     """Paths of the volume and the addresses of the pages."""
     return volume(spark, sf_dir).unionByName(
@@ -188,8 +192,7 @@ def file_contents(rows):
 
 def index(spark, sf_dir):
     """The chunks of all texts with hashed embeddings."""
-    rows = spread(texts(spark, sf_dir), "id")
-    return embed_text(with_chunk_ids(chunk_window(rows)).select(
+    return embed_text(with_chunk_ids(chunk_window(spread_texts(spark, sf_dir))).select(
         "id", "file_name", "text_chunk", "folder_name", "document_type",
         "chunk_location_in_doc", "total_chunks_in_doc", "chunk_length_in_chars",
     ))

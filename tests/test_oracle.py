@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from oracle_compare import compare, connect
 
@@ -29,3 +33,26 @@ def test_every_sql_has_its_query():
 def test_entry_answers_all_conversations(spark, connection):
     expected = connection.execute("SELECT count(DISTINCT conv_id) FROM conversations").fetchone()
     assert entry.entry(spark).count() == expected[0]
+
+
+def test_workers_need_no_installation(tmp_path):
+    """The jobs run where neither the working folder nor the path of the workers has the package."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {os.path.dirname(os.path.abspath(entry.__file__))!r})\n"
+        "import __spark_entry__ as entry\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]')"
+        ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        "for key in ('rag_batch', 'vector_topk_ann', 'vector_topk_filtered', 'extract_text',"
+        " 'chunk_recursive'):\n"
+        f"    print(key, entry.queries()[key](spark, {SF_DIR!r}).count())\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True,
+        text=True, timeout=300,
+    )
+    counted = dict(line.split() for line in run.stdout.splitlines())
+    assert len(counted) == 5 and all(int(n) > 0 for n in counted.values()), run.stderr[-2000:]
