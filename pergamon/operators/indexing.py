@@ -32,13 +32,13 @@ def index_upsert(target, source):
     """
     rest = [c for c in source.columns if c != "id"]
     unique = source.groupBy("id").agg(F.max(F.struct(*rest)).alias("_row")).select("id", "_row.*")
-    kept = key_filter(target, source, ["id"], keep=False)
+    kept = key_filter(target, source, ["id"], keep=False, hot_rows=None)
     return kept.unionByName(unique.select(*target.columns))
 
 
 def index_delete(target, ids):
     """Rows whose id is not among `ids`; no ids, no change."""
-    return key_filter(target, ids, ["id"], keep=False)
+    return key_filter(target, ids, ["id"], keep=False, hot_rows=None)
 
 
 def upsert_batches(chunks, limit=V.BATCH_BYTES, shard_rows=10_000):

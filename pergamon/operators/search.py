@@ -269,8 +269,10 @@ def _ranked(hits, k):
 def _search(index, queries, k, filtered, planes, max_queries, block_rows, block_queries):
     columns = ["query_id", *(["selected_documents"] if filtered else []), "query_vector"]
     asked = queries.select(*columns).where("query_vector IS NOT NULL")
-    few = asked.limit(max_queries + 1).toArrow()
-    if few.num_rows <= max_queries and few.nbytes <= 4 * SMALL_BYTES:
+    few = None
+    if len(asked.select("query_id").limit(max_queries + 1).collect()) <= max_queries:
+        few = asked.toArrow()
+    if few is not None and few.nbytes <= 4 * SMALL_BYTES:
         hits = _broadcast_hits(index, few, k, filtered, planes)
     else:
         hits = _block_hits(index, asked, k, filtered, planes, block_rows, block_queries)
@@ -307,7 +309,7 @@ def vector_topk_ann(index, queries, k=V.TOP_K, tables=8, bits=4, dimension=64, f
     return _search(index, queries, k, filtered, planes, max_queries, block_rows, block_queries)
 
 
-def retrieve_columns(hits, chunks, small_rows=MAX_QUERIES * V.TOP_K):
+def retrieve_columns(hits, chunks, small_rows=100_000):
     """Hits with the columns of their chunks. Few hits, as few queries give, are broadcast."""
     found = chunks.select(
         "id", "text_chunk", "file_name", "folder_name", "chunk_location_in_doc",

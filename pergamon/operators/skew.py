@@ -1,6 +1,8 @@
 """Joins that hold when one key has a third of the rows, and when the key side is large or small."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SMALL_ROWS = 50_000
 SMALL_BYTES = 32 << 20
@@ -11,12 +13,16 @@ HOT_ROWS = 100_000
 def bounded_copy(df, rows=SMALL_ROWS, size=SMALL_BYTES):
     """The rows of `df` as a local DataFrame if they are few and light, else None.
 
-    Reads at most rows + 1 rows to the driver, so the bound holds whatever `df` is.
+    Takes at most rows + 1 rows, partition by partition until there are enough, so neither the
+    driver nor a task sees more, whatever `df` is.
     """
-    head = df.limit(rows + 1).toArrow()
-    if head.num_rows > rows or head.nbytes > size:
+    taken = df.limit(rows + 1).collect()
+    if len(taken) > rows:
         return None
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
+    schema = to_arrow_schema(df.schema)
+    columns = [pa.array([r[i] for r in taken], f.type) for i, f in enumerate(schema)]
+    local = pa.Table.from_arrays(columns, schema=schema)
+    return None if local.nbytes > size else df.sparkSession.createDataFrame(local, df.schema)
 
 
 def _partitions(df):
@@ -65,29 +71,53 @@ def salted_join(left, right, on, how="left", hot_rows=HOT_ROWS):
         )
         .drop("_hot")
     )
-    return salted.join(copies, [*on, "_salt"], how).select(
-        *left.columns,
-        *([] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in on]),
-    )
+    return salted.join(copies, [*on, "_salt"], how).select(*_columns(left, right, on, how))
+
+
+def _columns(left, right, on, how):
+    if how in ("left_semi", "left_anti"):
+        return left.columns
+    return [*left.columns, *[c for c in right.columns if c not in on]]
+
+
+def _broadcast_join(left, small, on, how):
+    return left.join(F.broadcast(small), list(on), how).select(*_columns(left, small, on, how))
+
+
+def shuffled_join(left, right, on, how, hot_rows=HOT_ROWS):
+    """A salted join, or a plain one if no key of `left` can be hot (`hot_rows` is None)."""
+    if hot_rows is None:
+        return left.join(right, list(on), how).select(*_columns(left, right, on, how))
+    return salted_join(left, right, on, how, hot_rows)
 
 
 def keyed_join(left, right, on, how="left", small_rows=SMALL_ROWS, hot_rows=HOT_ROWS):
-    """Join with a `right` of unique keys: broadcast if it is measured small, else salted.
+    """Join with a `right` of unique keys: broadcast if it is measured small, else shuffled.
 
     The measured copy is what gets broadcast, so a small right side is computed once, and a
     large left side is never shuffled for it.
     """
-    small = bounded_copy(right, small_rows)
+    small = bounded_copy(right, small_rows) if small_rows else None
     if small is not None:
-        joined = left.join(F.broadcast(small), list(on), how)
-        extra = [] if how in ("left_semi", "left_anti") else [
-            c for c in right.columns if c not in on
-        ]
-        return joined.select(*left.columns, *extra)
-    return salted_join(left, right, on, how, hot_rows)
+        return _broadcast_join(left, small, on, how)
+    return shuffled_join(left, right, on, how, hot_rows)
 
 
 def key_filter(left, keys, on, keep=True, small_rows=SMALL_ROWS, hot_rows=HOT_ROWS):
-    """Rows of `left` whose key is (keep) or is not (drop) among `keys`; NULL keys match nothing."""
+    """Rows of `left` whose key is (keep) or is not (drop) among `keys`; NULL keys match nothing.
+
+    Few keys are broadcast. Few left rows, as a batch beside a large table, are broadcast to the
+    keys, and those they meet, which are no more, are broadcast back. Else both are shuffled.
+    `hot_rows=None` says that `left` has each key once.
+    """
     how = "left_semi" if keep else "left_anti"
-    return keyed_join(left, keys.select(*on).distinct(), on, how, small_rows, hot_rows)
+    keys = keys.select(*on)
+    if small_rows:
+        small = bounded_copy(keys, small_rows)
+        if small is not None:
+            return _broadcast_join(left, small, on, how)
+        few = bounded_copy(left.select(*on), small_rows)
+        if few is not None:
+            met = keys.join(F.broadcast(few), list(on), "left_semi").distinct()
+            return _broadcast_join(left, met, on, how)
+    return shuffled_join(left, keys.distinct(), on, how, hot_rows)

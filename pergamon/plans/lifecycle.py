@@ -41,7 +41,7 @@ def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension
     Documents with an error are left out and come again with the next update.
     """
     good = documents.where("error IS NULL")
-    numbered = S.assign_ids(good, ["folder_name", "file_name"])
+    numbered = S.assign_ids(good)
     if not S.write_overwrite_if_empty(spark, numbered, tables.text):
         return False
     texts = S.scan_table(spark, tables.text)
@@ -82,9 +82,7 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
     todo = (documents if checked else not_done(spark, tables, documents)).where("error IS NULL")
     last = S.scan_table(spark, tables.text).agg(F.max("id")).first()[0] or 0
     # The numbered rows are checkpointed, so the files are read and parsed once.
-    batch = S.assign_ids(
-        todo.select(*FILE_KEY, "extracted_text"), ["folder_name", "file_name"], last
-    )
+    batch = S.assign_ids(todo.select(*FILE_KEY, "extracted_text"), start=last)
     size = batch.count()
     if size == 0:
         return 0

@@ -1,6 +1,7 @@
 """The same results in SQL, over the same tables, for every checked query that SQL can express."""
 
 from pergamon import fixed_values as V
+from pergamon.schemas import INDEX
 from pergamon.sources.views import VOLUME
 
 # Common table expressions and what each needs.
@@ -219,6 +220,12 @@ _ORACLE = {
     "write_append": ("track", "SELECT * FROM track"),
     "assign_ids": ("numbered", """
         SELECT id + 1000 AS id, folder_name, file_name, chunk_location_in_doc FROM numbered"""),
+    "describe_schema": ("chunks", " UNION ALL ".join(
+        f"SELECT '{f.name}' AS col_name, '{f.dataType.simpleString()}' AS data_type, "
+        + (f"count({f.name})" if f.name != "chunk_embedding" else "CAST(NULL AS BIGINT)")
+        + " AS n_values" + (" FROM chunks" if f.name != "chunk_embedding" else "")
+        for f in INDEX
+    )),
     "flatten_manifest": ("volume", """
         SELECT path AS source_path, target_path,
           count(*) OVER (PARTITION BY target_path) > 1 AS collides,

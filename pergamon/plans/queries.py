@@ -126,7 +126,11 @@ def assign_ids(spark, sf_dir):
 
 @query
 def describe_schema(spark, sf_dir):
-    return S.describe_index_schema(W.chunks(spark, sf_dir))
+    """Columns and types of the index over the chunks, and how many values each column has."""
+    chunks = W.chunks(spark, sf_dir)
+    filled = chunks.select(*[F.count(c).alias(c) for c in chunks.columns])
+    counts = filled.unpivot([], chunks.columns, "col_name", "n_values")
+    return S.describe_index_schema(chunks).join(counts, "col_name", "left")
 
 
 @query

@@ -186,21 +186,21 @@ def preview_limit(rows, n, key="id"):
     return rows.orderBy(key).limit(n)
 
 
-def assign_ids(rows, order_by, start=0):
-    """Consecutive ids in the order of `order_by`, after `start`.
+def assign_ids(rows, order_by=None, start=0):
+    """Consecutive ids after `start`, in the order of `order_by` if there is one.
 
-    No window over all rows: they are sorted by range, numbered within their partition, and each
-    partition is moved up by the rows before it. The sorted rows are checkpointed in the shared
-    folder, because range bounds are sampled and must not change between the count and the use.
+    No window over all rows: they are numbered within their partition, and each partition is
+    moved up by the rows before it. For an order they are sorted by range; without one they are
+    not moved, and what made them runs once. They are checkpointed in the shared folder, because
+    partitions must not change between the count and the use.
     """
     shared_folder(rows.sparkSession)
     position = F.monotonically_increasing_id()
-    ordered = (
-        rows.repartitionByRange(*[F.col(c) for c in order_by])
-        .sortWithinPartitions(*order_by)
-        .withColumn("_at", position)
-        .checkpoint()
-    )
+    if order_by:
+        rows = rows.repartitionByRange(*[F.col(c) for c in order_by]).sortWithinPartitions(
+            *order_by
+        )
+    ordered = rows.withColumn("_at", position).checkpoint()
     numbered = ordered.withColumn("_part", F.shiftright("_at", 33)).withColumn(
         "_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     )

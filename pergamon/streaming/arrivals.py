@@ -1,7 +1,7 @@
 """Index update and new-file detection on a stream of arriving files."""
 
 from pergamon.operators.skew import key_filter
-from pergamon.operators.tracking import processed_paths
+from pergamon.operators.tracking import paths_except, processed_paths
 from pergamon.plans.lifecycle import update_files
 
 TRIGGER_SECONDS = 61  # fixed value: the least time between two updates
@@ -36,10 +36,9 @@ def stream_new_files(files, track, sink, checkpoint, once=False):
     """
 
     def handle(batch, number):
-        fresh = key_filter(
-            batch.select("path").distinct(), processed_paths(track(batch.sparkSession)),
-            ["path"], keep=False,
-        )
+        paths = batch.select("path")
+        known = key_filter(processed_paths(track(batch.sparkSession)), paths, ["path"])
+        fresh = paths_except(paths, known)
         fresh.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     return _start(files, handle, checkpoint, once)

@@ -165,8 +165,9 @@ def test_stream_and_batch_agree(spark, folder, tables, tmp_path):
     assert lifecycle.update_files(spark, other, files, "tmp") == 5
     assert lifecycle.update_files(spark, other, files, "tmp") == 0
     for one, two in zip(tables, other):
-        assert spark.table(one).exceptAll(spark.table(two)).count() == 0
-        assert spark.table(two).exceptAll(spark.table(one)).count() == 0
+        columns = [c for c in spark.table(one).columns if c != "id"]
+        one, two = spark.table(one).select(*columns), spark.table(two).select(*columns)
+        assert one.count() == two.count() > 0 and one.exceptAll(two).count() == 0
 
 
 def documents(spark, *names, kind="tmp", text="some text"):

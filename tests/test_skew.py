@@ -55,6 +55,17 @@ def test_key_filter_in_both_forms(sides, small_rows, keep):
     assert sorted(map(tuple, found.collect()), key=repr) == plain
 
 
+@pytest.mark.parametrize("keep", [True, False])
+def test_few_rows_beside_many_keys(sides, keep):
+    left, right = sides
+    batch = left.where("value < 60")
+    how = "left_semi" if keep else "left_anti"
+    plain = sorted(map(tuple, batch.join(right, ["key"], how).collect()), key=repr)
+    found = skew.key_filter(batch, right.unionByName(right), ["key"], keep, small_rows=100)
+    assert "_salt" not in found._jdf.queryExecution().toString()
+    assert sorted(map(tuple, found.collect()), key=repr) == plain
+
+
 def test_bounded_copy_refuses_what_is_too_large(spark):
     assert skew.bounded_copy(spark.range(11), rows=10) is None
     assert skew.bounded_copy(spark.range(10), rows=10).count() == 10

@@ -85,6 +85,12 @@ def test_ids_follow_the_order(spark):
     assert by_id == sorted(by_id)
 
 
+def test_ids_without_an_order_move_no_rows(spark):
+    rows = spark.range(1000).select(F.col("id").alias("a")).repartition(5)
+    found = S.assign_ids(rows)
+    assert sorted(r["id"] for r in found.collect()) == list(range(1, 1001))
+
+
 def test_ids_of_nothing(spark):
     assert S.assign_ids(spark.range(0).select(F.col("id").alias("a")), ["a"]).count() == 0
 
