@@ -75,9 +75,10 @@ class _Best:
 class _Asked:
     """Queries as a task needs them: unit vectors, buckets, and who selects which file."""
 
-    def __init__(self, table, filtered, planes):
+    def __init__(self, table, filtered, planes, metric):
         self.ids = table["query_id"].to_numpy()
-        self.vectors = _unit(_matrix(table["query_vector"]))
+        self.cosine = metric == "cosine"
+        self.vectors = self._prepared(table["query_vector"])
         self.planes = planes
         self.sides = None if planes is None else signatures(self.vectors, planes)
         self.filtered = filtered
@@ -89,6 +90,22 @@ class _Asked:
                 if not chosen:
                     self.unfiltered.append(i)
 
+    def _prepared(self, column):
+        return _unit(_matrix(column)) if self.cosine else _matrix(column)
+
+    def _all_scores(self, vectors):
+        """Score of every row with every query; distances are negative, so more is nearer."""
+        products = vectors @ self.vectors.T
+        if self.cosine:
+            return products
+        squares = (vectors ** 2).sum(axis=1)[:, None] + (self.vectors ** 2).sum(axis=1)[None, :]
+        return np.minimum(2 * products - squares, 0)
+
+    def _pair_scores(self, vectors, queries):
+        if self.cosine:
+            return np.einsum("ij,ij->i", vectors, queries)
+        return -((vectors - queries) ** 2).sum(axis=1)
+
     def candidates(self, vectors, names):
         """Which row may be a hit of which query; None if every one may."""
         if not self.filtered and self.planes is None:
@@ -121,10 +138,10 @@ class _Asked:
             return
         step = max(1, _CELLS // max(len(self.ids), self.vectors.shape[1]))
         for i in range(0, len(ids), step):
-            vectors = _unit(_matrix(column.slice(i, step)))
+            vectors = self._prepared(column.slice(i, step))
             candidates = self.candidates(vectors, names and names[i:i + step])
             if candidates is None or candidates.mean() > 0.2:
-                scores = vectors @ self.vectors.T
+                scores = self._all_scores(vectors)
                 if candidates is not None:
                     scores[~candidates] = -np.inf
                 floor = best.floor
@@ -140,16 +157,16 @@ class _Asked:
                 pairs = max(1, _CELLS // vectors.shape[1])
                 for j in range(0, len(rows), pairs):
                     row, query = rows[j:j + pairs], queries[j:j + pairs]
-                    score = np.einsum("ij,ij->i", vectors[row], self.vectors[query])
+                    score = self._pair_scores(vectors[row], self.vectors[query])
                     best.add(query, ids[i + row], score)
 
 
-def _broadcast_hits(index, queries, k, filtered, planes):
+def _broadcast_hits(index, queries, k, filtered, planes, metric):
     # Plain data only: executors need not have this package.
     shared = index.sparkSession.sparkContext.broadcast((queries, planes))
 
     def hits(batches):
-        asked = _Asked(shared.value[0], filtered, shared.value[1])
+        asked = _Asked(shared.value[0], filtered, shared.value[1], metric)
         best = _Best(asked.ids, k)
         for batch in batches:
             if batch.num_rows:
@@ -211,7 +228,7 @@ def _blocks(rows, key, sizes, per_block, other):
     )
 
 
-def _block_hits(index, queries, k, filtered, planes, block_rows, block_queries):
+def _block_hits(index, queries, k, filtered, planes, metric, block_rows, block_queries):
     """Index and queries meet in blocks of a bucket whose size does not grow with the bucket."""
     names = ["file_name"] if filtered else []
     chosen = ["selected_documents"] if filtered else []
@@ -241,7 +258,7 @@ def _block_hits(index, queries, k, filtered, planes, block_rows, block_queries):
     group = [*bucket, "_id_block", "_query_id_block"]
 
     def hits(left, right):
-        asked = _Asked(right, filtered, None)
+        asked = _Asked(right, filtered, None, metric)
         best = _Best(asked.ids, k)
         if left.num_rows and right.num_rows:
             left = left.combine_chunks()
@@ -257,45 +274,51 @@ def _block_hits(index, queries, k, filtered, planes, block_rows, block_queries):
     return found if planes is None else found.dropDuplicates(["query_id", "id"])
 
 
-def _ranked(hits, k):
+def _ranked(hits, k, metric):
     best = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "id")
     return (
         hits.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
-        .select("query_id", "id", "rank", "score")
+        .select("query_id", "id", "rank", (F.col("score") if metric == "cosine" else -F.col("score"))
+                .alias("score"))
     )
 
 
-def _search(index, queries, k, filtered, planes, max_queries, block_rows, block_queries):
+def _search(index, queries, k, filtered, planes, max_queries, block_rows, block_queries,
+            metric="cosine"):
+    if metric not in ("cosine", "squared_l2"):
+        raise ValueError(f"metric is cosine or squared_l2, not {metric}")
     columns = ["query_id", *(["selected_documents"] if filtered else []), "query_vector"]
     asked = queries.select(*columns).where("query_vector IS NOT NULL")
     few = None
     if len(asked.select("query_id").limit(max_queries + 1).collect()) <= max_queries:
         few = asked.toArrow()
     if few is not None and few.nbytes <= 4 * SMALL_BYTES:
-        hits = _broadcast_hits(index, few, k, filtered, planes)
+        hits = _broadcast_hits(index, few, k, filtered, planes, metric)
     else:
-        hits = _block_hits(index, asked, k, filtered, planes, block_rows, block_queries)
-    return _ranked(hits, k)
+        hits = _block_hits(
+            index, asked, k, filtered, planes, metric, block_rows, block_queries
+        )
+    return _ranked(hits, k, metric)
 
 
-def vector_topk(index, queries, k=V.TOP_K, max_queries=MAX_QUERIES,
+def vector_topk(index, queries, k=V.TOP_K, metric="cosine", max_queries=MAX_QUERIES,
                 block_rows=BLOCK_ROWS, block_queries=BLOCK_QUERIES):
-    """The k nearest index rows by cosine for each query: query_id, id, rank, score.
+    """The k nearest index rows for each query: query_id, id, rank, score.
 
-    `index` has id and chunk_embedding, `queries` has query_id and query_vector. A zero vector
-    scores 0 with everything.
+    `index` has id and chunk_embedding, `queries` has query_id and query_vector. The score is the
+    cosine, 0 with a zero vector, or with "squared_l2" the squared distance, least first.
     """
-    return _search(index, queries, k, False, None, max_queries, block_rows, block_queries)
+    return _search(index, queries, k, False, None, max_queries, block_rows, block_queries, metric)
 
 
-def vector_topk_filtered(index, queries, k=V.TOP_K, max_queries=MAX_QUERIES,
+def vector_topk_filtered(index, queries, k=V.TOP_K, metric="cosine", max_queries=MAX_QUERIES,
                          block_rows=BLOCK_ROWS, block_queries=BLOCK_QUERIES):
     """As `vector_topk`, among the rows whose file_name is in the query's selected_documents.
 
     An empty or NULL selection is no filter. The filter comes before the ranking.
     """
-    return _search(index, queries, k, True, None, max_queries, block_rows, block_queries)
+    return _search(index, queries, k, True, None, max_queries, block_rows, block_queries, metric)
 
 
 def vector_topk_ann(index, queries, k=V.TOP_K, tables=8, bits=4, dimension=64, filtered=False,

@@ -171,12 +171,12 @@ _VIEWS["final_track"] = ("track files arrivals gone", _FINAL_TRACK)
 _CANDIDATES = "len(selected) = 0 OR list_contains(selected, file_name)"
 
 
-def _topk(pairs):
+def _topk(pairs, score="list_cosine_similarity(q, v)", order="DESC"):
     return f"""
         SELECT query_id, id, rank, round(score, 6) AS score FROM (
           SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id
-            ORDER BY round(score, 9) DESC, id) AS rank
-          FROM (SELECT query_id, id, list_cosine_similarity(q, v) AS score FROM {pairs}) s) r
+            ORDER BY round(score, 9) {order}, id) AS rank
+          FROM (SELECT query_id, id, {score} AS score FROM {pairs}) s) r
         WHERE rank <= 5"""
 
 
@@ -340,6 +340,9 @@ _ORACLE = {
           min(query_execution_time) AS min_time, max(query_execution_time) AS max_time
         FROM requests GROUP BY retrieval_method"""),
     "vector_topk": ("vectors vector_queries", _topk("vector_queries CROSS JOIN vectors")),
+    "vector_topk_l2": ("vectors vector_queries", _topk(
+        "vector_queries CROSS JOIN vectors", "pow(list_distance(q, v), 2)", "ASC"
+    )),
     "vector_topk_filtered": ("filtered_topk", "SELECT * FROM filtered_topk"),
     "vector_topk_ann": ("vectors vector_queries ann_pairs", _topk(
         "ann_pairs JOIN vector_queries USING (query_id) JOIN vectors USING (id)"
@@ -370,6 +373,12 @@ _ORACLE = {
           '{0}' || context || '{1}' AS content FROM conversation_contexts
         UNION ALL SELECT conv_id, turn + 1, speaker, content FROM history""".format(
             *V.ANSWER_SYSTEM_PROMPT.replace("'", "''").split("{context}"))),
+    "rewrite_prompt": ("history conversation_questions", """
+        SELECT query_id AS conv_id, CAST(0 AS BIGINT) AS position, 'system' AS speaker,
+          '{0}' AS content FROM conversation_questions WHERE needs_rewrite
+        UNION ALL SELECT conv_id, turn + 1, speaker, content FROM history
+        WHERE conv_id IN (SELECT query_id FROM conversation_questions WHERE needs_rewrite)
+        """.format(V.REWRITE_SYSTEM_PROMPT.replace("'", "''"))),
     "rag_batch": ("conversation_answers", """
         SELECT query_id, question, needs_rewrite, context, sources, n_retrieved, answer, response
         FROM conversation_answers"""),

@@ -397,6 +397,13 @@ def vector_topk(spark, sf_dir):
     return _scored(search.vector_topk(W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir)))
 
 
+@query
+def vector_topk_l2(spark, sf_dir):
+    return _scored(search.vector_topk(
+        W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), metric="squared_l2"
+    ))
+
+
 @query
 def vector_topk_filtered(spark, sf_dir):
     return _scored(
@@ -535,6 +542,11 @@ def answer_prompt(spark, sf_dir):
     return chat.answer_prompt(contexts, history)
 
 
+@query
+def rewrite_prompt(spark, sf_dir):
+    return chat.rewrite_prompt(W.table(spark, sf_dir, "conversations"))
+
+
 @query
 def rag_batch(spark, sf_dir):
     return _conversation_answers(spark, sf_dir).select(

@@ -60,6 +60,25 @@ def test_models_of_the_user(spark, index):
     assert "BOATS" in found[2]
 
 
+def test_requests_with_their_messages(spark, index):
+    messages = [("user", "apples?"), ("assistant", "<p>red</p>"), ("user", "and boats")]
+    requests = spark.createDataFrame(
+        [(1, messages, ["sea.txt"]), (2, messages[:1], [])],
+        "query_id long, messages array<struct<role: string, content: string>>, "
+        "selected_documents array<string>",
+    )
+    questions = answer.request_questions(requests)
+    rows = {r["query_id"]: r for r in answer.rag_batch(
+        index, questions, k=2,
+        answer=lambda question, context, passage: F.concat_ws(
+            "|", F.transform("history", lambda m: m["content"]), question
+        ),
+    ).collect()}
+    assert rows[1]["answer"] == "apples?|red|and boats|and boats"
+    assert rows[1]["needs_rewrite"] and rows[1]["sources"] == ["sea.txt"]
+    assert not rows[2]["needs_rewrite"] and rows[2]["n_retrieved"] == 2
+
+
 def test_embedding_model_of_the_user(spark):
     def make_predict():
         import numpy as np

@@ -25,7 +25,7 @@ def shuffles(frame):
 
 PYTHON = {
     "chunk_recursive", "chunk_recursive_contract", "embed_text", "extract_text",
-    "extract_docx_text", "vector_topk", "vector_topk_filtered", "vector_topk_ann",
+    "extract_docx_text", "vector_topk", "vector_topk_l2", "vector_topk_filtered", "vector_topk_ann",
     "check_result_shape", "build_context", "dedupe_sources", "answer_prompt", "rag_batch",
 }
 WRITING = {

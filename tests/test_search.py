@@ -66,6 +66,28 @@ def test_exact(data, form, k):
     assert collected(hits) == brute_force(vectors, asked, k, lambda i, q: True)
 
 
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("filtered", [False, True])
+def test_squared_distance(data, form, filtered):
+    index, queries, vectors, names, asked, chosen = data
+    run = search.vector_topk_filtered if filtered else search.vector_topk
+    hits = run(index, queries, 5, "squared_l2", **FORMS[form])
+    distance = np.round(((vectors[:, None] - asked[None]) ** 2).sum(axis=2), 9)
+    expected = {}
+    for q in range(30):
+        rows = [i for i in range(240) if not filtered or not chosen[q] or names[i] in chosen[q]]
+        expected[q] = sorted(rows, key=lambda i: (distance[i, q], i))[:5]
+    assert collected(hits) == {q: rows for q, rows in expected.items() if rows}
+    assert all(
+        abs(r["score"] - distance[r["id"], r["query_id"]]) < 1e-6 for r in hits.collect()
+    )
+
+
+def test_unknown_metric(data):
+    with pytest.raises(ValueError):
+        search.vector_topk(*data[:2], metric="dot")
+
+
 @pytest.mark.parametrize("form", FORMS)
 def test_filtered_before_ranking(data, form):
     index, queries, vectors, names, asked, chosen = data
