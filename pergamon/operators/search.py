@@ -17,7 +17,7 @@ from pergamon.operators.skew import SMALL_BYTES, bounded_copy, keyed_join
 
 MAX_QUERIES = 4096
 BLOCK_ROWS = 20_000
-BLOCK_QUERIES = 2_000
+BLOCK_QUERIES = 8_192
 _CELLS = 2_000_000
 _HITS = "query_id long, id long, score double"
 
@@ -279,8 +279,10 @@ def _ranked(hits, k, metric):
     return (
         hits.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
-        .select("query_id", "id", "rank", (F.col("score") if metric == "cosine" else -F.col("score"))
-                .alias("score"))
+        .select(
+            "query_id", "id", "rank",
+            (F.col("score") if metric == "cosine" else -F.col("score")).alias("score"),
+        )
     )
 
 

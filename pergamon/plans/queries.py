@@ -198,7 +198,8 @@ def flatten_struct(spark, sf_dir):
     nested = W.chunks(spark, sf_dir).select(
         "folder_name", "file_name", "document_type",
         F.struct(
-            F.col("text_chunk").alias("chunk"), big("chunk_length_in_chars", "chunk_length_in_chars"),
+            F.col("text_chunk").alias("chunk"),
+            big("chunk_length_in_chars", "chunk_length_in_chars"),
             big("chunk_location_in_doc", "chunk_location_in_doc"),
             big("total_chunks_in_doc", "total_chunks_in_doc"),
         ).alias("c"),

@@ -67,7 +67,8 @@ def docx_text(content):
         pieces = []
         for name in wanted:
             for node in ElementTree.fromstring(parts.read(name)).iter():
-                pieces.append(node.text or "" if node.tag == _WORD + "t" else marks.get(node.tag, ""))
+                is_text = node.tag == _WORD + "t"
+                pieces.append(node.text or "" if is_text else marks.get(node.tag, ""))
     return "".join(pieces).strip()
 
 

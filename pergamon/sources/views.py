@@ -150,8 +150,8 @@ def paths(spark, sf_dir):
 def html_texts(spark, sf_dir):
     """Pages and chat turns, as they hold HTML and text without it."""
     return table(spark, sf_dir, "pages").select(
-        F.lit("page").alias("kind"), F.col("page_id").alias("key"), F.lit(0).cast("long").alias("turn"),
-        "html",
+        F.lit("page").alias("kind"), F.col("page_id").alias("key"),
+        F.lit(0).cast("long").alias("turn"), "html",
     ).unionByName(
         table(spark, sf_dir, "conversations").select(
             F.lit("turn").alias("kind"), F.col("conv_id").alias("key"), "turn",
@@ -171,10 +171,12 @@ def _pack_docx(texts: pa.Array) -> pa.Array:
         runs = "<w:br/>".join(
             f'<w:t xml:space="preserve">{escape(line)}</w:t>' for line in text.as_py().split("\n")
         )
-        body = f'<w:document xmlns:w="{name}"><w:body><w:p><w:r>{runs}</w:r></w:p></w:body></w:document>'
+        body = f"<w:body><w:p><w:r>{runs}</w:r></w:p></w:body>"
         target = io.BytesIO()
         with zipfile.ZipFile(target, "w") as parts:
-            parts.writestr("word/document.xml", body)
+            parts.writestr(
+                "word/document.xml", f'<w:document xmlns:w="{name}">{body}</w:document>'
+            )
         packed.append(target.getvalue())
     return pa.array(packed, pa.binary())
 
@@ -215,7 +217,8 @@ def requests(spark, sf_dir):
         F.col("value").alias("query_execution_time"),
         F.col("event_type").alias("retrieval_method"),
         F.when(F.col("event_type") == "error", F.array().cast("array<string>"))
-        .otherwise(F.array(F.concat(F.lit("doc_"), number.cast("string")))).alias("selected_documents"),
+        .otherwise(F.array(F.concat(F.lit("doc_"), number.cast("string"))))
+        .alias("selected_documents"),
         F.least(number, F.lit(5)).alias("num_retrieved_documents"),
         (F.lit(1) + number % 9).alias("batch_size"),
     )
