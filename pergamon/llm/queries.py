@@ -1,25 +1,50 @@
 """The queries of this subpackage: each operator over its whole table, and SQL where there is one."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
+from pergamon.llm.chat_format import format_trees, read_back, threads
 from pergamon.llm.decontaminate import benchmark_matches
+from pergamon.llm.html_text import main_texts
+from pergamon.llm.license_scan import license_scan
 from pergamon.llm.mixing import mixed
 from pergamon.llm.near_dup import near_duplicates
 from pergamon.llm.pii import personal_data
 from pergamon.llm.quality import quality_rules
+from pergamon.llm.recurrent_lm import language_model_scores
+from pergamon.llm.url_rules import url_verdicts
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark, sf_dir):
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark, sf_dir):
     return personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark, sf_dir):
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op4_near_dup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_chat_format(spark, sf_dir):
+    """All conversations, and one more whose texts look like another template's control strings."""
+    messages = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"))
+    return read_back(format_trees(threads(messages.union(more))))
+
+
 def op6_mixing(spark, sf_dir):
     return mixed(_table(spark, sf_dir, "documents"))
 
@@ -29,12 +54,24 @@ def op7_quality_rules(spark, sf_dir):
 
 
 def op8_decontamination(spark, sf_dir):
+    """The documents that hold a benchmark item, with each item's nearest place."""
     return benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op4_near_dup, op6_mixing, op7_quality_rules, op8_decontamination)}
-QUERIES["pipeline"] = corpus_pipeline.run
+def op9_lm_scoring(spark, sf_dir):
+    return language_model_scores(_table(spark, sf_dir, "documents"))
+
+
+def op10_url_filter(spark, sf_dir):
+    return url_verdicts(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_pii, op3_html_text, op4_near_dup, op5_chat_format, op6_mixing, op7_quality_rules,
+    op8_decontamination, op9_lm_scoring, op10_url_filter, pipeline)}
 
-ORACLE_SQL = {}
-if corpus_pipeline.ORACLE_SQL:
-    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+ORACLE_SQL = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
