@@ -8,7 +8,7 @@ from pyspark.sql.functions import arrow_udf
 from pergamon import fixed_values as V
 
 # Chunk ids are the document id followed by this many bits of chunk number. A Spark string holds
-# at most 2 GiB, and a chunk advances by 800 characters, so a document has less than 2^22 chunks.
+# at most 2 GiB, so chunks that advance by 800 characters always fit; others are tested.
 CHUNK_BITS = 22
 
 
@@ -164,10 +164,15 @@ def flatten_struct(rows, struct="c"):
 
 
 def with_chunk_ids(chunks, document_id="id"):
-    """Chunk ids from the document id and the chunk number: unique, and the same on every run."""
-    return chunks.withColumn(
-        "id", F.shiftleft(F.col(document_id), CHUNK_BITS) + F.col("chunk_location_in_doc")
-    )
+    """Chunk ids from the document id and the chunk number: unique, and the same on every run.
+
+    A chunk number or document id that doesn't fit in its bits stops the job.
+    """
+    fits = (F.col("chunk_location_in_doc") < 1 << CHUNK_BITS) & (
+        F.col(document_id) < 1 << (63 - CHUNK_BITS))
+    made = F.shiftleft(F.col(document_id), CHUNK_BITS) + F.col("chunk_location_in_doc")
+    wrong = F.raise_error(F.concat(F.lit("no chunk id for document "), F.col(document_id)))
+    return chunks.withColumn("id", F.when(~fits, wrong.cast("long")).otherwise(made))
 
 
 def chunk_doc_stats(chunks):

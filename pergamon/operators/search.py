@@ -7,18 +7,25 @@ index and queries are shuffled in blocks of limited size. Neither form emits the
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pergamon import fixed_values as V
 from pergamon.functions.vectors import hyperplanes, signatures
-from pergamon.operators.skew import SMALL_BYTES, bounded_copy, keyed_join
+from pergamon.operators.skew import keyed_join
+from pergamon.session import shared_folder
 
 MAX_QUERIES = 4096
+MAX_QUERY_BYTES = 128 << 20
 BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 8_192
 _CELLS = 2_000_000
+
+# Scores are rounded to so many decimals; products are trusted this far when they exclude a row.
+DECIMALS = 9
+SLACK = 4e-9
 _HITS = "query_id long, id long, score double"
 
 
@@ -30,6 +37,19 @@ def _matrix(column):
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def _check_lengths(ids, column, expected=None):
+    """Raise with the id of the first vector that is longer or shorter than expected."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    if not len(lengths):
+        return expected
+    expected = int(lengths[0]) if expected is None else expected
+    wrong = np.flatnonzero(lengths != expected)
+    if len(wrong):
+        at = int(wrong[0])
+        raise ValueError(f"vector {ids[at]} has {int(lengths[at])} values, not {expected}")
+    return expected
+
+
 def _unit(matrix):
     norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
@@ -38,7 +58,7 @@ def _unit(matrix):
 class _Best:
     """The k best hits per query seen so far; equal scores go to the smaller id.
 
-    Scores are compared at 9 decimals, so equal vectors tie however their products were summed.
+    Scores come in rounded to DECIMALS, so equal vectors tie.
     """
 
     def __init__(self, query_ids, k):
@@ -49,20 +69,20 @@ class _Best:
         self.floor = np.full(len(query_ids), -np.inf)
 
     def add(self, query, ids, score):
-        keep = np.round(score, 9) >= self.floor[query]
+        keep = score >= self.floor[query]
         if not keep.any():
             return
         self.query = np.concatenate([self.query, query[keep]])
         self.id = np.concatenate([self.id, ids[keep]])
         self.score = np.concatenate([self.score, score[keep]])
-        order = np.lexsort((self.id, -np.round(self.score, 9), self.query))
+        order = np.lexsort((self.id, -self.score, self.query))
         query = self.query[order]
         starts = np.r_[0, np.flatnonzero(np.diff(query)) + 1]
         place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
         order, place = order[place < self.k], place[place < self.k]
         self.query, self.id, self.score = self.query[order], self.id[order], self.score[order]
         last = place == self.k - 1
-        self.floor[self.query[last]] = np.round(self.score[last], 9)
+        self.floor[self.query[last]] = self.score[last]
 
     def table(self):
         return pa.table({
@@ -76,35 +96,52 @@ class _Asked:
     """Queries as a task needs them: unit vectors, buckets, and who selects which file."""
 
     def __init__(self, table, filtered, planes, metric):
-        self.ids = table["query_id"].to_numpy()
         self.cosine = metric == "cosine"
-        self.vectors = self._prepared(table["query_vector"])
+        dimension = _check_lengths(table["query_id"].to_pylist(), table["query_vector"])
+        self.dimension = dimension
+        vectors = _matrix(table["query_vector"])
+        usable = np.isfinite(vectors).all(axis=1) if len(vectors) else np.zeros(0, bool)
+        if not usable.all():
+            table, vectors = table.filter(pa.array(usable)), vectors[usable]
+        self.ids = table["query_id"].to_numpy()
+        self.vectors = _unit(vectors) if self.cosine else vectors
+        self.squares = (self.vectors ** 2).sum(axis=1)
         self.planes = planes
         self.sides = None if planes is None else signatures(self.vectors, planes)
         self.filtered = filtered
-        self.by_file, self.unfiltered = {}, []
         if filtered:
-            for i, chosen in enumerate(table["selected_documents"].to_pylist()):
-                for name in set(chosen or []):
-                    self.by_file.setdefault(name, []).append(i)
-                if not chosen:
-                    self.unfiltered.append(i)
-
-    def _prepared(self, column):
-        return _unit(_matrix(column)) if self.cosine else _matrix(column)
-
-    def _all_scores(self, vectors):
-        """Score of every row with every query; distances are negative, so more is nearer."""
+            # a row of this table per selected name, the last one for all other names
+            chosen = table["selected_documents"].to_pylist()
+            self.names = pa.array(sorted({n for c in chosen for n in c or []}), pa.string())
+            place = {n: i for i, n in enumerate(self.names.to_pylist())}
+            self.selects = np.zeros((len(self.names) + 1, len(chosen)), bool)
+            for i, names in enumerate(chosen):
+                self.selects[[place[n] for n in names or []] if names else slice(None), i] = True
+
+    def _near(self, vectors):
+        """Scores of all rows and queries by one product, and how far they may be off."""
         products = vectors @ self.vectors.T
         if self.cosine:
-            return products
-        squares = (vectors ** 2).sum(axis=1)[:, None] + (self.vectors ** 2).sum(axis=1)[None, :]
-        return np.minimum(2 * products - squares, 0)
-
-    def _pair_scores(self, vectors, queries):
+            return products, np.full(len(vectors), SLACK)
+        squares = (vectors ** 2).sum(axis=1)
+        largest = squares + self.squares.max(initial=0)
+        slack = SLACK + 8 * (vectors.shape[1] + 4) * np.finfo(np.float64).eps * largest
+        return np.minimum(2 * products - squares[:, None] - self.squares, 0), slack
+
+    def _exact(self, vectors, queries):
+        """The score of each pair, rounded here and nowhere else."""
         if self.cosine:
-            return np.einsum("ij,ij->i", vectors, queries)
-        return -((vectors - queries) ** 2).sum(axis=1)
+            return np.round(np.einsum("ij,ij->i", vectors, queries), DECIMALS) + 0.0
+        return np.round(-((vectors - queries) ** 2).sum(axis=1), DECIMALS) + 0.0
+
+    def allowed(self, names):
+        """Which row each query's selection admits; names are looked up once per distinct one."""
+        coded = names.dictionary_encode()
+        coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+        known = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.names), len(self.names))
+        known = np.append(known.to_numpy(zero_copy_only=False), len(self.names)).astype(np.int64)
+        codes = pc.fill_null(coded.indices, len(known) - 1).to_numpy(zero_copy_only=False)
+        return self.selects[known[codes.astype(np.int64)]]
 
     def candidates(self, vectors, names):
         """Which row may be a hit of which query; None if every one may."""
@@ -123,42 +160,41 @@ class _Asked:
                 within = np.arange(len(query)) - np.repeat(np.cumsum(size) - size, size)
                 found[order[np.repeat(low, size) + within], query] = True
         if self.filtered:
-            allowed = np.zeros(shape, bool)
-            allowed[:, self.unfiltered] = True
-            for i, name in enumerate(names):
-                chosen = self.by_file.get(name)
-                if chosen:
-                    allowed[i, chosen] = True
-            found &= allowed
+            found &= self.allowed(names)
         return found
 
     def score(self, best, ids, column, names=None):
-        """Add the hits of a batch of index rows, a slice of rows at a time."""
+        """Add the hits of a batch of index rows, a slice of rows at a time.
+
+        Products tell which rows can be among the k best of a slice; what is left gets its score
+        from the one exact formula, so neither the slice nor other rows change it. Vectors with a
+        NaN or infinite value are no hits of any query.
+        """
         if not len(self.ids):
             return
+        _check_lengths(ids, column, self.dimension)
         step = max(1, _CELLS // max(len(self.ids), self.vectors.shape[1]))
         for i in range(0, len(ids), step):
-            vectors = self._prepared(column.slice(i, step))
-            candidates = self.candidates(vectors, names and names[i:i + step])
-            if candidates is None or candidates.mean() > 0.2:
-                scores = self._all_scores(vectors)
-                if candidates is not None:
-                    scores[~candidates] = -np.inf
-                floor = best.floor
-                if len(scores) > best.k:
-                    kth = len(scores) - best.k
-                    floor = np.maximum(
-                        floor, np.round(np.partition(scores, kth, axis=0)[kth], 9)
-                    )
-                row, query = np.nonzero(np.isfinite(scores) & (np.round(scores, 9) >= floor))
-                best.add(query, ids[i + row], scores[row, query])
-            else:
-                rows, queries = np.nonzero(candidates)
-                pairs = max(1, _CELLS // vectors.shape[1])
-                for j in range(0, len(rows), pairs):
-                    row, query = rows[j:j + pairs], queries[j:j + pairs]
-                    score = self._pair_scores(vectors[row], self.vectors[query])
-                    best.add(query, ids[i + row], score)
+            vectors = _matrix(column.slice(i, step))
+            usable = np.flatnonzero(np.isfinite(vectors).all(axis=1))
+            vectors = _unit(vectors[usable]) if self.cosine else vectors[usable]
+            if not len(usable):
+                continue
+            chosen = names.slice(i, step).take(pa.array(usable)) if names is not None else None
+            candidates = self.candidates(vectors, chosen)
+            near, slack = self._near(vectors)
+            if candidates is not None:
+                near[~candidates] = -np.inf
+            floor = best.floor
+            if len(near) > best.k:
+                kth = len(near) - best.k
+                low = np.partition(near - slack[:, None], kth, axis=0)[kth]
+                floor = np.maximum(floor, low)
+            rows, queries = np.nonzero(np.isfinite(near) & (near + slack[:, None] >= floor))
+            pairs = max(1, _CELLS // vectors.shape[1])
+            for j in range(0, len(rows), pairs):
+                row, query = rows[j:j + pairs], queries[j:j + pairs]
+                best.add(query, ids[usable[row] + i], self._exact(vectors[row], self.vectors[query]))
 
 
 def _broadcast_hits(index, queries, k, filtered, planes, metric):
@@ -172,7 +208,7 @@ def _broadcast_hits(index, queries, k, filtered, planes, metric):
             if batch.num_rows:
                 asked.score(
                     best, batch.column("id").to_numpy(), batch.column("chunk_embedding"),
-                    batch.column("file_name").to_pylist() if filtered else None,
+                    batch.column("file_name") if filtered else None,
                 )
         yield from best.table().to_batches()
 
@@ -264,7 +300,7 @@ def _block_hits(index, queries, k, filtered, planes, metric, block_rows, block_q
             left = left.combine_chunks()
             asked.score(
                 best, left["id"].to_numpy(), left["chunk_embedding"],
-                left["file_name"].to_pylist() if filtered else None,
+                left["file_name"].combine_chunks() if filtered else None,
             )
         return best.table()
 
@@ -275,7 +311,7 @@ def _block_hits(index, queries, k, filtered, planes, metric, block_rows, block_q
 
 
 def _ranked(hits, k, metric):
-    best = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "id")
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     return (
         hits.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
@@ -291,11 +327,17 @@ def _search(index, queries, k, filtered, planes, max_queries, block_rows, block_
     if metric not in ("cosine", "squared_l2"):
         raise ValueError(f"metric is cosine or squared_l2, not {metric}")
     columns = ["query_id", *(["selected_documents"] if filtered else []), "query_vector"]
+    # Query vectors may come from a model: they are made once, and then only read.
     asked = queries.select(*columns).where("query_vector IS NOT NULL")
-    few = None
-    if len(asked.select("query_id").limit(max_queries + 1).collect()) <= max_queries:
+    shared_folder(asked.sparkSession)
+    asked = asked.checkpoint()
+    size = asked.select(
+        F.count("*"),
+        F.sum(F.size("query_vector") * 8 + (
+            F.length(F.array_join("selected_documents", " ")) if filtered else F.lit(0))),
+    ).first()
+    if size[0] <= max_queries and (size[1] or 0) <= MAX_QUERY_BYTES:
         few = asked.toArrow()
-    if few is not None and few.nbytes <= 4 * SMALL_BYTES:
         hits = _broadcast_hits(index, few, k, filtered, planes, metric)
     else:
         hits = _block_hits(
@@ -334,18 +376,13 @@ def vector_topk_ann(index, queries, k=V.TOP_K, tables=8, bits=4, dimension=64, f
     return _search(index, queries, k, filtered, planes, max_queries, block_rows, block_queries)
 
 
-def retrieve_columns(hits, chunks, small_rows=100_000):
-    """Hits with the columns of their chunks. Few hits, as few queries give, are broadcast."""
+def retrieve_columns(hits, chunks):
+    """Hits with the columns of their chunks. Adaptive execution broadcasts few hits."""
     found = chunks.select(
         "id", "text_chunk", "file_name", "folder_name", "chunk_location_in_doc",
         "total_chunks_in_doc", "document_type",
     )
-    small = bounded_copy(hits, small_rows)
-    if small is not None:
-        joined = found.join(F.broadcast(small), "id")
-    else:
-        joined = keyed_join(hits, found, ["id"], "inner", small_rows=0)
-    return joined.select(*hits.columns, *[c for c in found.columns if c != "id"])
+    return keyed_join(hits, found, ["id"], "inner")
 
 
 def selected_documents_filter(queries, chunks):
@@ -355,7 +392,7 @@ def selected_documents_filter(queries, chunks):
     single chunks; a query without a selection keeps them all.
     """
     per_file = chunks.groupBy("file_name").agg(F.count("*").alias("_chunks"))
-    everything = chunks.select(F.count("*")).scalar()
+    everything = chunks.select(F.count("*")).scalar()  # a subquery: nothing runs yet
     wanted = queries.select(
         "query_id", F.explode(F.array_distinct("selected_documents")).alias("file_name")
     )

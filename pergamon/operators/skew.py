@@ -1,123 +1,21 @@
-"""Joins that hold when one key has a third of the rows, and when the key side is large or small."""
+"""Equi-joins that are built without running anything.
 
-import pyarrow as pa
-from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
+Spark picks the form when it runs: adaptive execution broadcasts a side whose shuffled size it has
+measured below spark.sql.adaptive.autoBroadcastJoinThreshold, and splits the partitions of a hot
+key. Both need the join's exchange to be Spark's own, so no side is dealt out by hand.
+"""
 
-SMALL_ROWS = 50_000
-SMALL_BYTES = 32 << 20
-HOT_SHARE = 0.001
-HOT_ROWS = 100_000
 
+def keyed_join(left, right, on, how="left"):
+    """Join with a `right` of unique keys; the columns of `left`, then the others of `right`."""
+    on = list(on)
+    columns = left.columns
+    if how not in ("left_semi", "left_anti"):
+        columns = [*columns, *[c for c in right.columns if c not in on]]
+    return left.join(right, on, how).select(*columns)
 
-def bounded_copy(df, rows=SMALL_ROWS, size=SMALL_BYTES):
-    """The rows of `df` as a local DataFrame if they are few and light, else None.
 
-    Takes at most rows + 1 rows, partition by partition until there are enough, so neither the
-    driver nor a task sees more, whatever `df` is.
-    """
-    taken = df.limit(rows + 1).collect()
-    if len(taken) > rows:
-        return None
-    schema = to_arrow_schema(df.schema)
-    columns = [pa.array([r[i] for r in taken], f.type) for i, f in enumerate(schema)]
-    local = pa.Table.from_arrays(columns, schema=schema)
-    return None if local.nbytes > size else df.sparkSession.createDataFrame(local, df.schema)
-
-
-def _partitions(df):
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def hot_keys(df, on, hot_rows=HOT_ROWS):
-    """Keys with more than `hot_rows` rows and more than a 1/1000 of all: at most 999 of them."""
-    sizes = df.groupBy(*on).agg(F.count("*").alias("_rows"))
-    share = df.select((F.count("*") * HOT_SHARE).alias("_share")).scalar()
-    return sizes.where((F.col("_rows") > hot_rows) & (F.col("_rows") > share)).select(*on)
-
-
-def _flag_hot(df, hot, on):
-    flagged = hot.select(*[F.col(c).alias(f"_hot_{c}") for c in on], F.lit(True).alias("_hot"))
-    match = None
-    for c in on:
-        same = F.col(c).eqNullSafe(F.col(f"_hot_{c}"))
-        match = same if match is None else match & same
-    return df.join(F.broadcast(flagged), match, "left").drop(*[f"_hot_{c}" for c in on])
-
-
-def salted_join(left, right, on, how="left", hot_rows=HOT_ROWS):
-    """Equi-join of `left` with a `right` that has each key at most once.
-
-    The rows of a hot key of `left` are spread over all shuffle partitions, and only the few
-    right rows of hot keys are copied that often. The salt comes from the map partition and the
-    row, so a retried task sends every row where it went before.
-    """
-    salts = _partitions(left)
-    hot = hot_keys(left, on, hot_rows)
-    spread = F.pmod(F.spark_partition_id() + F.hash(*left.columns), F.lit(salts))
-    salted = (
-        _flag_hot(left.withColumn("_spread", spread), hot, on)
-        .withColumn("_salt", F.when(F.col("_hot"), F.col("_spread")).otherwise(F.lit(0)))
-        .drop("_spread", "_hot")
-    )
-    copies = (
-        _flag_hot(right, hot, on)
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                .otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop("_hot")
-    )
-    return salted.join(copies, [*on, "_salt"], how).select(*_columns(left, right, on, how))
-
-
-def _columns(left, right, on, how):
-    if how in ("left_semi", "left_anti"):
-        return left.columns
-    return [*left.columns, *[c for c in right.columns if c not in on]]
-
-
-def _broadcast_join(left, small, on, how):
-    return left.join(F.broadcast(small), list(on), how).select(*_columns(left, small, on, how))
-
-
-def shuffled_join(left, right, on, how, hot_rows=HOT_ROWS):
-    """A salted join, or a plain one if no key of `left` can be hot (`hot_rows` is None)."""
-    if hot_rows is None:
-        return left.join(right, list(on), how).select(*_columns(left, right, on, how))
-    return salted_join(left, right, on, how, hot_rows)
-
-
-def keyed_join(left, right, on, how="left", small_rows=SMALL_ROWS, hot_rows=HOT_ROWS):
-    """Join with a `right` of unique keys: broadcast if it is measured small, else shuffled.
-
-    The measured copy is what gets broadcast, so a small right side is computed once, and a
-    large left side is never shuffled for it.
-    """
-    small = bounded_copy(right, small_rows) if small_rows else None
-    if small is not None:
-        return _broadcast_join(left, small, on, how)
-    return shuffled_join(left, right, on, how, hot_rows)
-
-
-def key_filter(left, keys, on, keep=True, small_rows=SMALL_ROWS, hot_rows=HOT_ROWS):
-    """Rows of `left` whose key is (keep) or is not (drop) among `keys`; NULL keys match nothing.
-
-    Few keys are broadcast. Few left rows, as a batch beside a large table, are broadcast to the
-    keys, and those they meet, which are no more, are broadcast back. Else both are shuffled.
-    `hot_rows=None` says that `left` has each key once.
-    """
-    how = "left_semi" if keep else "left_anti"
-    keys = keys.select(*on)
-    if small_rows:
-        small = bounded_copy(keys, small_rows)
-        if small is not None:
-            return _broadcast_join(left, small, on, how)
-        few = bounded_copy(left.select(*on), small_rows)
-        if few is not None:
-            met = keys.join(F.broadcast(few), list(on), "left_semi").distinct()
-            return _broadcast_join(left, met, on, how)
-    return shuffled_join(left, keys.distinct(), on, how, hot_rows)
+def key_filter(left, keys, on, keep=True):
+    """Rows of `left` whose key is (keep) or is not (drop) among `keys`; NULL keys match nothing."""
+    keys = keys.select(*on).distinct()
+    return keyed_join(left, keys, on, "left_semi" if keep else "left_anti")

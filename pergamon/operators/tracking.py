@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pergamon import fixed_values as V
 from pergamon.functions.paths import base_name, join_path
-from pergamon.operators.skew import key_filter, keyed_join, salted_join
+from pergamon.operators.skew import key_filter, keyed_join
 
 FILE_KEY = ["file_name", "folder_name", "document_type"]
 
@@ -42,15 +42,14 @@ def deleted_files(track, volume):
 
 
 def work_gate(**stages):
-    """One row with the number of rows of every stage."""
-    counts = [
-        df.select(F.count("*").alias("n")).select(F.lit(name).alias("stage"), "n")
-        for name, df in stages.items()
-    ]
-    rows = counts[0]
-    for other in counts[1:]:
-        rows = rows.unionByName(other)
-    return rows
+    """One row with the number of rows of every stage; the stages are counted together."""
+    rows = None
+    for name, df in stages.items():
+        tagged = df.select(F.lit(name).alias("stage"), F.lit(1).alias("n"))
+        rows = tagged if rows is None else rows.unionByName(tagged)
+    known = F.array(*[F.lit(name) for name in stages])
+    every = rows.sparkSession.range(1).select(F.explode(known).alias("stage"), F.lit(0).alias("n"))
+    return rows.unionByName(every).groupBy("stage").agg(F.sum("n").cast("long").alias("n"))
 
 
 def insert_if_absent(track, new, status):
@@ -132,8 +131,8 @@ def delete_by_file(table, paths, by_path=False):
 def flatten_manifest(paths, target):
     """Where each file lands in the flat folder; of equal base names the greatest path stays.
 
-    The winner is an aggregate per target, joined back with hot targets spread, because one
-    base name may be that of very many files.
+    The winner is an aggregate per target, joined back, so Spark can split a base name that very
+    many files have.
     """
     landing = paths.select(
         F.col("path").alias("source_path"),
@@ -142,7 +141,7 @@ def flatten_manifest(paths, target):
     winners = landing.groupBy("target_path").agg(
         F.max("source_path").alias("_winner"), F.count("*").alias("_sources")
     )
-    return salted_join(landing, winners, ["target_path"], "inner").select(
+    return keyed_join(landing, winners, ["target_path"], "inner").select(
         "source_path", "target_path",
         (F.col("_sources") > 1).alias("collides"),
         (F.col("source_path") == F.col("_winner")).alias("stays"),

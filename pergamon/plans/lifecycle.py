@@ -32,7 +32,7 @@ def as_documents(extracted, document_type):
 def build_index(spark, tables, embed=None, dimension=64):
     """Fill the index from the whole chunk table. Running it again gives the same index."""
     chunks = S.scan_table(spark, tables.chunks)
-    S.replace_rows(spark, tables.index, embed_text(chunks, embed=embed, dimension=dimension))
+    S.overwrite(spark, embed_text(chunks, embed=embed, dimension=dimension), tables.index)
 
 
 def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=64):
@@ -40,10 +40,11 @@ def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension
 
     Documents with an error are left out and come again with the next update.
     """
-    good = documents.where("error IS NULL")
-    numbered = S.assign_ids(good)
-    if not S.write_overwrite_if_empty(spark, numbered, tables.text):
+    if not S.is_empty(spark, tables.text):
         return False
+    numbered = S.assign_ids(documents.where("error IS NULL"))
+    S.reserve_ids(spark, tables.text, numbered.count())
+    S.write_overwrite_if_empty(spark, numbered, tables.text)
     texts = S.scan_table(spark, tables.text)
     chunks = with_chunk_ids(chunk(texts.where("extracted_text IS NOT NULL")))
     S.write_overwrite_if_empty(spark, chunks, tables.chunks)
@@ -71,45 +72,65 @@ def update_files(spark, tables, files, document_type, parsers=None, **options):
     return update_index(spark, tables, extracted, checked=True, **options)
 
 
+def _settle(spark, tables):
+    """Files whose end was recorded by a run that stopped right after it are in progress no more."""
+    pending = S.pending_rows(spark, tables.track)
+    if pending.isEmpty():
+        return
+    files = pending.select("folder_name", "file_name")
+    known = S.rows_of_files(spark, tables.track, files)
+    done = key_filter(pending, known.where(F.col("status").isin(V.READY, V.UPDATED)), FILE_KEY)
+    done = done.checkpoint()
+    if not done.isEmpty():
+        S.drop_pending(spark, tables.track, done)
+
+
 def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=64,
                  checked=False):
     """Take in new documents; the number of files taken in.
 
-    Files that are READY or UPDATED are skipped. A file left at UPDATING by a run that stopped is
-    done again. The state turns to UPDATED only after the index is written, and every write
-    replaces the rows of its files, so a repeated batch changes nothing.
+    Files that are READY or UPDATED are skipped. Files that the track table does not know are
+    appended to every table, and no file that is there is written again; only files it knows, such as
+    those a stopped run left at UPDATING, have rows to replace. The state turns to UPDATED after the
+    index is written, so a repeated batch changes nothing.
     """
+    shared_folder(spark)
+    _settle(spark, tables)
     todo = (documents if checked else not_done(spark, tables, documents)).where("error IS NULL")
-    last = S.scan_table(spark, tables.text).agg(F.max("id")).first()[0] or 0
-    # The numbered rows are checkpointed, so the files are read and parsed once.
-    batch = S.assign_ids(todo.select(*FILE_KEY, "extracted_text"), start=last)
-    size = batch.count()
+    # Checkpointed, so the files are read and parsed once.
+    todo = todo.select(*FILE_KEY, "extracted_text").checkpoint()
+    size = todo.count()
     if size == 0:
         return 0
+    batch = S.assign_ids(todo, start=S.reserve_ids(spark, tables.text, size))
     files = batch.select("folder_name", "file_name")
-    buckets = S.touched_buckets(spark, files, tables.track)
-    known = S.rows_of_files(spark, tables.track, files, buckets)
+    known = S.rows_of_files(spark, tables.track, files).checkpoint()
+    again = known.select("folder_name", "file_name").distinct()
+    again = None if known.isEmpty() else again
     S.write_append(spark, insert_if_absent(known, batch, V.UPDATING), tables.track)
-    S.replace_rows(spark, tables.text, batch, buckets=buckets)
     chunks = with_chunk_ids(chunk(batch.where("extracted_text IS NOT NULL"))).checkpoint()
-    # By the files of the batch, as one that was done before may have no chunks any more.
-    S.replace_rows(spark, tables.chunks, chunks, files, buckets)
-    S.replace_rows(
-        spark, tables.index, embed_text(chunks, embed=embed, dimension=dimension), files, buckets
-    )
-    pending = S.rows_of_files(spark, tables.track, files, buckets)
-    S.replace_rows(spark, tables.track, update_status_tuple(pending, batch), buckets=buckets)
+    embedded = embed_text(chunks, embed=embed, dimension=dimension)
+    for table, rows in ((tables.text, batch), (tables.chunks, chunks), (tables.index, embedded)):
+        if again is not None:
+            S.delete_rows(spark, table, again)
+        S.write_append(spark, rows, table)
+    ended = key_filter(S.pending_rows(spark, tables.track), batch, FILE_KEY)
+    ended = update_status_tuple(ended, batch).checkpoint()
+    S.write_append(spark, ended, tables.track)
+    S.drop_pending(spark, tables.track, ended)
     return size
 
 
 def purge_deleted(spark, tables, volume):
     """Remove the files that are no longer on the volume from all tables; their paths.
 
-    Works by path: a file of the same name in another folder stays. The track table, which says
-    what is gone, is changed last.
+    Works by path: a file of the same name in another folder stays. Names that begin with `_` or `.`
+    stay too, as no listing by Spark can hold them. The track table, which says what is gone,
+    is changed last. `volume` must be a whole listing without empty files left out on purpose.
     """
     shared_folder(spark)
-    gone = deleted_files(S.scan_table(spark, tables.track), volume).checkpoint()
+    gone = deleted_files(S.scan_table(spark, tables.track), volume)
+    gone = gone.where(~base_name("path").rlike("^[_.]")).checkpoint()
     files = gone.select(
         dir_name("path").alias("folder_name"), base_name("path").alias("file_name")
     )

@@ -24,9 +24,15 @@ def local_session(cores="*", shuffle_partitions=8, memory="12g", **conf):
 
 
 def shared_folder(spark):
-    """The checkpoint folder the cluster names; a temporary one only where none is named."""
+    """The checkpoint folder the cluster names in spark.checkpoint.dir.
+
+    Only where driver and executors are one process may it be missing: a temporary one is made.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
+    one_process = context.master == "local" or context.master.startswith("local[")
+    if not (named or context.getCheckpointDir() or one_process):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="pergamon-"))
     return named or context.getCheckpointDir()

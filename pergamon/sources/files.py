@@ -35,11 +35,17 @@ def stream_binary_files(spark, folder, files_per_batch=1000):
 def list_files(spark, folder):
     """Every file below a folder. The content column is pruned, so no file is opened.
 
-    As with all Spark file sources, hidden and empty files are passed over.
+    As with all Spark file sources, empty files and names that begin with `_` or `.` are passed
+    over, so a file that is empty or renamed so looks as if it were gone (see `purge_deleted`).
     """
     return binary_files(spark, folder).select("path", "modificationTime", "length")
 
 
+def _decoded(path):
+    """A path as it is listed: file metadata gives it percent-encoded, with plus signs as they are."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def _plain_newlines(text):
     return F.regexp_replace(text, "\r\n?", "\n")
 
@@ -49,7 +55,7 @@ def read_text_files(spark, folder):
     return (
         spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
         .select(
-            F.col("_metadata.file_path").alias("path"),
+            _decoded(F.col("_metadata.file_path")).alias("path"),
             _plain_newlines("value").alias("extracted_text"),
         )
         .where(extension("path").isin(TEXT_EXTENSIONS))

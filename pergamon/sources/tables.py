@@ -1,8 +1,9 @@
 """The document tables: creation, append, keyed replacement and deletion.
 
-The tables are parquet, partitioned by a hash bucket of folder and file name. A change rewrites
-the buckets it touches and no others. There is one writer at a time; a run that stops half-way is
-repeated and gives the same rows.
+The tables are parquet, partitioned by a hash bucket of folder and file name. New rows are
+appended; a replacement or deletion rewrites the buckets it touches and no others. Track rows of
+files in progress have a bucket of their own, so that their end is an append and the drop of that
+bucket. There is one writer at a time; a run that stops half-way is repeated and gives the same rows.
 """
 
 from collections import namedtuple
@@ -11,11 +12,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pergamon import fixed_values as V
 from pergamon import schemas
 from pergamon.operators.skew import key_filter
 from pergamon.session import shared_folder
 
 BUCKET = "path_bucket"
+PENDING = -1  # bucket of the track rows of files in progress
 SCHEMAS = {
     "text": schemas.TEXT, "track": schemas.TRACK,
     "chunks": schemas.CHUNKS, "index": schemas.INDEX,
@@ -44,24 +47,42 @@ def create_tables(spark, tables, buckets=256):
     append to the bucket would bring the rows back.
     """
     for role, schema in SCHEMAS.items():
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-        name = getattr(tables, role)
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BUCKET} INT) USING parquet "
-            f"PARTITIONED BY ({BUCKET}) TBLPROPERTIES ('path_buckets' = '{buckets}')"
-        )
+        _create_table(spark, getattr(tables, role), schema, buckets)
 
 
-def _buckets(spark, table):
-    return int(
-        spark.sql(f"SHOW TBLPROPERTIES {table} ('path_buckets')").first()["value"]
+def _create_table(spark, name, schema, buckets=256):
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BUCKET} INT) USING parquet "
+        f"PARTITIONED BY ({BUCKET}) TBLPROPERTIES ('path_buckets' = '{buckets}')"
     )
 
 
+def _property(spark, table, key):
+    """A table property, or None."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return found.get(key)
+
+
+def _buckets(spark, table):
+    return int(_property(spark, table, "path_buckets"))
+
+
+def reserve_ids(spark, table, n):
+    """The last id given out before; n more are now taken. The mark is kept with the table."""
+    last = _property(spark, table, "last_id")
+    if last is None:
+        last = _current(spark, table).agg(F.max("id")).first()[0] or 0
+    last = int(last)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('last_id' = '{last + n}')")
+    return last
+
+
 def _with_bucket(rows, buckets):
-    return rows.withColumn(
-        BUCKET, F.pmod(F.hash("folder_name", "file_name"), F.lit(buckets))
-    )
+    bucket = F.pmod(F.hash("folder_name", "file_name"), F.lit(buckets))
+    if "status" in rows.columns:
+        bucket = F.when(F.col("status") == V.UPDATING, F.lit(PENDING)).otherwise(bucket)
+    return rows.withColumn(BUCKET, bucket)
 
 
 def _shaped(spark, rows, table):
@@ -101,12 +122,34 @@ def write_overwrite_if_empty(spark, rows, table):
     if exists and not _current(spark, table).isEmpty():
         return False
     if not exists:
-        rows.write.mode("overwrite").saveAsTable(table)
-    else:
-        _balanced(_shaped(spark, rows, table)).write.insertInto(table, overwrite=True)
+        alike = [s for s in SCHEMAS.values() if set(s.names) == set(rows.columns)]
+        _create_table(spark, table, alike[0] if alike else rows.schema)
+    overwrite(spark, rows, table)
     return True
 
 
+def overwrite(spark, rows, table):
+    """Put `rows` in place of all rows of the table, by one write."""
+    _balanced(_shaped(spark, rows, table)).write.insertInto(table, overwrite=True)
+
+
+def is_empty(spark, table):
+    return not spark.catalog.tableExists(table) or _current(spark, table).isEmpty()
+
+
+def pending_rows(spark, track):
+    """Track rows of files in progress; nothing else is read."""
+    return scan_table(spark, track, [PENDING])
+
+
+def drop_pending(spark, track, files):
+    """Take the given files (folder_name, file_name) out of those in progress."""
+    left = key_filter(
+        _current(spark, track, [PENDING]), files, ["folder_name", "file_name"], keep=False
+    ).checkpoint()
+    _rewrite(spark, track, left, [PENDING])
+
+
 def _rewrite(spark, table, rows, touched=()):
     """Replace the buckets that `rows` has, and drop those of `touched` that it has not.
 
@@ -120,14 +163,18 @@ def _rewrite(spark, table, rows, touched=()):
             _balanced(rows).write.insertInto(table, overwrite=True)
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    for bucket in set(touched) - (filled or set()):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {bucket})")
+    emptied = [f"PARTITION ({BUCKET} = {b})" for b in sorted(set(touched) - (filled or set()))]
+    if emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(emptied)}")
 
 
 def touched_buckets(spark, files, table):
     """Buckets of the files (folder_name, file_name): at most as many as the table has."""
-    found = _with_bucket(files, _buckets(spark, table)).select(BUCKET).distinct().collect()
-    return [r[0] for r in found]
+    keys = files.select("folder_name", "file_name")
+    found = _with_bucket(keys, _buckets(spark, table)).select(BUCKET).distinct().collect()
+    buckets = [r[0] for r in found]
+    in_track = "status" in spark.table(table).columns
+    return [*buckets, PENDING] if buckets and in_track else buckets
 
 
 def replace_rows(spark, table, rows, files=None, buckets=None):
@@ -143,7 +190,7 @@ def replace_rows(spark, table, rows, files=None, buckets=None):
     kept = key_filter(
         _current(spark, table, touched), wanted, ["folder_name", "file_name"], keep=False
     )
-    _rewrite(spark, table, kept.unionByName(rows), () if files is None else touched)
+    _rewrite(spark, table, kept.unionByName(rows), touched)
 
 
 def rows_of_files(spark, table, files, buckets=None):

@@ -1,5 +1,7 @@
 """Index update and new-file detection on a stream of arriving files."""
 
+from pyspark import StorageLevel
+
 from pergamon.operators.skew import key_filter
 from pergamon.operators.tracking import paths_except, processed_paths
 from pergamon.plans.lifecycle import update_files
@@ -23,7 +25,12 @@ def stream_index_update(files, tables, checkpoint, document_type="tmp", parsers=
     """
 
     def handle(batch, _):
-        update_files(batch.sparkSession, tables, batch, document_type, parsers, **options)
+        # The batch is a scan that always reads `content`: it is kept, so files are opened once.
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            update_files(batch.sparkSession, tables, batch, document_type, parsers, **options)
+        finally:
+            batch.unpersist()
 
     return _start(files, handle, checkpoint, once)
 

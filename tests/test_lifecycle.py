@@ -238,3 +238,64 @@ def test_new_files_of_a_stream(spark, folder, tables, tmp_path):
     assert names_in(spark.read.parquet(f"{sink}/*")) == sorted(
         set(VISIBLE) - set(TAKEN) | {"later.txt"}
     )
+
+
+def data_files(spark, table):
+    spark.catalog.refreshTable(table)
+    return {r[0] for r in spark.table(table).select("_metadata.file_path").distinct().collect()}
+
+
+def test_new_files_leave_every_old_data_file(spark, tables):
+    first = documents(spark, *[f"/d/{i}.txt" for i in range(40)])
+    assert lifecycle.update_index(spark, tables, first) == 40
+    before = {t: data_files(spark, t) for t in tables}
+    second = documents(spark, *[f"/e/{i}.txt" for i in range(1000)])
+    assert lifecycle.update_index(spark, tables, second) == 1000
+    for table in tables:
+        assert before[table] and before[table] <= data_files(spark, table)
+    assert spark.table(tables.track).where("status = 'UPDATED'").count() == 1040
+    assert sorted(r[0] for r in spark.table(tables.text).select("id").collect()) == list(range(1, 1041))
+
+
+def test_stop_between_the_last_two_writes_is_settled(spark, tables):
+    lifecycle.update_index(spark, tables, documents(spark, "/d/a.txt"))
+    left = S.scan_table(spark, tables.track).withColumn("status", F.lit("UPDATING"))
+    S.write_append(spark, left.checkpoint(), tables.track)
+    assert lifecycle.update_index(spark, tables, documents(spark, "/d/b.txt")) == 1
+    assert rows_of(spark, tables.track, "file_name", "status") == [
+        ("a.txt", "UPDATED"), ("b.txt", "UPDATED")
+    ]
+
+
+def test_build_of_a_filled_table_reads_nothing(spark, tables):
+    lifecycle.build(spark, tables, documents(spark, "/d/a.txt"))
+    broken = documents(spark, "/d/b.txt").withColumn(
+        "extracted_text", F.raise_error(F.lit("was read")).cast("string"))
+    assert not lifecycle.build(spark, tables, broken)
+
+
+def test_odd_names_go_through_all_steps(spark, tables, tmp_path):
+    write_files(tmp_path / "v", {"a b à+c%20.txt": b"text"})
+    folder = str(tmp_path / "v")
+    listed = [r[0] for r in files_source.list_files(spark, folder).select("path").collect()]
+    read = [r[0] for r in files_source.read_text_files(spark, folder).select("path").collect()]
+    assert names_in(files_source.list_files(spark, folder)) == ["a b à+c%20.txt"]
+    assert [p.split("/v/")[1] for p in listed + read] == ["a b à+c%20.txt"] * 2
+    assert lifecycle.update_files(spark, tables, files_source.binary_files(spark, folder), "tmp") == 1
+    gone = lifecycle.purge_deleted(spark, tables, files_source.list_files(spark, folder))
+    assert gone.count() == 0 and spark.table(tables.text).count() == 1
+
+
+def test_hidden_names_are_never_purged(spark, tables):
+    lifecycle.update_index(spark, tables, documents(spark, "/d/_a.txt", "/d/b.txt"))
+    gone = lifecycle.purge_deleted(spark, tables, spark.createDataFrame([], "path string"))
+    assert [r[0] for r in gone.collect()] == ["/d/b.txt"]
+
+
+def test_missing_table_is_made_like_the_others(spark, tables):
+    spark.sql(f"DROP TABLE {tables.track}")
+    rows = spark.createDataFrame(
+        [("a", "/d", "tmp", "READY")], "file_name string, folder_name string, document_type string, status string")
+    assert S.write_overwrite_if_empty(spark, rows, tables.track)
+    S.write_append(spark, rows.withColumn("file_name", F.lit("b")), tables.track)
+    assert rows_of(spark, tables.track, "file_name") == [("a",), ("b",)]

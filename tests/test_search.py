@@ -139,8 +139,7 @@ def test_no_rows_no_hits(data):
     assert search.vector_topk(index, queries.where("query_id < 0")).count() == 0
 
 
-@pytest.mark.parametrize("small_rows", [0, 1000])
-def test_retrieved_columns_in_both_forms(spark, small_rows):
+def test_retrieved_columns(spark):
     chunks = spark.createDataFrame(
         [(i, f"t{i}", f"f{i}", "d", 0, 1, "tmp") for i in range(20)],
         "id long, text_chunk string, file_name string, folder_name string, "
@@ -150,7 +149,7 @@ def test_retrieved_columns_in_both_forms(spark, small_rows):
         [(q, 3, 1, 0.5) for q in range(50)] + [(1, 99, 2, 0.1)],
         "query_id long, id long, rank int, score double",
     )
-    rows = search.retrieve_columns(hits, chunks, small_rows).collect()
+    rows = search.retrieve_columns(hits, chunks).collect()
     assert len(rows) == 50 and {r["text_chunk"] for r in rows} == {"t3"}
 
 
@@ -162,3 +161,53 @@ def test_candidates_per_query(data):
     assert found == {
         q: sum(not c or n in c for n in names) for q, c in enumerate(chosen)
     }
+
+
+def _index(spark, vectors):
+    return spark.createDataFrame(
+        [(i, "f", list(map(float, v))) for i, v in enumerate(vectors)],
+        "id long, file_name string, chunk_embedding array<double>",
+    )
+
+
+def _ask(spark, *vectors):
+    return spark.createDataFrame(
+        [(i, list(map(float, v))) for i, v in enumerate(vectors)],
+        "query_id long, query_vector array<double>",
+    )
+
+
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("metric", ["cosine", "squared_l2"])
+def test_vectors_that_are_no_numbers_hide_no_hits(spark, form, metric):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(40, 8))
+    bad = np.full((6, 8), np.nan)
+    bad[3:] = np.inf
+    clean = search.vector_topk(_index(spark, vectors), _ask(spark, vectors[0]), 5, metric, **FORMS[form])
+    mixed = search.vector_topk(
+        _index(spark, np.concatenate((vectors, bad))), _ask(spark, vectors[0]), 5, metric, **FORMS[form])
+    rows = sorted(map(tuple, clean.collect()))
+    assert len(rows) == 5 and sorted(map(tuple, mixed.collect())) == rows
+    none = search.vector_topk(_index(spark, vectors), _ask(spark, bad[0]), 5, metric, **FORMS[form])
+    assert none.count() == 0
+
+
+def test_unequal_vectors_stop_the_search(spark):
+    index = spark.createDataFrame(
+        [(1, "f", [1.0, 0.0]), (2, "f", [1.0]), (3, "f", [1.0, 0.0, 0.0])],
+        "id long, file_name string, chunk_embedding array<double>").coalesce(1)
+    with pytest.raises(Exception, match="vector 2 has 1 values, not 2"):
+        search.vector_topk(index, _ask(spark, [1, 0]), 1).collect()
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_far_from_zero_distances_are_exact(spark, form):
+    """The score doesn't depend on which other rows stand in the slice."""
+    rng = np.random.default_rng(6)
+    vectors = 1e5 + rng.normal(size=(200, 8))
+    query = 1e5 + rng.normal(size=8)
+    exact = np.round(((vectors - query) ** 2).sum(axis=1), 9)
+    best = np.lexsort((np.arange(200), exact))[:5]
+    hits = search.vector_topk(_index(spark, vectors), _ask(spark, query), 5, "squared_l2", **FORMS[form])
+    assert [(r["id"], r["score"]) for r in hits.orderBy("rank").collect()] == [(i, exact[i]) for i in best]

@@ -21,55 +21,43 @@ def sides(spark):
     return left.cache(), right.cache()
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_is_the_plain_join(sides, how):
-    left, right = sides
-    plain = sorted(map(tuple, left.join(right, ["key"], how).collect()), key=repr)
-    salted = sorted(
-        map(tuple, skew.salted_join(left, right, ["key"], how, hot_rows=100).collect()), key=repr
-    )
-    assert salted == plain
-
-
-def test_hot_key_meets_its_partner_in_many_partitions(sides):
-    left, right = sides
-    joined = skew.salted_join(left, right, ["key"], "inner", hot_rows=100)
-    hot = joined.where("key = 'hot'").select(F.spark_partition_id()).distinct()
-    plan = joined._jdf.queryExecution().toString()
-    assert "_salt" in plan and hot.count() >= 1
-    salts = 4
-    spread = left.where("key = 'hot'").select(
-        F.pmod(F.spark_partition_id() + F.hash("key", "value"), F.lit(salts)).alias("s")
-    ).groupBy("s").count().collect()
-    assert len(spread) == salts and max(r["count"] for r in spread) < 1000
-
-
-@pytest.mark.parametrize("small_rows", [0, 100_000])
 @pytest.mark.parametrize("keep", [True, False])
-def test_key_filter_in_both_forms(sides, small_rows, keep):
+def test_key_filter_takes_repeated_keys_once(sides, keep):
     left, right = sides
     how = "left_semi" if keep else "left_anti"
     plain = sorted(map(tuple, left.join(right, ["key"], how).collect()), key=repr)
     keys = right.unionByName(right).unionByName(right.where("key = 'hot'"))
-    found = skew.key_filter(left, keys, ["key"], keep, small_rows, hot_rows=100)
+    found = skew.key_filter(left, keys, ["key"], keep)
     assert sorted(map(tuple, found.collect()), key=repr) == plain
 
 
-@pytest.mark.parametrize("keep", [True, False])
-def test_few_rows_beside_many_keys(sides, keep):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_keyed_join_orders_columns(sides, how):
     left, right = sides
-    batch = left.where("value < 60")
-    how = "left_semi" if keep else "left_anti"
-    plain = sorted(map(tuple, batch.join(right, ["key"], how).collect()), key=repr)
-    found = skew.key_filter(batch, right.unionByName(right), ["key"], keep, small_rows=100)
-    assert "_salt" not in found._jdf.queryExecution().toString()
-    assert sorted(map(tuple, found.collect()), key=repr) == plain
+    joined = skew.keyed_join(left, right, ["key"], how)
+    assert joined.columns == ["key", "value", "extra"]
+    plain = left.join(right, ["key"], how).select("key", "value", "extra")
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
 
 
-def test_bounded_copy_refuses_what_is_too_large(spark):
-    assert skew.bounded_copy(spark.range(11), rows=10) is None
-    assert skew.bounded_copy(spark.range(10), rows=10).count() == 10
-    assert skew.bounded_copy(spark.range(10), rows=10, size=8) is None
+def test_nothing_runs_while_joins_are_built(spark, sides):
+    left, right = sides
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    try:
+        skew.key_filter(left, right, ["key"])
+        skew.keyed_join(left, right, ["key"])
+        paths = left.select(F.col("key").alias("path"))
+        tracking.flatten_manifest(paths, "/flat")
+        tracking.work_gate(one=left, two=right)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_work_gate_counts_empty_stages(spark, sides):
+    left, right = sides
+    counts = tracking.work_gate(one=left, none=right.where("false"))
+    assert sorted(map(tuple, counts.collect())) == [("none", 0), ("one", 6000)]
 
 
 def test_set_difference_treats_null_as_equal(spark):
