@@ -23,10 +23,10 @@ BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 8_192
 _CELLS = 2_000_000
 
-# Scores are rounded to so many decimals; products are trusted this far when they exclude a row.
+# Scores are ranked at so many decimals; products are trusted this far when they exclude a row.
 DECIMALS = 9
 SLACK = 4e-9
-_HITS = "query_id long, id long, score double"
+_HITS = "query_id long, id long, score double, place double"
 
 
 def _matrix(column):
@@ -58,7 +58,7 @@ def _unit(matrix):
 class _Best:
     """The k best hits per query seen so far; equal scores go to the smaller id.
 
-    Scores come in rounded to DECIMALS, so equal vectors tie.
+    A hit's place is its score rounded to DECIMALS, here and nowhere else, so equal vectors tie.
     """
 
     def __init__(self, query_ids, k):
@@ -66,29 +66,34 @@ class _Best:
         self.query = np.zeros(0, np.int64)
         self.id = np.zeros(0, np.int64)
         self.score = np.zeros(0)
+        self.place = np.zeros(0)
         self.floor = np.full(len(query_ids), -np.inf)
 
     def add(self, query, ids, score):
-        keep = score >= self.floor[query]
+        places = np.round(score, DECIMALS) + 0.0
+        keep = places >= self.floor[query]
         if not keep.any():
             return
         self.query = np.concatenate([self.query, query[keep]])
         self.id = np.concatenate([self.id, ids[keep]])
         self.score = np.concatenate([self.score, score[keep]])
-        order = np.lexsort((self.id, -self.score, self.query))
+        self.place = np.concatenate([self.place, places[keep]])
+        order = np.lexsort((self.id, -self.place, self.query))
         query = self.query[order]
         starts = np.r_[0, np.flatnonzero(np.diff(query)) + 1]
         place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
         order, place = order[place < self.k], place[place < self.k]
-        self.query, self.id, self.score = self.query[order], self.id[order], self.score[order]
+        self.query, self.id = self.query[order], self.id[order]
+        self.score, self.place = self.score[order], self.place[order]
         last = place == self.k - 1
-        self.floor[self.query[last]] = self.score[last]
+        self.floor[self.query[last]] = self.place[last]
 
     def table(self):
         return pa.table({
             "query_id": pa.array(self.query_ids[self.query], pa.int64()),
             "id": pa.array(self.id, pa.int64()),
             "score": pa.array(self.score, pa.float64()),
+            "place": pa.array(self.place, pa.float64()),
         })
 
 
@@ -129,10 +134,10 @@ class _Asked:
         return np.minimum(2 * products - squares[:, None] - self.squares, 0), slack
 
     def _exact(self, vectors, queries):
-        """The score of each pair, rounded here and nowhere else."""
+        """The score of each pair."""
         if self.cosine:
-            return np.round(np.einsum("ij,ij->i", vectors, queries), DECIMALS) + 0.0
-        return np.round(-((vectors - queries) ** 2).sum(axis=1), DECIMALS) + 0.0
+            return np.einsum("ij,ij->i", vectors, queries)
+        return -((vectors - queries) ** 2).sum(axis=1)
 
     def allowed(self, names):
         """Which row each query's selection admits; names are looked up once per distinct one."""
@@ -311,7 +316,7 @@ def _block_hits(index, queries, k, filtered, planes, metric, block_rows, block_q
 
 
 def _ranked(hits, k, metric):
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    best = Window.partitionBy("query_id").orderBy(F.col("place").desc(), "id")
     return (
         hits.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
