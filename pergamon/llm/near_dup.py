@@ -34,9 +34,12 @@ SKETCH_WORDS = SKETCH_BITS // 64
 ESTIMATE_FLOOR = 0.50
 
 #: Classes of a bucket that meet in one group at most, about; shingles of a stripe of their matrix.
-BLOCK = 128
+BLOCK = 512
 STRIPE = 4096
 
+#: Up to so many ids are sent to the texts; beyond, the texts are shuffled to the ids.
+BROADCAST_IDS = 2_000_000
+
 _BY_SAMPLE = multipliers(SAMPLES, 5)
 _BY_PLACE = multipliers(SAMPLES, 23)
 _BY_BAND = multipliers(BANDS * ROWS, 41).reshape(BANDS, ROWS)
@@ -118,10 +121,17 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
 
 
+def _texts_of(texts, ids):
+    """(id, text) of the given ids. Few ids, which are counted, spare the shuffle of all texts."""
+    ids = stored(ids, "ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return texts.join(ids, texts.doc_id == ids.id).select("id", "text")
+
+
 def _confirmed(texts, pairs):
     """The pairs (a, b) that are links, by their full sets."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = stored(texts.join(ids, texts.doc_id == ids.id).select("id", "text"), "texts")
+    wanted = stored(_texts_of(texts, ids), "texts")
     left = wanted.select(F.col("id").alias("a"), F.col("text").alias("left"))
     right = wanted.select(F.col("id").alias("b"), F.col("text").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
@@ -176,8 +186,7 @@ def _met_in_blocks(rest, texts, sketches):
     A bucket is dealt into blocks of about BLOCK classes, and each two blocks meet in one small group, so no
     task holds a whole bucket. Groups return links only, found by products of incidence matrices.
     """
-    ids = rest.select("id").distinct()
-    wanted = stored(texts.join(ids, texts.doc_id == ids.id).select("id", "text").join(sketches, "id"), "texts")
+    wanted = stored(_texts_of(texts, rest.select("id").distinct()).join(sketches, "id"), "texts")
     n = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = rest.withColumn("n", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
