@@ -40,7 +40,7 @@ CONTAINERS = frozenset("article blockquote body div main section table td".split
 ARTICLES = frozenset(("article", "main"))
 
 #: Permille of a container's score that its parent gets too, and the weight of an article's votes.
-INHERITED = 700
+INHERITED = 500
 ARTICLE_WEIGHT = 2
 
 #: Winning paths are sent to the tasks whole if they have at most so many bytes; else they are joined.

@@ -95,7 +95,7 @@ class Vocabulary:
             band = np.floor(np.log(top / self.counts[common:]) / np.log(4)).astype(int)
             self.classes[common:-1] = WORD_CLASSES + np.minimum(band, BANDS - 1)
         total = n + 0.5 * (v + 1)
-        self.mass = np.bincount(self.classes[:-1], smooth, CLASSES)
+        self.mass = np.bincount(self.classes[:-1], smooth, CLASSES).astype(np.float64)
         self.mass[TAIL] = max(total - smooth.sum(), 0.5)
         self.base = np.append(np.log10(smooth / total), -np.log10(total))
         inside = smooth / self.mass[self.classes[:-1]]

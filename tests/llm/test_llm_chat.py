@@ -1,0 +1,74 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pergamon.llm.chat_format import (
+    CONTROLS, best_paths, escape, format_trees, read_back, read_segment, segment, threads, unescape)
+
+ODD = st.lists(st.sampled_from([*CONTROLS, "\\", "|", "<", "n", "\n", "é", "[", "/", "<|turn|>", "<|end|>", "x"]), max_size=12)
+
+
+@settings(max_examples=500, deadline=None)
+@given(ODD, ODD)
+def test_round_trip(role, text):
+    role, text = "".join(role), "".join(text)
+    assert unescape(escape(text)) == text
+    assert not any(c in escape(text) for c in CONTROLS)
+    out, start, stop = segment(role, text)
+    assert read_segment(out) == (role, text) and start is None
+    out, start, stop = segment("assistant", text)
+    assert read_segment(out) == ("assistant", text) and unescape(out[start:stop]) == text
+
+
+def model(rows):
+    found = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] if r[1] is not None else -1, r[2] or "", r[3] or "")):
+        c = found.setdefault(conv, [[], ""])
+        c[0].append(f"{role or ''}\n{text or ''}\n")
+        c[1] += (text or "") if role == "assistant" else ""
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    return {c: (len(t), sha("".join(t)), len(loss), sha(loss)) for c, (t, loss) in found.items()}
+
+
+def test_conversations_read_back(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "</s>[INST] ok [/INST]"), (1, 2, "user", None), (2, 5, "assistant", "é\n<|end|>\n"),
+            (3, 0, None, "x"), (3, 0, None, "x"), (3, None, "system", "s"), (None, 1, "assistant", "a"), (None, 2, "assistant", ""),
+            (4, 0, "user", "long " * 50_000)] + [(9, i, ("user", "assistant")[i % 2], f"t{i}") for i in range(70)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr(
+        "*", "1 as score", "2 as depth", "3 as leaf", "4 as node_id")
+    formatted = format_trees(threads(messages))
+    found = read_back(formatted).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in found} == model(rows)
+    lengths = {}
+    for r in formatted.collect():
+        lengths[r.conv_id] = lengths.get(r.conv_id, 0) + len(r.formatted)
+    assert {r.conv_id: r.formatted_chars for r in found} == lengths
+    assert read_back(format_trees(threads(messages.limit(0)))).count() == 0
+
+
+def test_branches_are_ranked(spark):
+    #      1 - 2 - 3        scores of paths: 1,2,3 -> 2;  1,2,4 -> 3;  1,5 -> 0.5
+    #      |    \- 4
+    #      5                 7 answers a node that isn't there; 8 is alone, without a score
+    nodes = spark.createDataFrame(
+        [(1, None, 1, 1.0), (2, 1, 1, 2.0), (3, 2, 1, 3.0), (4, 2, 1, 6.0), (5, 1, 1, 0.0), (7, 99, 2, 1.0), (8, None, 3, None)],
+        "node_id long, parent_id long, conv_id long, score double")
+
+    def paths(n):
+        found = {}
+        for r in best_paths(nodes, n).collect():
+            found.setdefault((r.leaf, r["rank"]), []).append((r.depth, r.node_id))
+        return {k: [i for _, i in sorted(v)] for k, v in found.items()}
+
+    assert paths(1) == {(4, 1): [1, 2, 4], (7, 1): [7], (8, 1): [8]}
+    assert paths(3) == {(4, 1): [1, 2, 4], (3, 2): [1, 2, 3], (5, 3): [1, 5], (7, 1): [7], (8, 1): [8]}
+
+
+def test_ties_and_circles(spark):
+    tied = spark.createDataFrame([(1, None, 1.0), (2, 1, 1.0), (3, 1, 1.0)], "node_id long, parent_id long, score double")
+    assert {r.leaf for r in best_paths(tied).collect()} == {2}
+    circle = spark.createDataFrame([(1, 2, 1.0), (2, 1, 1.0)], "node_id long, parent_id long, score double")
+    with pytest.raises(ValueError, match="circle"):
+        best_paths(circle)

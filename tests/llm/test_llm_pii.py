@@ -1,0 +1,85 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pergamon.llm.pii import find_spans, luhn, mod97, personal_data, redact, without_personal_data
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn_of_table(digits):
+    doubled = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
+    return sum(doubled[int(d)] if i % 2 else int(d) for i, d in enumerate(digits[::-1])) % 10 == 0
+
+
+def base(text):
+    spans = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    spans += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in CARD.finditer(text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(digits) <= 19 and luhn_of_table(digits):
+            spans.append((m.start(), 2, m.end()))
+    spans += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return [(s, ("email", "ip", "card", "phone")[k], e) for s, k, e in sorted(spans)]
+
+
+PIECES = st.sampled_from([
+    "a@b.co", "x.y+z@mail-1.example.com", "@", "@@", ".", "a.b", "1.2.3.4", "1.2.3.4.5.6.7.8", "256.1.1.1", "0001.2.3.255",
+    "4111 1111 1111 1111", "4111-1111-1111-1112", "378282246310005", "+1 (415) 555-0132", "+44", " ", "-", "+", "(", "9",
+    "00", "é", "\n", "%", "end.", "@x.y.", "3782822463100057"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PIECES, max_size=14))
+def test_base_spans_are_those_of_the_plain_patterns(pieces):
+    text = "".join(pieces)
+    found = [(s, k, e) for s, k, e, _ in find_spans(text) if k in ("email", "ip", "card", "phone")]
+    assert found == base(text)
+
+
+def test_checksums():
+    assert luhn("4111111111111111") and not luhn("4111111111111112")
+    assert mod97("GB82WEST12345698765432") and not mod97("GB82WEST12345698765433")
+
+
+def test_added_kinds_and_context():
+    kinds = lambda text: [k for _, k, _, _ in find_spans(text)]
+    assert kinds("IBAN GB82 WEST 1234 5698 7654 32 now") == ["iban"]
+    assert "iban" not in kinds("IBAN GB83 WEST 1234 5698 7654 32 now")
+    assert kinds('token = "' + "a1" * 20 + '"') == ["secret"] and kinds("hash " + "a1" * 20) == []
+    assert kinds("my SSN 123-45-6789") == ["ssn"] and kinds("part 123-45-6789") == []
+    plain, near = find_spans("a@b.co")[0][3], find_spans("mail a@b.co")[0][3]
+    assert near > plain
+
+
+@pytest.mark.parametrize("text", ["9" * 300_000, "a" * 300_000, "1." * 150_000, "+1" + " " * 300_000, "a@" * 150_000])
+def test_long_runs_take_linear_time(text):
+    find_spans(text)
+
+
+def test_redaction_joins_overlaps():
+    text = "write to a@b.co or +1 (415) 555-0132, é"
+    assert redact(text, find_spans(text)) == "write to [EMAIL] or [PHONE], é"
+    assert redact("abcdef", [(1, "ip", 4, 1.0), (2, "card", 5, 1.0)]) == "a[IP]f"
+
+
+def test_rows(spark):
+    rows = [(1, "é a@b.co and 10.0.0.1", 99), (2, None, None), (3, "", 0), (3, "", 0), (4, "clean text", 10), (None, "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").selectExpr("*", "7 as spans")
+    found = {r.doc_id: r for r in personal_data(docs).collect()}
+    assert personal_data(docs).count() == len(rows)
+    assert found[1].spans == "email:2:8,ip:13:21" and (found[1].n_email, found[1].n_ip) == (1, 1)
+    assert found[1].base_sha256 == hashlib.sha256(b"email:2:8,ip:13:21").hexdigest()
+    assert found[2].base_sha256 == hashlib.sha256(b"").hexdigest() and found[2].spans == ""
+    clean = without_personal_data(docs)
+    assert clean.columns == docs.columns
+    assert sorted(map(tuple, clean.collect()), key=repr) == sorted([
+        (1, "é [EMAIL] and [IP]", 18, 7), (2, None, None, 7), (3, "", 0, 7), (3, "", 0, 7), (4, "clean text", 10, 7),
+        (None, "x", 1, 7)], key=repr)
+    assert personal_data(docs.limit(0)).count() == 0 and without_personal_data(docs.limit(0)).count() == 0

@@ -1,0 +1,43 @@
+import random
+
+import numpy as np
+import pytest
+
+from pergamon.llm.text import plain_words, shingle_set, spaced_words, window_hashes, word_hashes
+
+TEXTS = ["", " \t\n", "one", "A b\tC\x0bd\x0ce\rf\ng", "ünï Ünï", "a" * 700, "a" * 700 + " " + "a" * 701,
+         "\x1c\x1d x\x1fy", "  lead and trail  ", "é b   c"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_hashes_tell_words_apart_as_python_does(text):
+    words = spaced_words(text.encode())
+    hashes = word_hashes(text.encode().lower()).tolist()
+    assert len(words) == len(hashes)
+    assert [words.index(w) for w in words] == [hashes.index(h) for h in hashes]
+
+
+def test_only_ascii_letters_are_lowered_and_split():
+    assert plain_words("Ünï-COde, don't 2x".encode()) == ["Ünï".encode(), b"code", b"don", b"t", b"2x"]
+    assert spaced_words("Ä A b".encode()) == ["Ä".encode(), "a b".encode()]
+
+
+def test_hashes_of_many_words_are_distinct():
+    rng = random.Random(1)
+    words = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 600))) for _ in range(3000)}
+    assert len(set(word_hashes(" ".join(words).encode()).tolist())) == len(words)
+
+
+def test_shingles_are_those_of_word_tuples():
+    rng = random.Random(2)
+    for n in (0, 1, 4, 5, 6, 80):
+        text = " ".join(rng.choice("abc") for _ in range(n))
+        words = text.split()
+        expected = {tuple(words[i:i + 5]) for i in range(max(1, n - 4))} if words else set()
+        assert len(shingle_set(text.encode())) == len(expected)
+
+
+def test_windows_depend_on_order():
+    a, b = word_hashes(b"a b"), word_hashes(b"b a")
+    assert window_hashes(a, 2)[0] != window_hashes(b, 2)[0]
+    assert window_hashes(np.empty(0, np.uint64), 2).size == 0

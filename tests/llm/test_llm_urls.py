@@ -1,0 +1,57 @@
+from pergamon.llm.url_rules import Index, mined_rules, url_tokens, url_verdicts
+
+
+def given(url):
+    """(host, path, rule) by plain Python."""
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = rest[cut:].split("?")[0].split("#")[0]
+    fits = [h + p for h, p in (("com", "/"), ("example.com", "/en/"), ("www.example.com", "/en/"), ("net", "/es/"), ("net", "/fr/"))
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, max(fits, key=len, default=None)
+
+
+URLS = ["http://www.Example.com/en/1", "https://a.example.com/en/x?y#z", "http://example.com/de/", "http://example.com", "x.com/en/",
+        None, "", "://", "ftp://net/es/", "http://anet/es/1", "http://a.b.net/fr/?q=://x/", "http://É.COM/en/", "http://h?x=/en/",
+        "http://www.example.com/en", "http://evil.org#/es/", "a://b://c.net/es/1", "http://" + "a." * 5000 + "net/es/1",
+        "http://x.org/" + "d/" * 50_000, "http://user@www.example.com:80/en/", "http://a\nb.com/x"]
+
+
+def test_given_rules(spark):
+    rows = [(i, u) for i, u in enumerate(URLS)] + [(0, URLS[0])]
+    pages = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "1 as host", "2 as rule", "3 as doc_id")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    found = url_verdicts(pages, labels).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        host, path, rule = given(URLS[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == ("block" if rule in ("example.com/en/", "net/es/", "net/fr/") else "allow")
+    assert url_verdicts(pages.limit(0), labels).count() == 0
+
+
+def test_mined_rules_judge_held_out_urls(spark):
+    urls = [(i, f"https://{'spam-farm' if i % 4 == 0 else 'site' + str(i % 7)}.example.org/{'de' if i % 2 else 'fr'}/{i}")
+            for i in range(800)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    labels = spark.createDataFrame(
+        [(i, int(i % 4 != 0 or i % 40 == 0), 0) for i in range(400)] + [(3, 0, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    rules = mined_rules(pages, labels)
+    assert any(t == {"name:spam-farm.example.org"} or t == {"dashed"} for t, _ in rules)
+    assert all(c >= 0.6 for _, c in rules)
+    blocked = {r.page_id for r in url_verdicts(pages, labels).filter("verdict = 'block'").collect()}
+    late = set(range(400, 800))
+    assert blocked & late == {i for i in late if i % 4 == 0}
+
+
+def test_index_needs_all_tokens():
+    index = Index([(frozenset("ab"), 0.9), (frozenset("c"), 0.8)])
+    assert index.meets(["a", "b"]) and index.meets(["x", "c"]) and not index.meets(["a", "x"]) and not index.meets([])
+
+
+def test_tokens_are_few():
+    for u in URLS:
+        assert len(url_tokens(u or "", *given(u)[:2])) <= 10
