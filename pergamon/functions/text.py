@@ -64,3 +64,17 @@ def history_of(messages):
             .otherwise(answer_from_html(m["content"])).alias("content"),
         ),
     )
+
+
+def _message(speaker, content):
+    return F.array(F.struct(F.lit(speaker).alias("speaker"), content.alias("content")))
+
+
+def rewrite_messages(history):
+    """What the rewriting model gets: its prompt, then the history in the order of turns."""
+    return F.concat(_message("system", F.lit(V.REWRITE_SYSTEM_PROMPT)), _col(history))
+
+
+def answer_messages(context, history):
+    """What the answering model gets: its prompt with the context, then the history."""
+    return F.concat(_message("system", system_prompt(context)), _col(history))

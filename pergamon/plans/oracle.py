@@ -106,10 +106,20 @@ def _embedding(source, key, text):
 _VIEWS["chunk_values"] = ("chunks", _embedding("chunks", "id", "text_chunk"))
 
 
-def _answers(questions):
+_VIEWS["followup_questions"] = ("conversation_questions history", """
+    SELECT query_id, question, needs_rewrite,
+      CASE WHEN needs_rewrite THEN coalesce(search, '') ELSE question END AS search_text
+    FROM conversation_questions LEFT JOIN (
+      SELECT conv_id AS query_id, string_agg(content, ' ' ORDER BY turn) AS search
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back
+            FROM history WHERE speaker = 'human') h
+      WHERE back <= 2 GROUP BY conv_id) f USING (query_id)""")
+
+
+def _answers(questions, text="question"):
     """Views that answer the questions of a view: hits in rank order, then the texts."""
     p = questions.split("_")[0]
-    _VIEWS[f"{p}_values"] = (questions, _embedding(questions, "query_id", "question"))
+    _VIEWS[f"{p}_values"] = (questions, _embedding(questions, "query_id", text))
     _VIEWS[f"{p}_pairs"] = (f"{p}_values chunk_values", f"""
         SELECT query_id, id, sum(q.v * c.v) / (any_value(ql) * any_value(cl)) AS score
         FROM (SELECT *, sqrt(sum(v * v) OVER (PARTITION BY query_id)) AS ql FROM {p}_values) q
@@ -145,6 +155,7 @@ def _answers(questions):
 
 _answers("conversation_questions")
 _answers("benchmark_questions")
+_answers("followup_questions", "search_text")
 
 _EXTENSION_NAME = "regexp_replace(lower(string_split(path, '/')[-1]), '^\\.+', '')"
 _PATHS = {
@@ -197,6 +208,8 @@ _VIEWS["ann_pairs"] = ("vectors vector_queries buckets", """
     SELECT DISTINCT a.id AS query_id, c.id FROM buckets a JOIN buckets c USING (t, bucket)""")
 
 _ORACLE = {
+    "list_files": ("", """
+        SELECT doc_id, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM documents"""),
     "read_text_files": ("", f"""
         SELECT doc_id, md5(t) AS digest, CAST(length(t) AS BIGINT) AS n_chars
         FROM (SELECT doc_id, {_NEWLINES.format('text || chr(10)')} AS t FROM documents) d"""),
@@ -344,6 +357,9 @@ _ORACLE = {
         "vector_queries CROSS JOIN vectors", "pow(list_distance(q, v), 2)", "ASC"
     )),
     "vector_topk_filtered": ("filtered_topk", "SELECT * FROM filtered_topk"),
+    "vector_topk_l2_filtered": ("vectors vector_queries", _topk(
+        f"vector_queries JOIN vectors ON {_CANDIDATES}", "pow(list_distance(q, v), 2)", "ASC"
+    )),
     "vector_topk_ann": ("vectors vector_queries ann_pairs", _topk(
         "ann_pairs JOIN vector_queries USING (query_id) JOIN vectors USING (id)"
     )),
@@ -382,6 +398,18 @@ _ORACLE = {
     "rag_batch": ("conversation_answers", """
         SELECT query_id, question, needs_rewrite, context, sources, n_retrieved, answer, response
         FROM conversation_answers"""),
+    "rag_batch_history": ("followup_contexts followup_questions history", """
+        SELECT * EXCLUDE (items), '<p>' || answer || '</p><p>{2}</p><ul>' || items || '</ul>' AS response
+        FROM (
+          SELECT query_id, question, needs_rewrite, search_text, context, sources,
+            md5(concat_ws(chr(10), 'system:{0}' || context || '{1}', told)) AS answer, items
+          FROM followup_contexts JOIN (SELECT query_id, search_text FROM followup_questions) f
+            USING (query_id)
+          LEFT JOIN (SELECT conv_id AS query_id,
+              string_agg(speaker || ':' || content, chr(10) ORDER BY turn) AS told
+            FROM history GROUP BY conv_id) t USING (query_id)) a""".format(
+        *(s.replace("'", "''") for s in V.ANSWER_SYSTEM_PROMPT.split("{context}")),
+        V.SOURCES_HEADING)),
     "evaluate_batch": ("benchmark_answers", """
         SELECT query_id, question, answer, sources, response FROM benchmark_answers"""),
     "check_embedding_size": ("", """
@@ -452,5 +480,9 @@ def _with_views(needs, body):
     return (f"WITH {views}\n" if views else "") + body
 
 
+for _form in ("vector_topk", "vector_topk_l2", "vector_topk_filtered", "vector_topk_ann"):
+    _ORACLE[f"{_form}_blocks"] = _ORACLE[_form]
+
+
 def oracle_sql():
     return {key: _with_views(needs, body) for key, (needs, body) in _ORACLE.items()}

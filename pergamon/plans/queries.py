@@ -40,21 +40,30 @@ def _tables(spark):
 # --- scans, sources, sinks, schema
 
 
+def _written_documents(spark, sf_dir):
+    """A folder with one text file for each document."""
+    folder = scratch_path(spark, "documents")
+    documents = W.table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
+    W.spread(documents, documents, "doc_id").write.partitionBy(
+        "lang", "doc_id"
+    ).text(folder)
+    return folder
+
+
 @query
 def list_files(spark, sf_dir):
-    return files_source.list_files(spark, sf_dir).select(
-        P.base_name("path").alias("file_name"), "length"
+    """The documents as files: which there are, and how long each is."""
+    return files_source.list_files(spark, _written_documents(spark, sf_dir)).where(
+        P.extension("path") == ".txt"
+    ).select(
+        F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"), "length"
     )
 
 
 @query
 def read_text_files(spark, sf_dir):
     """The documents written as one text file each, then read back."""
-    folder = scratch_path(spark, "documents")
-    documents = W.table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
-    W.spread(documents, documents, "doc_id").write.partitionBy(
-        "lang", "doc_id"
-    ).text(folder)
+    folder = _written_documents(spark, sf_dir)
     read = files_source.read_text_files(spark, folder)
     return read.select(
         F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"),
@@ -419,6 +428,45 @@ def vector_topk_ann(spark, sf_dir):
     )
 
 
+@query
+def vector_topk_l2_filtered(spark, sf_dir):
+    return _scored(search.vector_topk_filtered(
+        W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), metric="squared_l2"
+    ))
+
+
+# The form for many queries, over blocks small enough for several of them.
+_BLOCKS = {"max_queries": 0, "block_rows": 700, "block_queries": 300}
+
+
+@query
+def vector_topk_blocks(spark, sf_dir):
+    return _scored(search.vector_topk(
+        W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), **_BLOCKS
+    ))
+
+
+@query
+def vector_topk_l2_blocks(spark, sf_dir):
+    return _scored(search.vector_topk(
+        W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), metric="squared_l2", **_BLOCKS
+    ))
+
+
+@query
+def vector_topk_filtered_blocks(spark, sf_dir):
+    return _scored(search.vector_topk_filtered(
+        W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), **_BLOCKS
+    ))
+
+
+@query
+def vector_topk_ann_blocks(spark, sf_dir):
+    return _scored(search.vector_topk_ann(
+        W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), **_BLOCKS
+    ))
+
+
 @query
 def upsert_batches(spark, sf_dir):
     """Requests over the chunks in the order of their identity numbers."""
@@ -557,6 +605,19 @@ def rag_batch(spark, sf_dir):
     )
 
 
+@query
+def rag_batch_history(spark, sf_dir):
+    """Follow-up questions rewritten from their history; the answer shows what the model was given."""
+    asked = answer.conversation_requests(W.table(spark, sf_dir, "conversations"))
+    answered = answer.rag_batch(
+        W.index(spark, sf_dir), asked, rewrite=chat.follow_up, answer=chat.messages_digest
+    )
+    return answered.select(
+        "query_id", "question", "needs_rewrite", "search_text", "context",
+        F.array_join("sources", "|").alias("sources"), "answer", "response",
+    )
+
+
 @query
 def evaluate_batch(spark, sf_dir):
     """The answers to the question set, saved and read back."""

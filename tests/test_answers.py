@@ -52,11 +52,11 @@ def test_models_of_the_user(spark, index):
     questions = asked(spark, (1, "them", True, None), (2, "boats", False, None))
     rows = answer.rag_batch(
         index, questions.drop("selected_documents"), k=1,
-        rewrite=lambda q: F.concat(F.lit("green pears and "), q),
-        answer=lambda question, context, passage: F.upper(context),
+        rewrite=lambda m: F.concat(F.lit("green pears and "), F.element_at(m, -1)["content"]),
+        answer=lambda m: F.upper(m[0]["content"]),
     ).collect()
     found = {r["query_id"]: r["answer"] for r in rows}
-    assert found[1] == "PASSAGE: GREEN PEARS GROW ON TREES\n"
+    assert "PASSAGE: GREEN PEARS GROW ON TREES\n" in found[1]
     assert "BOATS" in found[2]
 
 
@@ -70,11 +70,10 @@ def test_requests_with_their_messages(spark, index):
     questions = answer.request_questions(requests)
     rows = {r["query_id"]: r for r in answer.rag_batch(
         index, questions, k=2,
-        answer=lambda question, context, passage: F.concat_ws(
-            "|", F.transform("history", lambda m: m["content"]), question
-        ),
+        answer=lambda messages: F.concat_ws("|", F.transform(
+            F.slice(messages, 2, 9), lambda m: F.concat(m["speaker"], F.lit(":"), m["content"]))),
     ).collect()}
-    assert rows[1]["answer"] == "apples?|red|and boats|and boats"
+    assert rows[1]["answer"] == "human:apples?|ai:red|human:and boats"
     assert rows[1]["needs_rewrite"] and rows[1]["sources"] == ["sea.txt"]
     assert not rows[2]["needs_rewrite"] and rows[2]["n_retrieved"] == 2
 
@@ -151,3 +150,22 @@ def test_question_finds_the_document_it_was_taken_from(spark):
     ).select("query_id", F.shiftright("id", 23).alias("doc_id")).collect()
     found = {h["query_id"] for h in hits if h["doc_id"] in origin.get(h["query_id"], ())}
     assert len(origin) >= 15 and len(found) / len(origin) > 0.5
+
+
+def test_models_get_prompt_and_history_in_turn_order(spark, index):
+    messages = spark.createDataFrame(
+        [(1, 2, "user", "explain that in more detail"), (1, 0, "user", "what of red boats"), (1, 1, "assistant", "<p>fast</p>"),
+         (2, 0, "user", "green pears"), (3, 0, "system", "be kind")],
+        "conv_id long, turn long, role string, text string")
+    told = lambda m: F.concat_ws("|", F.transform(m, lambda x: F.concat(x["speaker"], F.lit(":"), x["content"])))
+    asked = answer.conversation_requests(messages)
+    rows = {r["query_id"]: r for r in answer.rag_batch(index, asked, rewrite=told, answer=told).collect()}
+    history = "|human:what of red boats|ai:fast|human:explain that in more detail"
+    assert rows[1]["search_text"] == "system:" + V.REWRITE_SYSTEM_PROMPT + history
+    before, after = V.ANSWER_SYSTEM_PROMPT.split("{context}")
+    assert rows[1]["answer"] == "system:" + before + rows[1]["context"] + after + history
+    assert rows[2]["search_text"] == "green pears" and rows[2]["answer"].endswith("|human:green pears")
+    assert rows[3]["answer"].startswith("system:") and "human:" not in rows[3]["answer"]
+    follow = {r["query_id"]: r for r in answer.rag_batch(index, asked, k=1, rewrite=chat.follow_up).collect()}
+    assert follow[1]["search_text"] == "what of red boats explain that in more detail"
+    assert follow[1]["sources"] == ["boats.txt"]
