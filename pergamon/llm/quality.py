@@ -113,8 +113,11 @@ def quality_rules(docs, text="text", rules=RULES, min_words=20, max_repeat_perce
         have += list(step)
     base = (F.col("n_words") < min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
-    out = out.select("_row", *MEASURES, base.alias("base_failed"), _compiled(rules).alias("broken_rules"))
+    # A filter on `kept` must stay above the measures: pushed below them it would hold every step's
+    # expression inside the next one's, and run it for each word. No filter moves below a row number.
+    out = out.select("_row", *MEASURES, F.monotonically_increasing_id().alias("_at"))
+    out = out.select("_row", *MEASURES, base.alias("base_failed"), _compiled(rules).alias("broken_rules"), "_at")
     return out.select(
         *[F.col("_row").getField(c).alias(c) for c in kept], *MEASURES, "base_failed", "broken_rules",
-        (~F.col("base_failed") & (F.size("broken_rules") == 0)).alias("kept"),
+        (~F.col("base_failed") & (F.size("broken_rules") == 0) & (F.col("_at") >= 0)).alias("kept"),
     )
