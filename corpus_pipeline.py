@@ -16,7 +16,8 @@ from pergamon.llm.quality import quality_rules
 
 def quality(spark, docs, sf_dir):
     """Documents that break a quality rule go."""
-    return quality_rules(docs).filter("kept").select(*docs.columns)
+    packed = docs.select("text", F.struct("*").alias("row"))  # no name of a measure can clash
+    return quality_rules(packed).filter("kept").select("row.*")
 
 
 def near_dup(spark, docs, sf_dir):
@@ -36,10 +37,13 @@ def pii(spark, docs, sf_dir):
 
 
 def mix(spark, docs, sf_dir):
-    """The documents of the mix with their number of copies; those with none are left out."""
+    """The documents of the mix with their number of copies; those with none are left out.
+
+    Columns `copies` and `taken` that the documents may have are replaced.
+    """
     rates = mixed(docs).groupBy(F.col("doc_id").alias("_id")).agg(
         F.max("copies").alias("copies"), F.max("taken").alias("taken"))
-    return docs.join(rates.filter("copies > 0"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    return docs.drop("copies", "taken").join(rates.filter("copies > 0"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
 
 
 STAGES = [
