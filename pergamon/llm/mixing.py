@@ -25,7 +25,7 @@ TOLERANCE = 1e-7
 
 #: Documents of one size and source that are ranked together, about, and offsets tried a source.
 CELL_ROWS = 50_000
-OFFSETS = 32
+OFFSETS = 64
 
 
 def sizes(docs, text="text"):

@@ -3,6 +3,7 @@
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from pergamon.llm import oracle
 from pergamon.llm.chat_format import format_trees, read_back, threads
 from pergamon.llm.decontaminate import benchmark_matches
 from pergamon.llm.html_text import main_texts
@@ -50,7 +51,8 @@ def op6_mixing(spark, sf_dir):
 
 
 def op7_quality_rules(spark, sf_dir):
-    return quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    judged = quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.drop("text").withColumn("broken_rules", F.array_join("broken_rules", ","))
 
 
 def op8_decontamination(spark, sf_dir):
@@ -74,4 +76,6 @@ QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_pii, op3_html_text, op4_near_dup, op5_chat_format, op6_mixing, op7_quality_rules,
     op8_decontamination, op9_lm_scoring, op10_url_filter, pipeline)}
 
-ORACLE_SQL = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+ORACLE_SQL = dict(oracle.ORACLE_SQL)
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
