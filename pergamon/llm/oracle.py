@@ -40,6 +40,7 @@ m AS (
     CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
     CAST(length(t) - length(replace(t, '!', '')) AS BIGINT) AS n_exclamations,
     CAST(len(list_filter(words, lambda x: lower(x) IN ({_STOP}))) AS BIGINT) AS n_stop_words,
+    CAST(len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS BIGINT) AS n_echo_words,
     CAST(len(list_filter(lines, lambda x: regexp_matches(x, '^[ \t]*[-*•]'))) AS BIGINT) AS n_bullet_lines,
     CAST(len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\r]*$'))) AS BIGINT) AS n_cut_lines
   FROM w LEFT JOIN covered ON covered.doc_id = w.doc_id)

@@ -22,10 +22,11 @@ WINDOW = 8
 RULES = (
     ("short_words", "word_chars / n_words", "<", 2.0),
     ("long_words", "word_chars / n_words", ">", 16.0),
-    ("symbols", "n_symbols / n_words", ">", 0.4),
+    ("symbols", "n_symbols / n_words", ">", 0.25),
     ("exclamations", "n_exclamations / n_words", ">", 0.4),
     ("stop_words", "n_stop_words / n_words", "<", 0.02),
-    ("duplicate_lines", "n_dup_lines / n_lines", ">", 0.3),
+    ("echoed_words", "n_echo_words / n_words", ">", 0.3),
+    ("duplicate_lines", "n_dup_lines / n_lines", ">", 0.5),
     ("bullet_lines", "n_bullet_lines / n_lines", ">", 0.9),
     ("cut_lines", "n_cut_lines / n_lines", ">", 0.5),
 )
@@ -51,6 +52,9 @@ def _measures(text):
         "n_stop_words": F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))).cast("long"),
         "_h": F.transform(words, lambda w: F.xxhash64(w)),
     }
+    last, next_ = (F.slice("_h", F.lit(i), F.greatest(F.size("_h") - 1, F.lit(0))) for i in (1, 2))
+    echo = F.filter(F.zip_with(last, next_, lambda a, b: a == b), lambda same: same)
+    yield {"n_echo_words": F.size(echo).cast("long")}
     # hashes of 2, 4, then 8 words in a row, each from two of the step before
     for step, (name, made) in enumerate((("_h", "_h2"), ("_h2", "_h4"), ("_h4", "_h8"))):
         shift = 2 ** step
@@ -80,7 +84,7 @@ def _measures(text):
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
-            "n_exclamations", "n_stop_words", "n_bullet_lines", "n_cut_lines")
+            "n_exclamations", "n_stop_words", "n_echo_words", "n_bullet_lines", "n_cut_lines")
 
 
 def _compiled(rules):

@@ -24,6 +24,7 @@ def model(text):
     return {
         "n_words": n, "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in text),
         "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
+        "n_echo_words": sum(a == b for a, b in zip(words, words[1:])),
         "base_failed": n < 20 or 100 * len(covered) > 30 * n,
     }
 
