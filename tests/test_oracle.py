@@ -6,9 +6,11 @@ import pytest
 from oracle_compare import compare, connect
 
 import __spark_entry__ as entry
+from pergamon.plans.oracle import oracle_sql
+from pergamon.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,16 +20,17 @@ def connection():
 
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_same_rows_as_sql(spark, connection, key):
-    assert compare(spark, connection, SF_DIR, entry.queries()[key], SQL[key]) is None
+    assert compare(spark, connection, SF_DIR, QUERIES[key], SQL[key]) is None
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - set(SQL)))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(SQL)))
 def test_has_rows(spark, key):
-    assert entry.queries()[key](spark, SF_DIR).count() > 0
+    assert QUERIES[key](spark, SF_DIR).count() > 0
 
 
 def test_every_sql_has_its_query():
-    assert set(SQL) <= set(entry.queries())
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_answers_all_conversations(spark, connection):
