@@ -3,6 +3,9 @@ import random
 import __spark_entry__
 import corpus_pipeline
 import pytest
+from oracle_compare import compare, connect
+
+from pergamon.llm import queries
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +57,19 @@ def test_stages_take_no_rows(spark, folder):
 def test_queries_are_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and {n.split("_")[0] for n in names} >= {f"op{i}" for i in range(1, 11)}
+
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
+def test_same_rows_as_sql(spark, key):
+    assert compare(spark, connect(SF_DIR), SF_DIR, queries.QUERIES[key], queries.ORACLE_SQL[key]) is None
+
+
+@pytest.mark.parametrize("key", sorted(set(queries.QUERIES) - set(queries.ORACLE_SQL) - {"pipeline"}))
+def test_queries_read_whole_tables(spark, key):
+    table = "pages" if key.startswith(("op3_", "op10_")) else "documents"
+    rows = queries.QUERIES[key](spark, SF_DIR).count()
+    every = spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
+    assert 0 < rows < every if key.startswith("op8_") else rows == every
