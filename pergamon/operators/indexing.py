@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pergamon import fixed_values as V
 from pergamon.functions.vectors import hashed_embedding
 from pergamon.operators.skew import key_filter
+from pergamon.sources.tables import assign_ids
 
 
 def model_embedding(make_predict, batch_size=64):
@@ -18,22 +19,25 @@ def model_embedding(make_predict, batch_size=64):
     return lambda text: predict(F.col(text) if isinstance(text, str) else text)
 
 
-def embed_text(rows, text="text_chunk", embed=None, dimension=64, output="chunk_embedding"):
+def embed_text(rows, text="text_chunk", embed=None, dimension=V.EMBEDDING_DIMENSION,
+               output="chunk_embedding"):
     """Add an embedding column: the user's model if `embed` is given, else hashed words."""
     column = embed(text) if embed else hashed_embedding(text, dimension)
     return rows.withColumn(output, column)
 
 
-def index_upsert(target, source):
-    """Insert or replace by id; of several source rows with one id the greatest row is kept.
+def index_upsert(target, source, order=()):
+    """Insert or replace by id; of several source rows with one id the last by `order` is kept.
 
-    The survivor comes from an aggregate, which combines before its shuffle, so many copies of
-    one id do not meet in one task.
+    Equal rows in that order go by their other columns. Only ids tell which rows have copies, so
+    the wide rows of the others are neither sorted nor compared.
     """
-    rest = [c for c in source.columns if c != "id"]
-    unique = source.groupBy("id").agg(F.max(F.struct(*rest)).alias("_row")).select("id", "_row.*")
-    kept = key_filter(target, source, ["id"], keep=False)
-    return kept.unionByName(unique.select(*target.columns))
+    several = source.groupBy("id").agg(F.count("*").alias("_n")).where("_n > 1").select("id")
+    rest = [*order, *[c for c in source.columns if c != "id" and c not in order]]
+    last = key_filter(source, several, ["id"]).groupBy("id").agg(F.max(F.struct(*rest)).alias("_row"))
+    unique = key_filter(source, several, ["id"], keep=False).select(*target.columns).unionByName(
+        last.select("id", "_row.*").select(*target.columns))
+    return key_filter(target, source, ["id"], keep=False).unionByName(unique)
 
 
 def index_delete(target, ids):
@@ -44,16 +48,19 @@ def index_delete(target, ids):
 def upsert_batches(chunks, limit=V.BATCH_BYTES, shard_rows=10_000):
     """Number the requests that carry the chunks: about `limit` bytes of text each, in id order.
 
-    A shard is a range of ids, so it has a limited number of rows and the running sum of one
-    shard never depends on another.
+    A shard is `shard_rows` chunks in the order of their ids, whatever the ids are, so requests go on
+    over the ends of documents, and the running sum of one shard never depends on another.
     """
-    shard = F.floor(F.col("id") / shard_rows).cast("long")
+    sized = chunks.select(
+        F.col("id").alias("chunk_id"), F.octet_length("text_chunk").cast("long").alias("bytes")
+    )
+    shard = F.floor((F.col("id") - 1) / shard_rows).cast("long")
+    placed = assign_ids(sized, ["chunk_id"]).select(
+        F.col("chunk_id").alias("id"), shard.alias("shard"), "bytes"
+    )
     running = Window.partitionBy("shard").orderBy("id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    sized = chunks.select(
-        "id", shard.alias("shard"), F.octet_length("text_chunk").cast("long").alias("bytes")
-    )
-    return sized.withColumn(
+    return placed.withColumn(
         "batch", F.floor((F.sum("bytes").over(running) - 1) / limit).cast("long")
     )

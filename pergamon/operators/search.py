@@ -370,7 +370,8 @@ def vector_topk_filtered(index, queries, k=V.TOP_K, metric="cosine", max_queries
     return _search(index, queries, k, True, None, max_queries, block_rows, block_queries, metric)
 
 
-def vector_topk_ann(index, queries, k=V.TOP_K, tables=8, bits=4, dimension=64, filtered=False,
+def vector_topk_ann(index, queries, k=V.TOP_K, tables=8, bits=4,
+                    dimension=V.EMBEDDING_DIMENSION, filtered=False,
                     max_queries=MAX_QUERIES, block_rows=BLOCK_ROWS, block_queries=BLOCK_QUERIES):
     """Top-k among the rows that share a bucket with the query in at least one table.
 

@@ -29,13 +29,13 @@ def as_documents(extracted, document_type):
     return extracted.select(*file_keys(document_type), "extracted_text", "error")
 
 
-def build_index(spark, tables, embed=None, dimension=64):
+def build_index(spark, tables, embed=None, dimension=V.EMBEDDING_DIMENSION):
     """Fill the index from the whole chunk table. Running it again gives the same index."""
     chunks = S.scan_table(spark, tables.chunks)
     S.overwrite(spark, embed_text(chunks, embed=embed, dimension=dimension), tables.index)
 
 
-def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=64):
+def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=V.EMBEDDING_DIMENSION):
     """First fill of all four tables; nothing happens if the text table has rows.
 
     Documents with an error are left out and come again with the next update.
@@ -85,7 +85,7 @@ def _settle(spark, tables):
         S.drop_pending(spark, tables.track, done)
 
 
-def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=64,
+def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=V.EMBEDDING_DIMENSION,
                  checked=False):
     """Take in new documents; the number of files taken in.
 

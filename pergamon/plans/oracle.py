@@ -363,11 +363,11 @@ _ORACLE = {
     "vector_topk_ann": ("vectors vector_queries ann_pairs", _topk(
         "ann_pairs JOIN vector_queries USING (query_id) JOIN vectors USING (id)"
     )),
-    "upsert_batches": ("numbered", """
+    "upsert_batches": ("chunks", """
         SELECT id, shard, bytes, CAST((sum(bytes) OVER (PARTITION BY shard ORDER BY id) - 1)
           // 10000 AS BIGINT) AS batch
-        FROM (SELECT id, id // 10000 AS shard,
-                CAST(octet_length(encode(text_chunk)) AS BIGINT) AS bytes FROM numbered) n"""),
+        FROM (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 10000 AS shard,
+                CAST(octet_length(encode(text_chunk)) AS BIGINT) AS bytes FROM chunks) n"""),
     "chunk_window": ("chunks", "SELECT * FROM chunks"),
     "chunk_recursive_contract": ("texts", r"""
         SELECT id, TRUE AS sizes_hold, TRUE AS is_stripped, TRUE AS is_complete FROM texts
@@ -377,6 +377,11 @@ _ORACLE = {
     "build_index": ("chunks chunk_values", """
         SELECT id, file_name, folder_name, coalesce(n, 0) AS n_filled FROM chunks
         LEFT JOIN (SELECT id, count(*) AS n FROM chunk_values GROUP BY id) f USING (id)"""),
+    "build": ("texts chunks", """
+        SELECT t.file_name, t.folder_name, t.document_type, 'READY' AS status,
+          count(c.id) AS n_indexed
+        FROM texts t LEFT JOIN chunks c
+          ON c.folder_name = t.folder_name AND c.file_name = t.file_name GROUP BY ALL"""),
     "last_user_query": ("conversation_questions", """
         SELECT query_id AS conv_id, question FROM conversation_questions"""),
     "format_history": ("history", "SELECT * FROM history"),

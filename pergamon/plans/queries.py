@@ -424,7 +424,9 @@ def vector_topk_filtered(spark, sf_dir):
 @query
 def vector_topk_ann(spark, sf_dir):
     return _scored(
-        search.vector_topk_ann(W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir))
+        search.vector_topk_ann(
+            W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), dimension=W.DIMENSION
+        )
     )
 
 
@@ -463,16 +465,14 @@ def vector_topk_filtered_blocks(spark, sf_dir):
 @query
 def vector_topk_ann_blocks(spark, sf_dir):
     return _scored(search.vector_topk_ann(
-        W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), **_BLOCKS
+        W.vectors(spark, sf_dir), W.vector_queries(spark, sf_dir), dimension=W.DIMENSION, **_BLOCKS
     ))
 
 
 @query
 def upsert_batches(spark, sf_dir):
-    """Requests over the chunks in the order of their identity numbers."""
-    order = ["folder_name", "file_name", "chunk_location_in_doc"]
-    rows = S.assign_ids(W.chunks(spark, sf_dir).select(*order, "text_chunk"), order)
-    return indexing.upsert_batches(rows)
+    """Requests over the chunks in the order of their stored ids."""
+    return indexing.upsert_batches(W.chunks(spark, sf_dir))
 
 
 # --- chunks and embeddings
@@ -525,8 +525,8 @@ def build_index(spark, sf_dir):
     """The index table after two runs over the chunk table."""
     tables = _tables(spark)
     S.write_append(spark, W.chunks(spark, sf_dir), tables.chunks)
-    lifecycle.build_index(spark, tables)
-    lifecycle.build_index(spark, tables)
+    lifecycle.build_index(spark, tables, dimension=W.DIMENSION)
+    lifecycle.build_index(spark, tables, dimension=W.DIMENSION)
     filled = F.size(F.filter("chunk_embedding", lambda v: v > 0))
     return S.scan_table(spark, tables.index).select(
         "id", "file_name", "folder_name", big(filled, "n_filled")
@@ -536,6 +536,24 @@ def build_index(spark, sf_dir):
 # --- conversations and answers
 
 
+@query
+def build(spark, sf_dir):
+    """All four tables filled from the texts; a second build must change nothing."""
+    tables = _tables(spark)
+    texts = W.texts(spark, sf_dir).select(
+        *tracking.FILE_KEY, "extracted_text", F.lit(None).cast("string").alias("error")
+    )
+    for _ in range(2):
+        lifecycle.build(
+            spark, tables, texts, chunk=chunking.chunk_window, dimension=W.DIMENSION
+        )
+    key = ["folder_name", "file_name"]
+    indexed = S.scan_table(spark, tables.index).groupBy(*key).agg(F.count("*").alias("n_indexed"))
+    return S.scan_table(spark, tables.track).join(indexed, key, "left").select(
+        *tracking.FILE_KEY, "status", F.coalesce("n_indexed", F.lit(0)).alias("n_indexed")
+    )
+
+
 @query
 def last_user_query(spark, sf_dir):
     return chat.last_user_query(W.table(spark, sf_dir, "conversations"))
@@ -559,7 +577,7 @@ def _benchmark_questions(spark, sf_dir):
 
 def _benchmark_hits(spark, sf_dir):
     asked = _benchmark_questions(spark, sf_dir).withColumnRenamed("question", "search_text")
-    return answer.retrieve(W.index(spark, sf_dir), asked)
+    return answer.retrieve(W.index(spark, sf_dir), asked, dimension=W.DIMENSION)
 
 
 @query
@@ -579,7 +597,9 @@ def dedupe_sources(spark, sf_dir):
 
 def _conversation_answers(spark, sf_dir):
     messages = W.table(spark, sf_dir, "conversations")
-    return answer.rag_batch(W.index(spark, sf_dir), answer.conversation_questions(messages))
+    return answer.rag_batch(
+        W.index(spark, sf_dir), answer.conversation_questions(messages), dimension=W.DIMENSION
+    )
 
 
 @query
@@ -610,7 +630,8 @@ def rag_batch_history(spark, sf_dir):
     """Follow-up questions rewritten from their history; the answer shows what the model was given."""
     asked = answer.conversation_requests(W.table(spark, sf_dir, "conversations"))
     answered = answer.rag_batch(
-        W.index(spark, sf_dir), asked, rewrite=chat.follow_up, answer=chat.messages_digest
+        W.index(spark, sf_dir), asked, dimension=W.DIMENSION, rewrite=chat.follow_up,
+        answer=chat.messages_digest,
     )
     return answered.select(
         "query_id", "question", "needs_rewrite", "search_text", "context",
@@ -623,7 +644,7 @@ def evaluate_batch(spark, sf_dir):
     """The answers to the question set, saved and read back."""
     saved = scratch_path(spark, "evaluation")
     answer.evaluate_batch(
-        W.index(spark, sf_dir), _benchmark_questions(spark, sf_dir)
+        W.index(spark, sf_dir), _benchmark_questions(spark, sf_dir), dimension=W.DIMENSION
     ).write.parquet(saved)
     return spark.read.parquet(saved)
 
@@ -687,7 +708,7 @@ def stream_index_update(spark, sf_dir):
     )
     arrivals.stream_index_update(
         W.file_contents(W.as_files(stream)), tables, scratch_path(spark, "stream"),
-        document_type=kind, once=True,
+        document_type=kind, once=True, dimension=W.DIMENSION,
     ).awaitTermination()
     return S.scan_table(spark, tables.track)
 

@@ -14,6 +14,7 @@ from pergamon.operators.chunking import chunk_window, with_chunk_ids
 from pergamon.operators.indexing import embed_text
 
 VOLUME = "dbfs:/Volumes/alt_des/brz_rag/rag_data"
+DIMENSION = 64  # of the checked queries: the size of the given embeddings
 
 
 def table(spark, sf_dir, name):
@@ -197,7 +198,7 @@ def index(spark, sf_dir):
     return embed_text(with_chunk_ids(chunk_window(spread_texts(spark, sf_dir))).select(
         "id", "file_name", "text_chunk", "folder_name", "document_type",
         "chunk_location_in_doc", "total_chunks_in_doc", "chunk_length_in_chars",
-    ))
+    ), dimension=DIMENSION)
 
 
 def event_hits(spark, sf_dir):

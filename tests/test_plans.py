@@ -30,7 +30,7 @@ PYTHON = {
     "vector_topk_ann_blocks", "rag_batch_history", "check_result_shape", "build_context", "dedupe_sources", "answer_prompt", "rag_batch",
 }
 WRITING = {
-    "list_files", "read_text_files", "create_tables", "write_overwrite_if_empty", "write_append", "build_index",
+    "list_files", "read_text_files", "build", "create_tables", "write_overwrite_if_empty", "write_append", "build_index",
     "evaluate_batch", "stream_index_update", "stream_new_files", "purge_tables", "assign_ids",
     "upsert_batches",
 }
