@@ -370,13 +370,18 @@ _ORACLE = {
                 CAST(octet_length(encode(text_chunk)) AS BIGINT) AS bytes FROM chunks) n"""),
     "chunk_window": ("chunks", "SELECT * FROM chunks"),
     "chunk_recursive_contract": ("texts", r"""
-        SELECT id, TRUE AS sizes_hold, TRUE AS is_stripped, TRUE AS is_complete FROM texts
+        SELECT id, TRUE AS sizes_hold, TRUE AS is_stripped, TRUE AS is_complete, TRUE AS is_in_text,
+          TRUE AS is_covered, TRUE AS overlap_holds FROM texts
         WHERE regexp_matches(extracted_text, '\S')"""),
     "embed_text": ("chunk_values", """
         SELECT id, b AS bucket, round(v, 6) AS value FROM chunk_values"""),
     "build_index": ("chunks chunk_values", """
         SELECT id, file_name, folder_name, coalesce(n, 0) AS n_filled FROM chunks
         LEFT JOIN (SELECT id, count(*) AS n FROM chunk_values GROUP BY id) f USING (id)"""),
+    "flat_copies_to_drop": ("gone volume", """
+        SELECT DISTINCT 'dbfs:/Volumes/alt_des/brz_rag/rag_data_flat/' || string_split(path, '/')[-1]
+          AS target_path FROM gone
+        WHERE string_split(path, '/')[-1] NOT IN (SELECT string_split(path, '/')[-1] FROM volume)"""),
     "build": ("texts chunks", """
         SELECT t.file_name, t.folder_name, t.document_type, 'READY' AS status,
           count(c.id) AS n_indexed

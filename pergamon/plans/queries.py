@@ -498,9 +498,19 @@ def chunk_recursive(spark, sf_dir):
 
 @query
 def chunk_recursive_contract(spark, sf_dir):
-    """Per document: chunks are 1 to 1000 characters, without outer spaces, numbered 0 to n-1."""
-    chunks = _recursive(spark, sf_dir)
+    """Per document: chunks are 1 to 1000 characters, without outer spaces, numbered 0 to n-1.
+
+    Against the text: each chunk stands in it, together they hold all its characters but white
+    space, and no more than 200 characters a chunk are there twice.
+    """
+    solid = lambda c: F.length(F.regexp_replace(c, r"\s", ""))
+    texts = W.texts(spark, sf_dir).select("id", F.col("extracted_text").alias("_text"))
+    chunks = _recursive(spark, sf_dir).join(texts, "id")
+    held, whole = F.sum(solid("text_chunk")), F.max(solid("_text"))
     return chunks.groupBy("id").agg(
+        F.min(F.contains("_text", "text_chunk")).alias("is_in_text"),
+        (held >= whole).alias("is_covered"),
+        (held - whole <= 200 * (F.count("*") - 1)).alias("overlap_holds"),
         F.min(F.col("chunk_length_in_chars").between(1, 1000)).alias("sizes_hold"),
         F.min(~F.col("text_chunk").rlike(r"^\s|\s$")).alias("is_stripped"),
         (
@@ -649,6 +659,12 @@ def evaluate_batch(spark, sf_dir):
     return spark.read.parquet(saved)
 
 
+@query
+def flat_copies_to_drop(spark, sf_dir):
+    """Copies in the flat folder that go with the deleted files."""
+    return lifecycle.flat_copies_to_drop(_gone(spark, sf_dir), W.volume(spark, sf_dir), FLAT)
+
+
 # --- contract checks
 
 
