@@ -92,21 +92,24 @@ def best_paths(nodes, branches=1):
     roots = links.join(known, "parent_id", "left_anti").select(
         "node_id", F.lit(None).cast("long").alias("above"), F.lit(0).cast("long").alias("depth"), "score",
         F.col("node_id").alias("root"))
-    state = stored(inner.unionByName(roots), "jumps")
-    leaves = state.select("node_id").join(
-        state.select(F.col("above").alias("node_id")), "node_id", "left_anti")
+    rest, done = stored(inner, "jumps"), stored(roots, "jumps")
+    every = rest.unionByName(done)
+    leaves = every.select("node_id").join(
+        rest.select(F.col("above").alias("node_id")), "node_id", "left_anti")
     jumps, most = [], None
-    while not (open_rows := state.filter("above is not null")).isEmpty():
+    while not rest.isEmpty():  # only nodes that aren't at their root yet are joined again
         most = most or nodes.count()
         if 2 ** len(jumps) > most:
             raise ValueError("parent_id goes round in a circle")
-        jumps.append(open_rows.select("node_id", "above"))
-        next_on = state.select(F.col("node_id").alias("above"), F.col("above").alias("above2"),
-                               F.col("depth").alias("depth2"), F.col("score").alias("score2"), F.col("root").alias("root2"))
-        state = stored(state.join(next_on, "above", "left").select(
-            "node_id", F.col("above2").alias("above"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-            F.coalesce("root", "root2").alias("root")), "jumps")
+        jumps.append(rest.select("node_id", "above"))
+        next_on = rest.unionByName(done).select(
+            F.col("node_id").alias("above"), F.col("above").alias("above2"), F.col("depth").alias("depth2"),
+            F.col("score").alias("score2"), F.col("root").alias("root2"))
+        went = stored(rest.join(next_on, "above").select(
+            "node_id", F.col("above2").alias("above"), (F.col("depth") + F.col("depth2")).alias("depth"),
+            (F.col("score") + F.col("score2")).alias("score"), F.col("root2").alias("root")), "jumps")
+        rest, done = went.filter("above is not null"), done.unionByName(went.filter("above is null"))
+    state = done
     ends = state.join(leaves, "node_id")
     mean = F.col("score") / (F.col("depth") + 1)
     rank = F.row_number().over(Window.partitionBy("root").orderBy(mean.desc(), F.col("depth").desc(), "node_id"))
