@@ -146,7 +146,8 @@ def test_question_finds_the_document_it_was_taken_from(spark):
     origin = {q: d for q, d in origin.items() if d}
     index = W.index(spark, SF_DIR).where("document_type = 'tmp' OR folder_name NOT LIKE '%/pages'")
     hits = answer.retrieve(
-        index, W.table(spark, SF_DIR, "benchmark").selectExpr("item_id query_id", "text search_text")
+        index, W.table(spark, SF_DIR, "benchmark").selectExpr("item_id query_id", "text search_text"),
+        dimension=W.DIMENSION,
     ).select("query_id", F.shiftright("id", 23).alias("doc_id")).collect()
     found = {h["query_id"] for h in hits if h["doc_id"] in origin.get(h["query_id"], ())}
     assert len(origin) >= 15 and len(found) / len(origin) > 0.5
