@@ -48,3 +48,8 @@ REWRITE_SYSTEM_PROMPT = (
     "history, formulate a standalone question which can be understood without the chat history. "
     "Do NOT answer the question, just reformulate it if needed and otherwise return it as is."
 )
+
+# Names of the tables, with the functional name put in.
+TABLE_NAMES = {
+    "text": "ftr_{}_txt", "track": "aux_{}_track", "chunks": "ftr_{}_chunks", "index": "ftr_{}_idx",
+}

@@ -28,10 +28,9 @@ DocumentTables = namedtuple("DocumentTables", ["text", "track", "chunks", "index
 
 def table_names(functional_name, database=None):
     prefix = f"{database}." if database else ""
-    return DocumentTables(
-        f"{prefix}ftr_{functional_name}_txt", f"{prefix}aux_{functional_name}_track",
-        f"{prefix}ftr_{functional_name}_chunks", f"{prefix}ftr_{functional_name}_idx",
-    )
+    return DocumentTables(*[
+        prefix + V.TABLE_NAMES[role].format(functional_name) for role in DocumentTables._fields
+    ])
 
 
 def create_database(spark, name, folder):
