@@ -185,8 +185,12 @@ def _log_probabilities(weights, states, ranks, classes):
 
 
 def _lanes(lengths, lanes):
-    """Documents dealt to lanes, the longest first to the shortest lane: (lane, start) and lane lengths."""
-    lanes = max(1, min(lanes, len(lengths)))
+    """Documents dealt to lanes, the longest first to the shortest lane: (lane, start) and lane lengths.
+
+    The longest document sets the number of steps, so there are no more lanes than keep all their
+    places within about twice the tokens.
+    """
+    lanes = max(1, min(lanes, len(lengths), int(2 * lengths.sum() // lengths.max())))
     heap = np.zeros(lanes, dtype=np.int64)
     lane, start = np.empty(len(lengths), dtype=np.int64), np.empty(len(lengths), dtype=np.int64)
     order = np.argsort(-lengths, kind="stable")
