@@ -36,9 +36,8 @@ WINDOW = 32
 LANES = 512
 TRAINING_LANES = 128
 
-#: One in so many training documents gives gradients; counts come from all of them. Rounds of
-#: averaging, tokens of a slice, and Adam's rate.
-GRADIENT_SHARE = 8
+#: Rounds of averaging, each over another part of the training documents, tokens of a slice in all
+#: rounds, and Adam's rate.
 ROUNDS = 3
 SLICE_TOKENS = 600_000
 RATE = 4e-3
@@ -376,9 +375,8 @@ def language_model_scores(docs, doc_id="doc_id", text="text"):
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Both scores are log10 probabilities of the whole text and its end. Documents with crc32 of the id
-    leaving 1 on division by 5 are held out of all learning. Counts cover every training token; of
-    training documents one in GRADIENT_SHARE, by hash, gives gradients, so this part grows with the
-    corpus too. Null and empty texts have one token, the end. Repeated rows are repeated and learnt
+    leaving 1 on division by 5 are held out of all learning. Counts cover every training token, and
+    every training document gives gradients in one of the rounds, chosen by hash. Null and empty texts have one token, the end. Repeated rows are repeated and learnt
     from as often; without training tokens all words are equally unseen.
 
     Words beyond the HEAD most frequent ones, of any number, get their counts by a join, whose hot keys
@@ -397,10 +395,9 @@ def language_model_scores(docs, doc_id="doc_id", text="text"):
             made = [vocabulary.find(tokens(t.as_py())).astype(np.int32).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["key", "ranks"])
 
-    slices = max(1, -(-n // GRADIENT_SHARE // SLICE_TOKENS))
+    slices = max(1, -(-n // SLICE_TOKENS))
     key = F.xxhash64("doc_id", F.octet_length("text"), F.lit(3))
-    chosen = learnt.withColumn("key", key).filter(F.pmod("key", F.lit(GRADIENT_SHARE)) == 0)
-    samples = stored(chosen.select("key", "text").mapInArrow(sample, "key long, ranks binary").select(
+    samples = stored(learnt.withColumn("key", key).select("key", "text").mapInArrow(sample, "key long, ranks binary").select(
         "ranks", F.pmod(F.shiftright("key", 8), F.lit(ROUNDS)).alias("turn"),
         F.pmod(F.shiftright("key", 16), F.lit(slices)).alias("slice")), "samples")
     weights = _trained(samples, slices, vocabulary)

@@ -56,6 +56,23 @@ def test_order_helps_on_held_out_texts(scored):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_every_training_document_gives_gradients(spark, monkeypatch):
+    monkeypatch.setattr(R, "SLICE_TOKENS", 5_000)
+    seen = []
+
+    def trained(samples, slices, vocabulary):
+        seen.extend((r.turn, r.slice, len(r.ranks) // 4) for r in samples.collect())
+        assert slices > 1
+        return vocabulary.start()
+
+    monkeypatch.setattr(R, "_trained", trained)
+    rows = corpus()
+    found = R.language_model_scores(spark.createDataFrame(rows, "doc_id long, text string")).first()
+    assert len(seen) == sum(zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1 for i, _ in rows)
+    assert sum(n for _, _, n in seen) == found.train_tokens
+    assert {t for t, _, _ in seen} == set(range(R.ROUNDS)) and len({s for _, s, _ in seen}) > 1
+
+
 def small_vocabulary(n=60):
     words = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     words[0] = R.END
