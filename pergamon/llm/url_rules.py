@@ -1,6 +1,6 @@
 """URL filtering by rules: given ones by host and path, and association rules mined from labels.
 
-FP-growth finds combinations of URL tokens that labelled rows share with a bad label. Rules below
+A page's label is that of the document whose number ends its URL path. FP-growth finds combinations of URL tokens that labelled rows share with a bad label. Rules below
 the support, confidence or lift asked for go, and so do rules that a shorter one makes needless. An
 inverted index from tokens to rules then tells which rules a URL meets.
 """
@@ -53,6 +53,11 @@ def _given(rules):
     return F.coalesce(*fits, F.lit(None).cast("struct<rule:string,verdict:string>"))
 
 
+def _document(url):
+    """The number that ends the path of a URL column, before a file extension or slash; null without one."""
+    return F.regexp_extract(_parts(url)[1], r"(?:^|/)([0-9]+)(?:\.[A-Za-z0-9]+)?/?$", 1).try_cast("long")
+
+
 def url_tokens(url, host, path):
     """At most ten tokens of a URL: a fixed number of views of it, none of them unbounded in count."""
     labels = host.split(".")
@@ -77,18 +82,18 @@ def _tokens(batches):
         yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string()))], ["items"])
 
 
-def mined_rules(pages, labels, page_id="page_id", label_id="doc_id", url="url", bad="quality = 0 or toxic = 1",
+def mined_rules(pages, labels, label_id="doc_id", url="url", bad="quality = 0 or toxic = 1",
                 support=SUPPORT, confidence=CONFIDENCE, lift=LIFT, rows=LABELLED_ROWS):
     """[(tokens, confidence)]: rules that lead to the bad label, fewest tokens first.
 
-    Labelled rows are pages whose id is a label's id; an id labelled more than once is bad if any label is.
+    Labelled rows are pages whose URL path ends with the number of a labelled document; an id labelled more than once is bad if any label is.
     Beyond `rows` of them about as many, chosen by hash of the id, are mined. Without labelled rows, or
     without both kinds, there are no rules.
     """
     marks = labels.select(F.col(label_id).alias("_id"), F.expr(bad).alias("_bad")).filter("_id is not null").groupBy(
         "_id").agg(F.max(F.coalesce("_bad", F.lit(False))).alias("_bad"))
     host, path = _parts(F.col(url))
-    known = pages.join(marks, F.col(page_id) == F.col("_id")).select(
+    known = pages.join(marks, _document(F.col(url)) == F.col("_id")).select(
         F.coalesce(F.col(url), F.lit("")).alias("url"), host.alias("host"), path.alias("path"), F.col("_bad").alias("bad"), "_id")
     total = known.count()
     if total > rows:
@@ -140,7 +145,7 @@ def url_verdicts(pages, labels, page_id="page_id", url="url", rules=GIVEN, **min
     shuffled; repeated rows are repeated. Mined rules are few: each holds for at least `support`
     of a bounded number of rows of at most ten tokens.
     """
-    index = Index(mined_rules(pages, labels, page_id=page_id, url=url, **mining))
+    index = Index(mined_rules(pages, labels, url=url, **mining))
     host, path = _parts(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"),
                         host.alias("host"), path.alias("path"))

@@ -47,6 +47,16 @@ def test_mined_rules_judge_held_out_urls(spark):
     assert blocked & late == {i for i in late if i % 4 == 0}
 
 
+def test_labels_are_those_of_the_documents_in_urls(spark):
+    """The page's own id leads to a clean document and the number in the URL to a bad one, or the reverse."""
+    ends = ("", "/", ".html", "?page=2", "#top")
+    rows = [(i, f"https://{'trap' if i % 4 == 0 else 'site' + str(i % 4)}.example.org/de/{i ^ 1}{ends[i % 5]}") for i in range(400)]
+    rows += [(900, "https://site1.example.org/de/" + "9" * 40), (901, "https://site1.example.org/"), (902, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 1), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    assert {r.page_id for r in url_verdicts(pages, labels).filter("verdict = 'block'").collect()} == set(range(0, 400, 4))
+
+
 def test_index_needs_all_tokens():
     index = Index([(frozenset("ab"), 0.9), (frozenset("c"), 0.8)])
     assert index.meets(["a", "b"]) and index.meets(["x", "c"]) and not index.meets(["a", "x"]) and not index.meets([])
