@@ -5,6 +5,7 @@ the support, confidence or lift asked for go, and so do rules that a shorter one
 inverted index from tokens to rules then tells which rules a URL meets.
 """
 
+import math
 import re
 
 import pyarrow as pa
@@ -30,6 +31,7 @@ CONFIDENCE = 0.6
 LIFT = 2.0
 
 BAD = "label:bad"
+_WORD = re.compile(r"[^\W_]+")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -75,17 +77,63 @@ def url_tokens(url, host, path):
     return sorted(tokens)
 
 
+def _worded(kind, text):
+    """A piece of a URL whole and by its words, in lower case."""
+    text = text.lower()
+    return [kind + text, *(kind + w for w in _WORD.findall(text))]
+
+
+def url_items(url, host, path):
+    """All tokens of a URL: its views, and all host labels, path segments, query keys and values, the fragment, with their words."""
+    rest = url[url.find("://") + 3 :] if "://" in url else url
+    rest, _, mark = rest.partition("#")
+    found = set(url_tokens(url, host, path))
+    for label in host.split("."):
+        found.update(_worded("host:", label))
+    for step in path.split("/"):
+        found.update(_worded("path:", step))
+    for pair in re.split("[&;]", rest.partition("?")[2]):
+        key, _, value = pair.partition("=")
+        found.update(_worded("key:", key))
+        found.update(_worded("value:", value))
+    found.update(_worded("mark:", mark))
+    return sorted(found)
+
+
 def _tokens(batches):
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        items = [[*url_tokens(u, h, p), *([BAD] if bad else [])] for u, h, p, bad in zip(*columns)]
-        yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string()))], ["items"])
+        columns = [c.to_pylist() for c in batch.columns[:3]]
+        items = [url_items(*row) for row in zip(*columns)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(items, pa.list_(pa.string())), *batch.columns[3:]], ["items", "bad", "lo", "hi"])
+
+
+def _names(items, n, least):
+    """{token: name} of the tokens that a rule can need; tokens of the very same rows have one name.
+
+    A token in fewer than `least` bad rows is in no rule, and one in all rows adds nothing to any. At most
+    `rows / least` times a row's tokens are left, so they fit the driver. Sets of rows are told apart by
+    their number and two sums of hashes.
+    """
+    counts = items.select(F.explode("items").alias("item"), "bad", "lo", "hi").groupBy("item").agg(
+        F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"), F.sum("lo").alias("lo"), F.sum("hi").alias("hi"))
+    names, first = {}, {}
+    for r in sorted(counts.filter((F.col("bad") >= least) & (F.col("n") < n)).collect(), key=lambda r: r.item):
+        names[r.item] = first.setdefault((r.n, r.lo, r.hi), r.item)
+    return names
 
 
 def mined_rules(pages, labels, label_id="doc_id", url="url", bad="quality = 0 or toxic = 1",
                 support=SUPPORT, confidence=CONFIDENCE, lift=LIFT, rows=LABELLED_ROWS):
-    """[(tokens, confidence)]: rules that lead to the bad label, fewest tokens first.
+    """[(tokens, confidence)]: rules that lead to the bad label, fewest tokens first; see `mined`."""
+    return mined(pages, labels, label_id, url, bad, support, confidence, lift, rows)[0]
+
+
+def mined(pages, labels, label_id="doc_id", url="url", bad="quality = 0 or toxic = 1",
+          support=SUPPORT, confidence=CONFIDENCE, lift=LIFT, rows=LABELLED_ROWS):
+    """(rules, names): [(names, confidence)], fewest first, and the name of each token.
 
+    Tokens that stand in the very same labelled rows have one name, and a rule is met by any of them.
     Labelled rows are pages whose URL path ends with the number of a labelled document; an id labelled more than once is bad if any label is.
     Beyond `rows` of them about as many, chosen by hash of the id, are mined. Without labelled rows, or
     without both kinds, there are no rules.
@@ -98,13 +146,25 @@ def mined_rules(pages, labels, label_id="doc_id", url="url", bad="quality = 0 or
     total = known.count()
     if total > rows:
         known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < int(1_000_003 * rows / total))
-    known = known.select("url", "host", "path", "bad")
-    items = known.mapInArrow(_tokens, "items array<string>").persist()
+    hashed = F.xxhash64("url")
+    known = known.select("url", "host", "path", "bad", hashed.bitwiseAND(0x7FFFFFFF).alias("lo"),
+                         F.shiftrightunsigned(hashed, 33).alias("hi"))
+    items = known.mapInArrow(_tokens, "items array<string>, bad boolean, lo long, hi long").persist()
     try:
-        n, n_bad = items.agg(F.count("*"), F.sum(F.array_contains("items", BAD).cast("long"))).first()
+        n, n_bad = items.agg(F.count("*"), F.sum(F.col("bad").cast("long"))).first()
         if not n_bad or n_bad == n:
-            return []
-        model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST_ROWS / n), minConfidence=confidence).fit(items)
+            return [], {}
+        share = max(support, LEAST_ROWS / n)
+        names = _names(items, n, math.ceil(share * n - 1e-9))
+
+        def named(batches):
+            for batch in batches:
+                rows = [[*sorted({names[t] for t in tokens if t in names}), *([BAD] if bad else [])]
+                        for tokens, bad in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["items"])
+
+        model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(
+            items.mapInArrow(named, "items array<string>"))
         found = model.associationRules.filter(
             (F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") >= lift)).collect()
     finally:
@@ -114,13 +174,14 @@ def mined_rules(pages, labels, label_id="doc_id", url="url", bad="quality = 0 or
         tokens = frozenset(row.antecedent)
         if not any(shorter < tokens and c >= row.confidence for shorter, c in kept):
             kept.append((tokens, row.confidence))
-    return kept
+    return kept, names
 
 
 class Index:
-    """Rules by token: a rule is met when all its tokens have been seen."""
+    """Rules by token: a rule is met when all its tokens, or others of their names, have been seen."""
 
-    def __init__(self, rules):
+    def __init__(self, rules, names=None):
+        self.names = names
         self.sizes = [len(tokens) for tokens, _ in rules]
         self.rules = {}
         for i, (tokens, _) in enumerate(rules):
@@ -129,6 +190,8 @@ class Index:
 
     def meets(self, tokens):
         left = {}
+        if self.names is not None:
+            tokens = {self.names[t] for t in tokens if t in self.names}
         for t in tokens:
             for i in self.rules.get(t, ()):
                 left[i] = left.get(i, self.sizes[i]) - 1
@@ -143,9 +206,9 @@ def url_verdicts(pages, labels, page_id="page_id", url="url", rules=GIVEN, **min
     A given rule decides where one fits; elsewhere the verdict is block if a mined rule is met, else allow.
     Null URLs and such without :// have an empty host and path. Rows are independent and never
     shuffled; repeated rows are repeated. Mined rules are few: each holds for at least `support`
-    of a bounded number of rows of at most ten tokens.
+    of a bounded number of rows.
     """
-    index = Index(mined_rules(pages, labels, url=url, **mining))
+    index = Index(*mined(pages, labels, url=url, **mining))
     host, path = _parts(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"),
                         host.alias("host"), path.alias("path"))
@@ -155,7 +218,7 @@ def url_verdicts(pages, labels, page_id="page_id", url="url", rules=GIVEN, **min
     def judge(batches):
         for batch in batches:
             urls, hosts, paths, given = (batch.column(i).to_pylist() for i in (1, 2, 3, 5))
-            verdicts = [v or ("block" if index.meets(url_tokens(u, h, p)) else "allow")
+            verdicts = [v or ("block" if index.meets(url_items(u, h, p)) else "allow")
                         for u, h, p, v in zip(urls, hosts, paths, given)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *batch.columns[2:5], pa.array(verdicts, pa.string())],

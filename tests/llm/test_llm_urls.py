@@ -1,4 +1,4 @@
-from pergamon.llm.url_rules import Index, mined_rules, url_tokens, url_verdicts
+from pergamon.llm.url_rules import Index, mined_rules, url_items, url_tokens, url_verdicts
 
 
 def given(url):
@@ -65,3 +65,20 @@ def test_index_needs_all_tokens():
 def test_tokens_are_few():
     for u in URLS:
         assert len(url_tokens(u or "", *given(u)[:2])) <= 10
+
+
+def test_items_cover_the_whole_url():
+    url = "https://my-shop.a.example.org/en/casino/free-bonus.html?a=1&utm=spam"
+    assert {"host:my", "host:shop", "host:a", "path:casino", "path:free", "path:bonus", "path:free-bonus.html", "key:a", "key:utm",
+            "value:spam"} <= set(url_items(url, *given(url)[:2]))
+
+
+def test_words_anywhere_in_a_url_give_rules(spark):
+    def url(i):
+        return (f"https://site{i % 7}.example.org/en/{'casino' if i % 4 == 0 else 'news'}/x{i % 5}/{i}?a=1"
+                + ("&utm=spam" if i % 4 == 1 else "&ref=mail"))
+
+    pages = spark.createDataFrame([(i, url(i)) for i in range(1200)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 1), 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    blocked = {r.page_id for r in url_verdicts(pages, labels, lift=1.5).filter("verdict = 'block'").collect()}
+    assert blocked == {i for i in range(1200) if i % 4 < 2}
