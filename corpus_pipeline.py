@@ -21,9 +21,21 @@ def quality(spark, docs, sf_dir):
 
 
 def near_dup(spark, docs, sf_dir):
-    """One document of each group of near copies stays, the one with the smallest doc_id."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each group of near copies stays, the first of those with the smallest doc_id.
+
+    Rows go by a number of their own, so null and repeated ids, and repeated rows, are told apart. A null id
+    comes after all others.
+    """
+    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_doc"))
+    rows = stored(numbered, "rows")  # the numbers must not change between uses
+    texts = rows.select("_row", F.col("_doc.text").alias("text"))
+    found = near_duplicates(texts, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    ids = rows.select("_row", F.col("_doc.doc_id").alias("id"))
+    found = stored(found.join(ids, "_row"), "components")
+    first = F.min(F.struct(F.isnull("id").alias("unnamed"), "id", "_row"))
+    stays = found.groupBy("component_id").agg(first.alias("m")).select(F.col("m._row").alias("_row"))
+    gone = found.select("_row").join(stays, "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select("_doc.*")
 
 
 def decontaminate(spark, docs, sf_dir):

@@ -42,6 +42,18 @@ def test_every_stage_takes_effect(spark, folder):
     assert all(r.kept == "own" and r.n_words == 1 for r in seen["pii"].values())
 
 
+def test_near_dup_goes_by_rows(spark, folder):
+    texts = [f" {k} ".join(f"{k}{i}" for i in range(40)) for k in "abcdef"]
+    rows = [(1, texts[0], "x"), (None, texts[0], "y"),  # a copy without an id: only that row goes
+            (None, texts[1], "z"), (None, texts[1] + " tail", "w"),  # near copies without ids: one stays
+            (7, texts[2], "p"), (8, texts[2], "q"), (8, texts[3], "r"),  # an id shared by a copy and another text
+            (9, texts[4], "s"), (9, texts[4], "s"), (9, texts[4], "s"),  # repeated rows: one stays
+            (None, texts[5], "t"), (None, None, "u"), (None, "", "v"), (None, None, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(3)
+    out = sorted(r.note for r in corpus_pipeline.near_dup(spark, docs, folder).collect())
+    assert [n for n in out if n not in "zw"] == sorted("xpqrstuvu".replace("q", "")) and sum(n in "zw" for n in out) == 1
+
+
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in out} <= set(range(60)) | {103} and len(out) > 30
