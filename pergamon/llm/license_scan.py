@@ -21,7 +21,7 @@ PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
-#: Words of notices, with the label they give. Short ones are looked for in lines.
+#: Words of notices, with the label they give.
 TEMPLATES = (
     ("released under the mit license", "mit"),
     ("licensed under the mit license", "mit"),
@@ -50,7 +50,8 @@ TEMPLATES = (
 #: Share of a template's distinct words that a block must hold.
 THRESHOLD = 0.9
 
-#: Templates of more words than this may run over lines: they are looked for in windows of words.
+#: Templates of up to so many words are looked for in lines and in windows of twice their own length;
+#: longer ones in windows of twice the longest template.
 LINE_WORDS = 16
 
 
@@ -61,7 +62,7 @@ class Templates:
         texts = [(plain_words(text.encode()), label) for text, label in templates]
         words = sorted({w for t, _ in texts for w in t}, key=lambda w: (counts.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(words)}
-        self.rows, self.heads = [], {}
+        self.rows, self.heads, self.lengths = [], {}, [len(t) for t, _ in texts]
         for i, (text, label) in enumerate(texts):
             ordered = sorted({self.rank[w] for w in text})
             need = math.ceil(threshold * len(ordered) - 1e-9)
@@ -72,8 +73,8 @@ class Templates:
         self.window = max((len(t) for t, _ in texts if len(t) > LINE_WORDS), default=0)
         self.least = min((need for _, _, need, _ in self.rows), default=0)
 
-    def match(self, words, long):
-        """{template number: share of its words} of those that the block meets."""
+    def match(self, words, long, length=None):
+        """{template number: share of its words} of those that the block meets; of one length only if it is given."""
         ranks = sorted({self.rank[w] for w in words if w in self.rank})
         if len(ranks) < self.least:
             return {}
@@ -81,7 +82,7 @@ class Templates:
         for place, r in enumerate(ranks):
             for i, at in self.heads.get(r, ()):
                 members, _, need, is_long = self.rows[i]
-                if is_long != long or i in tried or len(ranks) < need or place > len(ranks) - need:
+                if is_long != long or length not in (None, self.lengths[i]) or i in tried or len(ranks) < need or place > len(ranks) - need:
                     continue
                 tried.add(i)  # this is the first word they share: what follows it bounds the overlap
                 if min(len(members) - at, len(ranks) - place) < need:
@@ -110,6 +111,28 @@ class Templates:
         return best
 
 
+    def wrapped(self, data):
+        """{label: best share} of short templates in windows of the whole text, whatever its lines.
+
+        A template of n words meets windows of 2n words, n apart, so each run of n words lies in one. Only
+        windows with a word that the template's prefix has are looked at.
+        """
+        words, best, seen = plain_words(data), {}, set()
+        for at in [i for i, w in enumerate(words) if w in self.head_words]:
+            for i, _ in self.heads[self.rank[words[at]]]:
+                n, is_long = self.lengths[i], self.rows[i][3]
+                if is_long:
+                    continue
+                last = max(0, -(-len(words) // n) - 2)  # the last window reaches the end
+                for k in {min(at // n, last), min(max(at // n - 1, 0), last)}:
+                    if (n, k) not in seen:
+                        seen.add((n, k))
+                        for j, share in self.match(words[k * n : (k + 2) * n], False, n).items():
+                            label = self.rows[j][1]
+                            best[label] = max(best.get(label, 0.0), share)
+        return best
+
+
 _PHRASES = [(b" " + p.encode() + b" ", label) for p, label in PHRASES]
 
 
@@ -161,6 +184,8 @@ def license_scan(docs, doc_id="doc_id", text="text", templates=TEMPLATES, thresh
                 data = value.as_py()
                 words = plain_words(data)
                 base, more = phrases(words), index.scan(data)
+                for label, share in index.wrapped(data).items():
+                    more[label] = max(more.get(label, 0.0), share)
                 labels = {label for _, label in base}
                 rows.append((
                     len(words), len(base), min((b[0] for b in base), default=None),

@@ -67,3 +67,32 @@ def test_rows(spark):
     r = by_id[None]
     assert (r.n_base, r.first_word, r.last_word, r.labels) == (2, 0, 3, "cc-by-nc")
     assert license_scan(docs.limit(0)).count() == 0
+
+
+def test_wrapped_notices(spark):
+    rows = [(1, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"),
+            (2, "licensed under the GNU\nGeneral Public License version 3"),
+            (3, "subject to the terms " + "of x\n" * 40 + "the mozilla public license v 2 0")]
+    found = {r.doc_id: (r.labels, r.base_labels) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1] == ("mpl-2", "") and found[2] == ("gpl-3", "") and found[3] == ("", "")
+
+
+def test_windows_are_those_of_brute_force():
+    rng = random.Random(9)
+    counts = {w: rng.randrange(1000) for t, _ in TEMPLATES for w in plain_words(t.encode())}
+    vocabulary = sorted(counts) + [b"other", b"words"]
+    short = [(plain_words(t.encode()), label) for t, label in TEMPLATES if len(t.split()) <= 16]
+    index, hits = Templates(counts), 0
+    for _ in range(400):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(0, 30))]
+        words += [w for w in rng.choice(short)[0] if rng.random() < 0.95] + [rng.choice(vocabulary) for _ in range(rng.randint(0, 30))]
+        expected = {}
+        for t, label in short:
+            for i in range(0, max(1, len(words) - len(t)), len(t)):
+                share = len(set(t) & set(words[i:i + 2 * len(t)])) / len(set(t))
+                if share >= THRESHOLD - 1e-12:
+                    expected[label] = max(expected.get(label, 0), share)
+        data = b"".join(w + rng.choice((b" ", b"\n")) for w in words)
+        assert index.wrapped(data) == expected
+        hits += bool(expected)
+    assert 40 < hits
