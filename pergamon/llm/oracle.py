@@ -1,6 +1,8 @@
 """SQL for the queries that DuckDB can express in full, over the same tables."""
 
 from pergamon.llm.chat_format import CONTROLS, END, TRAINED, TURN
+from pergamon.llm.divergence import MIN_DOCUMENTS, SCALE, TOP_TERMS
+from pergamon.llm.fill_middle import CUT_PERCENT, SEED, SENTINELS, SUFFIX_FIRST_PERCENT
 from pergamon.llm.near_dup import LINK_PERCENT, SHINGLE
 from pergamon.llm.quality import RULES, STOP_WORDS, WINDOW
 
@@ -87,4 +89,59 @@ SELECT conv_id, count(*) AS n_turns,
 FROM m GROUP BY conv_id
 """
 
-ORACLE_SQL = {"op4_near_dup": NEAR_DUP, "op5_chat_format": CHAT, "op7_quality_rules": QUALITY}
+_P, _S, _M = SENTINELS
+_MARKED = " OR ".join(f"contains(t, '{s}')" for s in SENTINELS)
+_DRAWS = ", ".join(f"CAST(concat('0x', substr(h, {8 * i + 1}, 8)) AS BIGINT) AS h{i + 1}" for i in range(4))
+
+MIDDLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('{SEED}:', doc_id)) AS h FROM documents),
+n AS (SELECT *, CAST(length(t) AS BIGINT) AS n, {_DRAWS} FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR {_MARKED} OR h3 % 100 >= {CUT_PERCENT} THEN 'plain'
+      WHEN h4 % 100 < {SUFFIX_FIRST_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM n),
+s AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('{_P}', prefix, '{_S}', suffix, '{_M}', middle)
+    ELSE concat('{_S}', suffix, '{_P}', prefix, '{_M}', middle) END) AS output_sha256, sha256(t) AS restored_sha256
+FROM s
+"""
+
+
+def _share_of(count, total):
+    return f"1 + (({SCALE} * (CAST({count} AS HUGEINT) + 1)) // ({total} + v))"
+
+
+DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\x{{80}}-\x{{10FFFF}}]+') AS words FROM documents),
+w AS (SELECT row, lang, source, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= {MIN_DOCUMENTS}),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+seen AS (SELECT lang, source, term, count(*) AS c FROM w GROUP BY lang, source, term),
+dense AS (
+  SELECT g.lang, g.source, k.term, k.c AS lang_c, coalesce(s.c, 0) AS c FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+totals AS (SELECT lang, source, sum(c) AS n FROM dense GROUP BY lang, source),
+priced AS (
+  SELECT e.lang, e.source, term, c, {_share_of('c', 't.n')} AS p, {_share_of('lang_c', 'l.n')} AS q FROM dense e
+  JOIN totals t ON t.lang = e.lang AND t.source = e.source JOIN langs l ON l.lang = e.lang),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN priced x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN priced y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM priced WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM parts) r
+WHERE part = 'pair' OR rank <= {TOP_TERMS}
+"""
+
+ORACLE_SQL = {
+    "op4_near_dup": NEAR_DUP, "op5_chat_format": CHAT, "op7_quality_rules": QUALITY, "op11_fill_middle": MIDDLE,
+    "op12_source_divergence": DIVERGENCE}

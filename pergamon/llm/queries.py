@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pergamon.llm import oracle
 from pergamon.llm.chat_format import format_trees, read_back, threads
 from pergamon.llm.decontaminate import benchmark_matches
+from pergamon.llm.divergence import source_divergence
+from pergamon.llm.fill_middle import fill_in_middle, restored
 from pergamon.llm.html_text import main_texts
 from pergamon.llm.license_scan import license_scan
 from pergamon.llm.mixing import mixed
@@ -13,6 +15,7 @@ from pergamon.llm.near_dup import near_duplicates
 from pergamon.llm.pii import personal_data
 from pergamon.llm.quality import quality_rules
 from pergamon.llm.recurrent_lm import language_model_scores
+from pergamon.llm.simhash import simhash_duplicates
 from pergamon.llm.url_rules import url_verdicts
 
 
@@ -68,13 +71,31 @@ def op10_url_filter(spark, sf_dir):
     return url_verdicts(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op11_fill_middle(spark, sf_dir):
+    """Sizes, form and digests of every output, and of the text that is restored from it."""
+    made = fill_in_middle(_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored().cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark, sf_dir):
+    return simhash_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_pii, op3_html_text, op4_near_dup, op5_chat_format, op6_mixing, op7_quality_rules,
-    op8_decontamination, op9_lm_scoring, op10_url_filter, pipeline)}
+    op8_decontamination, op9_lm_scoring, op10_url_filter, op11_fill_middle, op12_source_divergence,
+    op13_simhash, pipeline)}
 
 ORACLE_SQL = dict(oracle.ORACLE_SQL)
 if corpus_pipeline.ORACLE_SQL:
