@@ -27,8 +27,9 @@ SCALE = 1_000_000_000
 SHARD_TERMS = 1 << 16
 HELD_TERMS = 400_000
 
-#: Keys that gallop together.
-GALLOP = 64
+#: Keys that gallop together, and counts whose shares are tabled.
+GALLOP = 1024
+TABLE = 1 << 12
 
 _UPPER = range(ord("A"), ord("Z") + 1)
 _LOWER = range(ord("a"), ord("z") + 1)
@@ -42,42 +43,49 @@ def terms(data):
 
 def _counts(batches):
     """(lang, source, term, documents, times), added up over what a task can hold."""
-    held, size = {}, 0
+    held = {}
 
     def table():
-        keys = [(lang, source, term, *n) for (lang, source), seen in held.items() for term, n in seen.items()]
-        columns = list(zip(*keys)) or [()] * 5
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "source", "term", "documents", "times"])
+        parts = []
+        for (lang, source), (documents, times) in held.items():
+            n = len(times)
+            words = list(times)
+            parts.append(pa.RecordBatch.from_arrays(
+                [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(words, pa.binary()),
+                 pa.array([documents[w] for w in words], pa.int64()), pa.array(list(times.values()), pa.int64())],
+                ["lang", "source", "term", "documents", "times"]))
+        return parts
 
     for batch in batches:
         langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang, source, text in zip(langs, sources, batch.column(2)):
-            seen = held.setdefault((lang, source), {})
-            before = len(seen)
-            for term, times in Counter(terms(text.as_py())).items():
-                n = seen.get(term)
-                if n is None:
-                    seen[term] = [1, times]
-                else:
-                    n[0] += 1
-                    n[1] += times
-            size += len(seen) - before
-            if size >= HELD_TERMS:
-                yield table()
-                held, size = {}, 0
-    yield table()
+            documents, times = held.setdefault((lang, source), (Counter(), Counter()))
+            words = terms(text.as_py())
+            times.update(words)
+            documents.update(set(words))
+        if sum(len(times) for _, times in held.values()) >= HELD_TERMS:
+            yield from table()
+            held.clear()
+    yield from table()
 
 
 def share(count, total, kept):
-    """1 + floor(SCALE * (count + 1) / (total + kept)), exactly, for whole numbers."""
+    """1 + floor(SCALE * (count + 1) / (total + kept)), exactly, for whole numbers.
+
+    Small counts, which most are, take theirs from a table.
+    """
     count, size = np.asarray(count, dtype=np.int64), int(total) + int(kept)
     if not len(count):
         return count
-    if int(count.max()) + 1 < (1 << 62) // SCALE:
-        return 1 + SCALE * (count + 1) // size
-    return np.array([1 + SCALE * (int(c) + 1) // size for c in count], dtype=np.int64)
+    top = int(count.max())
+    if top >= TABLE:
+        large = count >= TABLE
+        out = np.empty(len(count), dtype=np.int64)
+        out[~large] = share(count[~large], total, kept)
+        out[large] = [1 + SCALE * (c + 1) // size for c in count[large].tolist()]
+        return out
+    table = 1 + SCALE * np.arange(1, top + 2, dtype=np.int64) // size
+    return table[count]
 
 
 def price(p, q):
@@ -85,6 +93,22 @@ def price(p, q):
     return (p - q) * (p - q) // q
 
 
+def priced(p, q, times=1):
+    """Prices of some words both ways, `times` each, added up."""
+    square = (p - q) * (p - q)
+    return int(np.sum(square // q * times)), int(np.sum(square // p * times))
+
+
+def _alone(counts, total, kept, other):
+    """Prices of words that only one side uses, both ways: equal small counts are priced once."""
+    values, times = counts, 1
+    if len(counts) and int(counts.max()) < TABLE:
+        times = np.bincount(counts)
+        values = np.flatnonzero(times)
+        times = times[values]
+    return priced(share(values, total, kept), other, times)
+
+
 def gallop(keys, ids):
     """For each of some sorted keys the first place in sorted `ids` that isn't below it.
 
@@ -110,14 +134,13 @@ def merged(ids_a, counts_a, total_a, ids_b, counts_b, total_b, kept):
     at = gallop(ids_a, ids_b)
     both = at < len(ids_b)
     both[both] = ids_b[at[both]] == ids_a[both]
-    used_b = np.zeros(len(ids_b), dtype=bool)
-    used_b[at[both]] = True
-    p, q = share(counts_a, total_a, kept), share(counts_b, total_b, kept)
+    only_b = np.ones(len(ids_b), dtype=bool)
+    only_b[at[both]] = False
     p0, q0 = share([0], total_a, kept)[0], share([0], total_b, kept)[0]
-    forth = back = 0
-    for x, y in ((p[both], q[at[both]]), (p[~both], q0), (p0, q[~used_b])):
-        forth += int(np.sum(price(x, y)))
-        back += int(np.sum(price(y, x)))
+    shared = priced(share(counts_a[both], total_a, kept), share(counts_b[at[both]], total_b, kept))
+    of_a = _alone(counts_a[~both], total_a, kept, q0)
+    of_b = _alone(counts_b[only_b], total_b, kept, p0)
+    forth, back = shared[0] + of_a[0] + of_b[1], shared[1] + of_a[1] + of_b[0]
     return len(ids_a) + len(ids_b) - int(both.sum()), forth, back
 
 
@@ -162,14 +185,16 @@ def _ranked(rows, limit=None):
 def _kept_words(counts):
     """The kept words of each language: lang, term, shard, tid and lang_times.
 
-    A word's id is its place in its shard, which is chosen by hash and holds about SHARD_TERMS words.
+    A word's id is its place in its shard, which is chosen by hash and holds about SHARD_TERMS words of the
+    language that keeps most.
     """
     words = counts.groupBy("lang", "term").agg(F.sum("documents").alias("documents"), F.sum("times").alias("lang_times"))
     words = stored(words.filter(F.col("documents") >= MIN_DOCUMENTS).select("lang", "term", "lang_times"), "words")
-    shards = max(1, -(-words.count() // SHARD_TERMS))
+    most = words.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
+    shards = max(1, -(-most // SHARD_TERMS))
     by_term = Window.partitionBy("lang", "shard").orderBy("term")
     return words.withColumn("shard", F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int")).withColumn(
-        "tid", F.row_number().over(by_term).cast("long"))
+        "tid", F.row_number().over(by_term))
 
 
 def _pairs(kept, groups):
