@@ -5,6 +5,8 @@ once, without a shuffle; every task keeps its best k per query. With more querie
 index and queries are shuffled in blocks of limited size. Neither form emits the pairs it scores.
 """
 
+import copy
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -67,9 +69,10 @@ class _Best:
         self.id = np.zeros(0, np.int64)
         self.score = np.zeros(0)
         self.place = np.zeros(0)
+        self.tag = np.zeros(0, np.int32)
         self.floor = np.full(len(query_ids), -np.inf)
 
-    def add(self, query, ids, score):
+    def add(self, query, ids, score, tag=0):
         places = np.round(score, DECIMALS) + 0.0
         keep = places >= self.floor[query]
         if not keep.any():
@@ -78,22 +81,25 @@ class _Best:
         self.id = np.concatenate([self.id, ids[keep]])
         self.score = np.concatenate([self.score, score[keep]])
         self.place = np.concatenate([self.place, places[keep]])
+        self.tag = np.concatenate([self.tag, np.full(int(keep.sum()), tag, np.int32)])
         order = np.lexsort((self.id, -self.place, self.query))
         query = self.query[order]
         starts = np.r_[0, np.flatnonzero(np.diff(query)) + 1]
         place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
         order, place = order[place < self.k], place[place < self.k]
         self.query, self.id = self.query[order], self.id[order]
-        self.score, self.place = self.score[order], self.place[order]
+        self.score, self.place, self.tag = self.score[order], self.place[order], self.tag[order]
         last = place == self.k - 1
         self.floor[self.query[last]] = self.place[last]
 
-    def table(self):
+    def table(self, tag=None):
+        tags = {} if tag is None else {tag: pa.array(self.tag, pa.int32())}
         return pa.table({
             "query_id": pa.array(self.query_ids[self.query], pa.int64()),
             "id": pa.array(self.id, pa.int64()),
             "score": pa.array(self.score, pa.float64()),
             "place": pa.array(self.place, pa.float64()),
+            **tags,
         })
 
 
@@ -115,13 +121,28 @@ class _Asked:
         self.sides = None if planes is None else signatures(self.vectors, planes)
         self.filtered = filtered
         if filtered:
-            # a row of this table per selected name, the last one for all other names
             chosen = table["selected_documents"].to_pylist()
+            self.everything = np.array([not names for names in chosen], bool)
             self.names = pa.array(sorted({n for c in chosen for n in c or []}), pa.string())
             place = {n: i for i, n in enumerate(self.names.to_pylist())}
-            self.selects = np.zeros((len(self.names) + 1, len(chosen)), bool)
-            for i, names in enumerate(chosen):
-                self.selects[[place[n] for n in names or []] if names else slice(None), i] = True
+            pairs = sorted({(place[n], i) for i, names in enumerate(chosen) for n in names or []})
+            # who selects a name: the stretch of the pairs that begins with it
+            self.pairs = np.array(pairs, np.int64).reshape(-1, 2)
+        self.of = np.arange(len(self.ids))
+
+    def part(self, queries):
+        """These queries alone, given by their places, for rows that only they may find."""
+        some = copy.copy(self)
+        some.planes, some.of = None, self.of[queries]
+        some.vectors, some.squares = self.vectors[queries], self.squares[queries]
+        if self.filtered:
+            some.everything = self.everything[queries]
+            place = np.full(len(self.everything), -1)
+            place[queries] = np.arange(len(queries))
+            kept = self.pairs[place[self.pairs[:, 1]] >= 0]
+            some.pairs = np.stack([kept[:, 0], place[kept[:, 1]]], axis=1)
+            some.pairs = some.pairs[np.lexsort((some.pairs[:, 1], some.pairs[:, 0]))]
+        return some
 
     def _near(self, vectors):
         """Scores of all rows and queries by one product, and how far they may be off."""
@@ -145,14 +166,20 @@ class _Asked:
         coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
         known = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.names), len(self.names))
         known = np.append(known.to_numpy(zero_copy_only=False), len(self.names)).astype(np.int64)
+        low = np.searchsorted(self.pairs[:, 0], known, "left")
+        size = np.searchsorted(self.pairs[:, 0], known, "right") - low
+        row = np.repeat(np.arange(len(known)), size)
+        within = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        selects = np.tile(self.everything, (len(known), 1))
+        selects[row, self.pairs[np.repeat(low, size) + within, 1]] = True
         codes = pc.fill_null(coded.indices, len(known) - 1).to_numpy(zero_copy_only=False)
-        return self.selects[known[codes.astype(np.int64)]]
+        return selects[codes.astype(np.int64)]
 
     def candidates(self, vectors, names):
         """Which row may be a hit of which query; None if every one may."""
         if not self.filtered and self.planes is None:
             return None
-        shape = (len(vectors), len(self.ids))
+        shape = (len(vectors), len(self.vectors))
         found = np.zeros(shape, bool) if self.planes is not None else np.ones(shape, bool)
         if self.planes is not None:
             sides = signatures(vectors, self.planes)
@@ -168,17 +195,17 @@ class _Asked:
             found &= self.allowed(names)
         return found
 
-    def score(self, best, ids, column, names=None):
+    def score(self, best, ids, column, names=None, tag=0):
         """Add the hits of a batch of index rows, a slice of rows at a time.
 
         Products tell which rows can be among the k best of a slice; what is left gets its score
         from the one exact formula, so neither the slice nor other rows change it. Vectors with a
         NaN or infinite value are no hits of any query.
         """
-        if not len(self.ids):
+        if not len(self.vectors):
             return
         _check_lengths(ids, column, self.dimension)
-        step = max(1, _CELLS // max(len(self.ids), self.vectors.shape[1]))
+        step = max(1, _CELLS // max(len(self.vectors), self.vectors.shape[1]))
         for i in range(0, len(ids), step):
             vectors = _matrix(column.slice(i, step))
             usable = np.flatnonzero(np.isfinite(vectors).all(axis=1))
@@ -190,7 +217,7 @@ class _Asked:
             near, slack = self._near(vectors)
             if candidates is not None:
                 near[~candidates] = -np.inf
-            floor = best.floor
+            floor = best.floor[self.of]
             if len(near) > best.k:
                 kth = len(near) - best.k
                 low = np.partition(near - slack[:, None], kth, axis=0)[kth]
@@ -199,7 +226,17 @@ class _Asked:
             pairs = max(1, _CELLS // vectors.shape[1])
             for j in range(0, len(rows), pairs):
                 row, query = rows[j:j + pairs], queries[j:j + pairs]
-                best.add(query, ids[usable[row] + i], self._exact(vectors[row], self.vectors[query]))
+                best.add(self.of[query], ids[usable[row] + i],
+                         self._exact(vectors[row], self.vectors[query]), tag)
+
+
+def selected_rows(rows, queries):
+    """Rows that some query may find: if every query selects documents, other rows need not reach Python."""
+    chosen = queries["selected_documents"].to_pylist()
+    if not all(chosen):
+        return rows
+    names = rows.sparkSession.createDataFrame([(n,) for n in set().union(*chosen)], "file_name string")
+    return rows.join(F.broadcast(names), "file_name", "left_semi").select(*rows.columns)
 
 
 def _broadcast_hits(index, queries, k, filtered, planes, metric):
@@ -219,13 +256,7 @@ def _broadcast_hits(index, queries, k, filtered, planes, metric):
 
     columns = ["id", "chunk_embedding", *(["file_name"] if filtered else [])]
     rows = index.select(*columns).where("chunk_embedding IS NOT NULL")
-    chosen = queries["selected_documents"].to_pylist() if filtered else []
-    if filtered and all(chosen):
-        # Every query selects documents: other rows need not reach Python at all.
-        names = index.sparkSession.createDataFrame(
-            [(n,) for n in set().union(*chosen)], "file_name string"
-        )
-        rows = rows.join(F.broadcast(names), "file_name", "left_semi").select(*columns)
+    rows = selected_rows(rows, queries) if filtered else rows
     return rows.mapInArrow(hits, _HITS)
 
 
@@ -269,25 +300,20 @@ def _blocks(rows, key, sizes, per_block, other):
     )
 
 
-def _block_hits(index, queries, k, filtered, planes, metric, block_rows, block_queries):
-    """Index and queries meet in blocks of a bucket whose size does not grow with the bucket."""
+def block_hits(rows, asked, k, filtered, metric, block_rows, block_queries, few_buckets, tag=None):
+    """Index and queries meet in blocks of a bucket whose size does not grow with the bucket.
+
+    Both have their bucket in _table and _bucket; `few_buckets` says that their number is bounded.
+    With a `tag` the hits have their bucket in a column of that name.
+    """
     names = ["file_name"] if filtered else []
     chosen = ["selected_documents"] if filtered else []
-    rows = _bucketed(
-        index.select("id", *names, "chunk_embedding").where("chunk_embedding IS NOT NULL"),
-        "chunk_embedding", "id", planes,
-    )
-    asked = _bucketed(
-        queries.select("query_id", *chosen, "query_vector"), "query_vector", "query_id", planes
-    )
     bucket = ["_table", "_bucket"]
     sizes = (
         rows.groupBy(*bucket).agg(F.count("*").alias("_n_rows"))
         .join(asked.groupBy(*bucket).agg(F.count("*").alias("_n_queries")), bucket)
     )
-    # At most tables x 2^bits rows, whatever the data.
-    bounded = planes is None or planes.shape[0] << planes.shape[1] <= 1_000_000
-    sizes = F.broadcast(sizes) if bounded else sizes
+    sizes = F.broadcast(sizes) if few_buckets else sizes
     rows = _blocks(
         rows.join(sizes, bucket), "id", "_n_rows", block_rows,
         ("query_id", "_n_queries", block_queries),
@@ -305,34 +331,52 @@ def _block_hits(index, queries, k, filtered, planes, metric, block_rows, block_q
             left = left.combine_chunks()
             asked.score(
                 best, left["id"].to_numpy(), left["chunk_embedding"],
-                left["file_name"].combine_chunks() if filtered else None,
+                left["file_name"].combine_chunks() if filtered else None, left["_bucket"][0].as_py(),
             )
-        return best.table()
+        return best.table(tag)
 
     left = rows.select(*group, "id", *names, "chunk_embedding")
     right = asked.select(*group, "query_id", *chosen, "query_vector")
-    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(hits, _HITS)
+    schema = _HITS if tag is None else f"{_HITS}, {tag} int"
+    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(hits, schema)
+
+
+def _block_hits(index, queries, k, filtered, planes, metric, block_rows, block_queries):
+    """`block_hits` over the whole index, or over the buckets of hyperplanes."""
+    names = ["file_name"] if filtered else []
+    chosen = ["selected_documents"] if filtered else []
+    rows = _bucketed(
+        index.select("id", *names, "chunk_embedding").where("chunk_embedding IS NOT NULL"),
+        "chunk_embedding", "id", planes,
+    )
+    asked = _bucketed(
+        queries.select("query_id", *chosen, "query_vector"), "query_vector", "query_id", planes
+    )
+    # At most tables x 2^bits rows, whatever the data.
+    few = planes is None or planes.shape[0] << planes.shape[1] <= 1_000_000
+    found = block_hits(rows, asked, k, filtered, metric, block_rows, block_queries, few)
     return found if planes is None else found.dropDuplicates(["query_id", "id"])
 
 
-def _ranked(hits, k, metric):
+def ranked(hits, k, metric, *more):
+    """The k best hits of each query, with their rank."""
     best = Window.partitionBy("query_id").orderBy(F.col("place").desc(), "id")
     return (
         hits.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select(
             "query_id", "id", "rank",
-            (F.col("score") if metric == "cosine" else -F.col("score")).alias("score"),
+            (F.col("score") if metric == "cosine" else -F.col("score")).alias("score"), *more,
         )
     )
 
 
-def _search(index, queries, k, filtered, planes, max_queries, block_rows, block_queries,
-            metric="cosine"):
-    if metric not in ("cosine", "squared_l2"):
-        raise ValueError(f"metric is cosine or squared_l2, not {metric}")
+def asked_once(queries, filtered, max_queries):
+    """The queries, made once, and also as an Arrow table if there are few of them and they are light.
+
+    Query vectors may come from a model, so they are written to the shared folder and then only read.
+    """
     columns = ["query_id", *(["selected_documents"] if filtered else []), "query_vector"]
-    # Query vectors may come from a model: they are made once, and then only read.
     asked = queries.select(*columns).where("query_vector IS NOT NULL")
     shared_folder(asked.sparkSession)
     asked = asked.checkpoint()
@@ -341,14 +385,22 @@ def _search(index, queries, k, filtered, planes, max_queries, block_rows, block_
         F.sum(F.size("query_vector") * 8 + (
             F.length(F.array_join("selected_documents", " ")) if filtered else F.lit(0))),
     ).first()
-    if size[0] <= max_queries and (size[1] or 0) <= MAX_QUERY_BYTES:
-        few = asked.toArrow()
+    few = size[0] <= max_queries and (size[1] or 0) <= MAX_QUERY_BYTES
+    return asked, asked.toArrow() if few else None
+
+
+def _search(index, queries, k, filtered, planes, max_queries, block_rows, block_queries,
+            metric="cosine"):
+    if metric not in ("cosine", "squared_l2"):
+        raise ValueError(f"metric is cosine or squared_l2, not {metric}")
+    asked, few = asked_once(queries, filtered, max_queries)
+    if few is not None:
         hits = _broadcast_hits(index, few, k, filtered, planes, metric)
     else:
         hits = _block_hits(
             index, asked, k, filtered, planes, metric, block_rows, block_queries
         )
-    return _ranked(hits, k, metric)
+    return ranked(hits, k, metric)
 
 
 def vector_topk(index, queries, k=V.TOP_K, metric="cosine", max_queries=MAX_QUERIES,

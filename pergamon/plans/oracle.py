@@ -207,6 +207,19 @@ _VIEWS["buckets"] = ("vectors planes", """
 _VIEWS["ann_pairs"] = ("vectors vector_queries buckets", """
     SELECT DISTINCT a.id AS query_id, c.id FROM buckets a JOIN buckets c USING (t, bucket)""")
 
+# Lists around the vectors whose ids come first by MD5, the five nearest of a vector's own and of a query's.
+_LISTS, _PROBES = 16, 5
+_VIEWS["centroids"] = ("vectors", f"""
+    SELECT c, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR)), id) AS list FROM (
+      SELECT min(id) AS id, v AS c FROM vectors GROUP BY v ORDER BY md5(CAST(min(id) AS VARCHAR)), 1 LIMIT {_LISTS}) s""")
+_VIEWS["near_lists"] = ("vectors centroids", """
+    SELECT id, list, row_number() OVER (
+      PARTITION BY id ORDER BY list_cosine_similarity(v, c) DESC, list) AS near FROM vectors, centroids""")
+_VIEWS["list_pairs"] = ("vectors near_lists", f"""
+    SELECT q.id AS query_id, r.id FROM near_lists q JOIN near_lists r ON q.list = r.list
+    WHERE q.near <= {_PROBES} AND r.near = 1""")
+_IN_LISTS = "list_pairs JOIN vector_queries USING (query_id) JOIN vectors USING (id)"
+
 _ORACLE = {
     "list_files": ("", """
         SELECT doc_id, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM documents"""),
@@ -360,6 +373,11 @@ _ORACLE = {
     "vector_topk_l2_filtered": ("vectors vector_queries", _topk(
         f"vector_queries JOIN vectors ON {_CANDIDATES}", "pow(list_distance(q, v), 2)", "ASC"
     )),
+    "vector_topk_lists": ("vectors vector_queries list_pairs", _topk(_IN_LISTS)),
+    "vector_topk_lists_filtered": ("vectors vector_queries list_pairs", _topk(f"{_IN_LISTS} WHERE {_CANDIDATES}")),
+    "lists_recall": ("vectors", """
+        SELECT count(*) AS n_queries, CAST(count(*) * least(5, count(*)) AS BIGINT) AS n_neighbours,
+          TRUE AS reached FROM vectors"""),
     "vector_topk_ann": ("vectors vector_queries ann_pairs", _topk(
         "ann_pairs JOIN vector_queries USING (query_id) JOIN vectors USING (id)"
     )),
@@ -490,8 +508,9 @@ def _with_views(needs, body):
     return (f"WITH {views}\n" if views else "") + body
 
 
-for _form in ("vector_topk", "vector_topk_l2", "vector_topk_filtered", "vector_topk_ann"):
+for _form in ("vector_topk", "vector_topk_l2", "vector_topk_filtered", "vector_topk_ann", "vector_topk_lists"):
     _ORACLE[f"{_form}_blocks"] = _ORACLE[_form]
+_ORACLE["rag_batch_lists"] = _ORACLE["rag_batch"]
 
 
 def oracle_sql():

@@ -6,7 +6,7 @@ from pergamon import fixed_values as V
 from pergamon import schemas
 from pergamon.functions import paths as P
 from pergamon.functions import text as X
-from pergamon.operators import chat, chunking, indexing, quality, search, snapshots, tracking
+from pergamon.operators import chat, chunking, indexing, lists, quality, search, snapshots, tracking
 from pergamon.plans import answer, lifecycle
 from pergamon.session import scratch_path
 from pergamon.sources import files as files_source
@@ -469,6 +469,49 @@ def vector_topk_ann_blocks(spark, sf_dir):
     ))
 
 
+# Lists around vectors of the table itself, so that SQL knows the centroids too.
+_LISTS = {"lists": 16, "rounds": 0, "probes": 5}
+
+
+def _listed(spark, sf_dir, **settings):
+    rows = W.vectors(spark, sf_dir).drop("label")
+    return lists.build_lists(W.spread(rows, rows, "id"), **settings)
+
+
+@query
+def vector_topk_lists(spark, sf_dir):
+    """The best of the five nearest of 16 lists."""
+    listed = _listed(spark, sf_dir, **_LISTS)
+    hits = lists.vector_topk_lists(spark, listed, W.vector_queries(spark, sf_dir))
+    return _scored(hits)
+
+
+@query
+def vector_topk_lists_filtered(spark, sf_dir):
+    listed = _listed(spark, sf_dir, **_LISTS)
+    return _scored(lists.vector_topk_lists(
+        spark, listed, W.vector_queries(spark, sf_dir), filtered=True))
+
+
+@query
+def vector_topk_lists_blocks(spark, sf_dir):
+    listed = _listed(spark, sf_dir, **_LISTS)
+    return _scored(lists.vector_topk_lists(spark, listed, W.vector_queries(spark, sf_dir), **_BLOCKS))
+
+
+@query
+def lists_recall(spark, sf_dir):
+    """Trained lists with measured probes: whether they find nine of ten of the true neighbours."""
+    listed = _listed(spark, sf_dir)
+    asked = W.vector_queries(spark, sf_dir)
+    exact = search.vector_topk(W.vectors(spark, sf_dir), asked).select("query_id", "id")
+    found = lists.vector_topk_lists(spark, listed, asked).select("query_id", "id", F.lit(1).alias("found"))
+    share = F.sum(F.coalesce("found", F.lit(0))) / F.count("*")
+    return exact.join(found, ["query_id", "id"], "left").agg(
+        F.countDistinct("query_id").alias("n_queries"), F.count("*").alias("n_neighbours"),
+        (share >= lists.RECALL).alias("reached"))
+
+
 @query
 def upsert_batches(spark, sf_dir):
     """Requests over the chunks in the order of their stored ids."""
@@ -635,6 +678,18 @@ def rag_batch(spark, sf_dir):
     )
 
 
+@query
+def rag_batch_lists(spark, sf_dir):
+    """As `rag_batch`, over an index in lists, all of which are read, so that the answers are the same."""
+    index = lists.build_lists(W.index(spark, sf_dir), rounds=2, probes=1 << 30)
+    asked = answer.conversation_questions(W.table(spark, sf_dir, "conversations"))
+    return answer.rag_batch(index, asked, dimension=W.DIMENSION).select(
+        "query_id", "question", "needs_rewrite", "context",
+        F.array_join("sources", "|").alias("sources"), big("n_retrieved", "n_retrieved"),
+        "answer", "response",
+    )
+
+
 @query
 def rag_batch_history(spark, sf_dir):
     """Follow-up questions rewritten from their history; the answer shows what the model was given."""

@@ -1,0 +1,242 @@
+"""Inverted lists: the rows of a plain search in the same lists, recall, and what the scans read."""
+
+import os
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pergamon.operators import lists, search
+from pergamon.plans import answer
+
+INDEX = "id long, file_name string, chunk_embedding array<float>"
+QUERIES = "query_id long, query_vector array<float>, selected_documents array<string>"
+FORMS = {"broadcast": {}, "blocks": {"max_queries": 3, "block_rows": 50, "block_queries": 7}}
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def unit(m):
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    """Vectors around ten centres, a third of them copies of one; zero, missing and infinite ones."""
+    pick = np.random.default_rng(7)
+    centres = pick.normal(size=(10, 16)) * 3
+    vectors = (centres[pick.integers(0, 10, 400)] + pick.normal(size=(400, 16))).astype(np.float32)
+    vectors[::3] = vectors[0]
+    vectors[7] = 0
+    names = [f"f{i % 7}" if i % 3 else "hot" for i in range(400)]
+    asked = (centres[pick.integers(0, 10, 30)] + pick.normal(size=(30, 16))).astype(np.float32)
+    asked[3], asked[4] = vectors[0], 0
+    chosen = [None if i % 4 == 0 else [] if i % 4 == 1 else ["hot", "f1"] if i % 4 == 2 else ["nowhere"] for i in range(30)]
+    rows = [(i, names[i], vectors[i].tolist()) for i in range(400)]
+    rows += [(900, "hot", None), (901, "hot", [float("inf")] + [1.0] * 15)]
+    index = spark.createDataFrame(rows, INDEX).repartition(5)
+    queries = spark.createDataFrame([(i, asked[i].tolist(), chosen[i]) for i in range(30)], QUERIES)
+    return index, queries, vectors.astype(float), names, asked.astype(float), chosen
+
+
+def brute_force(listed, data, k, filtered=False):
+    """The best rows in each query's nearest lists, by plain loops."""
+    _, _, vectors, names, asked, chosen = data
+    cosine = listed.metric == "cosine"
+    rows, queries = (unit(vectors), unit(asked)) if cosine else (vectors, asked)
+
+    def order(v):
+        return np.argsort(((listed.centroids - v) ** 2).sum(axis=1).round(9), kind="stable")
+
+    home = [order(v)[0] for v in rows]
+    found = {}
+    for q in range(len(queries)):
+        near = set(order(queries[q])[:listed.probes])
+        allowed = [i for i in range(len(rows)) if home[i] in near
+                   and (not filtered or not chosen[q] or names[i] in chosen[q])]
+        score = (lambda i, q=q: -round(float(rows[i] @ queries[q]), 9)) if cosine else (
+            lambda i, q=q: round(float(((rows[i] - queries[q]) ** 2).sum()), 9))
+        best = sorted(allowed, key=lambda i: (score(i), i))[:k]
+        if best:
+            found[q] = best
+    return found
+
+
+def collected(hits):
+    found = {}
+    for r in sorted(hits.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append(r["id"])
+    return found
+
+
+@pytest.fixture(scope="module", params=["cosine", "squared_l2"])
+def listed(request, data):
+    return lists.build_lists(data[0], lists=9, metric=request.param, probes=3, sample_per_list=1000)
+
+
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("filtered", [False, True])
+def test_hits_are_the_best_of_the_nearest_lists(spark, data, listed, form, filtered):
+    hits = lists.vector_topk_lists(spark, listed, data[1], 5, filtered=filtered, **FORMS[form])
+    assert collected(hits) == brute_force(listed, data, 5, filtered)
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_all_lists_give_the_exact_search(spark, data, listed, form):
+    hits = lists.vector_topk_lists(spark, listed, data[1], 7, probes=10_000, **FORMS[form]).drop("list_id")
+    exact = search.vector_topk(data[0], data[1], 7, listed.metric)
+    columns = ["query_id", "id", "rank", F.round("score", 9)]
+    assert hits.select(*columns).exceptAll(exact.select(*columns)).count() == 0
+    assert hits.count() == exact.count()
+
+
+def test_training_is_that_of_plain_rounds(spark, data):
+    index, vectors = data[0], unit(data[2])
+    seeds = lists.train_lists(index, 9, rounds=0, sample_per_list=1000)
+    expected = seeds.copy()
+    for _ in range(3):
+        home = (vectors @ expected.T).argmax(axis=1)
+        for i in set(home):
+            expected[i] = unit(vectors[home == i].sum(axis=0)[None])[0]
+    trained = lists.train_lists(index, 9, rounds=3, sample_per_list=1000)
+    assert np.allclose(trained, expected, atol=1e-6)
+    again = lists.train_lists(index.repartition(11), 9, rounds=3, sample_per_list=1000)
+    assert np.array_equal(trained, again)
+
+
+def test_equal_vectors_give_one_seed_and_no_vectors_an_error(spark):
+    one = spark.createDataFrame([(i, "f", [1.0, 2.0]) for i in range(20)], INDEX)
+    assert lists.train_lists(one, 5).shape == (1, 2)
+    listed = lists.build_lists(one)
+    assert listed.probes == 1 and rows_in(spark, listed) == 20
+    with pytest.raises(ValueError):
+        lists.train_lists(one.limit(0), 5)
+
+
+def rows_in(spark, listed):
+    return lists.rows_of(spark, listed).count()
+
+
+def test_opened_lists_are_those_that_were_built_and_rows_can_be_added(spark, data):
+    index, queries = data[:2]
+    listed = lists.build_lists(index.where("id < 300"), lists=9, probes=4)
+    again = lists.open_lists(spark, listed.path)
+    assert again[:3] == listed[:3] and np.array_equal(again.centroids, listed.centroids)
+    files = set(data_files(listed))
+    lists.add_rows(again, index.where("id >= 300"))
+    assert files < set(data_files(listed))  # old files are still there
+    hits = lists.vector_topk_lists(spark, again, queries, 5)
+    assert collected(hits) == brute_force(again, data, 5)
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        lists.build_lists(index, listed.path, lists=9, probes=4)
+
+
+def data_files(listed):
+    return [f"{folder}/{name}" for folder, _, names in os.walk(f"{listed.path}/rows") for name in names
+            if name.endswith(".parquet")]
+
+
+def scanned_files(frame):
+    """Files read by the scan of the rows, from the metrics of a run."""
+    frame.collect()
+    plan, found = frame._jdf.queryExecution().executedPlan(), []
+
+    def visit(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            node = node.executedPlan()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return visit(node.plan())
+        if "FileSourceScan" in node.getClass().getSimpleName():
+            found.append((node.toString(), node.metrics().get("numFiles").get().value()))
+        for i in range(node.children().size()):
+            visit(node.children().apply(i))
+
+    visit(plan)
+    return [n for text, n in found if "chunk_embedding" in text or "text_chunk" in text]
+
+
+def clustered(spark, n, groups, seed=3):
+    """Rows in well apart groups with text, as a model's vectors lie."""
+    pick = np.random.default_rng(seed)
+    centres = pick.normal(size=(groups, 24))
+    home = pick.integers(0, groups, n)
+    vectors = (centres[home] + 0.25 * pick.normal(size=(n, 24))).astype(np.float32)
+    return spark.createDataFrame(
+        [(i, f"f{i % 50}", "folder", "tmp", f"text {i}", 0, 1, v.tolist()) for i, v in enumerate(vectors)],
+        "id long, file_name string, folder_name string, document_type string, text_chunk string, "
+        "chunk_location_in_doc int, total_chunks_in_doc int, chunk_embedding array<float>").repartition(4)
+
+
+def test_a_query_reads_its_lists_only_and_finds_nine_of_ten(spark):
+    index = clustered(spark, 4000, 60)
+    listed = lists.build_lists(index)
+    n = len(listed.centroids)
+    assert n == 63 and listed.probes <= n // 4
+    asked = index.where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("chunk_embedding").alias("query_vector"))
+    exact = search.vector_topk(index, asked).select("query_id", "id")
+    found = lists.vector_topk_lists(spark, listed, asked).select("query_id", "id")
+    assert exact.join(found, ["query_id", "id"]).count() >= 0.9 * exact.count()
+
+    one = lists.vector_topk_lists(spark, listed, asked.where("query_id = 40"))
+    plan = plan_of(one)
+    assert re.search(r"PartitionFilters: \[.*list_id#?\d* (IN|=)", plan) and "text_chunk" not in plan
+    assert sum(scanned_files(one)) <= len(data_files(listed)) * (listed.probes + 1) / n * 2
+
+
+def test_texts_are_read_from_the_lists_of_the_hits(spark):
+    index = clustered(spark, 2000, 40, 5)
+    listed = lists.build_lists(index, probes=3)
+    asked = index.where("id = 77").select(F.col("id").alias("query_id"), F.col("chunk_embedding").alias("query_vector"))
+    hits = lists.vector_topk_lists(spark, listed, asked)
+    texts = lists.retrieve_columns(spark, listed, hits)
+    plan = plan_of(texts)
+    assert "PartitionFilters" in plan and "In(id" in plan and "chunk_embedding" not in plan.split("ReadSchema")[1]
+    assert sum(scanned_files(texts)) <= 3 * 2 < len(data_files(listed))
+    rows = sorted(texts.collect(), key=lambda r: r["rank"])
+    assert [r["text_chunk"] for r in rows] == [f"text {r['id']}" for r in rows] and rows[0]["id"] == 77
+    plain = search.retrieve_columns(hits.drop("list_id"), index)
+    assert sorted(map(tuple, texts.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_no_queries_and_no_hits(spark, data):
+    listed = lists.build_lists(data[0], lists=4, probes=1)
+    hits = lists.vector_topk_lists(spark, listed, data[1].limit(0))
+    assert hits.count() == 0
+    rows = data[0].withColumn("text_chunk", F.lit("t"))
+    for c in ("folder_name", "document_type"):
+        rows = rows.withColumn(c, F.lit(""))
+    for c in ("chunk_location_in_doc", "total_chunks_in_doc"):
+        rows = rows.withColumn(c, F.lit(0))
+    texts = lists.build_lists(rows, lists=4, probes=1)
+    assert lists.retrieve_columns(spark, texts, lists.vector_topk_lists(spark, texts, data[1].limit(0))).count() == 0
+
+
+def test_questions_are_answered_from_lists(spark):
+    from pergamon.operators.indexing import embed_text
+
+    texts = [(i, f"f{i}", "folder", "tmp", f"the word{i} stands alone here word{i}", 0, 1) for i in range(60)]
+    index = embed_text(spark.createDataFrame(
+        texts, "id long, file_name string, folder_name string, document_type string, text_chunk string, "
+        "chunk_location_in_doc int, total_chunks_in_doc int"), dimension=64)
+    questions = spark.createDataFrame([(i, f"where is word{i}", False) for i in range(8)],
+                                      "query_id long, question string, needs_rewrite boolean")
+    exact = answer.rag_batch(index, questions, dimension=64).orderBy("query_id").collect()
+    listed = lists.build_lists(index, lists=6)
+    assert answer.rag_batch(listed, questions, dimension=64, ann={"probes": 6}).orderBy("query_id").collect() == exact
+    near = answer.rag_batch(listed, questions, dimension=64).collect()
+    assert {r["query_id"] for r in near} == set(range(8))
+
+
+def test_selections_of_many_names_are_looked_up_by_pairs(spark, data):
+    index, _, vectors, names, asked, _ = data
+    many = [["hot"] + [f"own{q}_{i}" for i in range(500)] for q in range(30)]
+    queries = spark.createDataFrame([(q, asked[q].tolist(), many[q]) for q in range(30)], QUERIES)
+    hits = search.vector_topk_filtered(index, queries, 4)
+    scores = np.round(unit(vectors) @ unit(asked).T, 9)
+    for q, rows in collected(hits).items():
+        hot = [i for i in range(400) if names[i] == "hot"]
+        assert rows == sorted(hot, key=lambda i: (-scores[i, q], i))[:4]
