@@ -121,11 +121,14 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
     return size
 
 
-def purge_deleted(spark, tables, volume, target=None):
+def purge_deleted(spark, tables, volume, target=None, share=S.COMPACT_SHARE):
     """Remove the files that are no longer on the volume from all tables; their paths.
 
     With a flat folder as `target`, also the copies there that no file needs any more.
 
+    Deletes by small rows beside the tables, so what is written grows with the files that are gone; buckets that
+    are deleted in large part are then rewritten (`share`, none with a share above 1).
+
     Works by path: a file of the same name in another folder stays. Names that begin with `_` or `.`
     stay too, as no listing by Spark can hold them. The track table, which says what is gone,
     is changed last. `volume` must be a whole listing without empty files left out on purpose.
@@ -138,6 +141,7 @@ def purge_deleted(spark, tables, volume, target=None):
     )
     for table in (tables.chunks, tables.text, tables.index, tables.track):
         S.delete_rows(spark, table, files)
+        S.compact(spark, table, share)
     return gone if target is None else (gone, flat_copies_to_drop(gone, volume, target))
 
 

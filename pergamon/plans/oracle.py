@@ -220,6 +220,11 @@ _VIEWS["list_pairs"] = ("vectors near_lists", f"""
     WHERE q.near <= {_PROBES} AND r.near = 1""")
 _IN_LISTS = "list_pairs JOIN vector_queries USING (query_id) JOIN vectors USING (id)"
 
+# Rows of each file in each table.
+_LEFT = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, folder_name, file_name, count(*) AS n_rows FROM {view} GROUP BY ALL"
+    for name, view in [("text", "texts"), ("track", "track"), ("chunks", "chunks"), ("index", "chunks")])
+
 _ORACLE = {
     "list_files": ("", """
         SELECT doc_id, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS length FROM documents"""),
@@ -487,6 +492,17 @@ _ORACLE = {
             ("chunks", "chunks"), ("index", "chunks"), ("text", "texts"), ("track", "track")
         ]
     )),
+    "purge_all_tables": ("track texts chunks gone", f"""
+        SELECT * FROM ({_LEFT}) r WHERE folder_name || '/' || file_name NOT IN (SELECT path FROM gone)"""),
+    "purge_and_compact": ("track texts chunks gone", f"""
+        SELECT * FROM ({_LEFT}) r WHERE folder_name || '/' || file_name NOT IN (SELECT path FROM gone)"""),
+    "deleted_shares": ("chunks gone", """
+        SELECT CAST(count(*) AS BIGINT) AS n_deleted FROM chunks
+        WHERE folder_name || '/' || file_name IN (SELECT path FROM gone)"""),
+    "stream_update_tables": ("files texts chunks", f"""
+        SELECT * FROM ({_LEFT.replace('FROM track', 'FROM files')}) r
+        WHERE folder_name NOT LIKE '%/pages' AND lower(file_name) NOT LIKE '%.pdf'
+          AND (table_name IN ('text', 'track') OR lower(file_name) NOT LIKE '%.py')"""),
     "purge_tables": ("chunks gone", """
         SELECT id, file_name, folder_name FROM chunks
         WHERE folder_name || '/' || file_name NOT IN (SELECT path FROM gone)"""),

@@ -825,3 +825,75 @@ def purge_tables(spark, sf_dir):
     S.write_append(spark, W.chunks(spark, sf_dir), tables.chunks)
     lifecycle.purge_deleted(spark, tables, W.volume(spark, sf_dir))
     return S.scan_table(spark, tables.chunks).select("id", "file_name", "folder_name")
+
+
+def _filled(spark, sf_dir):
+    """All four tables, filled from the given files and pages."""
+    tables = _tables(spark)
+    chunks = W.chunks(spark, sf_dir)
+    for rows, table in (
+        (W.texts(spark, sf_dir), tables.text), (W.track(spark, sf_dir), tables.track), (chunks, tables.chunks),
+        (indexing.embed_text(chunks, dimension=W.DIMENSION), tables.index),
+    ):
+        S.write_append(spark, rows, table)
+    return tables
+
+
+def _files_left(spark, tables):
+    """Rows of each file in each table."""
+    parts = [S.scan_table(spark, getattr(tables, role)).groupBy("folder_name", "file_name").agg(
+        F.count("*").alias("n_rows")).withColumn("table_name", F.lit(role)) for role in S.SCHEMAS]
+    left = parts[0]
+    for part in parts[1:]:
+        left = left.unionByName(part)
+    return left
+
+
+@query
+def purge_all_tables(spark, sf_dir):
+    """The purge job on all four tables, by deletions alone: what is left of each file."""
+    tables = _filled(spark, sf_dir)
+    lifecycle.purge_deleted(spark, tables, W.volume(spark, sf_dir), share=2.0)
+    return _files_left(spark, tables)
+
+
+@query
+def purge_and_compact(spark, sf_dir):
+    """As `purge_all_tables`, then every touched bucket is rewritten, and the English files come again."""
+    tables = _filled(spark, sf_dir)
+    lifecycle.purge_deleted(spark, tables, W.volume(spark, sf_dir), share=0.0)
+    arrived = W.arrivals(spark, sf_dir)
+    S.delete_rows(spark, tables.text, arrived)
+    S.write_append(spark, arrived.select(
+        (F.col("doc_id") * 2).alias("id"), "file_name", "folder_name", "document_type", "extracted_text"), tables.text)
+    return _files_left(spark, tables)
+
+
+@query
+def deleted_shares(spark, sf_dir):
+    """How many rows of the chunk table are deleted, before they are compacted."""
+    tables = _filled(spark, sf_dir)
+    lifecycle.purge_deleted(spark, tables, W.volume(spark, sf_dir), share=2.0)
+    shares = S.deleted_shares(spark, tables.chunks)
+    return shares.agg(F.sum("n_deleted").alias("n_deleted"))
+
+
+@query
+def stream_update_tables(spark, sf_dir):
+    """Documents arrive in three batches by their number, the last one has the first one's files again; all four tables.
+
+    Each batch is a stream run of its own over the same tables, as a trigger on file arrival makes it.
+    """
+    tables = _tables(spark)
+    documents = W.table(spark, sf_dir, "documents")
+    kind = F.when(F.col("folder_name").contains("/core_files/"), F.lit("core")).otherwise(F.lit("tmp"))
+    folder = scratch_path(spark, "arriving")
+    for turn in range(3):
+        part = documents.where(F.col("doc_id") % 2 == turn % 2)
+        part.write.mode("append").parquet(f"{folder}/{turn}")
+        stream = spark.readStream.schema(documents.schema).option("recursiveFileLookup", "true").parquet(folder)
+        arrivals.stream_index_update(
+            W.file_contents(W.as_files(stream)), tables, f"{folder}-state", document_type=kind, once=True,
+            chunk=chunking.chunk_window, dimension=W.DIMENSION,
+        ).awaitTermination()
+    return _files_left(spark, tables)

@@ -1,8 +1,11 @@
-"""The document tables: creation, append, keyed replacement and deletion.
+"""The document tables: creation, append, keyed replacement, deletion and compaction.
 
 The tables are parquet, partitioned by a hash bucket of folder and file name. New rows are
-appended; a replacement or deletion rewrites the buckets it touches and no others. Track rows of
-files in progress have a bucket of their own, so that their end is an append and the drop of that
+appended and have the number of their write. A deletion appends the files to a small table beside and leaves
+all data files in place: rows of these files written before it are passed over by every scan, rows
+that come later are not. Compaction rewrites the buckets in which too large a share is deleted, and
+drops their deletions. A replacement rewrites the buckets it touches and no others. Track rows of files in
+progress have a bucket of their own, so that their end is an append and the drop of that
 bucket. There is one writer at a time; a run that stops half-way is repeated and gives the same rows.
 """
 
@@ -19,6 +22,12 @@ from pergamon.session import shared_folder
 
 BUCKET = "path_bucket"
 PENDING = -1  # bucket of the track rows of files in progress
+WRITTEN = "written"  # the number of the write that a row came with
+
+#: A bucket is rewritten when this share of its rows is deleted. So many deletions are held at most: they are
+#: broadcast to the scans, and beyond that every bucket that has some is rewritten.
+COMPACT_SHARE = 0.3
+MAX_DELETIONS = 200_000
 SCHEMAS = {
     "text": schemas.TEXT, "track": schemas.TRACK,
     "chunks": schemas.CHUNKS, "index": schemas.INDEX,
@@ -52,7 +61,7 @@ def create_tables(spark, tables, buckets=256):
 def _create_table(spark, name, schema, buckets=256):
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BUCKET} INT) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {WRITTEN} BIGINT, {BUCKET} INT) USING parquet "
         f"PARTITIONED BY ({BUCKET}) TBLPROPERTIES ('path_buckets' = '{buckets}')"
     )
 
@@ -67,6 +76,17 @@ def _buckets(spark, table):
     return int(_property(spark, table, "path_buckets"))
 
 
+def _next_write(spark, table):
+    """The number of a new write; each is taken once, also by a write that fails."""
+    number = int(_property(spark, table, "last_write") or 0) + 1
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('last_write' = '{number}')")
+    return number
+
+
+def _deletions(table):
+    return f"{table}_deletions"
+
+
 def reserve_ids(spark, table, n):
     """The last id given out before; n more are now taken. The mark is kept with the table."""
     last = _property(spark, table, "last_id")
@@ -85,8 +105,8 @@ def _with_bucket(rows, buckets):
 
 
 def _shaped(spark, rows, table):
-    """The columns of the table in its order, by name."""
-    rows = _with_bucket(rows, _buckets(spark, table))
+    """The columns of the table in its order, by name, with the number of a new write."""
+    rows = _with_bucket(rows, _buckets(spark, table)).withColumn(WRITTEN, F.lit(_next_write(spark, table)))
     return rows.select(*[
         (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in spark.table(table).schema
@@ -100,9 +120,33 @@ def _current(spark, table, buckets=None):
     return rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))
 
 
+def deletions(spark, table):
+    """(folder_name, file_name, below): rows of the file with a smaller number are deleted. None if there never were any.
+
+    At most about MAX_DELETIONS rows, so they are broadcast.
+    """
+    name = _deletions(table)
+    if not spark.catalog.tableExists(name):
+        return None
+    spark.catalog.refreshTable(name)
+    files = spark.table(name).groupBy("folder_name", "file_name").agg(F.max("below").alias("below"))
+    return F.broadcast(files)
+
+
+def _live(spark, table, buckets=None):
+    """The rows that are not deleted, with bucket and number."""
+    rows, gone = _current(spark, table, buckets), deletions(spark, table)
+    if gone is None:
+        return rows
+    gone = gone.select(F.col("folder_name").alias("_folder"), F.col("file_name").alias("_file"), "below")
+    deleted = (F.col("folder_name") == F.col("_folder")) & (F.col("file_name") == F.col("_file")) & (
+        F.col(WRITTEN) < F.col("below"))
+    return rows.join(gone, deleted, "left_anti")
+
+
 def scan_table(spark, table, buckets=None):
-    """The rows without the bucket column, of all buckets or of some."""
-    return _current(spark, table, buckets).drop(BUCKET)
+    """The rows without bucket and number, of all buckets or of some."""
+    return _live(spark, table, buckets).drop(BUCKET, WRITTEN)
 
 
 def write_append(spark, rows, table):
@@ -118,7 +162,7 @@ def _balanced(rows):
 def write_overwrite_if_empty(spark, rows, table):
     """Write only if the table is missing or empty; whether it was written."""
     exists = spark.catalog.tableExists(table)
-    if exists and not _current(spark, table).isEmpty():
+    if exists and not _live(spark, table).isEmpty():
         return False
     if not exists:
         alike = [s for s in SCHEMAS.values() if set(s.names) == set(rows.columns)]
@@ -128,12 +172,13 @@ def write_overwrite_if_empty(spark, rows, table):
 
 
 def overwrite(spark, rows, table):
-    """Put `rows` in place of all rows of the table, by one write."""
+    """Put `rows` in place of all rows of the table, by one write; its deletions are then of no rows."""
     _balanced(_shaped(spark, rows, table)).write.insertInto(table, overwrite=True)
+    _forget(spark, table)
 
 
 def is_empty(spark, table):
-    return not spark.catalog.tableExists(table) or _current(spark, table).isEmpty()
+    return not spark.catalog.tableExists(table) or _live(spark, table).isEmpty()
 
 
 def pending_rows(spark, track):
@@ -200,15 +245,72 @@ def rows_of_files(spark, table, files, buckets=None):
     )
 
 
+def _forget(spark, table, buckets=None):
+    """Drop the deletions of all buckets or of some."""
+    name = _deletions(table)
+    if not spark.catalog.tableExists(name):
+        return
+    if buckets is None:
+        spark.sql(f"TRUNCATE TABLE {name}")
+    elif buckets:
+        parts = ", ".join(f"PARTITION ({BUCKET} = {b})" for b in buckets)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
+
 def delete_rows(spark, table, files):
-    """Delete all rows of the given files (folder_name, file_name)."""
-    touched = touched_buckets(spark, files, table)
-    if not touched:
+    """Delete all rows of the given files (folder_name, file_name); no data file is written or dropped.
+
+    Only track rows of files in progress, which lie in one small bucket, are taken out at once. Files with
+    a NULL name or folder have no rows to delete.
+    """
+    shared_folder(spark)
+    keys = files.select("folder_name", "file_name").dropna().distinct()
+    keys = _with_bucket(keys, _buckets(spark, table)).checkpoint()
+    if keys.isEmpty():
         return
-    left = key_filter(
-        _current(spark, table, touched), files, ["folder_name", "file_name"], keep=False
+    if "status" in spark.table(table).columns:
+        drop_pending(spark, table, keys)
+    name = _deletions(table)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (folder_name STRING, file_name STRING, below BIGINT, {BUCKET} INT) "
+        f"USING parquet PARTITIONED BY ({BUCKET})"
     )
-    _rewrite(spark, table, left, touched)
+    below = F.lit(_next_write(spark, table)).cast("bigint").alias("below")
+    _balanced(keys.select("folder_name", "file_name", below, BUCKET)).write.insertInto(name)
+    spark.catalog.refreshTable(name)
+    if spark.table(name).count() > MAX_DELETIONS:
+        compact(spark, table, share=0.0)
+
+
+def deleted_shares(spark, table):
+    """path_bucket, n_rows, n_deleted of the buckets that have deletions; only keys and numbers are read."""
+    gone = deletions(spark, table)
+    if gone is None:
+        return spark.createDataFrame([], f"{BUCKET} int, n_rows long, n_deleted long")
+    name = _deletions(table)
+    buckets = F.broadcast(spark.table(name).select(BUCKET).distinct())
+    rows = _current(spark, table).select("folder_name", "file_name", WRITTEN, BUCKET)
+    rows = rows.join(buckets, BUCKET, "left_semi").join(gone, ["folder_name", "file_name"], "left")
+    deleted = F.coalesce(F.col(WRITTEN) < F.col("below"), F.lit(False))
+    return rows.groupBy(BUCKET).agg(F.count("*").alias("n_rows"), F.count_if(deleted).alias("n_deleted"))
+
+
+def compact(spark, table, share=COMPACT_SHARE):
+    """Rewrite the buckets in which at least this share of the rows is deleted; their number.
+
+    The deletions of a bucket are dropped after it is rewritten, so a run that stops between is repeated. Deletions
+    in buckets without any deleted row are dropped, too.
+    """
+    if deletions(spark, table) is None:
+        return 0
+    found = {r[0]: (r["n_rows"], r["n_deleted"]) for r in deleted_shares(spark, table).collect()}
+    held = [r[0] for r in spark.table(_deletions(table)).select(BUCKET).distinct().collect()]
+    idle = [b for b in held if not found.get(b, (0, 0))[1]]
+    full = sorted(b for b, (n, gone) in found.items() if gone and gone >= share * n)
+    if full:
+        _rewrite(spark, table, _live(spark, table, full), full)
+    _forget(spark, table, [*idle, *full])
+    return len(full)
 
 
 def describe_schema(rows):

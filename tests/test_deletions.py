@@ -1,0 +1,148 @@
+"""Deletion rows and compaction: what scans see, which data files stay, and runs that stop half-way."""
+
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from pergamon.plans import lifecycle
+from pergamon.session import scratch_path
+from pergamon.sources import tables as S
+
+
+@pytest.fixture
+def tables(spark):
+    names = S.table_names("docs", S.create_database(spark, "t" + uuid.uuid4().hex, scratch_path(spark, "tables")))
+    S.create_tables(spark, names, buckets=4)
+    return names
+
+
+def texts(spark, *rows):
+    return spark.createDataFrame(rows, "id long, folder_name string, file_name string, extracted_text string")
+
+
+def files(spark, *names):
+    return spark.createDataFrame([("d", n) for n in names], "folder_name string, file_name string")
+
+
+def held(spark, table):
+    return sorted(map(tuple, S.scan_table(spark, table).select("id", "file_name").collect()))
+
+
+def data_files(spark, table):
+    spark.catalog.refreshTable(table)
+    return set(spark.table(table).inputFiles())
+
+
+def documents(spark, *names):
+    return spark.createDataFrame(
+        [(n.rsplit("/", 1)[1], n.rsplit("/", 1)[0], "tmp", "some text " * 30, None) for n in names],
+        "file_name string, folder_name string, document_type string, extracted_text string, error string")
+
+
+def test_a_scattered_purge_leaves_every_data_file(spark, tables):
+    lifecycle.update_index(spark, tables, documents(spark, *[f"/d/{i}.txt" for i in range(4000)]))
+    before = {t: data_files(spark, t) for t in tables}
+    gone = set(random.Random(1).sample(range(4000), 1000))
+    volume = spark.createDataFrame([(f"/d/{i}.txt",) for i in range(4000) if i not in gone], "path string")
+    assert lifecycle.purge_deleted(spark, tables, volume).count() == 1000
+    for table in tables:
+        assert data_files(spark, table) == before[table]
+        assert S.scan_table(spark, table).select("file_name").distinct().count() == 3000
+    shares = S.deleted_shares(spark, tables.text).collect()
+    assert sum(r["n_deleted"] for r in shares) == 1000 and sum(r["n_rows"] for r in shares) == 4000
+    assert lifecycle.purge_deleted(spark, tables, volume).count() == 0
+    # the files come back, and only they are new
+    assert lifecycle.update_index(spark, tables, documents(spark, *[f"/d/{i}.txt" for i in range(4000)])) == 1000
+    for table in tables:
+        assert before[table] <= data_files(spark, table)
+        assert S.scan_table(spark, table).select("file_name").distinct().count() == 4000
+        assert S.scan_table(spark, table).where("file_name = '7.txt'").count() == 1
+
+
+def test_rows_written_later_are_seen(spark, tables):
+    S.write_append(spark, texts(spark, (1, "d", "a", "x"), (2, "d", "b", "y"), (3, "e", "a", "z")), tables.text)
+    S.delete_rows(spark, tables.text, files(spark, "a", "nowhere"))
+    assert held(spark, tables.text) == [(2, "b"), (3, "a")]
+    S.write_append(spark, texts(spark, (4, "d", "a", "new")), tables.text)
+    assert held(spark, tables.text) == [(2, "b"), (3, "a"), (4, "a")]
+    S.delete_rows(spark, tables.text, files(spark, "a", "a"))
+    S.write_append(spark, texts(spark, (5, "d", "a", "newest")), tables.text)
+    assert held(spark, tables.text) == [(2, "b"), (3, "a"), (5, "a")]
+    assert S.compact(spark, tables.text, share=0.0) >= 1
+    assert held(spark, tables.text) == [(2, "b"), (3, "a"), (5, "a")]
+    assert spark.table(tables.text).count() == 3 and S.deletions(spark, tables.text).count() == 0
+
+
+def test_only_buckets_with_a_large_share_are_rewritten(spark, tables):
+    names = [f"f{i}" for i in range(200)]
+    S.write_append(spark, texts(spark, *[(i, "d", n, "x") for i, n in enumerate(names)]), tables.text)
+    buckets = {r["file_name"]: r[S.BUCKET] for r in spark.table(tables.text).collect()}
+    full = [n for n in names if buckets[n] == 0]
+    one = [n for n in names if buckets[n] == 1][:1]
+    before = {b: data_files(spark, tables.text) & set(spark.table(tables.text).where(f"{S.BUCKET} = {b}").inputFiles())
+              for b in (1, 2, 3)}
+    S.delete_rows(spark, tables.text, files(spark, *full, *one))
+    assert S.compact(spark, tables.text) == 1
+    assert not spark.table(tables.text).where(f"{S.BUCKET} = 0").count()
+    after = data_files(spark, tables.text)
+    assert all(before[b] <= after for b in (1, 2, 3))
+    assert len(held(spark, tables.text)) == 200 - len(full) - 1
+    assert [r["file_name"] for r in S.deletions(spark, tables.text).collect()] == one
+    assert S.compact(spark, tables.text) == 0
+
+
+def test_deletions_are_bounded(spark, tables, monkeypatch):
+    monkeypatch.setattr(S, "MAX_DELETIONS", 5)
+    S.write_append(spark, texts(spark, *[(i, "d", f"f{i}", "x") for i in range(100)]), tables.text)
+    S.delete_rows(spark, tables.text, files(spark, *[f"f{i}" for i in range(5)]))
+    assert S.deletions(spark, tables.text).count() == 5 and spark.table(tables.text).count() == 100
+    S.delete_rows(spark, tables.text, files(spark, "f50", "gone already"))
+    assert S.deletions(spark, tables.text).count() == 0 and spark.table(tables.text).count() == 94
+
+
+def test_a_stop_between_rewriting_and_forgetting_changes_nothing(spark, tables, monkeypatch):
+    S.write_append(spark, texts(spark, (1, "d", "a", "x"), (2, "d", "b", "y")), tables.text)
+    S.delete_rows(spark, tables.text, files(spark, "a"))
+    forget = S._forget
+    monkeypatch.setattr(S, "_forget", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        S.compact(spark, tables.text, share=0.0)
+    assert held(spark, tables.text) == [(2, "b")]
+    S.write_append(spark, texts(spark, (3, "d", "a", "again")), tables.text)
+    assert held(spark, tables.text) == [(2, "b"), (3, "a")]
+    monkeypatch.setattr(S, "_forget", forget)
+    S.compact(spark, tables.text, share=0.0)
+    assert held(spark, tables.text) == [(2, "b"), (3, "a")] and S.deletions(spark, tables.text).count() == 0
+
+
+def test_an_overwrite_forgets_deletions_and_null_names_are_kept(spark, tables):
+    rows = texts(spark, (1, "d", "a", "x"), (2, None, "a", "y"), (3, "d", None, "z"))
+    S.write_append(spark, rows, tables.text)
+    S.delete_rows(spark, tables.text, spark.createDataFrame(
+        [("d", "a"), (None, "a"), ("d", None)], "folder_name string, file_name string"))
+    assert sorted(r[0] for r in S.scan_table(spark, tables.text).select("id").collect()) == [2, 3]
+    S.overwrite(spark, rows, tables.text)
+    assert S.scan_table(spark, tables.text).count() == 3 and S.deletions(spark, tables.text).count() == 0
+    S.delete_rows(spark, tables.text, spark.createDataFrame(
+        [], "folder_name string, file_name string"))
+    assert S.scan_table(spark, tables.text).count() == 3
+
+
+def test_scans_broadcast_deletions_and_shuffle_no_rows(spark, tables):
+    S.write_append(spark, texts(spark, *[(i, "d", f"f{i}", "x") for i in range(50)]), tables.text)
+    S.delete_rows(spark, tables.text, files(spark, "f1", "f2"))
+    plan = S.scan_table(spark, tables.text).select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "extracted_text" not in plan
+
+
+def test_files_in_progress_are_taken_out_at_once(spark, tables):
+    rows = spark.createDataFrame(
+        [("a", "d", "tmp", "UPDATING"), ("a", "d", "tmp", "READY"), ("b", "d", "tmp", "UPDATING")],
+        "file_name string, folder_name string, document_type string, status string")
+    S.write_append(spark, rows, tables.track)
+    S.delete_rows(spark, tables.track, files(spark, "a"))
+    assert [r["file_name"] for r in S.pending_rows(spark, tables.track).collect()] == ["b"]
+    assert spark.table(tables.track).where(F.col(S.BUCKET) == S.PENDING).count() == 1
+    assert S.scan_table(spark, tables.track).count() == 1
