@@ -526,6 +526,7 @@ def _with_views(needs, body):
 
 for _form in ("vector_topk", "vector_topk_l2", "vector_topk_filtered", "vector_topk_ann", "vector_topk_lists"):
     _ORACLE[f"{_form}_blocks"] = _ORACLE[_form]
+_ORACLE["vector_topk_codes"] = _ORACLE["vector_topk"]
 _ORACLE["rag_batch_lists"] = _ORACLE["rag_batch"]
 
 

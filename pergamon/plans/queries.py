@@ -6,7 +6,7 @@ from pergamon import fixed_values as V
 from pergamon import schemas
 from pergamon.functions import paths as P
 from pergamon.functions import text as X
-from pergamon.operators import chat, chunking, indexing, lists, quality, search, snapshots, tracking
+from pergamon.operators import chat, chunking, codes, indexing, lists, quality, search, snapshots, tracking
 from pergamon.plans import answer, lifecycle
 from pergamon.session import scratch_path
 from pergamon.sources import files as files_source
@@ -499,6 +499,15 @@ def vector_topk_lists_blocks(spark, sf_dir):
     return _scored(lists.vector_topk_lists(spark, listed, W.vector_queries(spark, sf_dir), **_BLOCKS))
 
 
+@query
+def vector_topk_codes(spark, sf_dir):
+    """The exact search from stored codes and the vectors of few rows."""
+    rows = W.vectors(spark, sf_dir)
+    folder = scratch_path(spark, "codes")
+    codes.vector_codes(W.spread(rows, rows, "id")).write.parquet(folder)
+    return _scored(codes.vector_topk_codes(spark.read.parquet(folder), rows, W.vector_queries(spark, sf_dir)))
+
+
 @query
 def lists_recall(spark, sf_dir):
     """Trained lists with measured probes: whether they find nine of ten of the true neighbours."""

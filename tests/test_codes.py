@@ -1,0 +1,96 @@
+"""Codes of vectors: the same rows as the exact search, from a quarter of the bytes or less."""
+
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pergamon.operators import codes, search
+from pergamon.operators.indexing import embed_text
+
+INDEX = "id long, chunk_embedding array<float>"
+
+
+def same_hits(one, two):
+    columns = ["query_id", "id", "rank", F.round("score", 9).alias("score")]
+    one, two = one.select(*columns).collect(), two.select(*columns).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+    return len(one)
+
+
+@pytest.mark.parametrize("dimension", [1, 4, 17, 64])
+def test_codes_lose_no_more_than_they_say(dimension):
+    pick = np.random.default_rng(dimension)
+    vectors = search._unit(np.concatenate([pick.normal(size=(300, dimension)), np.zeros((1, dimension)),
+                                           np.eye(dimension), pick.exponential(size=(50, dimension)) ** 4]))
+    packed, step, lost = codes.encode(vectors)
+    back = codes.decode(packed, step, dimension)
+    assert packed.shape[1] == -(-dimension // 4) * 3
+    assert (np.linalg.norm(vectors - back, axis=1) <= lost).all()
+    asked = search._unit(pick.normal(size=(40, dimension)))
+    assert (np.abs(vectors @ asked.T - back @ asked.T) <= lost[:, None] + 1e-12).all()
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    """A third of the vectors are copies of one, many lie close together; zero, missing and infinite ones."""
+    pick = np.random.default_rng(2)
+    vectors = pick.normal(size=(900, 20)).astype(np.float32)
+    vectors[::3] = vectors[0]
+    vectors[1::9] = vectors[1] + 1e-4 * pick.normal(size=vectors[1::9].shape)
+    vectors[7] = 0
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(950, None), (951, [float("nan")] * 20)]
+    asked = pick.normal(size=(30, 20)).astype(np.float32)
+    asked[0], asked[1], asked[2] = vectors[0], vectors[1], 0
+    index = spark.createDataFrame(rows, INDEX).repartition(6)
+    return index, spark.createDataFrame([(i, a.tolist()) for i, a in enumerate(asked)], "query_id long, query_vector array<float>")
+
+
+@pytest.mark.parametrize("k", [1, 5, 2000])
+def test_hits_are_those_of_the_exact_search(data, k):
+    index, queries = data
+    assert same_hits(codes.vector_topk_codes(codes.vector_codes(index), index, queries, k),
+                     search.vector_topk(index, queries, k)) == 30 * min(k, 900)
+
+
+def test_many_queries_are_searched_in_blocks(data):
+    index, queries = data
+    same_hits(codes.vector_topk_codes(codes.vector_codes(index), index, queries, 5, max_queries=3),
+              search.vector_topk(index, queries, 5))
+
+
+def test_copies_and_others_leave_few_candidates(data):
+    index, queries = data
+    left = codes._candidates(codes.vector_codes(index).coalesce(2), search.asked_once(queries, False, 100)[1], 5)
+    assert left.count() <= 30 * 2 * 40  # of 27,000 pairs
+
+
+def test_no_queries_and_no_rows(data):
+    index, queries = data
+    assert codes.vector_topk_codes(codes.vector_codes(index), index, queries.limit(0)).count() == 0
+    none = index.limit(0)
+    assert codes.vector_topk_codes(codes.vector_codes(none), none, queries).count() == 0
+
+
+def test_wide_vectors_take_a_quarter_of_the_bytes_or_less(spark, tmp_path):
+    pick = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(pick.normal(size=(200, 3072)).astype(np.float32))]
+    index = spark.createDataFrame(rows, INDEX).coalesce(1)
+    index.write.parquet(str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
+    codes.vector_codes(index).write.parquet(str(tmp_path / "codes"))
+    coded = spark.read.parquet(str(tmp_path / "codes"))
+    sizes = {n: sum(os.path.getsize(f"{tmp_path}/{n}/{f}") for f in os.listdir(tmp_path / n) if f.endswith("parquet"))
+             for n in ("index", "codes")}
+    assert 4 * sizes["codes"] <= sizes["index"]
+    asked = index.where("id < 20").select(F.col("id").alias("query_id"), F.col("chunk_embedding").alias("query_vector"))
+    same_hits(codes.vector_topk_codes(coded, index, asked), search.vector_topk(index, asked))
+
+
+def test_hashed_embeddings_are_found_too(spark):
+    texts = spark.range(300).select("id", F.concat_ws(" ", F.lit("word"), F.col("id") % 40, F.col("id") % 7).alias("text_chunk"))
+    index = embed_text(texts, dimension=64)
+    asked = index.where("id % 10 = 0").select(F.col("id").alias("query_id"), F.col("chunk_embedding").alias("query_vector"))
+    same_hits(codes.vector_topk_codes(codes.vector_codes(index), index, asked), search.vector_topk(index, asked))

@@ -31,7 +31,7 @@ PYTHON = {
 }
 WRITING = {
     "list_files", "read_text_files", "build", "create_tables", "write_overwrite_if_empty", "write_append", "build_index",
-    "vector_topk_lists", "vector_topk_lists_filtered", "vector_topk_lists_blocks", "lists_recall", "rag_batch_lists",
+    "vector_topk_lists", "vector_topk_lists_filtered", "vector_topk_lists_blocks", "lists_recall", "rag_batch_lists", "vector_topk_codes",
     "purge_all_tables", "purge_and_compact", "deleted_shares", "stream_update_tables",
     "evaluate_batch", "stream_index_update", "stream_new_files", "purge_tables", "assign_ids",
     "upsert_batches",
