@@ -135,13 +135,15 @@ def mined(pages, labels, label_id="doc_id", url="url", bad="quality = 0 or toxic
 
     Tokens that stand in the very same labelled rows have one name, and a rule is met by any of them.
     Labelled rows are pages whose URL path ends with the number of a labelled document; an id labelled more than once is bad if any label is.
-    Beyond `rows` of them about as many, chosen by hash of the id, are mined. Without labelled rows, or
-    without both kinds, there are no rules.
+    Beyond `rows` of them about as many, chosen by hash of the id, are mined. With fewer than LEAST_ROWS labelled rows,
+    or without both kinds, there are no rules.
     """
     marks = labels.select(F.col(label_id).alias("_id"), F.expr(bad).alias("_bad")).filter("_id is not null").groupBy(
         "_id").agg(F.max(F.coalesce("_bad", F.lit(False))).alias("_bad"))
+    found = pages.select(F.col(url).alias("url"))
+    url = "url"
     host, path = _parts(F.col(url))
-    known = pages.join(marks, _document(F.col(url)) == F.col("_id")).select(
+    known = found.join(marks, _document(F.col(url)) == F.col("_id")).select(
         F.coalesce(F.col(url), F.lit("")).alias("url"), host.alias("host"), path.alias("path"), F.col("_bad").alias("bad"), "_id")
     total = known.count()
     if total > rows:
@@ -152,7 +154,7 @@ def mined(pages, labels, label_id="doc_id", url="url", bad="quality = 0 or toxic
     items = known.mapInArrow(_tokens, "items array<string>, bad boolean, lo long, hi long").persist()
     try:
         n, n_bad = items.agg(F.count("*"), F.sum(F.col("bad").cast("long"))).first()
-        if not n_bad or n_bad == n:
+        if n < LEAST_ROWS or not n_bad or n_bad == n:
             return [], {}
         share = max(support, LEAST_ROWS / n)
         names = _names(items, n, math.ceil(share * n - 1e-9))

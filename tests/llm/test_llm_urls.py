@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from pergamon.llm.url_rules import Index, mined_rules, url_items, url_tokens, url_verdicts
 
 
@@ -57,6 +60,17 @@ def test_labels_are_those_of_the_documents_in_urls(spark):
     assert {r.page_id for r in url_verdicts(pages, labels).filter("verdict = 'block'").collect()} == set(range(0, 400, 4))
 
 
+@pytest.mark.parametrize("n", range(0, 10))
+def test_few_labelled_rows_and_clashing_names(spark, n):
+    """Fewer rows than a rule needs give no rule and no failure."""
+    rows = [(i, f"https://{'trap' if i % 2 else 'fine'}.example.org/de/{i}", i, True) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, link string, _id long, _bad boolean").withColumn("url", F.lit("x"))
+    labels = spark.createDataFrame([(i, i % 2, 0, 1, True) for i in range(n)], "doc_id long, quality int, toxic int, _id int, _bad boolean")
+    found = {r.page_id: r.verdict for r in url_verdicts(pages, labels, url="link").collect()}
+    assert len(found) == 40 and (n >= 8 or set(found.values()) == {"allow"})
+    assert n >= 8 or mined_rules(pages, labels, url="link") == []
+
+
 def test_index_needs_all_tokens():
     index = Index([(frozenset("ab"), 0.9), (frozenset("c"), 0.8)])
     assert index.meets(["a", "b"]) and index.meets(["x", "c"]) and not index.meets(["a", "x"]) and not index.meets([])
