@@ -54,6 +54,19 @@ def test_near_dup_goes_by_rows(spark, folder):
     assert [n for n in out if n not in "zw"] == sorted("xpqrstuvu".replace("q", "")) and sum(n in "zw" for n in out) == 1
 
 
+def test_mix_goes_by_rows(spark, folder):
+    """Null and repeated ids, and columns with clashing names: each row is taken by its own size."""
+    rows = [(1, "w " * 10, "a"), (1, "w " * 200, "a"), (None, "w " * 5, "b"), (None, "w " * 50, "b"), (2, None, None),
+            (3, "w " * 7, "c"), (3, "w " * 7, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr(
+        "*", "1 as _id", "2 as _row", "3 as copies", "4 as `a.b`", "'x' as _doc")
+    out = corpus_pipeline.mix(spark, docs, folder)
+    assert out.columns == ["doc_id", "text", "source", "_id", "_row", "a.b", "_doc", "copies", "taken"]
+    found = out.collect()
+    assert all(r.taken == r.copies * len((r.text or "").split()) for r in found)
+    assert len([r for r in found if r.doc_id is None]) <= 2 and all(r._row == 2 for r in found)
+
+
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in out} <= set(range(60)) | {103} and len(out) > 30
