@@ -20,14 +20,18 @@ def quality(spark, docs, sf_dir):
     return quality_rules(packed).filter("kept").select("row.*")
 
 
+def _numbered(docs):
+    """(_row, _doc): a number of its own for each row, stored, as it must not change between uses."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_doc")), "rows")
+
+
 def near_dup(spark, docs, sf_dir):
     """One row of each group of near copies stays, the first of those with the smallest doc_id.
 
     Rows go by a number of their own, so null and repeated ids, and repeated rows, are told apart. A null id
     comes after all others.
     """
-    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_doc"))
-    rows = stored(numbered, "rows")  # the numbers must not change between uses
+    rows = _numbered(docs)
     texts = rows.select("_row", F.col("_doc.text").alias("text"))
     found = near_duplicates(texts, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
     ids = rows.select("_row", F.col("_doc.doc_id").alias("id"))
@@ -51,11 +55,14 @@ def pii(spark, docs, sf_dir):
 def mix(spark, docs, sf_dir):
     """The documents of the mix with their number of copies; those with none are left out.
 
-    Columns `copies` and `taken` that the documents may have are replaced.
+    Rows go by a number of their own, so null and repeated ids, and repeated rows, each get their own copies. Columns
+    `copies` and `taken` that the documents may have are replaced.
     """
-    rates = mixed(docs).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max("copies").alias("copies"), F.max("taken").alias("taken"))
-    return docs.drop("copies", "taken").join(rates.filter("copies > 0"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    rows = _numbered(docs)
+    of_row = mixed(rows.select("_row", F.col("_doc.text").alias("text"), F.col("_doc.source").alias("source")), doc_id="_row")
+    taken = of_row.filter("copies > 0").select(F.col("doc_id").alias("_row"), "copies", "taken")
+    kept = [F.col("_doc").getField(c).alias(c) for c in docs.columns if c not in ("copies", "taken")]
+    return rows.join(taken, "_row").select(*kept, "copies", "taken")
 
 
 STAGES = [
