@@ -34,14 +34,21 @@ CLASSES = TAIL + 1
 WIDTH = 16
 WINDOW = 32
 LANES = 512
-TRAINING_LANES = 128
+TRAINING_LANES = 512
+
+#: Tokens of a piece: longer documents are cut for training, so that they do not hold up the lanes beside them. A
+#: piece begins with the word before it and an empty state. Scoring cuts no document.
+PIECE = 1024
 
 #: Rounds of averaging, each over another part of the training documents, tokens of a slice in all
 #: rounds, and Adam's rate.
 ROUNDS = 3
-SLICE_TOKENS = 600_000
+SLICE_TOKENS = 2_400_000
 RATE = 4e-3
 
+#: Sets of weights that one task averages.
+FOLD = 16
+
 #: Tokens that are scored together.
 CHUNK_TOKENS = 2_000_000
 
@@ -169,17 +176,29 @@ def _by_class(classes):
     return [(k, at[cuts[k] : cuts[k + 1]]) for k in range(WORD_CLASSES) if cuts[k] < cuts[k + 1]]
 
 
-def _log_softmax(logits):
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _log_picked(logits, at):
+    """Log of the softmax at one place of each row."""
+    rows = np.arange(len(logits))
+    logits -= logits.max(axis=1, keepdims=True)
+    picked = logits[rows, at]
+    return picked - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def _errors(logits, at, share):
+    """Softmax less one at one place of each row, times the row's share: the gradient of the logits."""
+    logits -= logits.max(axis=1, keepdims=True)
+    p = np.exp(logits, out=logits)
+    scale = share / p.sum(axis=1)
+    p *= scale[:, None]
+    p[np.arange(len(p)), at] -= share
+    return p
 
 
 def _log_probabilities(weights, states, ranks, classes):
     """Natural log of the class and, for common words, of the word in it; states is (n, WIDTH)."""
-    out = _log_softmax(states @ weights["C"] + weights["c"])[np.arange(len(states)), classes]
+    out = _log_picked(states @ weights["C"] + weights["c"], classes)
     for k, at in _by_class(classes):
-        words = _log_softmax(states[at] @ weights["W"][k] + weights["w"][k])
-        out[at] += words[np.arange(len(at)), ranks[at] - k * CLASS_WORDS]
+        out[at] += _log_picked(states[at] @ weights["W"][k] + weights["w"][k], ranks[at] - k * CLASS_WORDS)
     return out
 
 
@@ -204,8 +223,11 @@ def _lanes(lengths, lanes):
     return rank[lane], start, heap[by_length]
 
 
-def _packed(ranks, lengths, vocabulary, lanes):
-    """Targets, inputs and state-keeping flags in lanes: arrays (steps, lanes), and each token's place."""
+def _packed(ranks, lengths, vocabulary, lanes, begins=None):
+    """Targets, inputs and state-keeping flags in lanes: arrays (steps, lanes), and each token's place.
+
+    `begins` tells which stretches begin a document; others go on from the word before them.
+    """
     lane, start, heights = _lanes(lengths, lanes)
     step = np.arange(len(ranks)) - np.repeat(np.cumsum(lengths) - lengths - start, lengths)
     column = np.repeat(lane, lengths)
@@ -215,7 +237,8 @@ def _packed(ranks, lengths, vocabulary, lanes):
     before = np.empty(len(ranks), dtype=np.int32)
     before[1:] = vocabulary.inputs(ranks[:-1])
     firsts = np.cumsum(lengths) - lengths
-    before[firsts] = vocabulary.inputs(vocabulary.find(np.array([END], dtype=np.uint64)))[0]
+    fresh = firsts if begins is None else firsts[begins]
+    before[fresh] = vocabulary.inputs(vocabulary.find(np.array([END], dtype=np.uint64)))[0]
     x = np.zeros(shape, dtype=np.int32)
     x[step, column] = before
     keep = np.ones(shape, dtype=np.float32)
@@ -246,16 +269,13 @@ def _gradients(weights, x, keep, h, target, classes, weight):
     flat, goal = states.reshape(-1, WIDTH), target.ravel()
     share = (weight.ravel() / max(weight.sum(), 1)).astype(np.float32)
     grads = {k: np.zeros_like(v) for k, v in weights.items()}
-    p = np.exp(_log_softmax(flat @ weights["C"] + weights["c"]))
-    p[np.arange(len(p)), classes] -= 1
-    p *= share[:, None]
+    p = _errors(flat @ weights["C"] + weights["c"], classes, share)
     grads["C"], grads["c"] = flat.T @ p, p.sum(axis=0)
     d = p @ weights["C"].T
     for k, at in _by_class(classes):
-        q = np.exp(_log_softmax(flat[at] @ weights["W"][k] + weights["w"][k]))
-        q[np.arange(len(at)), goal[at] - k * CLASS_WORDS] -= 1
-        q *= share[at][:, None]
-        grads["W"][k], grads["w"][k] = flat[at].T @ q, q.sum(axis=0)
+        some = flat[at]
+        q = _errors(some @ weights["W"][k] + weights["w"][k], goal[at] - k * CLASS_WORDS, share[at])
+        grads["W"][k], grads["w"][k] = some.T @ q, q.sum(axis=0)
         d[at] += q @ weights["W"][k].T
     d = d.reshape(states.shape)
     into = np.empty((*x.shape, 3 * WIDTH), dtype=np.float32)
@@ -279,9 +299,15 @@ def _gradients(weights, x, keep, h, target, classes, weight):
 
 def train(weights, vocabulary, documents, rate=RATE):
     """Weights after one pass over some documents (arrays of ranks), by truncated backpropagation."""
-    lengths = np.array([len(d) for d in documents], dtype=np.int64)
+    whole = np.array([len(d) for d in documents], dtype=np.int64)
+    pieces = -(-whole // PIECE)
+    last = np.cumsum(pieces) - 1
+    lengths = np.full(int(pieces.sum()), PIECE, dtype=np.int64)
+    lengths[last] = whole - (pieces - 1) * PIECE
+    begins = np.zeros(len(lengths), dtype=bool)
+    begins[last - pieces + 1] = True
     target, x, keep, heights, step, column = _packed(
-        np.concatenate(documents), lengths, vocabulary, TRAINING_LANES)
+        np.concatenate(documents), lengths, vocabulary, TRAINING_LANES, begins)
     weight = np.zeros(target.shape, dtype=np.float32)
     weight[step, column] = 1
     weights = {k: v.copy() for k, v in weights.items()}
@@ -314,23 +340,26 @@ def _unflat(flat, like):
     return out
 
 
-def _averaged(rows):
-    """Weighted mean of (tokens, weights) rows as one such row, or None."""
-    total, mean = 0, None
-    for n, data in rows:
-        part = np.frombuffer(data, dtype=np.float32).astype(np.float64)
-        mean = part * n if mean is None else mean + part * n
-        total += n
-    return (total, (mean / total).astype(np.float32)) if total else None
+def _weight_batch(n, flat):
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["n", "w"])
 
 
-def _weight_batch(row):
-    n, flat = row
-    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["n", "w"])
+def _fold(batches):
+    """The mean of some sets of weights, each counted by its tokens, as one set."""
+    total, mean = 0, None
+    for batch in batches:
+        for n, w in zip(batch.column(0).to_pylist(), batch.column(1)):
+            part = np.frombuffer(w.as_py(), dtype=np.float32).astype(np.float64) * n
+            mean, total = part if mean is None else mean + part, total + n
+    if total:
+        yield _weight_batch(total, (mean / total).astype(np.float32))
 
 
 def _trained(samples, slices, vocabulary):
-    """Weights after ROUNDS rounds; in each, every slice trains on another part of its documents."""
+    """Weights after ROUNDS rounds; in each, every slice trains on another part of its documents.
+
+    A slice is a task. Its weights are written, and averaged FOLD at a time, so the driver gets one set.
+    """
     weights = vocabulary.start()
     for turn in range(ROUNDS):
         def work(batches, turn=turn, weights=weights):
@@ -339,20 +368,16 @@ def _trained(samples, slices, vocabulary):
                 documents += [np.frombuffer(v.as_py(), dtype=np.int32) for v in batch.column(0)]
             if documents:
                 done = train(weights, vocabulary, documents, RATE / (1 + turn))
-                yield _weight_batch((sum(map(len, documents)), _flat(done)))
-
-        def fold(batches):
-            rows = ((n.as_py(), w.as_py()) for batch in batches for n, w in zip(batch.column(0), batch.column(1)))
-            mean = _averaged(rows)
-            if mean:
-                yield _weight_batch(mean)
-
-        part = samples.filter(F.col("turn") == turn).repartition(slices, "slice").select("ranks")
-        groups = max(1, int(slices**0.5))  # the driver gets this many sets of weights
-        means = part.mapInArrow(work, "n long, w binary").coalesce(groups).mapInArrow(fold, "n long, w binary")
-        mean = _averaged((r.n, bytes(r.w)) for r in means.collect())
+                yield _weight_batch(sum(map(len, documents)), _flat(done))
+
+        part = samples.filter(F.col("turn") == turn).repartitionById(slices, F.col("slice")).select("ranks")
+        sets, left = stored(part.mapInArrow(work, "n long, w binary"), "weights"), slices
+        while left > 1:
+            left = -(-left // FOLD)
+            sets = stored(sets.repartition(left).mapInArrow(_fold, "n long, w binary"), "weights")
+        mean = sets.first()
         if mean:
-            weights = _unflat(mean[1], weights)
+            weights = _unflat(np.frombuffer(bytes(mean["w"]), dtype=np.float32), weights)
     return weights
 
 
@@ -376,7 +401,7 @@ def language_model_scores(docs, doc_id="doc_id", text="text"):
 
     Both scores are log10 probabilities of the whole text and its end. Documents with crc32 of the id
     leaving 1 on division by 5 are held out of all learning. Counts cover every training token, and
-    every training document gives gradients in one of the rounds, chosen by hash. Null and empty texts have one token, the end. Repeated rows are repeated and learnt
+    every training document gives gradients in one of the rounds, dealt by the hash of its row's number. Null and empty texts have one token, the end. Repeated rows are repeated and learnt
     from as often; without training tokens all words are equally unseen.
 
     Words beyond the HEAD most frequent ones, of any number, get their counts by a join, whose hot keys
@@ -396,10 +421,10 @@ def language_model_scores(docs, doc_id="doc_id", text="text"):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["key", "ranks"])
 
     slices = max(1, -(-n // SLICE_TOKENS))
-    key = F.xxhash64("doc_id", F.octet_length("text"), F.lit(3))
-    samples = stored(learnt.withColumn("key", key).select("key", "text").mapInArrow(sample, "key long, ranks binary").select(
+    # Rows are dealt by their number, so that equal ids and texts are spread; it is read once, when samples are written.
+    samples = stored(learnt.withColumn("key", F.xxhash64(F.monotonically_increasing_id(), F.lit(3))).select("key", "text").mapInArrow(sample, "key long, ranks binary").select(
         "ranks", F.pmod(F.shiftright("key", 8), F.lit(ROUNDS)).alias("turn"),
-        F.pmod(F.shiftright("key", 16), F.lit(slices)).alias("slice")), "samples")
+        F.pmod(F.shiftright("key", 16), F.lit(slices)).cast("int").alias("slice")), "samples")
     weights = _trained(samples, slices, vocabulary)
 
     def score(batches):

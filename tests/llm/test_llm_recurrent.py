@@ -87,9 +87,9 @@ def test_probabilities_sum_to_one():
     state = rng.normal(size=(1, R.WIDTH)).astype(np.float32)
     every = np.arange(len(vocabulary.words))
     log_p = R._log_probabilities(weights, np.repeat(state, len(every), axis=0), every, vocabulary.classes[every])
-    shares = R._log_softmax(state @ weights["C"] + weights["c"])[0]
+    mass = np.exp((state @ weights["C"] + weights["c"])[0].astype(float))
     used = np.unique(vocabulary.classes[every])
-    assert abs(np.exp(log_p).sum() - np.exp(shares[used]).sum()) < 1e-4
+    assert abs(np.exp(log_p).sum() - mass[used].sum() / mass.sum()) < 1e-4
 
 
 def test_gradients_are_those_of_differences(monkeypatch):
@@ -131,6 +131,51 @@ def test_lanes_and_chunks_don_t_change_scores():
     assert np.allclose(together, alone, rtol=1e-4)
 
 
+def test_pieces_of_long_documents_go_on_from_the_word_before(monkeypatch):
+    vocabulary = small_vocabulary()
+    seen = {}
+
+    def gradients(weights, x, keep, h, target, classes, weight):
+        seen.setdefault("x", []).append(x[weight > 0])
+        seen.setdefault("fresh", []).append((keep == 0).sum())
+        return {k: np.zeros_like(v) for k, v in weights.items()}, h
+
+    monkeypatch.setattr(R, "_gradients", gradients)
+    monkeypatch.setattr(R, "PIECE", 4)
+    documents = [np.arange(1, 11, dtype=np.int32), np.arange(20, 24, dtype=np.int32), np.array([30], np.int32)]
+    R.train(vocabulary.start(), vocabulary, documents)
+    end = vocabulary.inputs(vocabulary.find(np.array([R.END], np.uint64)))[0]
+    found = sorted(np.concatenate(seen["x"]).tolist())
+    assert found == sorted([end] * 3 + vocabulary.inputs(np.r_[1:10, 20:23]).tolist())
+    assert sum(seen["fresh"]) == 3 + 1 + 1
+
+
+def test_slices_are_tasks_and_equal_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(R, "SLICE_TOKENS", 600)
+    monkeypatch.setattr(R, "FOLD", 2)
+    seen, trained, stored = [], R._trained, R.stored
+
+    def kept(samples, slices, vocabulary):
+        seen.append((samples.groupBy("slice", "turn").count().collect(), slices))
+        return trained(samples, slices, vocabulary)
+
+    def noted(df, purpose):
+        made = stored(df, purpose)
+        if purpose == "weights":
+            seen.append(made.agg({"n": "sum"}).first()[0])
+        return made
+
+    monkeypatch.setattr(R, "_trained", kept)
+    monkeypatch.setattr(R, "stored", noted)
+    docs = spark.createDataFrame([(None, "a b c d e")] * 600, "doc_id long, text string").repartition(3)
+    found = R.language_model_scores(docs).collect()
+    assert len(found) == 600 and len({r.score for r in found}) == 1
+    groups, slices = seen[0]
+    assert slices == 6 and {r["slice"] for r in groups} == set(range(6)) and max(r["count"] for r in groups) < 80
+    assert len(seen) == 1 + 3 * 4  # 6 sets, then 3, 2 and 1 of them, in each round
+    assert all(len(set(seen[i:i + 4])) == 1 for i in range(1, 13, 4)) and sum(seen[1:13:4]) == 600 * 6
+
+
 def test_vocabulary_finds_all_and_no_others():
     rng = np.random.default_rng(5)
     words = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))
