@@ -33,6 +33,7 @@ CLASSES = TAIL + 1
 #: Width of the state, steps of a window, lanes in scoring and in training.
 WIDTH = 16
 WINDOW = 32
+SCORING_WINDOW = 128
 LANES = 512
 TRAINING_LANES = 512
 
@@ -49,8 +50,9 @@ RATE = 4e-3
 #: Sets of weights that one task averages.
 FOLD = 16
 
-#: Tokens that are scored together.
-CHUNK_TOKENS = 2_000_000
+#: Tokens that are scored together, and rows of a softmax that are worked on at a time.
+CHUNK_TOKENS = 4_000_000
+ROWS = 2048
 
 END = 0x3C5F1E9A7D284B61  # stands for the end of a text
 HELD_OUT, FOLDS = 1, 5
@@ -196,7 +198,9 @@ def _errors(logits, at, share):
 
 def _log_probabilities(weights, states, ranks, classes):
     """Natural log of the class and, for common words, of the word in it; states is (n, WIDTH)."""
-    out = _log_picked(states @ weights["C"] + weights["c"], classes)
+    out = np.empty(len(states), dtype=np.float32)
+    for i in range(0, len(states), ROWS):
+        out[i : i + ROWS] = _log_picked(states[i : i + ROWS] @ weights["C"] + weights["c"], classes[i : i + ROWS])
     for k, at in _by_class(classes):
         out[at] += _log_picked(states[at] @ weights["W"][k] + weights["w"][k], ranks[at] - k * CLASS_WORDS)
     return out
@@ -241,7 +245,7 @@ def _packed(ranks, lengths, vocabulary, lanes, begins=None):
     before[fresh] = vocabulary.inputs(vocabulary.find(np.array([END], dtype=np.uint64)))[0]
     x = np.zeros(shape, dtype=np.int32)
     x[step, column] = before
-    keep = np.ones(shape, dtype=np.float32)
+    keep = np.ones(shape, dtype=bool)
     keep[step[firsts], column[firsts]] = 0
     return target, x, keep, heights, step, column
 
@@ -252,13 +256,13 @@ def log_likelihoods(weights, vocabulary, ranks, lengths):
     scores = np.zeros(target.shape, dtype=np.float32)
     h = np.zeros((target.shape[1], WIDTH), dtype=np.float32)
     with np.errstate(over="ignore"):
-        for t in range(0, len(target), WINDOW):
+        for t in range(0, len(target), SCORING_WINDOW):
             n = int(np.searchsorted(-heights, -t))  # lanes are sorted by length: those that go on are first
-            states = _steps(weights, x[t : t + WINDOW, :n], keep[t : t + WINDOW, :n], h[:n])
+            states = _steps(weights, x[t : t + SCORING_WINDOW, :n], keep[t : t + SCORING_WINDOW, :n], h[:n])
             h = states[-1]
-            goal = target[t : t + WINDOW, :n].ravel()
+            goal = target[t : t + SCORING_WINDOW, :n].ravel()
             found = _log_probabilities(weights, states.reshape(-1, WIDTH), goal, vocabulary.classes[goal])
-            scores[t : t + WINDOW, :n] = found.reshape(-1, n)
+            scores[t : t + SCORING_WINDOW, :n] = found.reshape(-1, n)
     return np.add.reduceat(scores[step, column].astype(np.float64), np.cumsum(lengths) - lengths)
 
 
@@ -269,9 +273,13 @@ def _gradients(weights, x, keep, h, target, classes, weight):
     flat, goal = states.reshape(-1, WIDTH), target.ravel()
     share = (weight.ravel() / max(weight.sum(), 1)).astype(np.float32)
     grads = {k: np.zeros_like(v) for k, v in weights.items()}
-    p = _errors(flat @ weights["C"] + weights["c"], classes, share)
-    grads["C"], grads["c"] = flat.T @ p, p.sum(axis=0)
-    d = p @ weights["C"].T
+    d = np.empty_like(flat)
+    for i in range(0, len(flat), ROWS):
+        some = flat[i : i + ROWS]
+        p = _errors(some @ weights["C"] + weights["c"], classes[i : i + ROWS], share[i : i + ROWS])
+        grads["C"] += some.T @ p
+        grads["c"] += p.sum(axis=0)
+        d[i : i + ROWS] = p @ weights["C"].T
     for k, at in _by_class(classes):
         some = flat[at]
         q = _errors(some @ weights["W"][k] + weights["w"][k], goal[at] - k * CLASS_WORDS, share[at])
