@@ -88,12 +88,13 @@ def window_hashes(words, width):
     n = len(words)
     if not n:
         return np.empty(0, dtype=np.uint64)
+    by_word = _BY_WORD if width <= len(_BY_WORD) else multipliers(width, 91)
     if n < width:
-        weights = _BY_WORD[:n]
+        weights = by_word[:n]
         return mix(np.array([(words * weights).sum() + np.uint64(n)], dtype=np.uint64))
     total = np.full(n - width + 1, np.uint64(width), dtype=np.uint64)
     for i in range(width):
-        total += words[i : n - width + 1 + i] * _BY_WORD[i]
+        total += words[i : n - width + 1 + i] * by_word[i]
     return mix(total)
 
 

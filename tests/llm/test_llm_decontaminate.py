@@ -1,4 +1,7 @@
 import random
+from datetime import date
+
+import pytest
 
 from pergamon.llm.decontaminate import Items, _bits, benchmark_matches, myers, without_benchmark
 
@@ -39,11 +42,12 @@ def _edited(rng, words, errors):
     return words
 
 
-def test_every_place_within_the_budget_is_found():
+@pytest.mark.parametrize("shortest, longest, share", [(8, 60, 0.15), (1, 90, 0.15), (1, 9, 0.15), (1, 150, 0.0), (1, 30, 0.4)])
+def test_every_place_within_the_budget_is_found(shortest, longest, share):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcde") for _ in range(3))
-    items = [(i, " ".join(word() for _ in range(rng.randint(8, 60)))) for i in range(40)]
-    ready = Items([(i, t.encode()) for i, t in items])
+    items = [(i, " ".join(word() for _ in range(rng.randint(shortest, longest)))) for i in range(40)]
+    ready = Items([(i, t.encode()) for i, t in items], share)
     texts = []
     for _ in range(150):
         i, text = rng.choice(items)
@@ -57,28 +61,30 @@ def test_every_place_within_the_budget_is_found():
         for i, item in items:
             item = item.split()
             nearest, _ = distance(item, words)
-            assert (i in found) == (nearest <= int(len(item) * 0.15))
+            assert (i in found) == (nearest <= (int(len(item) * share) if len(item) >= 8 else 0))
             if i in found:
                 got, first, last = found[i]
                 assert got == nearest == distance(item, words[first:last + 1])[0]
                 hits += 1
+                if not got:
+                    assert words[first:last + 1] == item
     assert hits > 60
 
 
 def test_matches_and_clean_documents(spark):
     item = "how many words of this very item must stand here in a row"
     bench = spark.createDataFrame(
-        [(1, item), (1, item), (2, None), (3, ""), (4, "too short"), (5, "x " * 40)], "item_id long, text string")
+        [(1, item), (1, item), (2, None), (3, ""), (4, "too short"), (5, "x " * 40), (6, "?!")], "item_id long, text string")
     rows = [(10, "before " + item + " after"), (11, item.replace("very", "quite").upper() + "!"), (12, None),
             (13, ""), (14, "clean text without any of that"), (14, "clean text without any of that"),
-            (15, "word " * 100_000 + item), (None, item)]
+            (15, "word " * 100_000 + item), (None, item), (16, "far too, short"), (17, "too long, short")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, item_id int")
     found = sorted(map(tuple, benchmark_matches(docs, bench).collect()), key=repr)
     assert found == sorted([
-        (10, 1, 0, 1, 13), (11, 1, 1, 0, 12), (15, 1, 0, 100_000, 100_012), (None, 1, 0, 0, 12)], key=repr)
+        (10, 1, 0, 1, 13), (11, 1, 1, 0, 12), (15, 1, 0, 100_000, 100_012), (None, 1, 0, 0, 12), (16, 4, 0, 1, 2)], key=repr)
     clean = without_benchmark(docs, bench)
     assert clean.columns == docs.columns
-    assert sorted(r.doc_id for r in clean.collect()) == [12, 13, 14, 14]
+    assert sorted(r.doc_id for r in clean.collect()) == [12, 13, 14, 14, 17]
 
 
 def test_empty_tables(spark):
@@ -98,3 +104,20 @@ def test_blocks_find_what_one_pass_finds(spark, monkeypatch):
     found = sorted(map(tuple, benchmark_matches(docs, bench).select("doc_id", "item_id").collect()))
     assert found == [(i, i) for i in range(20)]
     assert without_benchmark(docs, bench).count() == 0
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("date", [date(2020, 1, 2), None]), ("smallint", [3, 4]), ("string", ["b", "é"]), ("decimal(9,2)", [1, 2]), ("double", [0.5, 1.5])])
+def test_ids_of_any_type(spark, kind, values):
+    bench = spark.createDataFrame([(0, "one"), (1, "two three")], "k int, text string").selectExpr(
+        f"CASE k WHEN 0 THEN CAST({_literal(values[0])} AS {kind}) ELSE CAST({_literal(values[1])} AS {kind}) END AS item_id", "text")
+    docs = spark.createDataFrame([(1, "three two three One"), (2, "two, one")], "doc_id long, text string")
+    found = benchmark_matches(docs, bench)
+    assert found.schema["item_id"].dataType == bench.schema["item_id"].dataType
+    ids = {r.text: r.item_id for r in bench.collect()}
+    assert sorted(((r.doc_id, r.first_word, r.item_id) for r in found.collect()), key=repr) == sorted(
+        [(1, 3, ids["one"]), (1, 1, ids["two three"]), (2, 1, ids["one"])], key=repr)
+
+
+def _literal(value):
+    return "NULL" if value is None else f"'{value}'"
