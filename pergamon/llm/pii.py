@@ -32,13 +32,24 @@ CONTEXT = {
     "ssn": ("ssn", "social", "security"),
 }
 
+# Characters of an account number by country, from the public register of ISO 13616.
+IBAN_LENGTHS = dict(pair.split(":") for pair in """
+    AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DK:18 DO:28 EE:20
+    EG:29 ES:24 FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30
+    KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22 MK:19 MR:27 MT:31 MU:30 NL:18 NO:15 PK:24
+    PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 SA:22 SC:31 SD:18 SE:24 SI:19 SK:24 SM:27 ST:25 SV:28 TL:23 TN:24 TR:26 UA:29
+    VA:22 VG:24 XK:20""".split())
+
 _AT_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # a run of digits can only match from its start, so a part is never tried twice
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})")
+_IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){11,30}")
+_WORD = re.compile(r"[A-Za-z0-9]")
+_IBAN_END = re.compile(r"(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-fA-F]{32,128}|AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36})(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _CONTEXT = {k: re.compile(r"(?<![^\W_])(?:" + "|".join(map(re.escape, words)) + r")(?![^\W_])", re.I)
@@ -78,6 +89,32 @@ def _emails(text):
         at = text.find("@", done)
 
 
+def _accounts(text):
+    """Leftmost non-overlapping account numbers; capitals that go on after a number are not part of it.
+
+    A number has the length of its country; of other countries, and where that length fails, it is the whole
+    run of capitals and digits (34 at most).
+    """
+    start = _IBAN.search(text)
+    while start:
+        at = start.start()
+        ends, length = [], int(IBAN_LENGTHS.get(text[at : at + 2], 0))
+        if length:
+            taken = 4
+            for i in range(start.end(), _IBAN_REST.match(text, start.end()).end()):
+                taken += text[i] != " "
+                if taken == length and text[i] != " ":
+                    ends.append(i + 1)
+                    break
+        whole = _IBAN_END.match(text, start.end())
+        if whole:
+            ends.append(whole.end())
+        end = next((e for e in ends if not _WORD.match(text, e) and mod97(text[at:e].replace(" ", ""))), None)
+        if end:
+            yield at, end
+        start = _IBAN.search(text, end or at + 1)
+
+
 def _proposed(text):
     """(kind, start, end) of every span whose validator holds."""
     for start, end in _emails(text):
@@ -95,10 +132,8 @@ def _proposed(text):
         for m in _PHONE.finditer(text):
             if 10 <= len(_digits(m[0])) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        account = m[0].replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield "iban", m.start(), m.end()
+    for start, end in _accounts(text):
+        yield "iban", start, end
     for m in _SECRET.finditer(text):
         yield "secret", m.start(), m.end()
     for m in _SSN.finditer(text):

@@ -48,6 +48,52 @@ def test_checksums():
     assert mod97("GB82WEST12345698765432") and not mod97("GB82WEST12345698765433")
 
 
+IBANS = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S",
+         "FR14 2004 1010 0505 0001 3M02 606"]
+
+
+@pytest.mark.parametrize("iban", IBANS)
+@pytest.mark.parametrize("after", ["", " BIC COBADEFFXXX", " USD 100", "\nA", ".", " and more", " X", " " + IBANS[0], " GB00 " * 9, " 12 34"])
+@pytest.mark.parametrize("before", ["", "IBAN ", "AB12 ", "DE00 ", "é", "QQ11 XY22 "])
+def test_account_numbers_end_where_their_country_says(iban, before, after):
+    text = before + iban + after
+    spans = [text[s:e] for s, k, e, _ in find_spans(text) if k == "iban"]
+    assert spans == [iban] + [IBANS[0]] * (IBANS[0] in after)
+
+
+def brute_accounts(text):
+    """By every start and every end, with the remainder counted digit by digit."""
+    from pergamon.llm.pii import IBAN_LENGTHS
+    found, at = [], 0
+    while at < len(text):
+        best = None
+        if not (at and text[at - 1].isalnum() and text[at - 1].isascii()):
+            wholes, hits = [], []
+            for end in range(at + 15, min(len(text), at + 70) + 1):
+                run = text[at:end]
+                if not re.fullmatch(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", run) or re.match("[A-Za-z0-9]", text[end:]):
+                    continue
+                wholes.append(end)
+                account, rest = run.replace(" ", ""), 0
+                for c in account[4:] + account[:4]:
+                    rest = (rest * (10 if c.isdigit() else 100) + int(c, 36)) % 97
+                if rest == 1:
+                    hits.append((end, len(account)))
+            own = int(IBAN_LENGTHS.get(text[at : at + 2], 0))
+            best = next((e for e, n in hits if n == own), None) or next((e for e, _ in hits if e == max(wholes)), None)
+        if best:
+            found.append((at, best))
+        at = best or at + 1
+    return found
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*IBANS, *[i[:-1] for i in IBANS], "ZZ68 1111 2222 3333 4444", " ", "  ", "A", "7", "a", "DE89", "GB82 ", "é", "3700"]), max_size=9))
+def test_account_numbers_are_those_of_every_start_and_end(pieces):
+    text = "".join(pieces)
+    assert [(s, e) for s, k, e, _ in find_spans(text) if k == "iban"] == brute_accounts(text)
+
+
 def test_added_kinds_and_context():
     kinds = lambda text: [k for _, k, _, _ in find_spans(text)]
     assert kinds("IBAN GB82 WEST 1234 5698 7654 32 now") == ["iban"]
@@ -58,7 +104,7 @@ def test_added_kinds_and_context():
     assert near > plain
 
 
-@pytest.mark.parametrize("text", ["9" * 300_000, "a" * 300_000, "1." * 150_000, "+1" + " " * 300_000, "a@" * 150_000])
+@pytest.mark.parametrize("text", ["9" * 300_000, "a" * 300_000, "1." * 150_000, "+1" + " " * 300_000, "a@" * 150_000, "DE00 " * 60_000, "AB12" * 70_000])
 def test_long_runs_take_linear_time(text):
     find_spans(text)
 
