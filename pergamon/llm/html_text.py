@@ -2,10 +2,13 @@
 
 A container is a block element that holds others, and its path is the chain of tags and classes down
 to it, digits generalised. Every page scores its containers by their text; per host, Spark adds up the
-votes of all pages and the path with most of them wins. A second pass extracts it from each page.
+votes of all pages and the path with most of them wins. Where the rest of an article stands beside that
+container, in a wrapper of both, the wrapper wins: its other text differs from page to page, which what
+surrounds an article doesn't. A second pass extracts the path from each page.
 """
 
 import re
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -19,13 +22,26 @@ SKIPPED = frozenset(
     "head title script style noscript template svg math canvas iframe object video audio map nav header footer "
     "aside form button select textarea input label menu dialog".split())
 
-#: Words of a class, id or role that mark what surrounds an article.
+#: Words that mark what surrounds an article: as a whole class or role of any element, as a word of a class of
+#: a container or list, and as the id of one if no word of it is other than these and AROUND. Generated ids of
+#: headings and sections are their titles, so one word says nothing there.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar "
     "navigation menu breadcrumb breadcrumbs header masthead footer comment comments respond disqus cookie cookies "
     "consent notice notices popup modal newsletter subscribe signup login share sharing social related recommended "
     "pagination pager widget toolbar hidden complementary contentinfo search".split())
 
+AROUND = frozenset(
+    "site page top bottom left right main box bar wrapper wrap container area block list section links global primary "
+    "secondary slot unit outer inner".split())
+
+#: Words beside which these marks name a part of the article, as in `post-header`.
+PARTS = frozenset("article post entry story content page section chapter title".split())
+PART_MARKS = frozenset(("header", "masthead"))
+
+#: Elements of which a word of a class, or the id, can be a mark.
+MARKABLE = frozenset("blockquote center details div dl fieldset li ol section span table tbody td th tr ul".split())
+
 #: Elements that hold no text end at once.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -55,22 +71,28 @@ _WORDS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"[0-9]+")
 
 
-def _attributes(text):
-    """(class, id and role words; generalised classes; hidden) of a tag's attributes."""
-    marks, classes, hidden = [], [], False
+def _attributes(tag, text):
+    """(whether it is marked or hidden, generalised classes) of a tag's attributes."""
+    classes, marked = [], False
     for m in _MARKING.finditer(text):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "style":
-            hidden |= "display:none" in value.replace(" ", "")
+            marked |= "display:none" in value.replace(" ", "")
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            hidden = True
-        elif name in ("class", "id", "role"):
+            marked = True
+        elif name == "id":
+            words = set(_WORDS.findall(value))
+            marked |= tag in MARKABLE and not MARKS.isdisjoint(words) and words <= MARKS | AROUND
+        elif name in ("class", "role"):
             for token in value.split():
-                if not token.startswith(("has-", "with-", "no-", "is-")):
-                    marks += _WORDS.findall(token)
+                words = {token}
+                if tag in MARKABLE and not token.startswith(("has-", "with-", "no-", "is-")):
+                    words = set(_WORDS.findall(token))
+                    words -= set() if PARTS.isdisjoint(words) else PART_MARKS
+                marked |= not MARKS.isdisjoint(words)
             if name == "class":
-                classes = sorted({_DIGITS.sub("#", c) for c in value.split()})
-    return marks, classes, hidden
+                classes = sorted({_DIGITS.sub("#", c).replace("/", "|") for c in value.split()})
+    return marked, classes
 
 
 class Page:
@@ -132,8 +154,8 @@ class Page:
             return
         before, skip, linked = self._container, tag in SKIPPED, tag == "a"
         if not skip and (tag in BLOCKS or tag == "span") and attributes:
-            marks, classes, hidden = _attributes(attributes)
-            skip = hidden or tag not in ARTICLES and tag != "body" and not MARKS.isdisjoint(marks)
+            marked, classes = _attributes(tag, attributes)
+            skip = marked and tag not in ARTICLES and tag != "body"
         else:
             classes = ()
         if tag in CONTAINERS and not skip and not self._skip:
@@ -180,6 +202,15 @@ class Page:
         total = sum(votes.values())
         return {p: v * 1000 // total for p, v in votes.items() if v * 1000 // total} if total else {}
 
+    def own(self):
+        """{path: (characters, hash)} of the text that stands in the containers of a path itself, links left out."""
+        texts = {}
+        for text, container, link in self.blocks:
+            if container >= 0 and not link:
+                texts.setdefault(self.paths[container], []).append(text)
+        return {p: (sum(map(len, t)), blake2b("\n".join(t).encode("utf-8", "replace"), digest_size=8).digest())
+                for p, t in texts.items()}
+
     def text(self, path):
         """The text of the blocks under the containers of a path; of the page's best one if it has none."""
         inside = self._under(path)
@@ -204,15 +235,15 @@ def _host(url):
 
 def _votes(batches):
     for batch in batches:
-        hosts, paths, votes = [], [], []
+        rows = []
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for path, vote in Page(html.as_py().decode("utf-8", "replace")).votes().items():
-                hosts.append(host)
-                paths.append(path)
-                votes.append(vote)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.int64())],
-            ["host", "path", "votes"])
+            page = Page(html.as_py().decode("utf-8", "replace"))
+            votes, own = page.votes(), page.own()
+            rows += [(host, path, votes.get(path, 0), *own.get(path, (0, None))) for path in dict.fromkeys([*votes, *own])]
+        columns = list(zip(*rows)) or [()] * 5
+        types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                         ["host", "path", "votes", "chars", "text"])
 
 
 def _texts(batches):
@@ -225,13 +256,47 @@ def _texts(batches):
             ["page_id", "url", "text", "n_chars", "host_path"])
 
 
+def _tag(path):
+    """The tag of the last container of a path."""
+    return F.regexp_extract(path, "([^/.]+)[^/]*$", 1)
+
+
+def _under(path, above):
+    return (path == above) | path.startswith(F.concat(above, F.lit("/")))
+
+
 def host_paths(pages, url="url", html="html"):
-    """(host, path, votes): the container path with most votes of each host."""
+    """(host, path, votes): the container of each host that holds its articles.
+
+    The path with most votes, or the nearest wrapper of it (body, articles and what is in them apart) where more than
+    half of the other text differs from page to page: has more than half as many texts as the path itself.
+    """
     rows = pages.select(_host(url).alias("host"), text_bytes(html).alias("html"))
-    votes = rows.mapInArrow(_votes, "host string, path string, votes long")
-    votes = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    best = votes.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("less"), "path")).alias("m"))
-    return best.select("host", F.col("m.path").alias("path"), (-F.col("m.less")).alias("votes"))
+    found = rows.mapInArrow(_votes, "host string, path string, votes long, chars long, text binary")
+    found = found.groupBy("host", "path", "text").agg(F.sum("votes").alias("votes"), F.sum("chars").alias("chars"))
+    paths = found.groupBy("host", "path").agg(
+        F.sum("votes").alias("votes"), F.sum("chars").alias("chars"), F.count("text").alias("texts"))
+    paths = stored(paths, "container-paths")
+    best = paths.where("votes > 0").groupBy("host").agg(
+        F.min(F.struct((-F.col("votes")).alias("less"), "path")).alias("m"))
+    best = best.select("host", F.col("m.path").alias("best"), (-F.col("m.less")).alias("votes"))
+
+    open_ = best.where(~F.concat(F.lit("/"), "best").rlike("/(article|main)[./]|/(article|main)$"))
+    beside = paths.where("chars > 0").join(open_.select("host", "best"), "host").withColumn(
+        "inside", _under(F.col("path"), F.col("best")))
+    size = beside.where("inside").groupBy("host").agg(F.max("texts").alias("n"))
+    parts = F.split("best", "/")
+    wrappers = open_.where(F.size(parts) > 1).select(
+        "host", "best", F.explode(F.sequence(F.lit(1), F.size(parts) - 1)).alias("depth"))
+    wrappers = wrappers.select("host", "depth", F.array_join(F.slice(parts, 1, F.col("depth")), "/").alias("wrapper"))
+    wrappers = wrappers.where(~_tag(F.col("wrapper")).isin("body", "html")).join(size, "host")
+    others = beside.where("NOT inside").select("host", "path", "chars", "texts").join(wrappers, "host").where(
+        _under(F.col("path"), F.col("wrapper")))
+    differing = F.when(2 * F.col("texts") > F.col("n"), F.col("chars")).otherwise(0)
+    nearest = others.groupBy("host", "depth", "wrapper").agg(
+        F.sum("chars").alias("all"), F.sum(differing).alias("differing")).where("2 * differing > all").groupBy("host").agg(
+        F.max(F.struct("depth", "wrapper")).alias("w")).select("host", F.col("w.wrapper").alias("wrapper"))
+    return best.join(nearest, "host", "left").select("host", F.coalesce("wrapper", "best").alias("path"), "votes")
 
 
 def main_texts(pages, page_id="page_id", url="url", html="html"):
