@@ -13,6 +13,7 @@ from pergamon.operators.tracking import (
 from pergamon.session import shared_folder
 from pergamon.sources import tables as S
 from pergamon.sources.files import extract_text
+from pergamon.sources.requests import send_deletes, send_upserts
 
 
 def file_keys(document_type):
@@ -29,16 +30,22 @@ def as_documents(extracted, document_type):
     return extracted.select(*file_keys(document_type), "extracted_text", "error")
 
 
-def build_index(spark, tables, embed=None, dimension=V.EMBEDDING_DIMENSION):
-    """Fill the index from the whole chunk table. Running it again gives the same index."""
+def build_index(spark, tables, embed=None, dimension=V.EMBEDDING_DIMENSION, client=None):
+    """Fill the index from the whole chunk table. Running it again gives the same index.
+
+    With a client (`sources.requests`) an index kept elsewhere gets all its rows too.
+    """
     chunks = S.scan_table(spark, tables.chunks)
     S.overwrite(spark, embed_text(chunks, embed=embed, dimension=dimension), tables.index)
+    if client is not None:
+        send_upserts(spark, S.scan_table(spark, tables.index), client)
 
 
-def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=V.EMBEDDING_DIMENSION):
+def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=V.EMBEDDING_DIMENSION,
+          client=None):
     """First fill of all four tables; nothing happens if the text table has rows.
 
-    Documents with an error are left out and come again with the next update.
+    Documents with an error are left out and come again with the next update. The track table is written last.
     """
     if not S.is_empty(spark, tables.text):
         return False
@@ -48,7 +55,7 @@ def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension
     texts = S.scan_table(spark, tables.text)
     chunks = with_chunk_ids(chunk(texts.where("extracted_text IS NOT NULL")))
     S.write_overwrite_if_empty(spark, chunks, tables.chunks)
-    build_index(spark, tables, embed=embed, dimension=dimension)
+    build_index(spark, tables, embed=embed, dimension=dimension, client=client)
     known = S.scan_table(spark, tables.track)
     S.write_append(spark, insert_if_absent(known, texts, V.READY), tables.track)
     return True
@@ -86,9 +93,12 @@ def _settle(spark, tables):
 
 
 def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=V.EMBEDDING_DIMENSION,
-                 checked=False):
+                 checked=False, client=None):
     """Take in new documents; the number of files taken in.
 
+    A client (`sources.requests`) keeps an index elsewhere in step: it gets the ids of rows that are replaced, before
+    they are, and the new rows, before the state turns to UPDATED; so a run that stopped is made good by the next.
+
     Files that are READY or UPDATED are skipped. Files that the track table does not know are
     appended to every table, and no file that is there is written again; only files it knows, such as
     those a stopped run left at UPDATING, have rows to replace. The state turns to UPDATED after the
@@ -112,8 +122,14 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
     embedded = embed_text(chunks, embed=embed, dimension=dimension)
     for table, rows in ((tables.text, batch), (tables.chunks, chunks), (tables.index, embedded)):
         if again is not None:
+            if client is not None and table == tables.chunks:
+                send_deletes(spark, S.rows_of_files(spark, table, again), client)
             S.delete_rows(spark, table, again)
         S.write_append(spark, rows, table)
+    if client is not None:
+        # the embeddings just written, not made a second time
+        new = S.rows_of_files(spark, tables.index, files)
+        send_upserts(spark, key_filter(new, chunks.select("id"), ["id"]), client)
     ended = key_filter(S.pending_rows(spark, tables.track), batch, FILE_KEY)
     ended = update_status_tuple(ended, batch).checkpoint()
     S.write_append(spark, ended, tables.track)
@@ -121,10 +137,11 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
     return size
 
 
-def purge_deleted(spark, tables, volume, target=None, share=S.COMPACT_SHARE):
+def purge_deleted(spark, tables, volume, target=None, share=S.COMPACT_SHARE, client=None):
     """Remove the files that are no longer on the volume from all tables; their paths.
 
-    With a flat folder as `target`, also the copies there that no file needs any more.
+    With a flat folder as `target`, also the copies there that no file needs any more. A client
+    (`sources.requests`) gets the ids of the chunks first, so a run that stopped sends them again.
 
     Deletes by small rows beside the tables, so what is written grows with the files that are gone; buckets that
     are deleted in large part are then rewritten (`share`, none with a share above 1).
@@ -139,6 +156,8 @@ def purge_deleted(spark, tables, volume, target=None, share=S.COMPACT_SHARE):
     files = gone.select(
         dir_name("path").alias("folder_name"), base_name("path").alias("file_name")
     )
+    if client is not None:
+        send_deletes(spark, S.rows_of_files(spark, tables.chunks, files), client)
     for table in (tables.chunks, tables.text, tables.index, tables.track):
         S.delete_rows(spark, table, files)
         S.compact(spark, table, share)

@@ -391,6 +391,9 @@ _ORACLE = {
           // 10000 AS BIGINT) AS batch
         FROM (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 10000 AS shard,
                 CAST(octet_length(encode(text_chunk)) AS BIGINT) AS bytes FROM chunks) n"""),
+    "send_upserts": ("chunks", "SELECT *, TRUE AS within_limit FROM chunks"),
+    "send_deletes": ("chunks gone_keys", """
+        SELECT id FROM chunks WHERE file_name IN (SELECT file_name FROM gone_keys)"""),
     "chunk_window": ("chunks", "SELECT * FROM chunks"),
     "chunk_recursive_contract": ("texts", r"""
         SELECT id, TRUE AS sizes_hold, TRUE AS is_stripped, TRUE AS is_complete, TRUE AS is_in_text,

@@ -10,6 +10,7 @@ from pergamon.operators import chat, chunking, codes, indexing, lists, quality,
 from pergamon.plans import answer, lifecycle
 from pergamon.session import scratch_path
 from pergamon.sources import files as files_source
+from pergamon.sources import requests
 from pergamon.sources import tables as S
 from pergamon.sources import views as W
 from pergamon.streaming import arrivals
@@ -527,6 +528,29 @@ def upsert_batches(spark, sf_dir):
     return indexing.upsert_batches(W.chunks(spark, sf_dir))
 
 
+@query
+def send_upserts(spark, sf_dir):
+    """What a client got that keeps its requests as files: every chunk once, in requests within the limit."""
+    folder = scratch_path(spark, "requests")
+    rows = W.chunks(spark, sf_dir)
+    requests.send_upserts(spark, rows, requests.FolderClient(folder))
+    got = spark.read.schema(rows.schema).parquet(f"{folder}/upsert").withColumn("request", F.input_file_name())
+    size = F.coalesce(F.octet_length("text_chunk"), F.lit(0))
+    of = got.groupBy("request").agg(F.sum(size).alias("bytes"), F.count("*").alias("rows"))
+    of = of.select("request", ((F.col("bytes") <= V.BATCH_BYTES) | (F.col("rows") == 1)).alias("within_limit"))
+    numbers = ("chunk_location_in_doc", "total_chunks_in_doc", "chunk_length_in_chars")
+    return got.join(of, "request").drop("request").withColumns({c: big(c) for c in numbers})
+
+
+@query
+def send_deletes(spark, sf_dir):
+    """The ids that a client gets when the chunks of files that are gone leave the index."""
+    folder = scratch_path(spark, "requests")
+    gone = tracking.deleted_chunk_ids(W.chunks(spark, sf_dir), _gone(spark, sf_dir))
+    requests.send_deletes(spark, gone, requests.FolderClient(folder))
+    return spark.read.schema("id long").parquet(f"{folder}/delete")
+
+
 # --- chunks and embeddings
 
 

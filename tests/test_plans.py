@@ -34,7 +34,7 @@ WRITING = {
     "vector_topk_lists", "vector_topk_lists_filtered", "vector_topk_lists_blocks", "lists_recall", "rag_batch_lists", "vector_topk_codes",
     "purge_all_tables", "purge_and_compact", "deleted_shares", "stream_update_tables",
     "evaluate_batch", "stream_index_update", "stream_new_files", "purge_tables", "assign_ids",
-    "upsert_batches",
+    "upsert_batches", "send_upserts", "send_deletes",
 }
 
 
