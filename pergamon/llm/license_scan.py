@@ -4,10 +4,13 @@ A text block matches a template if it holds at least a share of the template's w
 one order, rarest in the corpus first. Two sets with an overlap of at least `need` share a word
 among the first size - need + 1 of each, so only blocks with such a word are looked at; sizes and the
 places of the shared word bound the overlap before it is counted. The filters are exact: no block that
-meets the threshold is passed over.
+meets the threshold is passed over. Of two templates with different labels, one of which has all words
+of the other and more, the wider counts only with each of these words more, and then the narrower does not: a
+notice of CC BY-SA is none of CC BY, nor the other way round. Both count where the narrower's words stand twice.
 """
 
 import math
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -29,10 +32,16 @@ TEMPLATES = (
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
     ("creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+    ("creative commons attribution noderivatives 4 0 international license", "cc-by-nd"),
+    ("creative commons attribution noncommercial sharealike 4 0 international license", "cc-by-nc-sa"),
+    ("creative commons attribution noncommercial noderivatives 4 0 international license", "cc-by-nc-nd"),
     ("creative commons attribution 4 0 international license", "cc-by"),
     ("licensed under the gnu general public license version 2", "gpl-2"),
     ("licensed under the gnu general public license version 3", "gpl-3"),
     ("licensed under the gnu lesser general public license", "lgpl"),
+    ("licensed under the gnu lesser general public license version 2", "lgpl"),
+    ("licensed under the gnu lesser general public license version 3", "lgpl"),
+    ("licensed under the gnu affero general public license version 3", "agpl-3"),
     ("subject to the terms of the mozilla public license v 2 0", "mpl-2"),
     ("use of this source code is governed by a bsd style license", "bsd"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and "
@@ -69,6 +78,10 @@ class Templates:
             self.rows.append((frozenset(ordered), label, need, len(text) > LINE_WORDS))
             for place, r in enumerate(ordered[: len(ordered) - need + 1]):
                 self.heads.setdefault(r, []).append((i, place))
+        pairs = [(i, j) for i, a in enumerate(self.rows) for j, b in enumerate(self.rows) if a[0] < b[0] and a[1] != b[1]]
+        self.wider = [[j for i, j in pairs if i == k] for k in range(len(self.rows))]
+        self.telling = [frozenset().union(*[self.rows[j][0] - self.rows[i][0] for i, j in pairs if j == k])
+                        for k in range(len(self.rows))]
         self.head_words = frozenset(words[r] for r in self.heads)
         self.window = max((len(t) for t, _ in texts if len(t) > LINE_WORDS), default=0)
         self.least = min((need for _, _, need, _ in self.rows), default=0)
@@ -90,8 +103,17 @@ class Templates:
                 common = len(members & held)
                 if common >= need:
                     found[i] = common / len(members)
+        found = {i: share for i, share in found.items() if self.telling[i] <= held}
+        if any(self.wider[i] for i in found):
+            times = Counter(self.rank[w] for w in words if w in self.rank)
+            found = {i: share for i, share in found.items() if not self._part_of_wider(i, held, times)}
         return found
 
+    def _part_of_wider(self, i, held, times):
+        """Whether a block meets a wider template than template i and has not all words of i twice."""
+        return min(times[r] for r in self.rows[i][0]) < 2 and any(
+            self.telling[j] <= held and len(self.rows[j][0] & held) >= self.rows[j][2] for j in self.wider[i])
+
     def scan(self, data):
         """{label: best share} over all blocks of a text."""
         words = plain_words(data)
@@ -110,7 +132,6 @@ class Templates:
                     best[label] = max(best.get(label, 0.0), share)
         return best
 
-
     def wrapped(self, data):
         """{label: best share} of short templates in windows of the whole text, whatever its lines.
 
@@ -171,7 +192,8 @@ def license_scan(docs, doc_id="doc_id", text="text", templates=TEMPLATES, thresh
 
     Two passes over the texts and no shuffle of them: the first counts the templates' words in the
     whole corpus, the second matches. Labels are sorted, distinct and comma-joined, empty if none.
-    The score is 1 with a base label, else the best share of a template met, else 0. Null and empty
+    The score is 1 with a base label, else the best share of a template met, else 0. Base labels count
+    whatever stands around the phrase. Null and empty
     texts have no words and no labels; repeated rows are repeated.
     """
     vocabulary = {w for t, _ in templates for w in plain_words(t.encode())}

@@ -4,6 +4,24 @@ from pergamon.llm.license_scan import TEMPLATES, THRESHOLD, Templates, license_s
 from pergamon.llm.text import plain_words
 
 
+def meets(template, block):
+    """Share of a template's words in a block; 0 if too few, if a word that tells it from a narrower notice is missing,
+    or if it is part of a wider notice that stands there."""
+    share = alone(template, block)
+    wider = [t for t in LABELS if set(template) < set(t) and LABELS[t] != LABELS[tuple(template)]]
+    return 0 if any(alone(t, block) for t in wider) and any(block.count(w) < 2 for w in template) else share
+
+
+def alone(template, block):
+    own, held = set(template), set(block)
+    share = len(own & held) / len(own)
+    narrower = [set(t) for t in LABELS if set(t) < own and LABELS[t] != LABELS[tuple(template)]]
+    return 0 if share < THRESHOLD - 1e-12 or any(not own - n <= held for n in narrower) else share
+
+
+LABELS = {tuple(plain_words(t.encode())): label for t, label in TEMPLATES}
+
+
 def brute(data):
     """{label: best share} by comparing every block with every template."""
     words = plain_words(data)
@@ -11,14 +29,13 @@ def brute(data):
     best = {}
     for text, label in TEMPLATES:
         t = plain_words(text.encode())
-        need = set(t)
         if len(t) > 16:
             blocks = [words[i:i + 2 * index.window] for i in range(0, max(1, len(words) - index.window), index.window)]
         else:
             blocks = [plain_words(x) for x in data.split(b"\n")]
         for block in blocks:
-            share = len(need & set(block)) / len(need)
-            if share >= THRESHOLD - 1e-12:
+            share = meets(t, block)
+            if share:
                 best[label] = max(best.get(label, 0), share)
     return best
 
@@ -48,7 +65,8 @@ def test_phrases_and_places():
 
 
 def test_rows(spark):
-    long_notice = "\n".join(TEMPLATES[12][0][i:i + 40] for i in range(0, len(TEMPLATES[12][0]), 40))
+    mit = next(t for t, label in TEMPLATES if label == "mit" and len(t) > 200)
+    long_notice = "\n".join(mit[i:i + 40] for i in range(0, len(mit), 40))
     rows = [(1, "text\nReleased under the MIT License."), (2, None), (3, ""), (4, "the mit license under"),
             (5, "This work is licensed under the GNU General Public License, version 3"), (6, "w " * 300_000),
             (7, "x " * 500 + long_notice.replace("- ", "-") + " y" * 500), (1, "text\nReleased under the MIT License."),
@@ -89,10 +107,27 @@ def test_windows_are_those_of_brute_force():
         expected = {}
         for t, label in short:
             for i in range(0, max(1, len(words) - len(t)), len(t)):
-                share = len(set(t) & set(words[i:i + 2 * len(t)])) / len(set(t))
-                if share >= THRESHOLD - 1e-12:
+                share = meets(t, words[i:i + 2 * len(t)])
+                if share:
                     expected[label] = max(expected.get(label, 0), share)
         data = b"".join(w + rng.choice((b" ", b"\n")) for w in words)
         assert index.wrapped(data) == expected
         hits += bool(expected)
     assert 40 < hits
+
+
+def test_a_wider_notice_hides_the_narrower_one(spark):
+    by, sa = "Creative Commons Attribution 4.0 International License", "Creative Commons Attribution-ShareAlike 4.0 International License"
+    texts = {
+        by: "cc-by", sa: "cc-by-sa", "under a Creative Commons Attribution-\nNonCommercial 4.0 International License": "cc-by-nc",
+        f"{by} or\n{sa}": "cc-by,cc-by-sa", f"{by} or {sa}": "cc-by,cc-by-sa",
+        f"{sa}\n{'x ' * 60}\n{by}": "cc-by,cc-by-sa",
+        "licensed under the GNU Lesser General Public License, version 3": "lgpl",
+        "licensed under the GNU Lesser\nGeneral Public License, version 2.1": "lgpl",
+        "licensed under the GNU Affero General Public License version 3": "agpl-3",
+        "licensed under the GNU General Public License version 3": "gpl-3",
+        "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "cc-by-nc-sa",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in license_scan(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == list(texts.values())
