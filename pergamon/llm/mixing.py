@@ -23,8 +23,10 @@ UNIT = 1_000_000
 ROUNDS = 60
 TOLERANCE = 1e-7
 
-#: Documents of one size and source that are ranked together, about, and offsets tried a source.
+#: Documents of one size and source that are ranked together, about, rows of one id that one task makes
+#: again, and offsets tried a source.
 CELL_ROWS = 50_000
+RUN_ROWS = 50_000
 OFFSETS = 64
 
 
@@ -112,6 +114,23 @@ def balanced(cells, sources, most=MAX_COPIES):
     return state.select("source", slope.alias("slope"))
 
 
+def _rows_of_runs(runs):
+    """One row for each of the `c` equal rows of a run, numbered by `inside` from 0.
+
+    Runs over RUN_ROWS are cut first, and the pieces dealt to tasks, so no task makes a whole long run.
+    """
+    columns = [F.col(c) for c in runs.columns]
+    short = runs.filter(F.col("c") <= RUN_ROWS).select(
+        *columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)).alias("inside"))
+    pieces = runs.filter(F.col("c") > RUN_ROWS).select(
+        *columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1, F.lit(RUN_ROWS).cast("long"))).alias("first"))
+    last = F.least(F.col("first") + RUN_ROWS, F.col("c")) - 1
+    # dealt by a hash of the piece: round robin would first sort all pieces
+    long = pieces.repartition(F.xxhash64("source", "size", "doc_id", "first")).select(
+        *columns, F.explode(F.sequence(F.col("first"), last)).alias("inside"))
+    return short.unionByName(long)
+
+
 def mixed(docs, doc_id="doc_id", source="source", text="text", most=MAX_COPIES):
     """doc_id, size, source, source_size, target, rate and copies of every row; taken = copies * size.
 
@@ -120,7 +139,9 @@ def mixed(docs, doc_id="doc_id", source="source", text="text", most=MAX_COPIES):
     cells, from long documents to short, copies are dealt systematically, so that the error of each
     prefix is below one copy; of some offsets the one that ends nearest to the target is used. Which
     documents of a cell get the copy more is settled by hash of the id. Large cells are split by
-    hash first. All rates are whole numbers, so reruns agree.
+    hash first, and rows of one id, source and size, which are interchangeable, are counted, ranked as one
+    run and made again at the end, so rows without an id are no hot key. All rates are whole numbers and
+    nothing depends on how rows lie, so reruns agree.
 
     A null source is a source; null and empty texts have size 0 and one copy. Sources without words
     have the target 0. Repeated rows are dealt with as one document each; no rows give no rows.
@@ -148,10 +169,11 @@ def mixed(docs, doc_id="doc_id", source="source", text="text", most=MAX_COPIES):
     rated = stored(rated, "rates")
 
     # sub-cells and how many whole rates lie before each, from long documents to short
-    sub = sized.join(rated.select(F.col("source").alias("_s"), F.col("size").alias("_z"), "rate", "parts"),
-                     same & (F.col("size") == F.col("_z"))).drop("_s", "_z")
-    sub = sub.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    counts = sub.groupBy("source", "size", "part", "rate").agg(F.count("*").alias("m"))
+    runs = sized.groupBy("source", "size", "doc_id").agg(F.count("*").alias("c"))
+    sub = runs.join(rated.select(F.col("source").alias("_s"), F.col("size").alias("_z"), "rate", "parts"),
+                    same & (F.col("size") == F.col("_z"))).drop("_s", "_z")
+    sub = stored(sub.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")).drop("parts"), "runs")
+    counts = sub.groupBy("source", "size", "part", "rate").agg(F.sum("c").alias("m"))
     fraction = F.col("rate") % UNIT
     along = Window.partitionBy("source").orderBy(F.col("size").desc(), "part")
     counts = counts.withColumn("end", F.sum(F.col("m") * fraction).over(along)).withColumn(
@@ -172,11 +194,12 @@ def mixed(docs, doc_id="doc_id", source="source", text="text", most=MAX_COPIES):
     chosen = counts.join(tried.withColumnRenamed("source", "_s"), same).drop("_s").join(aim, same).select(
         F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("part").alias("_p"), "begin", "shift", "tokens", "target")
 
-    rank = F.row_number().over(
-        Window.partitionBy("source", "size", "part").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id")) - 1
-    dealt = sub.withColumn("rank", rank).join(
-        chosen, same & (F.col("size") == F.col("_z")) & (F.col("part") == F.col("_p")))
-    at = F.col("begin") + F.col("rank") * fraction
+    before = F.sum("c").over(
+        Window.partitionBy("source", "size", "part").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id")) - F.col("c")
+    ranked = sub.withColumn("before", before).join(
+        chosen, same & (F.col("size") == F.col("_z")) & (F.col("part") == F.col("_p"))).drop("_s", "_z", "_p")
+    dealt = _rows_of_runs(stored(ranked, "ranks"))
+    at = F.col("begin") + (F.col("before") + F.col("inside")) * fraction
     copies = F.floor(F.col("rate") / UNIT) + more(at, at + fraction, F.col("shift"))
     return dealt.select(
         "doc_id", "source", "size", F.col("tokens").alias("source_size"), "target",

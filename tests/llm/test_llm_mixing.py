@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from pergamon.llm import mixing
 from pergamon.llm.mixing import WEIGHTS, mixed, source_targets
 
 
@@ -92,3 +93,23 @@ def test_no_python_runs(spark):
     docs = spark.createDataFrame(made(2, n=60), "doc_id long, text string, source string")
     plan = mixed(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_an_id_are_one_run_cut_in_pieces(spark, monkeypatch):
+    """Many rows of one id, source and size: each its own copies, none lost, and no task makes them all."""
+    monkeypatch.setattr(mixing, "RUN_ROWS", 50)
+    monkeypatch.setattr(mixing, "CELL_ROWS", 40)
+    rows = [(None, "a", "w " * 7)] * 1203 + [(None, "a", None)] * 170 + [(5, "a", "w " * 7)] * 60
+    rows += [(i, "b", "w " * (1 + i % 9)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixed(docs).select("doc_id", "source", "size", "copies", "taken", "target", "source_size").collect()
+    assert len(out) == len(rows)
+    assert sum(r.doc_id is None and r.size == 7 for r in out) == 1203
+    assert sum(r.doc_id is None and r.size == 0 for r in out) == 170
+    for source in "ab":
+        of = [r for r in out if r.source == source]
+        assert sum(r.size for r in of) == of[0].source_size
+        assert abs(sum(r.taken for r in of) - of[0].target) <= 7
+    assert all(r.copies <= 3 for r in out)
+    again = mixed(docs.repartition(7)).select("doc_id", "source", "size", "copies", "taken", "target", "source_size")
+    assert sorted(map(str, again.collect())) == sorted(map(str, out))
