@@ -37,14 +37,14 @@ ESTIMATE_FLOOR = 0.50
 BLOCK = 512
 STRIPE = 4096
 
-#: Up to so many ids are sent to the texts; beyond, the texts are shuffled to the ids.
-BROADCAST_IDS = 2_000_000
+#: Up to so many classes are sent to the texts; beyond, the texts are shuffled to them.
+BROADCAST_IDS = 1_000_000
 
 _BY_SAMPLE = multipliers(SAMPLES, 5)
 _BY_PLACE = multipliers(SAMPLES, 23)
 _BY_BAND = multipliers(BANDS * ROWS, 41).reshape(BANDS, ROWS)
 
-_SIGNATURE = "doc_id long, n_shingles long, set_hi long, set_lo long, bands array<long>, " + ", ".join(
+_SIGNATURE = "doc_id long, h1 long, h2 long, n_shingles long, set_hi long, set_lo long, bands array<long>, " + ", ".join(
     f"s{i} long" for i in range(SKETCH_WORDS))
 
 
@@ -83,7 +83,7 @@ def max_differing_bits(floor=ESTIMATE_FLOOR):
 
 def _signatures(batches):
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
+        ids, h1, h2, texts = batch.columns
         sets = [shingle_set(texts[i].as_py(), SHINGLE) for i in range(len(texts))]
         counts = np.array([len(s) for s in sets], dtype=np.int64)
         digest = np.array([np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
@@ -92,10 +92,10 @@ def _signatures(batches):
         bands = band_keys(samples).view(np.int64)
         sketch = odd_sketches(samples)
         offsets = pa.array(np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32))
-        columns = [ids, pa.array(counts), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()),
+        columns = [ids, h1, h2, pa.array(counts), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()),
                    pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))]
         columns += [pa.array(sketch[:, i].copy()) for i in range(SKETCH_WORDS)]
-        names = ["doc_id", "n_shingles", "set_hi", "set_lo", "bands"]
+        names = ["doc_id", "h1", "h2", "n_shingles", "set_hi", "set_lo", "bands"]
         yield pa.RecordBatch.from_arrays(columns, names + [f"s{i}" for i in range(SKETCH_WORDS)])
 
 
@@ -121,29 +121,32 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
 
 
-def _texts_of(texts, ids):
-    """(id, text) of the given ids. Few ids, which are counted, spare the shuffle of all texts."""
-    ids = stored(ids, "ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return texts.join(ids, texts.doc_id == ids.id).select("id", "text")
+def _texts_of(texts, lead, ids):
+    """(id, text) of the given classes: one row each, however many rows repeat its document.
+
+    A class is found by doc_id and hash of its first row, so rows without an id are found too. Few classes,
+    which are counted, spare the shuffle of all texts.
+    """
+    wanted = stored(lead.select("id", "doc_id", "h1", "h2").join(ids, "id", "left_semi"), "ids")
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    same = (texts.h1 == few.h1) & (texts.h2 == few.h2) & texts.doc_id.eqNullSafe(few.doc_id)
+    return texts.join(few, same).select("id", "text").dropDuplicates(["id"])
 
 
-def _confirmed(texts, pairs):
+def _confirmed(texts, lead, pairs):
     """The pairs (a, b) that are links, by their full sets."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = stored(_texts_of(texts, ids), "texts")
+    wanted = stored(_texts_of(texts, lead, ids), "texts")
     left = wanted.select(F.col("id").alias("a"), F.col("text").alias("left"))
     right = wanted.select(F.col("id").alias("b"), F.col("text").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return both.mapInArrow(_linked, "a long, b long")
 
 
-def _links_in_block(table):
-    """Links between the classes of two blocks of a bucket that lie in different components."""
-    block = np.array(table.column("block"))
-    same = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
-    rows = np.flatnonzero(block == table.column("lo")[0].as_py())
-    columns = rows if same else np.flatnonzero(block == table.column("hi")[0].as_py())
+def _alike_in_block(table):
+    """(rows, columns, matrix): which classes of two blocks lie in different components and may be similar."""
+    block, lo, hi = np.array(table.column("block")), table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+    rows, columns = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
     label = np.array(table.column("label"))
     sketch = np.array([np.array(table.column(f"s{i}")) for i in range(SKETCH_WORDS)]).T.view(np.uint64)
     sizes = np.array(table.column("n_shingles"))
@@ -152,7 +155,20 @@ def _links_in_block(table):
     ok &= 100 * small >= LINK_PERCENT * large
     bits = sum(np.bitwise_count(sketch[rows, i][:, None] ^ sketch[columns, i]).astype(int)
                for i in range(SKETCH_WORDS))
-    ok &= bits <= max_differing_bits()
+    return rows, columns, ok & (bits <= max_differing_bits())
+
+
+def _open_in_block(table):
+    """The classes of two blocks that have a possible link between them; only their texts are fetched."""
+    rows, columns, ok = _alike_in_block(table)
+    left = np.union1d(rows[ok.any(axis=1)], columns[ok.any(axis=0)])
+    return table.select(["key", "id", "label", "block", "lo", "hi"]).take(left)
+
+
+def _links_in_block(table):
+    """Links between the classes of two blocks of a bucket that lie in different components."""
+    rows, columns, ok = _alike_in_block(table)
+    label, sizes = np.array(table.column("label")), np.array(table.column("n_shingles"))
     rows, columns = rows[ok.any(axis=1)], columns[ok.any(axis=0)]
     found_a, found_b = [], []
     if len(rows) and len(columns):
@@ -180,19 +196,22 @@ def _links_in_block(table):
     return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
 
-def _met_in_blocks(rest, texts, sketches):
+def _met_in_blocks(rest, texts, lead, sketches):
     """Links between classes of one bucket and different components.
 
     A bucket is dealt into blocks of about BLOCK classes, and each two blocks meet in one small group, so no
-    task holds a whole bucket. Groups return links only, found by products of incidence matrices.
+    task holds a whole bucket. Sketches meet first; texts go only to the groups in which their class may have a
+    link. Groups return links only, found by products of incidence matrices.
     """
-    wanted = stored(_texts_of(texts, rest.select("id").distinct()).join(sketches, "id"), "texts")
     n = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = rest.withColumn("n", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     dealt = dealt.select("key", "id", "label", "block", F.least("block", "other").alias("lo"),
                          F.greatest("block", "other").alias("hi"))
-    return dealt.join(wanted, "id").groupBy("key", "lo", "hi").applyInArrow(
+    open_ = stored(dealt.join(sketches, "id").groupBy("key", "lo", "hi").applyInArrow(
+        _open_in_block, "key long, id long, label long, block int, lo int, hi int"), "open")
+    wanted = stored(_texts_of(texts, lead, open_.select("id").distinct()).join(sketches, "id"), "texts")
+    return open_.join(wanted, "id").groupBy("key", "lo", "hi").applyInArrow(
         _links_in_block, "a long, b long").distinct()
 
 
@@ -207,22 +226,27 @@ def _alike(x, y):
 def near_duplicates(docs, doc_id="doc_id", text="text"):
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept, per input row.
 
-    Documents with equal sets are one class, named by its smallest doc_id; only classes are compared.
+    Documents with equal sets are one class, known by the number of one of its rows; only classes are compared.
     Each bucket of a band links its classes to the one of them that meets most others; of a class's
     links the one with the best sketch estimate is confirmed on full sets. Buckets that still hold
     classes of different components are then checked in blocks, by estimate first and full sets
     next. No bucket is capped and no link between different texts is passed over, while a group of
     copies costs about one check a member.
 
-    Null or empty texts, and those without words, have no shingles and stay alone. A null doc_id
-    takes part by its copies only; it is kept if no copy has a doc_id. Repeated rows are copies.
+    Null or empty texts, and those without words, have no shingles and stay alone. Rows are documents of their
+    own, so repeated rows are copies, and rows with one doc_id but different texts are linked by their
+    texts only. A null doc_id links like any other but names no component; a component without any
+    doc_id has a null component_id, and all its rows are kept.
     """
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
-    made = stored(texts.mapInArrow(_signatures, _SIGNATURE), "signatures")
-    named = made.filter("n_shingles > 0 and doc_id is not null")
-    classes = stored(named.groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("id")), "classes")
-    lead = stored(
-        named.withColumnRenamed("doc_id", "id").join(classes, ["id", "set_hi", "set_lo"], "left_semi"), "leads")
+    hashed = F.coalesce(F.col(text), F.lit(""))
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(hashed).alias("h1"),
+                        F.xxhash64(F.lit(1), hashed).alias("h2"), text_bytes(text).alias("text"))
+    made = texts.mapInArrow(_signatures, _SIGNATURE).withColumn("row", F.monotonically_increasing_id())
+    made = stored(made, "signatures")  # row numbers are fixed from here on
+    named = made.filter("n_shingles > 0")
+    classes = stored(named.groupBy("set_hi", "set_lo").agg(
+        F.min("row").alias("id"), F.min("doc_id").alias("first")), "classes")
+    lead = stored(named.withColumnRenamed("row", "id").join(classes.select("id"), "id", "left_semi"), "leads")
     sketches = lead.select("id", "n_shingles", *[f"s{i}" for i in range(SKETCH_WORDS)])
 
     rows = lead.select("id", F.explode("bands").alias("key"))
@@ -240,7 +264,7 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
     best = star.groupBy("id").agg(F.min(F.struct("bits", "pivot")).alias("m"))
     best = best.select(F.col("id").alias("a"), F.col("m.pivot").alias("b"))
     best = stored(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    links = stored(_confirmed(texts, best), "confirmed")
+    links = stored(_confirmed(texts, lead, best), "confirmed")
     found = stored(components(links), "components")
 
     label = F.coalesce("component_id", "id")
@@ -248,13 +272,14 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
     mixed = rest.groupBy("key").agg(
         F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("size")).filter("l <> h")
     rest = stored(rest.join(mixed.select("key", "size"), "key"), "open")
-    more = stored(_met_in_blocks(rest, texts, sketches), "confirmed")
+    more = stored(_met_in_blocks(rest, texts, lead, sketches), "confirmed")
     if not more.isEmpty():
         found = stored(components(links.union(more)), "components")
 
-    of_class = classes.join(found, "id", "left").select("set_hi", "set_lo", label.alias("component_id"))
-    out = made.filter("n_shingles > 0").select("doc_id", "n_shingles", "set_hi", "set_lo").join(
-        of_class, ["set_hi", "set_lo"], "left")
+    labelled = stored(classes.join(found, "id", "left").select("set_hi", "set_lo", "first", label.alias("label")), "labels")
+    names = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
+    of_class = labelled.join(names, "label").select("set_hi", "set_lo", "component_id")
+    out = named.select("doc_id", "n_shingles", "set_hi", "set_lo").join(of_class, ["set_hi", "set_lo"])
     out = out.select("doc_id", "n_shingles", "component_id").union(
         made.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -80,6 +80,28 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_repeated_rows_cost_one_check(spark, monkeypatch):
+    """Many rows of two near documents, and near documents without an id."""
+    checked = []
+    confirm = near_dup._confirmed
+
+    def counted(texts, lead, pairs):
+        ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
+        checked.append((pairs.count(), near_dup._texts_of(texts, lead, ids).count()))
+        return confirm(texts, lead, pairs)
+
+    monkeypatch.setattr(near_dup, "_confirmed", counted)
+    one, two = [f"w{i}" for i in range(60)], [f"v{i}" for i in range(60)]
+    rows = [(1, " ".join(one))] * 300 + [(2, " ".join([*one, "x"]))] * 300
+    rows += [(None, " ".join(two))] * 50 + [(None, " ".join([*two, "y"]))] * 50
+    rows += [(None, " ".join(["z", *one])), (9, " ".join(["u", *two]))]
+    found = collections.Counter(map(tuple, near_dup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert found == {(1, 56, 1, True): 300, (2, 57, 1, False): 300, (None, 57, 1, False): 1, (9, 57, 9, True): 1,
+                     (None, 56, 9, False): 50, (None, 57, 9, False): 50}
+    assert checked and all(p <= 6 and t <= 6 for p, t in checked)
+
+
 def test_odd_sketches_estimate_similarity():
     rng = np.random.default_rng(4)
     for share in (0.6, 0.75, 0.9, 1.0):
