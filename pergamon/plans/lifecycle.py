@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pergamon import fixed_values as V
 from pergamon.functions.paths import base_name, dir_name, join_path
 from pergamon.operators.chunking import chunk_recursive, with_chunk_ids
+from pergamon.operators.content import embed_once
 from pergamon.operators.indexing import embed_text
 from pergamon.operators.skew import key_filter
 from pergamon.operators.tracking import (
@@ -30,19 +31,26 @@ def as_documents(extracted, document_type):
     return extracted.select(*file_keys(document_type), "extracted_text", "error")
 
 
-def build_index(spark, tables, embed=None, dimension=V.EMBEDDING_DIMENSION, client=None):
+def _embedded(chunks, embed, dimension, store):
+    """The chunks with their embeddings; with a `store`, a folder, each distinct text is embedded once over all runs."""
+    if store is None:
+        return embed_text(chunks, embed=embed, dimension=dimension)
+    return embed_once(chunks, store, embed=embed, dimension=dimension)
+
+
+def build_index(spark, tables, embed=None, dimension=V.EMBEDDING_DIMENSION, client=None, store=None):
     """Fill the index from the whole chunk table. Running it again gives the same index.
 
-    With a client (`sources.requests`) an index kept elsewhere gets all its rows too.
+    With a `store` (`operators.content`), texts embedded before don't reach the model again. With a client (`sources.requests`) an index kept elsewhere gets all its rows too.
     """
     chunks = S.scan_table(spark, tables.chunks)
-    S.overwrite(spark, embed_text(chunks, embed=embed, dimension=dimension), tables.index)
+    S.overwrite(spark, _embedded(chunks, embed, dimension, store), tables.index)
     if client is not None:
         send_upserts(spark, S.scan_table(spark, tables.index), client)
 
 
 def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=V.EMBEDDING_DIMENSION,
-          client=None):
+          client=None, store=None):
     """First fill of all four tables; nothing happens if the text table has rows.
 
     Documents with an error are left out and come again with the next update. The track table is written last.
@@ -55,7 +63,7 @@ def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension
     texts = S.scan_table(spark, tables.text)
     chunks = with_chunk_ids(chunk(texts.where("extracted_text IS NOT NULL")))
     S.write_overwrite_if_empty(spark, chunks, tables.chunks)
-    build_index(spark, tables, embed=embed, dimension=dimension, client=client)
+    build_index(spark, tables, embed=embed, dimension=dimension, client=client, store=store)
     known = S.scan_table(spark, tables.track)
     S.write_append(spark, insert_if_absent(known, texts, V.READY), tables.track)
     return True
@@ -93,7 +101,7 @@ def _settle(spark, tables):
 
 
 def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension=V.EMBEDDING_DIMENSION,
-                 checked=False, client=None):
+                 checked=False, client=None, store=None):
     """Take in new documents; the number of files taken in.
 
     A client (`sources.requests`) keeps an index elsewhere in step: it gets the ids of rows that are replaced, before
@@ -119,7 +127,7 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
     again = None if known.isEmpty() else again
     S.write_append(spark, insert_if_absent(known, batch, V.UPDATING), tables.track)
     chunks = with_chunk_ids(chunk(batch.where("extracted_text IS NOT NULL"))).checkpoint()
-    embedded = embed_text(chunks, embed=embed, dimension=dimension)
+    embedded = _embedded(chunks, embed, dimension, store)
     for table, rows in ((tables.text, batch), (tables.chunks, chunks), (tables.index, embedded)):
         if again is not None:
             if client is not None and table == tables.chunks:

@@ -370,6 +370,10 @@ _ORACLE = {
           round(avg(query_execution_time), 6) AS avg_time,
           min(query_execution_time) AS min_time, max(query_execution_time) AS max_time
         FROM requests GROUP BY retrieval_method"""),
+    "query_log_quantiles": ("requests", """
+        SELECT retrieval_method, quantile, count(*) AS n, TRUE AS is_close
+        FROM requests CROSS JOIN (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) q(quantile)
+        WHERE query_execution_time IS NOT NULL GROUP BY ALL"""),
     "vector_topk": ("vectors vector_queries", _topk("vector_queries CROSS JOIN vectors")),
     "vector_topk_l2": ("vectors vector_queries", _topk(
         "vector_queries CROSS JOIN vectors", "pow(list_distance(q, v), 2)", "ASC"
@@ -401,6 +405,13 @@ _ORACLE = {
         WHERE regexp_matches(extracted_text, '\S')"""),
     "embed_text": ("chunk_values", """
         SELECT id, b AS bucket, round(v, 6) AS value FROM chunk_values"""),
+    "embed_once": ("chunks chunk_values", """
+        SELECT 'rows' AS counted, count(*) AS n FROM chunks
+        UNION ALL SELECT 'stored', count(DISTINCT coalesce(text_chunk, '')) FROM chunks
+        UNION ALL SELECT 'filled', count(*) FROM chunk_values
+        UNION ALL SELECT 'filled rows', count(DISTINCT id) FROM chunk_values
+        UNION ALL SELECT 'first run', count(DISTINCT coalesce(text_chunk, '')) FROM chunks
+          WHERE chunk_location_in_doc = 0"""),
     "build_index": ("chunks chunk_values", """
         SELECT id, file_name, folder_name, coalesce(n, 0) AS n_filled FROM chunks
         LEFT JOIN (SELECT id, count(*) AS n FROM chunk_values GROUP BY id) f USING (id)"""),

@@ -6,7 +6,9 @@ from pergamon import fixed_values as V
 from pergamon import schemas
 from pergamon.functions import paths as P
 from pergamon.functions import text as X
-from pergamon.operators import chat, chunking, codes, indexing, lists, quality, search, snapshots, tracking
+from pergamon.operators import (
+    chat, chunking, codes, content, indexing, lists, quality, search, sketches, snapshots, tracking,
+)
 from pergamon.plans import answer, lifecycle
 from pergamon.session import scratch_path
 from pergamon.sources import files as files_source
@@ -396,6 +398,18 @@ def query_log_summary(spark, sf_dir):
     )
 
 
+@query
+def query_log_quantiles(spark, sf_dir):
+    """Quantiles of the times of each method, merged from stored sketches by method and batch size, and whether
+    their ranks are within the stated error."""
+    log, method = quality.query_log(W.requests(spark, sf_dir)), ["retrieval_method"]
+    folder = scratch_path(spark, "sketches")
+    sketches.time_sketches(log, [*method, "batch_size"]).write.parquet(folder)
+    found = sketches.merged_quantiles(spark.read.parquet(folder), method)
+    return sketches.rank_errors(log, found, method).select(
+        *method, "quantile", "n", (F.col("rank_error") <= sketches.RANK_ERROR).alias("is_close"))
+
+
 # --- vector search
 
 
@@ -606,6 +620,25 @@ def embed_text(spark, sf_dir):
     )
 
 
+@query
+def embed_once(spark, sf_dir):
+    """Rows and distinct texts of two runs over one store: half the chunks, then all; how many texts each embedded."""
+    folder, chunks = scratch_path(spark, "embeddings"), W.chunks(spark, sf_dir)
+    early = chunks.where(F.col("chunk_location_in_doc") == 0)
+    content.embed_once(early, folder, dimension=W.DIMENSION)
+    first = spark.read.parquet(folder).count()
+    rows = content.embed_once(chunks, folder, dimension=W.DIMENSION)
+    values = rows.select("id", F.explode(F.filter("chunk_embedding", lambda v: v > 0)).alias("v"))
+    counts = [("rows", rows), ("stored", spark.read.parquet(folder)), ("filled", values),
+              ("filled rows", values.select("id").distinct())]
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("counted"), "n") for name, df in counts]
+    parts.append(spark.createDataFrame([("first run", first)], "counted string, n long"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @query
 def build_index(spark, sf_dir):
     """The index table after two runs over the chunk table."""
