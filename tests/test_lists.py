@@ -1,5 +1,6 @@
 """Inverted lists: the rows of a plain search in the same lists, recall, and what the scans read."""
 
+import hashlib
 import os
 import re
 
@@ -108,6 +109,15 @@ def test_training_is_that_of_plain_rounds(spark, data):
     assert np.array_equal(trained, again)
 
 
+def test_seeds_are_those_of_the_whole_index_however_small_the_sample(spark):
+    vectors = np.random.default_rng(5).normal(size=(300, 6)).astype(np.float32)
+    vectors[100:200] = vectors[:100]  # copies count with their smallest id
+    index = spark.createDataFrame([(i, "f", v.tolist()) for i, v in enumerate(vectors)], INDEX).repartition(4)
+    first = sorted({*range(100), *range(200, 300)}, key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))[:8]
+    seeds = lists.train_lists(index, 8, rounds=0, sample_per_list=2)
+    assert np.allclose(seeds, unit(vectors[first].astype(float)))
+
+
 def test_equal_vectors_give_one_seed_and_no_vectors_an_error(spark):
     one = spark.createDataFrame([(i, "f", [1.0, 2.0]) for i in range(20)], INDEX)
     assert lists.train_lists(one, 5).shape == (1, 2)
