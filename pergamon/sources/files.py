@@ -62,6 +62,39 @@ def read_text_files(spark, folder):
     )
 
 
+def write_text_files(rows, folder):
+    """Write each row (stem, text) as a file of its own, `<folder>/<stem>-<part>-<number>.txt`, its text and a newline.
+
+    No folder is made for a file, and the tasks put files in their places themselves, so no rename is left to the
+    driver. A stem may hold folders; rows of one stem are numbered in the order of their texts' hashes, so a task
+    that is repeated writes the same names. `folder` is a path or a URI that Arrow can open.
+    """
+    target = "file:///" + folder[5:].lstrip("/") if folder.startswith("file:") else folder
+
+    def written(batches):
+        import posixpath
+
+        from pyarrow import fs
+        from pyspark import TaskContext
+        system, root = fs.FileSystem.from_uri(target)
+        part, made, before, number, total = TaskContext.get().partitionId(), set(), None, 0, 0
+        for batch in batches:
+            for stem, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                number, before = number + 1 if stem == before else 0, stem
+                place, name = posixpath.split(f"{root}/{stem}-{part}-{number}.txt")
+                if place not in made:
+                    system.create_dir(place)
+                    made.add(place)
+                with system.open_output_stream(f"{place}/_{name}") as out:
+                    out.write((text.as_py() or "").encode() + b"\n")
+                system.move(f"{place}/_{name}", f"{place}/{name}")
+                total += 1
+        yield pa.RecordBatch.from_pydict({"n": [total]})
+
+    ordered = rows.sortWithinPartitions("stem", F.xxhash64("text")).select("stem", "text")
+    return ordered.mapInArrow(written, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def docx_text(content):
     """Text of one Word file: headers, body and footers, a blank line before each paragraph."""
     marks = {_WORD + "p": "\n\n", _WORD + "tab": "\t", _WORD + "br": "\n", _WORD + "cr": "\n"}

@@ -5,6 +5,7 @@ import os
 import pytest
 
 from pergamon.plans.queries import QUERIES
+from pergamon.sources import files
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "labels", "conversations")
@@ -23,3 +24,21 @@ def folder(spark, tmp_path_factory):
 def test_documents_in_several_files_arrive(spark, folder, key):
     found, wanted = (sorted(map(str, QUERIES[key](spark, sf_dir).collect())) for sf_dir in (folder, SF_DIR))
     assert found and found == wanted
+
+
+def test_each_row_is_a_file_and_folders_are_few(spark, tmp_path):
+    rows = spark.range(900).selectExpr("concat(id % 3, '/doc_id=', id div 2) AS stem", "concat('é', id % 7, char(10)) AS text")
+    rows = rows.unionByName(spark.createDataFrame([("0/doc_id=0", None), ("0/doc_id=0", "é0\n")], rows.schema))
+    folder = str(tmp_path / "texts")
+    assert files.write_text_files(rows.repartition(5), folder) == 902
+    assert sum(len(found) for _, found, _ in os.walk(folder)) == 3
+    listed = files.list_files(spark, folder)
+    assert listed.count() == 902 and listed.where("length = 1").count() == 1
+    wanted = sorted((r["text"] or "") + "\n" for r in rows.collect())
+    assert sorted(r["extracted_text"] for r in files.read_text_files(spark, folder).collect()) == wanted
+
+
+def test_documents_of_one_id_are_files_of_their_own(spark, tmp_path):
+    twice = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 40")
+    twice.union(twice).write.parquet(str(tmp_path / "documents.parquet"))
+    assert QUERIES["list_files"](spark, str(tmp_path)).count() == 2 * twice.count()
