@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pergamon.functions.vectors import hyperplanes, signatures
 from pergamon.operators import search
@@ -213,3 +214,17 @@ def test_far_from_zero_distances_are_exact(spark, form):
     assert [(r["id"], round(r["score"], 9)) for r in hits.orderBy("rank").collect()] == [
         (i, exact[i]) for i in best
     ]
+
+
+@pytest.mark.parametrize("group_bytes, fewest, most", [(64 << 20, 1, 8), (2 << 10, 9, 40)])
+def test_rows_are_copied_to_few_blocks_unless_these_are_large(data, monkeypatch, group_bytes, fewest, most):
+    index, queries, vectors, _, asked, _ = data
+    monkeypatch.setattr(search, "GROUP_BYTES", group_bytes)
+    place = [F.lit(0).alias("_table"), F.lit(0).alias("_bucket")]
+    rows = index.where("chunk_embedding IS NOT NULL").select("id", "chunk_embedding", *place)
+    met = queries.select("query_id", "query_vector", *place)
+    hits = search.block_hits(rows, met, 5, False, "cosine", 2, 2, True)
+    per_query = [r["count"] for r in hits.groupBy("query_id").count().collect()]
+    assert 5 * fewest <= max(per_query) <= 5 * most
+    found = search.vector_topk(index, queries, 5, max_queries=0, block_rows=2, block_queries=2)
+    assert collected(found) == brute_force(vectors, asked, 5, lambda i, q: True)
