@@ -135,3 +135,20 @@ def test_recursive_rows_and_ids(spark):
     assert [r["id"] for r in found] == [(7 << 22) + i for i in range(len(found))]
     assert {r["total_chunks_in_doc"] for r in found} == {len(found)}
     assert all(r["chunk_length_in_chars"] == len(r["text_chunk"]) for r in found)
+
+
+def test_chunks_of_a_batch_are_not_all_python_strings_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([("word %d " % i) * 400 for i in range(3000)] + [None, ""])
+    wanted = [chunking.split_at_separators(t or "") for t in texts.to_pylist()]
+
+    tracemalloc.start()
+    found = chunking._split_batch(texts, 1000, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.to_pylist() == wanted
+    assert peak < texts.nbytes / 4
+    assert chunking._split_batch(pa.array([], pa.string()), 1000, 200).to_pylist() == []
