@@ -19,6 +19,9 @@ from pergamon.operators.indexing import upsert_batches
 #: Ids in one request to delete.
 DELETE_IDS = 1_000
 
+#: Groups that ids to delete are dealt to; each ends with at most one request that is not full.
+DELETE_PARTS = 64
+
 _FORMAT = "pergamon_requests"
 _SHARD, _REQUEST = "_shard", "_request"
 
@@ -138,8 +141,11 @@ def send_upserts(spark, rows, client, limit=V.BATCH_BYTES):
 
 
 def send_deletes(spark, ids, client, limit=DELETE_IDS):
-    """Send the distinct ids (column `id`) in requests of at most `limit`; null is no id."""
+    """Send the distinct ids (column `id`) in requests of at most `limit`; null is no id.
+
+    Ids are dealt by their hashes, not by their ranges: a document's ids lie far from the next one's.
+    """
     ids = ids.where("id IS NOT NULL").select(F.col("id").cast("long").alias("id")).distinct()
-    shard = F.floor(F.col("id") / limit).cast("long")
+    shard = F.pmod(F.xxhash64("id"), F.lit(DELETE_PARTS)).cast("long")
     _send(spark, ids.select("id", shard.alias(_SHARD), F.lit(0).cast("long").alias(_REQUEST),
                             F.lit(1).cast("long").alias("_size")), client, "delete", limit)

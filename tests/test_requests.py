@@ -99,6 +99,14 @@ def test_upserts_and_deletes_reach_the_client(spark, tmp_path):
     assert sorted(r["id"] for part in parts for r in part) == list(range(250)) and max(map(len, parts)) <= 100
 
 
+def test_ids_of_many_documents_share_requests_to_delete(spark, tmp_path):
+    ids = spark.range(3000).selectExpr("shiftleft(id, 22) AS id")
+    requests.send_deletes(spark, ids, requests.FolderClient(str(tmp_path)), limit=100)
+    parts = _files(tmp_path, "delete").values()
+    assert sorted(r["id"] for part in parts for r in part) == [i << 22 for i in range(3000)]
+    assert max(map(len, parts)) <= 100 and len(parts) <= 30 + requests.DELETE_PARTS
+
+
 class Away(requests.FolderClient):
     """Fails as long as a file says so."""
 
