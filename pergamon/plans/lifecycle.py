@@ -44,7 +44,9 @@ def build_index(spark, tables, embed=None, dimension=V.EMBEDDING_DIMENSION, clie
     With a `store` (`operators.content`), texts embedded before don't reach the model again. With a client (`sources.requests`) an index kept elsewhere gets all its rows too.
     """
     chunks = S.scan_table(spark, tables.chunks)
-    S.overwrite(spark, _embedded(chunks, embed, dimension, store), tables.index)
+    # a store's embeddings come by a join, which moves the rows
+    S.overwrite(spark, _embedded(chunks, embed, dimension, store), tables.index,
+                made_of=tables.chunks if store is None else None)
     if client is not None:
         send_upserts(spark, S.scan_table(spark, tables.index), client)
 
@@ -62,7 +64,7 @@ def build(spark, tables, documents, chunk=chunk_recursive, embed=None, dimension
     S.write_overwrite_if_empty(spark, numbered, tables.text)
     texts = S.scan_table(spark, tables.text)
     chunks = with_chunk_ids(chunk(texts.where("extracted_text IS NOT NULL")))
-    S.write_overwrite_if_empty(spark, chunks, tables.chunks)
+    S.write_overwrite_if_empty(spark, chunks, tables.chunks, made_of=tables.text)
     build_index(spark, tables, embed=embed, dimension=dimension, client=client, store=store)
     known = S.scan_table(spark, tables.track)
     S.write_append(spark, insert_if_absent(known, texts, V.READY), tables.track)

@@ -28,6 +28,10 @@ WRITTEN = "written"  # the number of the write that a row came with
 #: broadcast to the scans, and beyond that every bucket that has some is rewritten.
 COMPACT_SHARE = 0.3
 MAX_DELETIONS = 200_000
+
+#: Codec of the files, and the files of one scan task from which they are small and are put together.
+COMPRESSION = "zstd"
+SMALL_FILES = 4
 SCHEMAS = {
     "text": schemas.TEXT, "track": schemas.TRACK,
     "chunks": schemas.CHUNKS, "index": schemas.INDEX,
@@ -62,7 +66,8 @@ def _create_table(spark, name, schema, buckets=256):
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {WRITTEN} BIGINT, {BUCKET} INT) USING parquet "
-        f"PARTITIONED BY ({BUCKET}) TBLPROPERTIES ('path_buckets' = '{buckets}')"
+        f"OPTIONS ('compression' = '{COMPRESSION}') PARTITIONED BY ({BUCKET}) "
+        f"TBLPROPERTIES ('path_buckets' = '{buckets}')"
     )
 
 
@@ -149,9 +154,9 @@ def scan_table(spark, table, buckets=None):
     return _live(spark, table, buckets).drop(BUCKET, WRITTEN)
 
 
-def write_append(spark, rows, table):
-    """Append by column name."""
-    _balanced(_shaped(spark, rows, table)).write.insertInto(table)
+def write_append(spark, rows, table, made_of=None):
+    """Append by column name. `made_of`: see `overwrite`."""
+    _laid(spark, _shaped(spark, rows, table), table, made_of).write.insertInto(table)
 
 
 def _balanced(rows):
@@ -159,21 +164,37 @@ def _balanced(rows):
     return rows.hint("rebalance", F.col(BUCKET))
 
 
-def write_overwrite_if_empty(spark, rows, table):
-    """Write only if the table is missing or empty; whether it was written."""
+def _are_large(scan, buckets):
+    """Whether the files of a scan are few for its tasks or buckets, so that written task by task they stay few."""
+    return len(scan.inputFiles()) <= SMALL_FILES * max(scan.rdd.getNumPartitions(), buckets)
+
+
+def _laid(spark, rows, table, made_of):
+    """Rows that were made of a scan of another table with as many buckets lie by bucket already, and are not moved."""
+    if made_of is None or _buckets(spark, made_of) != _buckets(spark, table):
+        return _balanced(rows)
+    return rows if _are_large(_current(spark, made_of), _buckets(spark, table)) else _balanced(rows)
+
+
+def write_overwrite_if_empty(spark, rows, table, made_of=None):
+    """Write only if the table is missing or empty; whether it was written. `made_of`: see `overwrite`."""
     exists = spark.catalog.tableExists(table)
     if exists and not _live(spark, table).isEmpty():
         return False
     if not exists:
         alike = [s for s in SCHEMAS.values() if set(s.names) == set(rows.columns)]
         _create_table(spark, table, alike[0] if alike else rows.schema)
-    overwrite(spark, rows, table)
+    overwrite(spark, rows, table, made_of)
     return True
 
 
-def overwrite(spark, rows, table):
-    """Put `rows` in place of all rows of the table, by one write; its deletions are then of no rows."""
-    _balanced(_shaped(spark, rows, table)).write.insertInto(table, overwrite=True)
+def overwrite(spark, rows, table, made_of=None):
+    """Put `rows` in place of all rows of the table, by one write; its deletions are then of no rows.
+
+    `made_of` names the table that `rows` were scanned from, if every step since kept a row's file and moved no row: then
+    nothing is shuffled, unless that table has many small files.
+    """
+    _laid(spark, _shaped(spark, rows, table), table, made_of).write.insertInto(table, overwrite=True)
     _forget(spark, table)
 
 
@@ -194,17 +215,17 @@ def drop_pending(spark, track, files):
     _rewrite(spark, track, left, [PENDING])
 
 
-def _rewrite(spark, table, rows, touched=()):
+def _rewrite(spark, table, rows, touched=(), lies=False):
     """Replace the buckets that `rows` has, and drop those of `touched` that it has not.
 
-    A dynamic overwrite leaves a bucket alone that no row is left for.
+    A dynamic overwrite leaves a bucket alone that no row is left for. Rows that lie by bucket are not moved.
     """
     filled = {r[0] for r in rows.select(BUCKET).distinct().collect()} if touched else None
     if filled is None or filled:
         before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            _balanced(rows).write.insertInto(table, overwrite=True)
+            (rows if lies else _balanced(rows)).write.insertInto(table, overwrite=True)
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     emptied = [f"PARTITION ({BUCKET} = {b})" for b in sorted(set(touched) - (filled or set()))]
@@ -299,7 +320,8 @@ def compact(spark, table, share=COMPACT_SHARE):
     """Rewrite the buckets in which at least this share of the rows is deleted; their number.
 
     The deletions of a bucket are dropped after it is rewritten, so a run that stops between is repeated. Deletions
-    in buckets without any deleted row are dropped, too.
+    in buckets without any deleted row are dropped, too. Only buckets with many small files are shuffled, which puts
+    these together.
     """
     if deletions(spark, table) is None:
         return 0
@@ -308,7 +330,8 @@ def compact(spark, table, share=COMPACT_SHARE):
     idle = [b for b in held if not found.get(b, (0, 0))[1]]
     full = sorted(b for b, (n, gone) in found.items() if gone and gone >= share * n)
     if full:
-        _rewrite(spark, table, _live(spark, table, full), full)
+        large = _are_large(_current(spark, table, full), len(full))
+        _rewrite(spark, table, _live(spark, table, full), full, lies=large)
     _forget(spark, table, [*idle, *full])
     return len(full)
 

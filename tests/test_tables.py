@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pergamon.operators import indexing, snapshots
+from pergamon.plans import lifecycle
 from pergamon.session import scratch_path
 from pergamon.sources import tables as S
 
@@ -142,3 +143,48 @@ def test_changes_between_states(spark):
         ("new v", "update_pre", "a"), ("new v", "update_post", None),
     ], key=repr)
     assert snapshots.snapshot_diff(old, old, ["k"]).count() == 0
+
+
+@pytest.fixture
+def moved(monkeypatch):
+    """How often rows were dealt out by bucket."""
+    calls, deal = [], S._balanced
+    monkeypatch.setattr(S, "_balanced", lambda rows: calls.append(1) or deal(rows))
+    return calls
+
+
+def _chunk_rows(spark, numbers):
+    return spark.createDataFrame(
+        [(i, f"f{i % 20}", "d", f"text {i}") for i in numbers], "id long, file_name string, folder_name string, text_chunk string")
+
+
+def test_an_index_is_written_where_its_chunks_lie(spark, tables, moved):
+    S.write_append(spark, _chunk_rows(spark, range(200)), tables.chunks)
+    moved.clear()
+    for _ in range(2):
+        lifecycle.build_index(spark, tables, dimension=8)
+    assert not moved
+    rows = spark.table(tables.index)
+    assert sorted(r.id for r in rows.collect()) == list(range(200))
+    assert rows.join(spark.table(tables.chunks), ["id", S.BUCKET]).count() == 200
+    assert len(rows.inputFiles()) <= 4 * len(spark.table(tables.chunks).inputFiles())
+
+
+def test_many_small_files_are_put_together(spark, tables, moved):
+    for i in range(12):
+        S.write_append(spark, _chunk_rows(spark, range(100 * i, 100 * i + 100)), tables.chunks)
+    moved.clear()
+    assert not S._are_large(spark.table(tables.chunks), 1)
+    lifecycle.build_index(spark, tables, dimension=8)
+    assert moved and len(spark.table(tables.index).inputFiles()) < len(spark.table(tables.chunks).inputFiles())
+    assert S.scan_table(spark, tables.index).count() == 1200
+
+
+def test_compaction_does_not_move_large_files(spark, tables, moved):
+    S.write_append(spark, texts(spark, *[(i, "d", f"f{i}", "t") for i in range(80)]), tables.text)
+    gone = spark.createDataFrame([("d", f"f{i}") for i in range(0, 80, 2)], "folder_name string, file_name string")
+    S.delete_rows(spark, tables.text, gone)
+    moved.clear()
+    assert S.compact(spark, tables.text, 0.0) == 4 and not moved
+    assert held(spark, tables.text) == [(i, f"f{i}", "t") for i in range(1, 80, 2)]
+    assert S.compact(spark, tables.text, 0.0) == 0
