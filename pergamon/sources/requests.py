@@ -4,6 +4,9 @@ A client is any object that can be pickled, with `upsert(request, rows)` and `de
 the request, and an Arrow table or a list of ids. It must be idempotent by id, as a task that is lost sends its
 requests again, under the same names. A client that raises fails its task, and with it the job. The class of a
 client travels by name, so its module is installed on the executors or registered with cloudpickle to go by value.
+
+A client may have `finish()`, which is called after the last request of a task: what it held back until then is sent. A
+task that sends no request does not call it.
 """
 
 import base64
@@ -26,6 +29,15 @@ _FORMAT = "pergamon_requests"
 _SHARD, _REQUEST = "_shard", "_request"
 
 
+def _opened(folder, kind):
+    """The file system of a path or URI, and the folder below it for requests of this kind."""
+    from pyarrow import fs
+    folder = "file:///" + folder[5:].lstrip("/") if folder.startswith("file:") else folder
+    system, path = fs.FileSystem.from_uri(folder)
+    system.create_dir(f"{path}/{kind}")
+    return system, f"{path}/{kind}"
+
+
 class FolderClient:
     """Keeps each request as a Parquet file in a folder all executors share; sending one again replaces it.
 
@@ -37,13 +49,51 @@ class FolderClient:
 
     def _put(self, kind, request, rows):
         import pyarrow.parquet as pq
-        from pyarrow import fs
-        folder = "file:///" + self.folder[5:].lstrip("/") if self.folder.startswith("file:") else self.folder
-        system, path = fs.FileSystem.from_uri(folder)
-        system.create_dir(f"{path}/{kind}")
-        part = f"{path}/{kind}/_{request}-{uuid.uuid4().hex}"
+        system, path = _opened(self.folder, kind)
+        part = f"{path}/_{request}-{uuid.uuid4().hex}"
         pq.write_table(rows, part, filesystem=system)
-        system.move(part, f"{path}/{kind}/{request}.parquet")
+        system.move(part, f"{path}/{request}.parquet")
+
+    def upsert(self, request, rows):
+        self._put("upsert", request, rows)
+
+    def delete(self, request, ids):
+        import pyarrow as pa
+        self._put("delete", request, pa.table({"id": pa.array(ids, pa.int64())}))
+
+
+class PackedClient:
+    """Keeps the requests of a task in one Parquet file, with their names in a column `request`; for many small ones.
+
+    The file appears when the task is done, under the name of its first request, so a repeated task replaces it. About
+    `held` bytes of requests are in memory. `folder` is a path or a URI that Arrow can open.
+    """
+
+    def __init__(self, folder, held=16 << 20):
+        self.folder, self.held = folder, held
+        self._open, self._waiting, self._bytes = {}, {}, {}
+
+    def _put(self, kind, request, rows):
+        import pyarrow as pa
+        waiting = self._waiting.setdefault(kind, [])
+        waiting.append(rows.append_column("request", pa.array([request] * rows.num_rows, pa.string())))
+        self._bytes[kind] = self._bytes.get(kind, 0) + rows.nbytes
+        if kind not in self._open:
+            self._open[kind] = (*self._started(kind, request, waiting[0].schema), request)
+        if self._bytes[kind] >= self.held:
+            self._written(kind)
+
+    def _started(self, kind, request, schema):
+        import pyarrow.parquet as pq
+        system, path = _opened(self.folder, kind)
+        part = f"{path}/_{request}-{uuid.uuid4().hex}"
+        return system, path, part, pq.ParquetWriter(part, schema, filesystem=system)
+
+    def _written(self, kind):
+        import pyarrow as pa
+        if self._waiting[kind]:
+            self._open[kind][3].write_table(pa.concat_tables(self._waiting[kind]).combine_chunks())
+        self._waiting[kind], self._bytes[kind] = [], 0
 
     def upsert(self, request, rows):
         self._put("upsert", request, rows)
@@ -52,6 +102,13 @@ class FolderClient:
         import pyarrow as pa
         self._put("delete", request, pa.table({"id": pa.array(ids, pa.int64())}))
 
+    def finish(self):
+        for kind, (system, folder, part, writer, first) in self._open.items():
+            self._written(kind)
+            writer.close()
+            system.move(part, f"{folder}/{first}.parquet")
+        self._open, self._waiting, self._bytes = {}, {}, {}
+
 
 class _Sent(WriterCommitMessage):
     """What one task has sent."""
@@ -104,6 +161,8 @@ class RequestWriter(DataSourceArrowWriter):
         if open_:
             send()
             sent += 1
+        if sent and hasattr(self.client, "finish"):
+            self.client.finish()
         return _Sent(sent, rows)
 
 

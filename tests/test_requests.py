@@ -107,6 +107,29 @@ def test_ids_of_many_documents_share_requests_to_delete(spark, tmp_path):
     assert max(map(len, parts)) <= 100 and len(parts) <= 30 + requests.DELETE_PARTS
 
 
+def test_a_packed_client_keeps_the_requests_of_a_task_in_one_file(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id", "repeat('x', 90) AS text_chunk")
+    requests.send_upserts(spark, rows, requests.PackedClient(str(tmp_path), held=5_000), limit=1000)
+    files = _files(tmp_path, "upsert")
+    got = [r for part in files.values() for r in part]
+    assert sorted(r["id"] for r in got) == list(range(2000)) and len(files) <= 8
+    names = {r["request"] for r in got}
+    assert len(names) >= 180 and all(sum(r["request"] == n for r in got) <= 11 for n in names)
+    assert not [p for p in (tmp_path / "upsert").iterdir() if p.name.startswith("_")]
+    requests.send_upserts(spark, rows.limit(0), requests.PackedClient(str(tmp_path / "none")))
+    requests.send_deletes(spark, rows, requests.PackedClient(str(tmp_path)), limit=100)
+    deleted = [r["id"] for part in _files(tmp_path, "delete").values() for r in part]
+    assert sorted(deleted) == list(range(2000))
+
+
+def test_a_repeated_task_replaces_its_packed_file(tmp_path):
+    for size in (2, 3):
+        assert writer(requests.PackedClient(str(tmp_path))).write(batches(ROWS, size)).requests == 6
+    (rows,) = _files(tmp_path, "upsert").values()
+    assert [(r["request"], r["id"]) for r in rows] == [
+        ("r-0-0-0", 1), ("r-0-0-0", 2), ("r-0-0-1", 3), ("r-0-1-0", 4), ("r-0-1-1", 5), ("r-1-1-0", 6), ("r-1-2-0", 7)]
+
+
 class Away(requests.FolderClient):
     """Fails as long as a file says so."""
 
