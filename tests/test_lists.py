@@ -250,3 +250,15 @@ def test_selections_of_many_names_are_looked_up_by_pairs(spark, data):
     for q, rows in collected(hits).items():
         hot = [i for i in range(400) if names[i] == "hot"]
         assert rows == sorted(hot, key=lambda i: (-scores[i, q], i))[:4]
+
+
+def test_a_query_is_sent_once_to_each_group_of_lists(spark, data):
+    index, queries, *_ = data
+    listed = lists.build_lists(index, lists=40, rounds=0, probes=37)
+    asked = queries.where("query_vector is not null").select("query_id", "query_vector")
+    sent = lists._probed(asked, listed, 37).select("query_id", "_bucket", "_parts").collect()
+    assert len(sent) <= lists.GROUPS * asked.count()
+    for query in {r.query_id for r in sent}:
+        parts = [i for r in sent if r.query_id == query for i in r._parts]
+        assert len(parts) == len(set(parts)) == 37
+    assert all(i % lists.GROUPS == r._bucket for r in sent for i in r._parts)

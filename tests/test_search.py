@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,3 +229,27 @@ def test_rows_are_copied_to_few_blocks_unless_these_are_large(data, monkeypatch,
     assert 5 * fewest <= max(per_query) <= 5 * most
     found = search.vector_topk(index, queries, 5, max_queries=0, block_rows=2, block_queries=2)
     assert collected(found) == brute_force(vectors, asked, 5, lambda i, q: True)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "squared_l2"])
+def test_filtered_rows_are_multiplied_with_the_queries_that_select_them(monkeypatch, metric):
+    pick = np.random.default_rng(3)
+    rows, asked = pick.normal(size=(1000, 8)).astype(np.float32), pick.normal(size=(100, 8)).astype(np.float32)
+    rows[::7] = rows[0]
+    rows[5] = np.nan
+    names = pa.array([None if i % 50 == 0 else f"f{i % 10}" for i in range(1000)])
+    chosen = [[] if i % 20 == 0 else [f"f{i % 10}", "nowhere"] for i in range(100)]
+    queries = pa.table({"query_id": range(100), "query_vector": list(asked), "selected_documents": chosen})
+    monkeypatch.setattr(search, "_CELLS", 10_000)
+    cells, near = [], search._Asked._near
+    monkeypatch.setattr(search._Asked, "_near", lambda self, v: cells.append(len(v) * len(self.vectors)) or near(self, v))
+    found = []
+    for most in (2, 0):  # by name, then under a mask
+        monkeypatch.setattr(search, "_NAMES", most)
+        cells.append(0)
+        best = search._Best(np.arange(100), 5)
+        search._Asked(queries, True, None, metric).score(best, np.arange(1000), pa.array(list(rows)), names)
+        found.append(sorted(zip(best.query.tolist(), best.id.tolist(), best.score.tolist())))
+    assert found[0] == found[1] and len(found[0]) == 500
+    by_name = sum(cells[:cells.index(0, 1)])
+    assert by_name < 20_000 < 90_000 < sum(cells) - by_name  # 100 queries and 999 usable rows
