@@ -16,6 +16,9 @@ from pergamon.sources import tables as S
 from pergamon.sources.files import extract_text
 from pergamon.sources.requests import send_deletes, send_upserts
 
+#: Names of so many files of a batch are broadcast to its wide rows, which are then not shuffled.
+MAX_BROADCAST = 200_000
+
 
 def file_keys(document_type):
     """Key columns of files given by path; the type is a name or a Column."""
@@ -75,11 +78,28 @@ def not_done(spark, tables, rows):
     """The files among `rows` that are not READY or UPDATED.
 
     Only the track rows of these files are read, and then only those that are done matter, so a
-    small batch stays small beside a large track table.
+    small batch stays small beside a large track table. Names are compared before anything wide is touched: the rows are
+    given back as they are if no file is done, none if all are, and else they meet the done files or the
+    others, whichever are fewer; these are broadcast, up to MAX_BROADCAST.
     """
-    known = S.rows_of_files(spark, tables.track, rows.select("folder_name", "file_name"))
-    done = known.where(F.col("status").isin(V.READY, V.UPDATED))
-    return key_filter(rows, done, FILE_KEY, keep=False)
+    shared_folder(spark)
+    keys = rows.select(*FILE_KEY).distinct().checkpoint()
+    known = S.scan_table(spark, tables.track, S.touched_buckets(spark, keys, tables.track))
+    done = key_filter(known.where(F.col("status").isin(V.READY, V.UPDATED)), keys, FILE_KEY)
+    done = done.select(*FILE_KEY).distinct().checkpoint()
+    n_done = done.count()
+    if n_done == 0:
+        return rows
+    left = key_filter(keys, done, FILE_KEY, keep=False).checkpoint()
+    n_left = left.count()
+    if n_left == 0:
+        return rows.where(F.lit(False))
+    few, how = (left, "left_semi") if n_left < n_done else (done, "left_anti")
+    few = few.select(*[F.col(c).alias(f"_{c}") for c in FILE_KEY])
+    if min(n_left, n_done) <= MAX_BROADCAST:
+        few = F.broadcast(few)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FILE_KEY]  # a file with a NULL in its key is never done
+    return rows.join(few, same[0] & same[1] & same[2], how)
 
 
 def update_files(spark, tables, files, document_type, parsers=None, **options):
@@ -117,17 +137,18 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
     shared_folder(spark)
     _settle(spark, tables)
     todo = (documents if checked else not_done(spark, tables, documents)).where("error IS NULL")
-    # Checkpointed, so the files are read and parsed once.
-    todo = todo.select(*FILE_KEY, "extracted_text").checkpoint()
-    size = todo.count()
+    # Numbered rows are checkpointed, so the files are read and parsed once. What needs names only reads them from their own.
+    batch = S.assign_ids(todo.select(*FILE_KEY, "extracted_text"))
+    named = batch.select(*FILE_KEY).checkpoint()
+    size = named.count()
     if size == 0:
         return 0
-    batch = S.assign_ids(todo, start=S.reserve_ids(spark, tables.text, size))
-    files = batch.select("folder_name", "file_name")
+    batch = batch.withColumn("id", F.col("id") + S.reserve_ids(spark, tables.text, size))
+    files = named.select("folder_name", "file_name")
     known = S.rows_of_files(spark, tables.track, files).checkpoint()
     again = known.select("folder_name", "file_name").distinct()
     again = None if known.isEmpty() else again
-    S.write_append(spark, insert_if_absent(known, batch, V.UPDATING), tables.track)
+    S.write_append(spark, insert_if_absent(known, named, V.UPDATING), tables.track)
     chunks = with_chunk_ids(chunk(batch.where("extracted_text IS NOT NULL"))).checkpoint()
     embedded = _embedded(chunks, embed, dimension, store)
     for table, rows in ((tables.text, batch), (tables.chunks, chunks), (tables.index, embedded)):
@@ -140,8 +161,8 @@ def update_index(spark, tables, documents, chunk=chunk_recursive, embed=None, di
         # the embeddings just written, not made a second time
         new = S.rows_of_files(spark, tables.index, files)
         send_upserts(spark, key_filter(new, chunks.select("id"), ["id"]), client)
-    ended = key_filter(S.pending_rows(spark, tables.track), batch, FILE_KEY)
-    ended = update_status_tuple(ended, batch).checkpoint()
+    ended = update_status_tuple(S.pending_rows(spark, tables.track), named)
+    ended = ended.where(F.col("status") == V.UPDATED).checkpoint()
     S.write_append(spark, ended, tables.track)
     S.drop_pending(spark, tables.track, ended)
     return size

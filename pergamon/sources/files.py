@@ -128,7 +128,8 @@ def _parse(parsers):
                 rows.append({"text": None, "error": f"{type(failure).__name__}: {failure}"})
         return pa.array(rows, pa.struct([("text", pa.string()), ("error", pa.string())]))
 
-    return parse
+    # else a filter on the error is moved below, and every file is parsed a second time for it
+    return parse.asNondeterministic()
 
 
 def extract_text(files, parsers=None):

@@ -375,11 +375,11 @@ def assign_ids(rows, order_by=None, start=0):
     numbered = ordered.withColumn("_part", F.shiftright("_at", 33)).withColumn(
         "_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     )
-    # One row per partition of the sort, whatever the data.
+    # One row per partition of the sort, whatever the data; kept, so that no use of the rows counts them again.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = numbered.groupBy("_part").agg(F.count("*").alias("_rows")).select(
         "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-    )
+    ).checkpoint()
     return (
         numbered.join(F.broadcast(before), "_part")
         .withColumn("id", F.col("_before") + F.col("_at") + F.lit(start + 1))

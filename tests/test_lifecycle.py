@@ -299,3 +299,77 @@ def test_missing_table_is_made_like_the_others(spark, tables):
     assert S.write_overwrite_if_empty(spark, rows, tables.track)
     S.write_append(spark, rows.withColumn("file_name", F.lit("b")), tables.track)
     assert rows_of(spark, tables.track, "file_name") == [("a",), ("b",)]
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_names_tell_what_is_done_before_wide_rows_are_touched(spark, tables):
+    wide = F.raise_error(F.lit("text was read")).cast("string")
+    first = documents(spark, *[f"/d/{i}.txt" for i in range(30)])
+    fresh = lifecycle.not_done(spark, tables, first)
+    assert "Join" not in fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert lifecycle.update_index(spark, tables, first) == 30
+    assert lifecycle.update_index(spark, tables, first.withColumn("extracted_text", wide)) == 0
+
+
+@pytest.mark.parametrize("n_new", [3, 60])
+def test_a_batch_with_done_and_new_files_is_not_shuffled(spark, tables, n_new):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old, new = [f"/d/{i}.txt" for i in range(30)], [f"/e/{i}.txt" for i in range(n_new)]
+    lifecycle.update_index(spark, tables, documents(spark, *old))
+    nameless = documents(spark, "/e/x").withColumn("file_name", F.lit(None).cast("string"))
+    batch = documents(spark, *old, *new, "/e/0.txt").unionByName(nameless)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as the done files of a large batch are
+    try:
+        left = lifecycle.not_done(spark, tables, batch)
+        assert exchanges(left) == 0
+        assert sorted(r[0] for r in left.select("file_name").na.fill("-").collect()) == sorted(
+            ["-", "0.txt", *[f"{i}.txt" for i in range(n_new)]])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("n_new", [3, 60])
+def test_files_beyond_the_broadcast_are_joined(spark, tables, monkeypatch, n_new):
+    monkeypatch.setattr(lifecycle, "MAX_BROADCAST", 0)
+    old, new = [f"/d/{i}.txt" for i in range(30)], [f"/e/{i}.txt" for i in range(n_new)]
+    lifecycle.update_index(spark, tables, documents(spark, *old))
+    assert lifecycle.update_index(spark, tables, documents(spark, *old, *new)) == n_new
+    assert sorted(rows_of(spark, tables.track, "folder_name", "file_name")) == sorted(
+        tuple(n.rsplit("/", 1)) for n in [*old, *new])
+
+
+def test_a_batch_is_written_down_once_before_its_tables(spark, tables, monkeypatch):
+    """Whole texts are checkpointed once; what else is kept of a batch before it is cut are names and counts."""
+    kept, real = [], type(spark.range(1)).checkpoint
+
+    def checkpoint(frame, *a, **b):
+        kept.append(frame.columns)
+        return real(frame, *a, **b)
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", checkpoint)
+    assert lifecycle.update_index(spark, tables, documents(spark, "/d/a.txt", "/d/b.txt")) == 2
+    assert sum("extracted_text" in columns for columns in kept) == 1
+
+
+def test_numbered_rows_are_counted_once(spark):
+    numbered = S.assign_ids(spark.range(100).repartition(5).select("id", F.lit("t").alias("extracted_text")))
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan
+
+
+def test_each_file_is_parsed_once(spark, tables, tmp_path):
+    write_files(tmp_path / "v", {f"{i}.pdf": b"%PDF" for i in range(6)})
+    seen = str(tmp_path / "seen")
+
+    def parser(content):
+        with open(seen, "a") as out:
+            out.write("x")
+        return "parsed"
+
+    files = files_source.binary_files(spark, str(tmp_path / "v"))
+    assert lifecycle.update_files(spark, tables, files, "tmp", parsers={".pdf": parser}) == 6
+    with open(seen) as out:
+        assert out.read() == "x" * 6
