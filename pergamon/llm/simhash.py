@@ -149,7 +149,8 @@ def linked_fingerprints(prints):
     met = rows.groupBy("start", "key").agg(
         F.count("*").alias("size"), F.max(F.when(F.col("own"), F.col("fp"))).alias("pivot"))
     met = met.filter("size > 1 and pivot is not null")
-    buckets = stored(rows.join(met, ["start", "key"]), "buckets")
+    # Spark takes exploded rows for as few as they come from, and would send them all through the driver.
+    buckets = stored(rows.hint("merge").join(met, ["start", "key"]), "buckets")
 
     a, b = F.col("fp"), F.col("pivot")
     star = buckets.filter((a != b) & _chain_holds(F.col("start"), a, b) & (F.bit_count(a.bitwiseXOR(b)) <= LIMIT))

@@ -136,3 +136,16 @@ def test_no_rows_and_only_null_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "a b c d")], "doc_id long, text string")
     assert [r.component_id for r in simhash_duplicates(docs).collect()] == [None, None]
     assert simhash_duplicates(docs.limit(0)).count() == 0
+
+
+def test_keys_of_all_fingerprints_are_not_broadcast(spark, monkeypatch):
+    """Each fingerprint has up to 68 keys, but Spark sizes them as if there were one."""
+    plans, real = {}, simhash.stored
+
+    def stored(df, purpose):
+        plans.setdefault(purpose, df._jdf.queryExecution().executedPlan().toString())
+        return real(df, purpose)
+
+    monkeypatch.setattr(simhash, "stored", stored)
+    simhash_duplicates(spark.createDataFrame(made_texts(), "doc_id long, text string")).collect()
+    assert "BroadcastExchange" not in plans["buckets"]
