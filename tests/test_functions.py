@@ -143,3 +143,12 @@ def test_quantiles_of_a_log(spark):
     )
     row = quality.query_log_summary(log, quantiles=True).first()
     assert (row["n_queries"], row["p50_time"], row["p95_time"]) == (101, 50.0, 95.0)
+
+
+def test_a_filter_on_the_embedding_does_not_embed_again(spark):
+    from pergamon.operators.indexing import embed_text, model_embedding
+
+    rows = spark.createDataFrame([(1, "a b")], "id long, text_chunk string")
+    for embed in (None, model_embedding(lambda: lambda texts: [[1.0]] * len(texts))):
+        found = embed_text(rows, embed=embed, dimension=8).select("id", "chunk_embedding").where("chunk_embedding IS NOT NULL")
+        assert found._jdf.queryExecution().executedPlan().toString().count("EvalPython") == 1

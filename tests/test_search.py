@@ -253,3 +253,81 @@ def test_filtered_rows_are_multiplied_with_the_queries_that_select_them(monkeypa
     assert found[0] == found[1] and len(found[0]) == 500
     by_name = sum(cells[:cells.index(0, 1)])
     assert by_name < 20_000 < 90_000 < sum(cells) - by_name  # 100 queries and 999 usable rows
+
+
+@pytest.mark.parametrize("metric", ["cosine", "squared_l2"])
+def test_products_are_tiles_and_hits_are_those_of_all_pairs(monkeypatch, metric):
+    monkeypatch.setattr(search, "_TILE", 7)
+    monkeypatch.setattr(search, "_FIRST_ROWS", 3)
+    monkeypatch.setattr(search, "_CELLS", 700)
+    pick = np.random.default_rng(9)
+    rows, asked = pick.normal(size=(500, 8)), pick.normal(size=(40, 8))
+    rows[::6], rows[5] = rows[0], np.nan
+    widths, near = [], search._Asked._near
+    monkeypatch.setattr(search._Asked, "_near", lambda self, v: widths.append(len(self.vectors)) or near(self, v))
+    queries = pa.table({"query_id": range(40), "query_vector": list(asked)})
+    best = search._Best(np.arange(40), 6)
+    some = search._Asked(queries, False, None, metric)
+    for start, end in ((0, 2), (2, 300), (300, 500)):
+        some.score(best, np.arange(start, end), pa.array(list(rows[start:end])), tag=np.arange(start, end, dtype=np.int32) // 10)
+    assert max(widths) == 7
+    scores = unit(rows) @ unit(asked).T if metric == "cosine" else -((rows[:, None] - asked[None]) ** 2).sum(axis=2)
+    scores = np.round(np.where(np.isnan(scores), -np.inf, scores), 9)
+    found = best.table("tag").to_pylist()
+    for q in range(40):
+        mine = sorted((h for h in found if h["query_id"] == q), key=lambda h: (-h["place"], h["id"]))
+        assert [h["id"] for h in mine] == sorted(range(500), key=lambda i: (-scores[i, q], i))[:6]
+        assert all(h["tag"] == h["id"] // 10 for h in mine)
+
+
+def counted_vectors(spark, rows):
+    """Rows whose vectors are made when they are read, and how many were made."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<float>")
+    def vector(i):
+        made.add(1)
+        return [float((i * 7) % 11), float((i * 5) % 13), 1.0]
+
+    return rows.withColumn("chunk_embedding", vector.asNondeterministic()("id")), made
+
+
+def test_vectors_of_the_index_are_made_once_for_blocks(spark):
+    index, made = counted_vectors(spark, spark.range(60))
+    queries = spark.createDataFrame([(i, [float(i), 2.0, 1.0]) for i in range(9)], "query_id long, query_vector array<float>")
+    hits = search.vector_topk(index, queries, 3, max_queries=2, block_rows=20, block_queries=4)
+    assert hits.count() == 27
+    assert made.value == 60
+
+
+def test_queries_are_dealt_to_one_block_while_they_fit(spark):
+    index = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(40)], "id long, chunk_embedding array<float>")
+    queries = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(40)], "query_id long, query_vector array<float>")
+    plain = [df.withColumn("_table", F.lit(0)).withColumn("_bucket", F.lit(0)) for df in (index, queries)]
+    hits = search.block_hits(*plain, 1, False, "cosine", 10, 10, True)
+    assert hits.count() == 4 * 40  # a hit of each query from each block of rows
+
+
+def test_rows_that_no_hit_needs_are_not_joined(spark):
+    rows = spark.range(-50_000, 50_000).withColumn("text_chunk", F.lit("text"))
+    hits = rows.where("id % 97 = 0").select("id").unionByName(spark.createDataFrame([(None,), (5,), (5,)], "id long"))
+    hits = search.stored_hits(hits)
+    kept = search.rows_of_hits(rows, hits).select("id").collect()
+    wanted = {r["id"] for r in hits.collect()} - {None}
+    assert wanted <= {r["id"] for r in kept} and len(kept) < len(wanted) + 4000
+    assert search.rows_of_hits(rows, search.stored_hits(hits.limit(0))).count() == 0
+
+
+def test_answers_shuffle_the_texts_of_hits_only(spark):
+    from pergamon.plans import answer
+
+    rows = spark.range(4000).selectExpr(
+        "id", "concat('f', id) AS file_name", "'d' AS folder_name", "'tmp' AS document_type", "concat('text ', id) AS text_chunk",
+        "0 AS chunk_location_in_doc", "1 AS total_chunks_in_doc", "array(float(id % 31), float(id % 17), 1f) AS chunk_embedding")
+    asked = spark.createDataFrame([(i, f"q{i}") for i in range(4)], "query_id long, search_text string")
+    def embed(text):
+        return F.array(F.length(text).cast("float"), F.lit(1.0).cast("float"), F.lit(2.0).cast("float"))
+
+    found = answer.retrieve(rows, asked, 5, embed=embed, dimension=3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 20 and "may_be" in plan
