@@ -152,3 +152,18 @@ def test_chunks_of_a_batch_are_not_all_python_strings_at_once():
     assert found.to_pylist() == wanted
     assert peak < texts.nbytes / 4
     assert chunking._split_batch(pa.array([], pa.string()), 1000, 200).to_pylist() == []
+
+
+def test_chunks_do_not_carry_the_array_they_come_from(spark):
+    import re
+
+    from pergamon.operators import chunking
+    from pergamon.operators.indexing import embed_text
+
+    docs = spark.createDataFrame([(1, "word " * 900)], "id long, extracted_text string")
+    for chunk in (chunking.chunk_window, chunking.chunk_recursive):
+        rows = embed_text(chunk(docs), dimension=8)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        kept = re.search(r"Generate posexplode\(_chunks#\d+\), \[([^\]]*)\]", plan)[1]
+        assert "_chunks#" not in kept and "total_chunks_in_doc" in kept
+        assert {r["total_chunks_in_doc"] for r in rows.collect()} == {rows.count()}

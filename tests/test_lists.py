@@ -262,3 +262,44 @@ def test_a_query_is_sent_once_to_each_group_of_lists(spark, data):
         parts = [i for r in sent if r.query_id == query for i in r._parts]
         assert len(parts) == len(set(parts)) == 37
     assert all(i % lists.GROUPS == r._bucket for r in sent for i in r._parts)
+
+
+def test_queries_that_read_all_lists_are_not_sent_to_groups_of_them(spark, data, monkeypatch):
+    index, queries, *_ = data
+    listed = lists.build_lists(index, lists=12, rounds=1, probes=1 << 30)
+    monkeypatch.setattr(lists, "_probed", None)
+    hits = lists.vector_topk_lists(spark, listed, queries, 4, **FORMS["blocks"])
+    plain = search.vector_topk(index, queries, 4)
+    assert hits.drop("list_id").exceptAll(plain).count() == 0 == plain.exceptAll(hits.drop("list_id")).count()
+    at = {r["id"]: r["list_id"] for r in lists.rows_of(spark, listed).select("id", "list_id").collect()}
+    assert all(at[r["id"]] == r["list_id"] for r in hits.collect())
+
+
+def test_lists_are_built_from_vectors_made_twice_and_written_small(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<float>")
+    def vector(i):
+        made.add(1)
+        return [float((i * 7) % 11), float((i * 5) % 13), 1.0]
+
+    index = spark.range(200).withColumn("chunk_embedding", vector.asNondeterministic()("id"))
+    listed = lists.build_lists(index, lists=4, rounds=2, probes=4)
+    assert made.value == 400  # once to train on them, once to write them with the other columns
+    names = [n for _, _, found in os.walk(f"{listed.path}/rows") for n in found if n.endswith(".parquet")]
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_texts_of_many_hits_are_filtered_before_the_join(spark, monkeypatch):
+    rows = spark.range(300).selectExpr(
+        "id", "concat('f', id) AS file_name", "'d' AS folder_name", "'tmp' AS document_type", "concat('t', id) AS text_chunk",
+        "0 AS chunk_location_in_doc", "1 AS total_chunks_in_doc", "array(float(id % 31), float(id % 17), 1f) AS chunk_embedding")
+    listed = lists.build_lists(rows, lists=3, probes=3)
+    queries = rows.where("id < 20").selectExpr("id AS query_id", "chunk_embedding AS query_vector")
+    hits = lists.vector_topk_lists(spark, listed, queries, 2)
+    pushed = lists.retrieve_columns(spark, listed, hits)
+    monkeypatch.setattr(lists, "PUSHED_IDS", 3)
+    mapped = lists.retrieve_columns(spark, listed, hits)
+    assert "may_be" in mapped._jdf.queryExecution().optimizedPlan().toString()
+    assert mapped.count() == 40 and sorted(map(str, mapped.collect())) == sorted(map(str, pushed.collect()))
