@@ -11,8 +11,13 @@ from pyspark.sql.functions import arrow_udf
 
 from pergamon import schemas
 from pergamon.functions.paths import extension
+from pergamon.session import scratch_path
 
 TEXT_EXTENSIONS = [".txt", ".md"]
+# Files that a task holds at a time: their entries, and bytes of their contents; bytes that a task reads, about.
+_LISTED = 10_000
+_HELD_BYTES = 8 << 20
+_READ_BYTES = 128 << 20
 _WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
@@ -32,13 +37,91 @@ def stream_binary_files(spark, folder, files_per_batch=1000):
     )
 
 
+def _system(root):
+    """(Arrow's file system, path there) of a qualified URI's scheme, authority and decoded path."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+    scheme, authority, path = root
+    if scheme == "file":
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(f"{scheme}://{authority}{quote(path)}")
+
+
+def _root(spark, folder):
+    """(qualified folder, scheme, authority and path) of a folder that Arrow can open, or nothing."""
+    from pyarrow import fs
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    uri = path.toUri()
+    root = (uri.getScheme(), uri.getAuthority() or "", uri.getPath())
+    try:
+        system, place = _system(root)
+        there = system.get_file_info(place).type == fs.FileType.Directory
+    except (OSError, ValueError, ImportError, NotImplementedError):
+        there = False
+    return (path.toString().rstrip("/"), root) if there else None
+
+
+def _passed_over(name, is_folder):
+    """Whether Spark's file sources take a file or folder of this name for hidden."""
+    hidden = name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")
+    return hidden and not (is_folder and name.startswith(("_common_metadata", "_metadata")))
+
+
+def _entries(root):
+    """Of each folder, what is in it: its path below the root, whether it is a folder, its time and length."""
+    def entries(batches):
+        from pyarrow import fs
+        system, place = _system(root)
+        place = place.rstrip("/")
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = system.get_file_info(fs.FileSelector(place + folder, allow_not_found=True))
+                found = [f for f in found if not _passed_over(f.base_name, f.type == fs.FileType.Directory)
+                         and (f.type == fs.FileType.Directory or f.type == fs.FileType.File and f.size > 0)]
+                for i in range(0, len(found), _LISTED):
+                    some = found[i:i + _LISTED]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([f"{folder}/{f.base_name}" for f in some], pa.string()),
+                        pa.array([f.type == fs.FileType.Directory for f in some], pa.bool_()),
+                        pa.array([(f.mtime_ns or 0) // 1_000_000 for f in some], pa.int64()),
+                        pa.array([f.size for f in some], pa.int64()),
+                    ], ["below", "is_folder", "millis", "length"])
+
+    return entries
+
+
+def _listed(spark, root):
+    """Every file below the root (below, millis, length), listed by tasks, one level of folders after the other, and stored."""
+    cores = spark.sparkContext.defaultParallelism
+    level, rows = spark.createDataFrame([("",)], "below string"), None
+    folders = 1
+    while folders:
+        target = scratch_path(spark, "listing")
+        level.repartition(min(folders, 4 * cores), "below").mapInArrow(
+            _entries(root), "below string, is_folder boolean, millis long, length long").write.parquet(target)
+        found = spark.read.schema("below string, is_folder boolean, millis long, length long").parquet(target)
+        files = found.where("not is_folder").drop("is_folder")
+        rows = files if rows is None else rows.union(files)
+        level = found.where("is_folder").select("below")
+        folders = level.count()
+    return rows
+
+
 def list_files(spark, folder):
-    """Every file below a folder. The content column is pruned, so no file is opened.
+    """Every file below a folder: path, modificationTime and length. No file is opened.
 
-    As with all Spark file sources, empty files and names that begin with `_` or `.` are passed
-    over, so a file that is empty or renamed so looks as if it were gone (see `purge_deleted`).
+    Folders that Arrow can open are listed by tasks and the list is stored, so the driver holds none of it; others are
+    listed by Spark, whose driver holds an entry for each file. As with all Spark file sources, empty files and names
+    that begin with `_` or `.` are passed over, so a file that is empty or renamed so looks as if it were gone (see
+    `purge_deleted`).
     """
-    return binary_files(spark, folder).select("path", "modificationTime", "length")
+    found = _root(spark, folder)
+    if not found:
+        return binary_files(spark, folder).select("path", "modificationTime", "length")
+    return _listed(spark, found[1]).select(
+        F.concat(F.lit(found[0]), "below").alias("path"), F.timestamp_millis("millis").alias("modificationTime"), "length")
 
 
 def _decoded(path):
@@ -51,7 +134,13 @@ def _plain_newlines(text):
 
 
 def read_text_files(spark, folder):
-    """Whole .txt and .md files below a folder, one row each, line ends as newlines."""
+    """Whole .txt and .md files below a folder, one row each, line ends as newlines.
+
+    Folders that Arrow can open are listed as by `list_files`, and tasks open the files; others are read by Spark.
+    """
+    found = _root(spark, folder)
+    if found:
+        return _read(spark, *found)
     return (
         spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
         .select(
@@ -62,6 +151,36 @@ def read_text_files(spark, folder):
     )
 
 
+def _read(spark, qualified, root):
+    """`read_text_files`, from a list of the files that stays with the tasks."""
+    path = F.concat(F.lit(qualified), "below")
+    listed = _listed(spark, root).where(extension(path).isin(TEXT_EXTENSIONS))
+    total = listed.select(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // _READ_BYTES))
+
+    def contents(batches):
+        system, place = _system(root)
+        place, names, held, size = place.rstrip("/"), [], [], 0
+
+        def batch_of():
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(held, pa.binary())], ["below", "content"])
+
+        for batch in batches:
+            for below in batch.column(0).to_pylist():
+                with system.open_input_stream(place + below, compression=None) as file:
+                    held.append(file.read())
+                names.append(below)
+                size += len(held[-1])
+                if size >= _HELD_BYTES or len(held) >= _LISTED:
+                    yield batch_of()
+                    names, held, size = [], [], 0
+        if held:
+            yield batch_of()
+
+    read = listed.select("below").repartition(tasks, "below").mapInArrow(contents, "below string, content binary")
+    return read.select(path.alias("path"), _plain_newlines(F.col("content").cast("string")).alias("extracted_text"))
+
+
 def write_text_files(rows, folder):
     """Write each row (stem, text) as a file of its own, `<folder>/<stem>-<part>-<number>.txt`, its text and a newline.
 

@@ -42,3 +42,35 @@ def test_documents_of_one_id_are_files_of_their_own(spark, tmp_path):
     twice = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 40")
     twice.union(twice).write.parquet(str(tmp_path / "documents.parquet"))
     assert QUERIES["list_files"](spark, str(tmp_path)).count() == 2 * twice.count()
+
+
+def test_files_are_listed_and_read_by_tasks_as_by_spark(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "vol ü+%41"
+    contents = {
+        "a.txt": b"x\r\ny", "sub/b.MD": b"q\xff\xfez", "sub/_h.txt": b"1", "sub/_a=b/c.txt": b"t", "_x/c.txt": b"1",
+        ".h/c.txt": b"1", "deep/er/and/d e+f%20é.txt": b"z" * 100, "e.txt": b"", "_metadata.txt": b"m",
+        "_metadata/in.txt": b"m", "k.txt._COPYING_": b"1", "x.py": b"p", "sub/g.txt.gz": b"n", "=/_b=.txt": b"="}
+    for name, content in contents.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(content)
+    (folder / "link.txt").symlink_to(folder / "x.py")
+    (folder / "nothing").mkdir()
+    places = [str(folder), f"file:{folder}", f"{folder}/", f"{folder}/sub"]
+    found = [(files.list_files(spark, p), files.read_text_files(spark, p)) for p in places]
+    assert all("/listing-" in f for frames in found for frame in frames for f in frame.inputFiles())
+    monkeypatch.setattr(files, "_root", lambda *a: None)  # Spark's own reader, whose driver holds all entries
+    for place, frames in zip(places, found):
+        plain = files.list_files(spark, place), files.read_text_files(spark, place)
+        assert [sorted(map(str, f.collect())) for f in frames] == [sorted(map(str, f.collect())) for f in plain]
+        assert frames[0].schema == plain[0].schema
+
+
+def test_texts_are_read_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_HELD_BYTES", 50)
+    monkeypatch.setattr(files, "_LISTED", 3)
+    monkeypatch.setattr(files, "_READ_BYTES", 100)
+    rows = spark.range(40).selectExpr("concat('f/', id) AS stem", "repeat(concat(id, ' '), 9) AS text")
+    files.write_text_files(rows, str(tmp_path / "v"))
+    assert files.list_files(spark, str(tmp_path / "v")).count() == 40
+    read = files.read_text_files(spark, str(tmp_path / "v")).select("extracted_text").collect()
+    assert sorted(r[0] for r in read) == sorted(r["text"] + "\n" for r in rows.collect())
