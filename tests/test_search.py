@@ -300,12 +300,15 @@ def test_vectors_of_the_index_are_made_once_for_blocks(spark):
     assert made.value == 60
 
 
-def test_queries_are_dealt_to_one_block_while_they_fit(spark):
+def test_queries_are_dealt_to_one_block_while_they_fit(spark, monkeypatch):
+    dealt, blocks = [], search._blocks
+    monkeypatch.setattr(search, "_blocks", lambda *a: dealt.append(blocks(*a)) or dealt[-1])
     index = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(40)], "id long, chunk_embedding array<float>")
     queries = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(40)], "query_id long, query_vector array<float>")
     plain = [df.withColumn("_table", F.lit(0)).withColumn("_bucket", F.lit(0)) for df in (index, queries)]
     hits = search.block_hits(*plain, 1, False, "cosine", 10, 10, True)
     assert hits.count() == 4 * 40  # a hit of each query from each block of rows
+    assert [d.count() for d in dealt] == [40, 4 * 40]  # rows are sent once
 
 
 def test_rows_that_no_hit_needs_are_not_joined(spark):
